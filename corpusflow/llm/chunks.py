@@ -16,9 +16,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from corpusflow.llm.common import save
+from corpusflow.llm.common import arrow_schema, save
 from corpusflow.llm.hashing import word_hashes
 
 CHUNK_BYTES = 6 << 20
@@ -80,25 +79,19 @@ def shard_bits(n_keys: int, spread: int = 4) -> tuple[int, int]:
 def map_chunks(chunks: DataFrame, function: Callable[[dict], Iterator[tuple]], schema: str) -> DataFrame:
     """Rows that function makes of each chunk row (given as a dict of its columns)."""
 
-    def run(frames):
-        fields = None
-        for b in frames:
+    fields = arrow_schema(schema)
+
+    def run(batches):
+        for b in batches:
             for i in range(b.num_rows):
                 row = {name: b.column(j)[i].as_py() for j, name in enumerate(b.schema.names)}
                 rows = list(function(row))
                 if rows:
-                    fields = fields or to_arrow_schema(T_schema(schema))
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
 
     return chunks.mapInArrow(run, schema)
 
 
-def T_schema(ddl: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl)
-
-
 def exchange(chunks: DataFrame, send: Callable[[dict], Iterator[tuple[int, bytes]]], reply: Callable[[int, list[bytes], list[int]], list[bytes]]) -> DataFrame:
     """Per chunk: (chunk, replies), where replies is an array of (shard, blob) sorted by shard.
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: A word, for every operator whose contract speaks of words.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,3 +52,8 @@ def drop_saved(spark: SparkSession) -> None:
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def arrow_schema(ddl: str):
+    """The Arrow schema of a DDL string; only the driver can parse one."""
+    return to_arrow_schema(StructType.fromDDL(ddl))

@@ -4,10 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusflow.llm import media, mixing, urls
+from corpusflow.llm import language, media, mixing, packing, substrings, urls, warc
 from corpusflow.llm.common import save, table
 
 
+def op1_warc_convert(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    records = warc.read_archives(warc.archive_pages(pages), payloads=False).where("record_type != 'warcinfo'")
+    kind = pages.schema["page_id"].dataType
+    return records.select(F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_key").cast(kind).alias("refers_to"))
+
+
+def op2_substring_dedup(spark, sf_dir):
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))
+
+
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
+    out = language.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def op6_mix_sources(spark, sf_dir):
     return mixing.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -24,5 +47,14 @@ def op10_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
-QUERIES = {f.__name__: f for f in (op6_mix_sources, op9_media_columns, op10_url_filter)}
-ORACLE_SQL = {"op6_mix_sources": mixing.MIX_SQL}
+QUERIES = {f.__name__: f for f in (op1_warc_convert, op2_substring_dedup, op3_best_fit_packing, op4_language_id, op6_mix_sources, op9_media_columns, op10_url_filter)}
+WARC_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha1(b) AS payload_digest FROM p),
+h AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN holder END AS refers_to FROM h
+"""
+
+ORACLE_SQL = {"op1_warc_convert": WARC_SQL, "op6_mix_sources": mixing.MIX_SQL}

@@ -36,7 +36,8 @@ class _Windows:
         self.words, self.size, self.cell_bits = words, size, cell_bits
 
     def cells(self, row: int) -> np.ndarray:
-        return mix(self.h1 ^ (GOLDEN * U64(2 * row + 1))) >> U64(64 - self.cell_bits)
+        seed = U64(int(GOLDEN) * (2 * row + 1) & 0xFFFFFFFFFFFFFFFF)
+        return mix(self.h1 ^ seed) >> U64(64 - self.cell_bits)
 
     def keep(self, mask: np.ndarray) -> None:
         self.place, self.h1 = self.place[mask], self.h1[mask]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,20 +35,36 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def collected():
+    """The paths that save() writes inside, for drop_saved once their readers are done."""
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        _scopes.pop()
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts the lineage so that a
     lost executor costs one task, and fixes rows whose order or grouping a retry could change."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corpusflow/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_saved(spark: SparkSession) -> None:
-    """Remove every table that save() has written, once their readers are done."""
+def drop_saved(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Remove these tables, or all that save() has written to the shared folder, once their readers are done."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/corpusflow")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for p in [f"{shared_dir(spark)}/corpusflow"] if paths is None else paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def n_words(text: Column) -> Column:

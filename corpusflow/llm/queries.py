@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusflow.llm import language, media, mixing, packing, substrings, urls, warc
+from corpusflow.llm import embeddings, language, lmscore, media, mixing, neardup, packing, substrings, urls, warc
 from corpusflow.llm.common import save, table
 
 
@@ -31,10 +31,23 @@ def op4_language_id(spark, sf_dir):
     return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op5_embedding_range_join(spark, sf_dir):
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_mix_sources(spark, sf_dir):
     return mixing.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "kept")
+
+
+def op8_lm_scoring(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lmscore.cross_entropy(table(spark, sf_dir, "documents"), good)
+
+
 def op9_media_columns(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("payload"))
     stored = save(media.add_media(docs, "payload").select("doc_id", F.octet_length("payload").cast("long").alias("n_bytes"), "media"), "media")
@@ -47,7 +60,7 @@ def op10_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_convert, op2_substring_dedup, op3_best_fit_packing, op4_language_id, op6_mix_sources, op9_media_columns, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_warc_convert, op2_substring_dedup, op3_best_fit_packing, op4_language_id, op5_embedding_range_join, op6_mix_sources, op7_minhash_near_dedup, op8_lm_scoring, op9_media_columns, op10_url_filter)}
 WARC_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha1(b) AS payload_digest FROM p),

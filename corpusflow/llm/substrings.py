@@ -77,9 +77,10 @@ def _sliced(keys: np.ndarray, bits: int, shard_bits: int):
     return [(s, slice(a, b)) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
 
 
-def remove_repeats(docs: DataFrame, size: int = WINDOW, rows: int = ROWS, chunk_bytes: int = C.CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = WINDOW, rows: int = ROWS, chunk_bytes: int = C.CHUNK_BYTES, as_is: bool = False) -> DataFrame:
     """docs with `text` reduced to the words outside of repeated windows, joined by single spaces
-    (null where it was null), and the columns n_words and n_removed."""
+    (null where it was null), and the columns n_words and n_removed. as_is: texts that lose nothing keep
+    their white space."""
     clash = [c for c in ("n_words", "n_removed") if c in docs.columns]
     docs = docs.drop(*clash)
     chunks = C.make_chunks(docs, chunk_bytes=chunk_bytes)
@@ -187,6 +188,9 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, rows: int = ROWS, chunk_
             if text is None:
                 texts.append(None)
                 continue
+            if as_is and not lost[d]:
+                texts.append(text.decode())
+                continue
             words = text.split()
             texts.append(b" ".join(compress(words, ~gone[at[d] : at[d + 1]]) if lost[d] else words).decode())
         text_type = table.schema.field("text").type

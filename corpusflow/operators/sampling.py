@@ -47,7 +47,7 @@ def section_sample(sections: DataFrame, document: str, bucket: str, key: Column,
 
 def supplement(sections: DataFrame, sample: DataFrame, keys: list[str], flag: str, seed: int = SEED) -> DataFrame:
     """One more section for each feature that no sampled section has: the first in seeded order. sections: keys and flag (array)."""
-    covered = sample.join(sections.select(*keys, flag), keys).select(F.explode(flag).alias("feature")).distinct()
+    covered = sample.select(*keys).join(sections.select(*keys, flag), keys).select(F.explode(flag).alias("feature")).distinct()
     rare = sections.join(sample.select(*keys), keys, "left_anti").withColumn("feature", F.explode(flag)).join(covered, "feature", "left_anti")
     w = Window.partitionBy("feature").orderBy(ordered.seeded_order(seed, F.col("feature"), F.concat_ws(":", *keys)))
     return rare.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")

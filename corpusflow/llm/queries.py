@@ -70,4 +70,22 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN holder END AS refers_to FROM h
 """
 
-ORACLE_SQL = {"op1_warc_convert": WARC_SQL, "op6_mix_sources": mixing.MIX_SQL}
+REPEATS_SQL = r"""
+WITH x AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+s AS (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 18))) AS i FROM x),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS k FROM s),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS nth FROM win) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later)),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM x),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT x.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM x LEFT JOIN kept USING (doc_id)
+"""
+RANGE_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x), n AS (SELECT x, count(*) AS n FROM p GROUP BY x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept FROM embeddings LEFT JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id
+"""
+
+ORACLE_SQL = {"op1_warc_convert": WARC_SQL, "op2_substring_dedup": REPEATS_SQL, "op5_embedding_range_join": RANGE_SQL, "op6_mix_sources": mixing.MIX_SQL}

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 #: Line ends of the source texts (fixed values).
 LINE_END = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]"
 TOKEN = r"[a-z0-9]+(?:[._-][a-z0-9]+)*"
-OPERATORS = ("EQ.", "NE.", "GE.", "GT.", "LE.", "LT.", "=")
 DASHES = "\u2010\u2011\u2012\u2013\u2014\u2015\u2212"
 
 

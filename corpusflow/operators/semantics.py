@@ -13,8 +13,6 @@ from corpusflow.functions import text as X
 #: Region labels in the order in which a block's text is held against them (fixed values).
 REGIONS = (("references", "reference"), ("remarks", "remark"), ("purpose", "purpose"), ("options", "option"), ("cards", "card"), ("variables", "variable"))
 ABSORBING = ("references", "remarks")
-#: Name-like entries of a conditions row that are words of its notation.
-LABEL_ROWS = ("variable", "type", "default")
 
 
 def region_label(text: Column) -> Column:

@@ -26,7 +26,7 @@ def query(sql: str | None = None):
     return register
 
 
-def big(c) -> F.Column:
+def big(c):
     return F.col(c).cast("long") if isinstance(c, str) else c.cast("long")
 
 

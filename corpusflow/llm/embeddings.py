@@ -155,12 +155,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, label: str =
                         ri = lo
         top = np.array([root(i) for i in range(len(x))], dtype=np.int64)
         n = np.concatenate([links, np.full(len(x) - mine, -1)])
-        keep = (n >= 0) | (top != np.arange(len(x)))
+        keep = (n >= 0) | (top != np.arange(len(x)))  # visitors only if they are linked
         return pa.table({"rep": pa.array(reps[keep]), "with": pa.array(reps[top[keep]]), "n_links": pa.array(n[keep])})
 
     found = save(dealt.groupBy("space", "at").applyInArrow(join, f"rep {kind}, with {kind}, n_links long"), "links")
-    classes = components(found.select(F.col("rep").alias("a"), F.col("with").alias("b")))
-    result = found.where("n_links >= 0").select("rep", "n_links").join(classes, F.col("rep") == F.col("id")).select("rep", "n_links", "component")
+    classes = components(found.select(F.col("rep").alias("a"), F.col("with").alias("b")), alone=False)
+    result = found.where("n_links >= 0").select("rep", "n_links").join(classes, F.col("rep") == F.col("id"), "left").select("rep", "n_links", F.coalesce("component", "rep").alias("component"))
     per_id = rows.select("vec_id", "space", "digest").join(points.select("space", "digest", "rep"), ["space", "digest"]).join(result, "rep").select(F.col("vec_id").alias("_v"), "n_links", "component")
     out = vectors.select("vec_id").join(per_id, F.col("vec_id") == F.col("_v"), "left")
     component = F.coalesce("component", "vec_id")

@@ -24,15 +24,19 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusflow.llm.common import arrow_schema, save
 from corpusflow.llm.components import components
-from corpusflow.llm.hashing import GOLDEN, U64, join_blobs, mix, pack_ints, unpack_ints, windows, word_hashes
+from corpusflow.llm.hashing import GOLDEN, U64, mix, pack_ints, unpack_ints, windows, word_hashes
 
 SHINGLE, THRESHOLD, BANDS, SLOTS = 5, 0.8, 12, 3
 IDF_CELLS, IDF_PARTS, IDF_LEAST = 1 << 18, 32, 0.1
+#: Bits of the filter that thins out the scan for the texts to compare.
+FILTER_BITS = 1 << 26
 #: Texts of a block when a key's texts are gone through again.
 BLOCK = 256
 
@@ -174,14 +178,57 @@ def links_within(ids: list, texts: list[tuple], classes: list, idf: np.ndarray,
     return out
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits of SHA-256: equal for equal texts only."""
+    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
+
+
+def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, ztext) of the wanted nodes (node, digest), by a scan of docs that a bitmap of fixed size thins out.
+
+    The bitmap has FILTER_BITS bits whatever the corpus: of few wanted ids it lets few others pass, of many more,
+    and the join after it is exact in any case.
+    """
+    bit = F.pmod(F.xxhash64(F.col("node.rep")), F.lit(FILTER_BITS))
+    maps = wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 8 + 4096, dtype=np.uint8)
+    for r in maps:  # at most FILTER_BITS / 32768 rows of 4 KB; bucket k holds the bits from (k - 1) * 32768 + 1
+        start = (r["bucket"] - 1) * 4096
+        bits[start : start + len(r["bits"])] |= np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def thin(batches):
+        press = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            at = b.column("spot").to_numpy()
+            keep = pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+            few = pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "digest", "text")], names=["doc_id", "digest", "text"]).filter(keep)
+            if few.num_rows:
+                z = pa.array([press(t.as_buffer()) for t in few.column("text").cast(pa.large_binary())], pa.binary())
+                yield pa.RecordBatch.from_arrays([few.column("doc_id"), few.column("digest"), z], names=["doc_id", "digest", "ztext"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # (spot, bit 0 is the first): a bit's place in its bucket is its number less one
+    spot = F.bitmap_bit_position(F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))) + (F.bitmap_bucket_number(F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))) - 1) * 32768
+    rows = docs.where("doc_id is not null and text is not null").select("doc_id", text_digest(F.col("text")).alias("digest"), "text", spot.alias("spot"))
+    thinned = rows.mapInArrow(thin, f"doc_id {kind}, digest binary, ztext binary")
+    found = thinned.join(wanted.select(F.col("node.rep").alias("_rep"), "node", F.col("digest").alias("_digest")), (F.col("doc_id") == F.col("_rep")) & (F.col("digest") == F.col("_digest")))
+    return found.dropDuplicates(["doc_id", "digest"]).select("node", "ztext")
+
+
+def unpacked(column) -> pa.Array:
+    undo = zstandard.ZstdDecompressor().decompress
+    return pa.array([undo(x) for x in column.to_pylist()], pa.binary())
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS) -> DataFrame:
-    """(doc_id, class_id, n_copies, kept) per row: class_id is the smallest doc_id of the class, n_copies its
-    rows, and kept is true for one row of each class, that of class_id (one with the smallest digest, if several)."""
+    """(doc_id, digest, class_id, n_copies, kept) per row: class_id is the smallest doc_id of the class, n_copies its
+    rows, and kept is true for the row of class_id (of the smallest digest, where that id has several texts)."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
     idf = spark.sparkContext.broadcast(idf_table(docs, size))
-    fields = arrow_schema("doc_id long, digest string, keys array<long>")
+    keys_type = pa.list_(pa.int64())
 
     def sign(batches):
         for whole in batches:
@@ -193,72 +240,78 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
                 if full:
                     for i, row in zip(full, band_keys([sets[i] for i in full], idf.value, bands)):
                         keys[i] = row
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(keys, fields.field("keys").type)], names=["doc_id", "digest", "keys"])
-
-    digest = F.concat(F.sha1(F.col("text").cast("binary")), F.length("text").cast("string"))
-    signed = save(docs.withColumn("digest", digest).mapInArrow(sign, f"doc_id {kind}, digest string, keys array<long>"), "signed")
-    texts = save(signed.where("keys is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "texts")
-    banded = save(texts.select("rep", "digest", F.posexplode("keys").alias("band", "key")), "banded")
-    first = banded.groupBy("band", "key").agg(F.min(F.struct("rep", "digest")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    stars = banded.join(first, ["band", "key"]).where("digest != first.digest")
-    pairs = save(stars.select("digest", F.col("first.digest").alias("other")).distinct(), "pairs")
-
-    wanted = pairs.select("digest").union(pairs.select("other")).distinct()
-    reps = save(texts.join(wanted, "digest", "left_semi").select("digest", "rep"), "wanted")
-    body = docs.withColumn("_digest", digest).join(reps, (docs["doc_id"] == reps["rep"]), "inner").where("_digest = digest").select("digest", "text").dropDuplicates(["digest"])
-    body = save(body, "wanted-texts")
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(keys, keys_type)], names=["doc_id", "digest", "keys"])
+
+    signed = save(docs.withColumn("digest", text_digest(F.col("text"))).mapInArrow(sign, f"doc_id {kind}, digest binary, keys array<long>"), "signed")
+    grouped = signed.where("keys is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+    tie = F.row_number().over(Window.partitionBy("rep").orderBy("digest"))  # an id may stand for several texts
+    texts = save(grouped.select(F.struct("rep", tie.alias("tie")).alias("node"), "digest", "keys"), "texts")
+    banded = texts.select("node", F.explode("keys").alias("key"))
+    first = save(banded.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"), "shared-keys")
+    held = save(banded.join(first, "key"), "held")
+    pairs = save(held.where("node != first").select("node", F.col("first").alias("other")).distinct(), "pairs")
+    wanted = pairs.select("node").union(pairs.select("other")).distinct()
+    body = save(wanted_texts(docs, texts.select("node", "digest").join(wanted, "node", "left_semi")), "wanted-texts")
+    node = "struct<rep:" + kind + ",tie:int>"
 
     def compare(batches):
         for whole in batches:
             for k in range(0, whole.num_rows, 200):
                 b = whole.slice(k, 200)
-                x, y = shingles(b.column("text"), size), shingles(b.column("other_text"), size)
+                x, y = shingles(unpacked(b.column("ztext")), size), shingles(unpacked(b.column("other_text")), size)
                 good = [similarity(p, q, idf.value) >= threshold for p, q in zip(x, y)]
-                yield pa.RecordBatch.from_arrays([b.column("digest"), b.column("other"), pa.array(good)], names=["digest", "other", "good"])
-
-    compared = pairs.join(body, "digest").join(body.select(F.col("digest").alias("other"), F.col("text").alias("other_text")), "other")
-    links = save(compared.select("digest", "other", "text", "other_text").mapInArrow(compare, "digest string, other string, good boolean"), "compared").where("good").select(F.col("digest").alias("a"), F.col("other").alias("b"))
-    classes = save(components(links), "classes")
-
-    again = _again(banded, first, classes, body, docs, digest, texts, idf, threshold, size)
-    if not again.isEmpty():
-        classes = save(components(links.union(again)), "classes")
-
-    member = signed.join(classes, signed["digest"] == classes["id"], "left").select("doc_id", "digest", "keys", F.coalesce("component", "digest").alias("group"))
-    lone = F.col("keys").isNull() | F.col("doc_id").isNull()
-    group = F.when(lone, F.concat(F.lit("row:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce("digest", F.lit("")))).otherwise(F.col("group"))
-    member = save(member.select("doc_id", "digest", group.alias("group")), "members")
+                few = pa.RecordBatch.from_arrays([b.column("node"), b.column("other")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+                if few.num_rows:
+                    yield few
+
+    compared = pairs.join(body, "node").join(body.select(F.col("node").alias("other"), F.col("ztext").alias("other_text")), "other")
+    links = save(compared.select("node", "other", "ztext", "other_text").mapInArrow(compare, f"a {node}, b {node}"), "links")
+    again = _again(held, links, body, node, idf, threshold, size)
+    classes = components(links.union(again), alone=False)
+
+    known = texts.join(classes, texts["node"] == classes["id"], "left").select("digest", F.coalesce("component", "node").alias("group"))
+    lone = F.col("group").isNull() | F.col("doc_id").isNull()
+    row = F.concat(F.lit("row:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.hex("digest"), F.lit("")))
+    member = signed.where("keys is not null").join(known, "digest", "left").select("doc_id", "digest", "group").union(signed.where("keys is null").select("doc_id", "digest", F.lit(None).cast(node)))
+    member = save(member.select("doc_id", "digest", F.when(lone, row).otherwise(F.concat(F.lit("class:"), F.to_json("group"))).alias("group")), "members")
     per = member.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("best"), F.count("*").alias("n_copies"))
-    out = member.join(per, "group").select("doc_id", "digest", F.col("best.doc_id").alias("class_id"), "n_copies", (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & F.col("digest").eqNullSafe(F.col("best.digest"))).alias("kept"))
-    return out.select("doc_id", "digest", "class_id", "n_copies", "kept")
+    out = member.join(per, "group")
+    kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & F.col("digest").eqNullSafe(F.col("best.digest"))
+    return out.select("doc_id", "digest", F.col("best.doc_id").alias("class_id"), "n_copies", kept.alias("kept"))
 
 
-def _again(banded, first, classes, body, docs, digest, texts, idf, threshold, size) -> DataFrame:
-    """Links between classes that share a key of three texts or more and were not compared."""
-    held = banded.join(first.where("n > 2").select("band", "key", "n"), ["band", "key"])
-    held = held.join(classes, held["digest"] == classes["id"], "left").select("band", "key", "n", "digest", "rep", F.coalesce("component", "digest").alias("class"))
-    mixed = held.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band", "key")
-    members = save(held.join(mixed, ["band", "key"]), "mixed-keys")
+def _again(held, links, body, node: str, idf, threshold: float, size: int) -> DataFrame:
+    """Links between texts that share a key of three texts or more and whose first comparisons did not link them.
+
+    A text's provisional class is the smallest first text that it was linked to; within a key all pairs of different
+    provisional classes are looked at, in blocks, so no link of the key that joins two components is left out.
+    """
+    provisional = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("class"))
+    many = held.where("n > 2").join(provisional, "node", "left").select("key", "n", "node", F.coalesce("class", "node").alias("class"))
+    many = save(many, "provisional")
+    mixed = many.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("digest"), blocks).cast("int")
-    dealt = members.withColumns({"blocks": blocks, "mine": mine})
+    dealt = many.join(mixed, "key", "left_semi").withColumns({"blocks": blocks, "mine": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("band", "key", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine", "digest", "class").join(body, "digest")
-    schema = "a string, b string"
+    dealt = dealt.select("key", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine", "node", "class").join(body, "node")
+    kind = pa.struct([("rep", to_arrow_type(held.schema["node"].dataType["rep"].dataType)), ("tie", pa.int32())])
 
     def go(key: tuple, t: pa.Table) -> pa.Table:
-        i, j = key[2].as_py(), key[3].as_py()
-        t = t.sort_by([("mine", "ascending"), ("digest", "ascending")])
-        mine_of = t["mine"].to_pylist()
-        found = links_within(t["digest"].to_pylist(), shingles(t["text"], size), t["class"].to_pylist(), idf.value, threshold, None if i == j else (mine_of.count(i), 0))
-        return pa.table({"a": pa.array([x for x, _ in found], pa.string()), "b": pa.array([y for _, y in found], pa.string())})
+        i, j = key[1].as_py(), key[2].as_py()
+        as_key = lambda c: [(x["rep"], x["tie"]) for x in c.to_pylist()]
+        order = sorted(range(len(t)), key=lambda k, m=t["mine"].to_pylist(), n=as_key(t["node"]): (m[k], n[k]))
+        t = t.take(pa.array(order, pa.int64()))
+        first = t["mine"].to_pylist().count(i)
+        found = links_within(as_key(t["node"]), shingles(unpacked(t["ztext"]), size), as_key(t["class"]), idf.value, threshold, None if i == j else (first, 0))
+        column = lambda k: pa.array([{"rep": x[k][0], "tie": x[k][1]} for x in found], kind)
+        return pa.table({"a": column(0), "b": column(1)})
 
-    return save(dealt.groupBy("band", "key", "i", "j").applyInArrow(go, schema).distinct(), "links-again")
+    return save(dealt.groupBy("key", "i", "j").applyInArrow(go, f"a {node}, b {node}").distinct(), "links-again")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each class of near-duplicates; rows that are no class's (without words or id) all stay."""
-    digest = F.concat(F.sha1(F.col("text").cast("binary")), F.length("text").cast("string"))
+    digest = text_digest(F.col("text"))
     dropped = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("_id"), "digest").distinct()
     mine = docs.withColumn("_digest", digest)
     left = mine.join(dropped, (mine["doc_id"] == dropped["_id"]) & (mine["_digest"] == dropped["digest"]), "left_anti")

@@ -37,7 +37,7 @@ def from_body(body: bytes) -> pa.Table:
 
 
 def make_chunks(docs: DataFrame, order: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk long, n_docs long, n_words long, body binary), written to the shared folder.
+    """(chunk long, n_docs long, n_words long, body binary, ids array: `order` of its rows), written to the shared folder.
 
     Rows stay in the partition that held them; within a chunk they are sorted by `order`, nulls first.
     A single document larger than chunk_bytes is a chunk of its own.
@@ -50,7 +50,7 @@ def make_chunks(docs: DataFrame, order: str = "doc_id", text: str = "text", chun
             t = pa.Table.from_batches(held)
             t = t.take(pa.compute.sort_indices(t, sort_keys=[(order, "ascending")], null_placement="at_start")).combine_chunks()
             words = len(word_hashes(t[text])[0])
-            return pa.RecordBatch.from_arrays([pa.array([base + n], pa.int64()), pa.array([len(t)], pa.int64()), pa.array([words], pa.int64()), pa.array([to_body(t)], pa.binary())], names=["chunk", "n_docs", "n_words", "body"])
+            return pa.RecordBatch.from_arrays([pa.array([base + n], pa.int64()), pa.array([len(t)], pa.int64()), pa.array([words], pa.int64()), pa.array([to_body(t)], pa.binary()), pa.array([t[order].to_pylist()], pa.list_(t.schema.field(order).type))], names=["chunk", "n_docs", "n_words", "body", "ids"])
 
         for b in batches:
             lengths, start = pa.compute.binary_length(b.column(text)).fill_null(0).to_pylist(), 0
@@ -66,7 +66,8 @@ def make_chunks(docs: DataFrame, order: str = "doc_id", text: str = "text", chun
         if held:
             yield out()
 
-    return save(docs.mapInArrow(run, "chunk long, n_docs long, n_words long, body binary"), "chunks")
+    kind = docs.schema[order].dataType.simpleString()
+    return save(docs.mapInArrow(run, f"chunk long, n_docs long, n_words long, body binary, ids array<{kind}>"), "chunks")
 
 
 def shard_bits(n_keys: int, spread: int = 4) -> tuple[int, int]:

@@ -86,6 +86,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, rows: int = ROWS, chunk_
     chunks = C.make_chunks(docs, chunk_bytes=chunk_bytes)
     total = chunks.agg(F.sum("n_words")).first()[0] or 0
     cell_bits, shard_bits = C.shard_bits(total)
+    chunks = chunks.select("chunk", "body")  # alike in both joins below, so that they share one exchange of the texts
 
     def load(row: dict) -> tuple[pa.Table, _Windows]:
         table = C.from_body(row["body"])

@@ -289,9 +289,14 @@ def _again(held, links, body, node: str, idf, threshold: float, size: int) -> Da
     provisional = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("class"))
     many = held.where("n > 2").join(provisional, "node", "left").select("key", "n", "node", F.coalesce("class", "node").alias("class"))
     many = save(many, "provisional")
-    mixed = many.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("key")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = many.join(mixed, "key", "left_semi").withColumns({"blocks": blocks, "mine": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    per = many.groupBy("key", "class").agg(F.count("*").alias("size")).groupBy("key").agg(F.max(F.struct("size", "class")).alias("main"), F.count("*").alias("classes"))
+    mixed = many.join(per.where("classes > 1").drop("classes"), "key")
+    # texts of the key's largest class need no look at each other: blocks of the others come first, and each of
+    # these meets every block
+    other = F.col("class") != F.col("main.class")
+    others, all_of = F.ceil((F.col("n") - F.col("main.size")) / BLOCK), F.ceil((F.col("n") - F.col("main.size")) / BLOCK) + F.ceil(F.col("main.size") / BLOCK)
+    mine = F.when(other, F.pmod(F.xxhash64("node"), others)).otherwise(others + F.pmod(F.xxhash64("node"), F.ceil(F.col("main.size") / BLOCK)))
+    dealt = mixed.withColumns({"mine": mine.cast("int"), "blocks": F.when(other, all_of).otherwise(others).cast("int")})
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine", "node", "class").join(body, "node")
     kind = pa.struct([("rep", to_arrow_type(held.schema["node"].dataType["rep"].dataType)), ("tie", pa.int32())])

@@ -189,7 +189,8 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     The bitmap has FILTER_BITS bits whatever the corpus: of few wanted ids it lets few others pass, of many more,
     and the join after it is exact in any case.
     """
-    bit = F.pmod(F.xxhash64(F.col("node.rep")), F.lit(FILTER_BITS))
+    spot = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(FILTER_BITS))
+    bit = spot("node.rep") + 1  # the bits of buckets 1, 2, ... are numbered from 1; a 0 would be in a bucket 0
     maps = wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
     bits = np.zeros(FILTER_BITS // 8 + 4096, dtype=np.uint8)
     for r in maps:  # at most FILTER_BITS / 32768 rows of 4 KB; bucket k holds the bits from (k - 1) * 32768 + 1
@@ -208,9 +209,7 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([few.column("doc_id"), few.column("digest"), z], names=["doc_id", "digest", "ztext"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # (spot, bit 0 is the first): a bit's place in its bucket is its number less one
-    spot = F.bitmap_bit_position(F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))) + (F.bitmap_bucket_number(F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))) - 1) * 32768
-    rows = docs.where("doc_id is not null and text is not null").select("doc_id", text_digest(F.col("text")).alias("digest"), "text", spot.alias("spot"))
+    rows = docs.where("doc_id is not null and text is not null").select("doc_id", text_digest(F.col("text")).alias("digest"), "text", spot("doc_id").alias("spot"))
     thinned = rows.mapInArrow(thin, f"doc_id {kind}, digest binary, ztext binary")
     found = thinned.join(wanted.select(F.col("node.rep").alias("_rep"), "node", F.col("digest").alias("_digest")), (F.col("doc_id") == F.col("_rep")) & (F.col("digest") == F.col("_digest")))
     return found.dropDuplicates(["doc_id", "digest"]).select("node", "ztext")

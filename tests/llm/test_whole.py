@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusflow.llm import lmscore
+from corpusflow.llm import lmscore, neardup
 
 
 def test_cross_entropy_counts_each_of_many_pairs(spark):
@@ -33,3 +33,16 @@ def test_cross_entropy_counts_each_of_many_pairs(spark):
             ratio = [(pairs[m][p] - own) / max(s, 1) for p, s in zip(zip(["^", *split[:-1]], split), seen)]
             want.append(np.mean([-math.log2(lmscore.BIGRAM * x + (1 - lmscore.BIGRAM) * u if s > 0 else u) for x, u, s in zip(ratio, unigram, seen)]))
         assert (r["target_loss"], r["background_loss"]) == pytest.approx(tuple(want))
+
+
+def test_near_duplicates_of_an_id_whose_hash_is_zero(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(neardup, "FILTER_BITS", 64)
+    spot = F.pmod(F.xxhash64("id"), F.lit(64))
+    zero = spark.range(10_000).where(spot == 0).first()["id"]
+    last = spark.range(10_000).where(spot == 63).first()["id"]
+    words = [f"w{i}" for i in range(200)]
+    rows = [(zero, " ".join(words)), (last, " ".join([*words[:-1], "other"])), (20_000, "a text of its own " * 9)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_copies"]) for r in got} == {zero: (min(zero, last), 2), last: (min(zero, last), 2), 20_000: (20_000, 1)}

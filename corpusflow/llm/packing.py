@@ -12,6 +12,7 @@ length are ranked by part and place; an empty table gives no rows; other columns
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -35,6 +36,7 @@ class Tokens:
 
     The file's vocabulary and pattern run in tiktoken's encoder, which gives the same ids several times faster;
     if they differ on a sample of texts (a file whose merges do not follow its ids), tokenizers encodes itself.
+    Texts that hold one of the file's added tokens, such as <|endoftext|>, always go to tokenizers.
     """
 
     def __init__(self, path: str):
@@ -43,19 +45,20 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         letters = byte_letters()
-        ranks = {bytes(letters[c] for c in t): i for t, i in self.tokenizer.get_vocab().items() if t not in special}
+        ranks = {bytes(letters[c] for c in t): i for t, i in self.tokenizer.get_vocab().items() if t not in added}
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        sample = "It's 12ab\u00b3 \u00bd\n\u2014\u201cna\u00efve\u201d  <|endoftext|>\tthe quick; brown-fox \u4e2d\u6587 \n\n end "
+        sample = "It's 12ab\u00b3 \u00bd\n\u2014\u201cna\u00efve\u201d  <|end|>\tthe quick; brown-fox \u4e2d\u6587 \n\n end "
         if self.fast.encode_ordinary(sample) != self.tokenizer.encode(sample, add_special_tokens=False).ids:
             self.fast = None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.fast is None:
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return [np.array(self.fast.encode_ordinary(t), dtype="<u4").tobytes() for t in texts]
+        slow = [t for t in texts if self.fast is None or self.added.search(t)]
+        others = iter(self.tokenizer.encode_batch_fast(slow, add_special_tokens=False))
+        ids = [next(others).ids if self.fast is None or self.added.search(t) else self.fast.encode_ordinary(t) for t in texts]
+        return [np.array(x, dtype="<u4").tobytes() for x in ids]
 
 
 def byte_letters() -> dict[str, int]:

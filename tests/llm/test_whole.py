@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusflow.llm import lmscore, neardup
+from corpusflow.llm import lmscore, neardup, packing
 
 
 def test_cross_entropy_counts_each_of_many_pairs(spark):
@@ -46,3 +46,16 @@ def test_near_duplicates_of_an_id_whose_hash_is_zero(spark, monkeypatch):
     rows = [(zero, " ".join(words)), (last, " ".join([*words[:-1], "other"])), (20_000, "a text of its own " * 9)]
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: (r["class_id"], r["n_copies"]) for r in got} == {zero: (min(zero, last), 2), last: (min(zero, last), 2), 20_000: (20_000, 1)}
+
+
+def test_tokens_of_texts_that_hold_a_special_token():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, got = Tokenizer.from_file(path), packing.Tokens(path)
+    assert got.fast is not None
+    texts = ["one", "a <|endoftext|> b", "<|endoftext|>", "", "<|endoftext|><|endoftext|>\n\nna\u00efve", "<|endoftext", "two words"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(want[2]) == 1
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in got.encode(texts)] == want

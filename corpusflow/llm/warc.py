@@ -54,6 +54,7 @@ class ArcRecord:
     body: bytes
     status: str = "-"
     truncated: bool = False
+    about: bool = False  # the file's version block
 
 
 @dataclass
@@ -80,7 +81,7 @@ def write_arc(records: list[ArcRecord], version: int, name: str) -> bytes:
 
 def read_arc(content: bytes) -> Iterator[ArcRecord]:
     """The records of an ARC file, the version block first."""
-    version, at = 0, 0
+    version, at, about = 0, 0, True
     while at < len(content):
         if content[at : at + 1] == b"\n":
             at += 1
@@ -96,10 +97,11 @@ def read_arc(content: bytes) -> Iterator[ArcRecord]:
         at, size = end + 1, int(values[-1])
         body = content[at : at + size]
         v = dict(zip(names, values))
-        if v["URL"].startswith("filedesc:") and body[:2] in (b"1 ", b"2 "):
+        about = about and v["URL"].startswith("filedesc:")  # a later record of such a URL is a page
+        if about and body[:2] in (b"1 ", b"2 "):
             version = int(body[:1])
-        yield ArcRecord(v["URL"], v["IP-address"], v["Archive-date"], v["Content-type"], body, v.get("Result-code", "-"), len(body) < size)
-        at += size
+        yield ArcRecord(v["URL"], v["IP-address"], v["Archive-date"], v["Content-type"], body, v.get("Result-code", "-"), len(body) < size, about)
+        at, about = at + size, False
 
 
 def record_id(key: str, digest: str) -> str:
@@ -139,7 +141,7 @@ def to_warc(arc: ArcRecord, refers_to: str | None = None) -> WarcRecord:
     digest, key = hashlib.sha1(payload).hexdigest(), head_field(head, b"x-record-key") or arc.url
     h = {"WARC-Record-ID": record_id(key, digest), "WARC-Date": iso_date(arc.date), "WARC-Payload-Digest": sha1_label(payload)}
     block = arc.body
-    if arc.url.startswith("filedesc:"):
+    if arc.about:
         h |= {"WARC-Type": "warcinfo", "WARC-Filename": arc.url.removeprefix("filedesc://"), "Content-Type": "application/warc-fields"}
         block = f"software: corpusflow\r\nformat: WARC File Format 1.1\r\nconverted-from: ARC {arc.body[:1].decode()}\r\n".encode()
     else:
@@ -226,7 +228,7 @@ def convert_archives(arcs: DataFrame) -> DataFrame:
                 refers = iter((b.column("refers")[i].as_py() or ()) if "refers" in b.schema.names else ())
                 out = io.BytesIO()
                 for r in read_arc(b.column("content")[i].as_py()):
-                    to = None if r.url.startswith("filedesc:") else next(refers, None)
+                    to = None if r.about else next(refers, None)
                     out.write(gzip.compress(warc_bytes(to_warc(r, to)), compresslevel=1, mtime=0))
                 yield pa.RecordBatch.from_arrays([b.column("archive").slice(i, 1), pa.array([out.getvalue()], pa.binary())], names=["archive", "content"])
 

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusflow.llm import lmscore, neardup, packing
+from corpusflow.llm import lmscore, neardup, packing, warc
 
 
 def test_cross_entropy_counts_each_of_many_pairs(spark):
@@ -59,3 +59,16 @@ def test_tokens_of_texts_that_hold_a_special_token():
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert len(want[2]) == 1
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in got.encode(texts)] == want
+
+
+def test_pages_of_filedesc_urls_are_pages(spark):
+    same = "same payload " * 100
+    rows = [(1, "filedesc://a", "x"), (2, "filedesc:b", same), (3, "http://h/", same), (4, "http://h/4", "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r["key"]: r for r in warc.read_archives(warc.archive_pages(pages)).where("record_type != 'warcinfo'").collect()}
+    assert {k: (r["record_type"], r["target_uri"], r["refers_to_key"]) for k, r in got.items()} == {
+        "1": ("response", "filedesc://a", None),
+        "2": ("revisit", "filedesc:b", "3"),
+        "3": ("response", "http://h/", None),
+        "4": ("response", "http://h/4", None),
+    }

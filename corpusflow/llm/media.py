@@ -12,6 +12,7 @@ import hashlib
 import io
 import wave
 import zlib
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Payloads are padded to whole units; a frame of the transform holds FRAME samples.
-UNIT, FRAME, HOP, RATE = 64, 256, 256, 8_000
-#: Peaks that a frame may contribute and frames that a pair may span.
-PEAKS, SPAN = 2, 3
+#: Payloads are padded to whole units; a frame of the transform holds FRAME samples and starts HOP after the last.
+UNIT, FRAME, HOP, RATE = 64, 256, 128, 8_000
+#: Peaks that a frame may contribute and hops that a pair may span.
+PEAKS, SPAN = 2, 6
 BLOCK = 2_048
 
 
@@ -45,18 +46,22 @@ def decode_wav(media: bytes) -> tuple[bytes, int]:
 
 
 def spectral_peaks(samples: np.ndarray) -> np.ndarray:
-    """Per frame the PEAKS strongest bins above the frame's mean, -1 where there is none."""
-    n = max(1, -(-len(samples) // HOP))
+    """Per frame the PEAKS strongest local maxima above the frame's mean, -1 where there is none."""
+    n = max(1, -(-(len(samples) - FRAME) // HOP) + 1)
     out = np.full((n, PEAKS), -1, dtype=np.int16)
     window = np.hanning(FRAME).astype(np.float32)
     for at in range(0, n, BLOCK):
-        part = samples[at * HOP : (at + BLOCK) * HOP]
-        frames = np.zeros((-(-len(part) // HOP) or 1, FRAME), dtype=np.float32)
-        frames.reshape(-1)[: len(part)] = part
-        frames -= frames.mean(axis=1, keepdims=True)
+        part = np.zeros((min(BLOCK, n - at) - 1) * HOP + FRAME, dtype=np.float32)
+        held = samples[at * HOP : at * HOP + len(part)]
+        part[: len(held)] = held
+        frames = np.lib.stride_tricks.sliding_window_view(part, FRAME)[::HOP]
+        frames = frames - frames.mean(axis=1, keepdims=True)
         power = np.abs(np.fft.rfft(frames * window, axis=1))[:, 1:]
+        mean = power.mean(axis=1, keepdims=True)
+        around = np.pad(power, ((0, 0), (1, 1)))
+        power = np.where((power > around[:, :-2]) & (power >= around[:, 2:]), power, 0)
         best = np.argsort(-power, axis=1, kind="stable")[:, :PEAKS]
-        strong = np.take_along_axis(power, best, axis=1) > 1e-3 + power.mean(axis=1, keepdims=True)
+        strong = np.take_along_axis(power, best, axis=1) > 1e-3 + mean
         out[at : at + len(frames)] = np.where(strong, best + 1, -1)
     return out
 
@@ -67,11 +72,11 @@ def fingerprints(samples: np.ndarray) -> np.ndarray:
     n, codes = len(peaks), []
     for gap in range(1, SPAN + 1):
         if n > gap:
-            a, b = peaks[:-gap, 0], peaks[gap:, :]
             t = np.arange(n - gap, dtype=np.int64)
-            for j in range(PEAKS):
-                ok = (a > 0) & (b[:, j] > 0)
-                codes.append((t[ok] << 32) | (a[ok] << 16) | (b[ok, j] << 4) | gap)
+            for i, j in product(range(PEAKS), repeat=2):
+                a, b = peaks[:-gap, i], peaks[gap:, j]
+                ok = (a > 0) & (b > 0)
+                codes.append((t[ok] << 32) | (a[ok] << 16) | (b[ok] << 4) | gap)
     if not codes:
         codes = [np.empty(0, dtype=np.int64)]
     return np.sort(np.concatenate(codes))

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusflow.llm import lmscore, neardup, packing, warc
+from corpusflow.llm import lmscore, media, neardup, packing, warc
 
 
 def test_cross_entropy_counts_each_of_many_pairs(spark):
@@ -72,3 +72,17 @@ def test_pages_of_filedesc_urls_are_pages(spark):
         "3": ("response", "http://h/", None),
         "4": ("response", "http://h/4", None),
     }
+
+
+def test_fingerprints_of_a_passage_shifted_by_half_a_frame():
+    rng = np.random.default_rng(2)
+    passage, before = (rng.integers(0, 256, n, dtype=np.uint8) for n in (256 * 40, 128))
+    here, there = media.fingerprints(passage) & 0xFFFFFFFF, media.fingerprints(np.concatenate([before, passage])) & 0xFFFFFFFF
+    assert np.mean(np.isin(here, there)) > 0.99
+
+
+def test_fingerprints_pair_both_of_two_tones():
+    t = np.arange(256 * 6)
+    tones = (128 + 60 * np.sin(2 * np.pi * 32 * t / 256) + 40 * np.sin(2 * np.pi * 80 * t / 256)).astype(np.uint8)
+    codes = media.fingerprints(tones)
+    assert {((int(c) >> 16) & 0xFFFF, (int(c) >> 4) & 0xFFF) for c in codes} == {(a, b) for a in (32, 80) for b in (32, 80)}

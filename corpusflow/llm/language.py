@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from corpusflow.llm.hashing import utf8
 
-#: Bounds of the fit: bytes of text a language (about), bytes of one text, languages, symbols, contexts of order 3.
+#: Bounds of the fit: bytes of text a language (about), bytes of a slice of text, languages, symbols, contexts of order 3.
 FIT_BYTES, FIT_TEXT_BYTES, FIT_LANGUAGES = 1_500_000, 65_536, 64
 SYMBOLS, CONTEXTS = 128, 8_192
 BLOCK, EVIDENCE = 1 << 19, 100
@@ -131,18 +131,21 @@ def has_letters(texts: pa.Array) -> np.ndarray:
 
 
 def train(docs: DataFrame, fit_bytes: int = FIT_BYTES) -> Model:
-    """Fit on a hash sample of about fit_bytes a language, of rows with a text of 1 to FIT_TEXT_BYTES bytes and a lang.
+    """Fit on a hash sample of about fit_bytes a language, of rows with a text and a lang; texts over FIT_TEXT_BYTES are
+    sampled by slices of at most as many.
 
     Only text and lang are learned from; the caller leaves out the rows that are held out."""
     size = F.octet_length("text")
-    usable = docs.select("lang", "text").where(F.col("lang").isNotNull() & (size > 0) & (size <= FIT_TEXT_BYTES))
+    usable = docs.select("lang", "text").where(F.col("lang").isNotNull() & (size > 0))
     counts = usable.groupBy("lang").agg(F.sum(size.cast("long")).alias("n")).orderBy(F.desc("n"), "lang").limit(FIT_LANGUAGES).collect()
+    slices = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{FIT_TEXT_BYTES // 4}}}"), F.lit(0))  # a character has at most 4 bytes
+    sliced = usable.select("lang", F.explode(F.when(size <= FIT_TEXT_BYTES, F.array("text")).otherwise(slices)).alias("text"))
     unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     wanted = F.lit(False)
     for r in counts:
         wanted = wanted | ((F.col("lang") == r["lang"]) & (unit < fit_bytes / r["n"]))
     texts: dict[str, list[bytes]] = {}
-    for r in usable.where(wanted).collect() if counts else ():
+    for r in sliced.where(wanted).collect() if counts else ():
         texts.setdefault(r["lang"], []).append(r["text"].encode())
     for t in texts.values():
         t.sort()

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusflow.llm import lmscore, media, neardup, packing, warc
+from corpusflow.llm import language, lmscore, media, neardup, packing, warc
 
 
 def test_cross_entropy_counts_each_of_many_pairs(spark):
@@ -86,3 +86,13 @@ def test_fingerprints_pair_both_of_two_tones():
     tones = (128 + 60 * np.sin(2 * np.pi * 32 * t / 256) + 40 * np.sin(2 * np.pi * 80 * t / 256)).astype(np.uint8)
     codes = media.fingerprints(tones)
     assert {((int(c) >> 16) & 0xFFFF, (int(c) >> 4) & 0xFFF) for c in codes} == {(a, b) for a in (32, 80) for b in (32, 80)}
+
+
+def test_language_learns_from_long_texts(spark):
+    rng = random.Random(4)
+    text = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = [("short", text("abc d\n", 500)) for _ in range(5)] + [("long", text("xéz \n", 100_000))]
+    model = language.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.languages == ["long", "short"]
+    odd = spark.createDataFrame([(1, "zéx xz"), (2, "ab cad")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language.predict(odd, model).collect()} == {1: "long", 2: "short"}

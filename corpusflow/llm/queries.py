@@ -10,7 +10,7 @@ from corpusflow.llm.common import save, table
 
 def op1_warc_convert(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    records = warc.read_archives(warc.archive_pages(pages), payloads=False).where("record_type != 'warcinfo'")
+    records = warc.read_archives(warc.archive_pages(pages), payloads=False).where("record_type in ('response', 'revisit')")
     kind = pages.schema["page_id"].dataType
     return records.select(F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_key").cast(kind).alias("refers_to"))
 

@@ -7,10 +7,14 @@ identifier, an ISO timestamp, a type (warcinfo for the version block, response f
 resource for other content, revisit for a payload that another record holds) and SHA-1 digests.
 Archives are rows (archive, content): whole files of gzip members, one a record.
 
-Cases: a null payload is an empty one, a null url is `urn:key:<key>`; blanks in a url are escaped, as
-the header line parts its fields by them; a record that ends before its declared length keeps what
-there is, marked truncated; a header line of another form raises ArchiveError; repeated rows are written
-each; an empty table gives no archives.
+Cases: a null payload is an empty one, a null url is `urn:key:<key>`; blanks in a url are escaped when a
+file is written, and taken as part of the url or type when one is read; a null key stays null: such a page
+is a revisit if its payload has a holder with a key, and a response otherwise; a record that ends before
+its declared length keeps what there is, marked truncated, as does a header line cut short by the end of
+the file; bytes that are no record up to the next header line are a record of type metadata with an error;
+a WARC that cannot be read further is a row of type error; repeated rows are written each; very long pages
+are archives of their own; columns beside key, url and payload are ignored, whatever their names; an empty
+table gives no archives. Content may be plain or of gzip members, whole or cut.
 """
 
 from __future__ import annotations
@@ -19,7 +23,9 @@ import base64
 import gzip
 import hashlib
 import io
+import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +41,11 @@ FIELDS = {
     1: ("URL", "IP-address", "Archive-date", "Content-type", "Archive-length"),
     2: ("URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"),
 }
+#: The same lines to read, where a url or a type may hold blanks; the date is what parts them.
+HEADER = {
+    1: re.compile(rb"(.*) (\S+) (\d{4,14}|-) (.*) (\d+)\r?"),
+    2: re.compile(rb"(.*) (\S+) (\d{4,14}|-) (.*) (\d{3}|-) (\S+) (\S+) (\d+|-) (\S+) (\d+)\r?"),
+}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "corpusflow:archive")
 #: Payloads of at least so many bytes may be revisits; records an archive, bytes of payload an archive.
@@ -55,6 +66,7 @@ class ArcRecord:
     status: str = "-"
     truncated: bool = False
     about: bool = False  # the file's version block
+    error: str = ""  # why these bytes are no record
 
 
 @dataclass
@@ -79,29 +91,61 @@ def write_arc(records: list[ArcRecord], version: int, name: str) -> bytes:
     return out.getvalue()
 
 
+def plain_bytes(content: bytes) -> bytes:
+    """content, or what its gzip members hold as far as they go."""
+    if content[:2] != b"\x1f\x8b":
+        return content
+    out, rest = [], content
+    while rest[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            out.append(member.decompress(rest))
+        except zlib.error:
+            break
+        rest = member.unused_data
+    return b"".join(out)
+
+
 def read_arc(content: bytes) -> Iterator[ArcRecord]:
-    """The records of an ARC file, the version block first."""
-    version, at, about = 0, 0, True
+    """The records of an ARC file, the version block (its first record) first. Never raises: see the module's cases."""
+    content = plain_bytes(content)
+    version, at, first = 0, 0, True
+    lost: int | None = None  # where bytes that are no record began
+
+    def headless(start: int, end: int) -> ArcRecord:
+        whole = end < len(content)
+        return ArcRecord("", "", "", "", content[start:end], truncated=not whole, error="no header line" if whole else "header line cut short")
+
     while at < len(content):
-        if content[at : at + 1] == b"\n":
+        if lost is None and content[at : at + 1] in (b"\n", b"\r"):
             at += 1
             continue
         end = content.find(b"\n", at)
-        end = len(content) if end < 0 else end
-        values = content[at:end].decode("utf-8", "replace").rstrip("\r").split(" ")
+        line = content[at:end] if end >= 0 else b""
         if not version:  # the version block has five fields or ten, and says which the others have
-            version = 2 if len(values) == len(FIELDS[2]) else 1
-        names = FIELDS[version]
-        if len(values) != len(names) or not values[-1].isdigit():
-            raise ArchiveError(f"no ARC {version} header line at byte {at}")
-        at, size = end + 1, int(values[-1])
+            found = (HEADER[2].fullmatch(line), HEADER[1].fullmatch(line))
+            kind, m = (2, found[0]) if found[0] else (1, found[1])
+        else:
+            kind, m = version, HEADER[version].fullmatch(line)
+        if not m:
+            lost = at if lost is None else lost
+            at = end + 1 if end >= 0 else len(content)
+            continue
+        if lost is not None:
+            yield headless(lost, at)
+            lost, first = None, False
+        version = version or kind
+        at = end + 1
+        v = dict(zip(FIELDS[kind], (x.decode("utf-8", "replace") for x in m.groups())))
+        size = int(v["Archive-length"])
         body = content[at : at + size]
-        v = dict(zip(names, values))
-        about = about and v["URL"].startswith("filedesc:")  # a later record of such a URL is a page
+        about = first and v["URL"].startswith("filedesc:")  # a later record of such a URL is a page
         if about and body[:2] in (b"1 ", b"2 "):
             version = int(body[:1])
         yield ArcRecord(v["URL"], v["IP-address"], v["Archive-date"], v["Content-type"], body, v.get("Result-code", "-"), len(body) < size, about)
-        at, about = at + size, False
+        at, first = at + size, False
+    if lost is not None:
+        yield headless(lost, len(content))
 
 
 def record_id(key: str, digest: str) -> str:
@@ -135,17 +179,22 @@ def head_field(head: bytes, name: bytes) -> str | None:
     return None
 
 
-def to_warc(arc: ArcRecord, refers_to: str | None = None) -> WarcRecord:
-    """The WARC record of an ARC record; refers_to: the key of the record that holds its payload."""
+def to_warc(arc: ArcRecord, refers_to: str | None = None, place: str = "") -> WarcRecord:
+    """The WARC record of an ARC record; refers_to: the key of the record that holds its payload; place: tells
+    records without a key apart."""
+    if arc.error:
+        h = {"WARC-Type": "metadata", "WARC-Record-ID": record_id(f"{place}|{arc.error}", hashlib.sha1(arc.body).hexdigest()), "WARC-Date": iso_date(arc.date), "WARC-Payload-Digest": sha1_label(arc.body)}
+        h |= {"Conversion-Error": arc.error, "Content-Type": "application/octet-stream"} | ({"WARC-Truncated": "length"} if arc.truncated else {})
+        return WarcRecord(h | {"WARC-Block-Digest": sha1_label(arc.body), "Content-Length": str(len(arc.body))}, arc.body)
     head, payload = split_http(arc.body)
-    digest, key = hashlib.sha1(payload).hexdigest(), head_field(head, b"x-record-key") or arc.url
-    h = {"WARC-Record-ID": record_id(key, digest), "WARC-Date": iso_date(arc.date), "WARC-Payload-Digest": sha1_label(payload)}
+    digest, key = hashlib.sha1(payload).hexdigest(), head_field(head, b"x-record-key")
+    h = {"WARC-Record-ID": record_id(f"{arc.url}|{place}" if key is None else key, digest), "WARC-Date": iso_date(arc.date), "WARC-Payload-Digest": sha1_label(payload)}
     block = arc.body
     if arc.about:
         h |= {"WARC-Type": "warcinfo", "WARC-Filename": arc.url.removeprefix("filedesc://"), "Content-Type": "application/warc-fields"}
-        block = f"software: corpusflow\r\nformat: WARC File Format 1.1\r\nconverted-from: ARC {arc.body[:1].decode()}\r\n".encode()
+        block = f"software: corpusflow\r\nformat: WARC File Format 1.1\r\nconverted-from: ARC {arc.body[:1].decode('latin-1')}\r\n".encode()
     else:
-        h |= {"WARC-Target-URI": arc.url, "WARC-IP-Address": arc.address, "Record-Key": key}
+        h |= {"WARC-Target-URI": arc.url, "WARC-IP-Address": arc.address} | ({} if key is None else {"Record-Key": key})
         if head and refers_to is not None:
             h |= {"WARC-Type": "revisit", "WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": record_id(refers_to, digest), "Refers-To-Key": refers_to}
             block = head
@@ -166,7 +215,7 @@ def warc_bytes(r: WarcRecord) -> bytes:
 
 def read_warc(content: bytes) -> Iterator[WarcRecord]:
     """The records of a WARC file, plain or of gzip members."""
-    data = io.BytesIO(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content)
+    data = io.BytesIO(plain_bytes(content))
     while line := data.readline():
         if not line.strip():
             continue
@@ -175,8 +224,12 @@ def read_warc(content: bytes) -> Iterator[WarcRecord]:
         r = WarcRecord()
         while (line := data.readline().rstrip(b"\r\n")):
             k, _, v = line.partition(b":")
-            r.headers[k.decode()] = v.strip().decode("utf-8", "replace")
-        r.block = data.read(int(r.headers["Content-Length"]))
+            r.headers[k.decode("utf-8", "replace")] = v.strip().decode("utf-8", "replace")
+        if not r.headers.get("Content-Length", "").isdigit():
+            raise ArchiveError(f"a WARC record without a length before byte {data.tell()}")
+        r.block = data.read(size := int(r.headers["Content-Length"]))
+        if len(r.block) < size:
+            raise ArchiveError(f"a WARC record ends {size - len(r.block)} bytes before its length")
         yield r
 
 
@@ -227,37 +280,55 @@ def convert_archives(arcs: DataFrame) -> DataFrame:
             for i in range(b.num_rows):
                 refers = iter((b.column("refers")[i].as_py() or ()) if "refers" in b.schema.names else ())
                 out = io.BytesIO()
-                for r in read_arc(b.column("content")[i].as_py()):
-                    to = None if r.about else next(refers, None)
-                    out.write(gzip.compress(warc_bytes(to_warc(r, to)), compresslevel=1, mtime=0))
+                for k, r in enumerate(read_arc(b.column("content")[i].as_py() or b"")):
+                    to = None if r.about or r.error else next(refers, None)
+                    out.write(gzip.compress(warc_bytes(to_warc(r, to, f"{b.column('archive')[i]}:{k}")), compresslevel=1, mtime=0))
                 yield pa.RecordBatch.from_arrays([b.column("archive").slice(i, 1), pa.array([out.getvalue()], pa.binary())], names=["archive", "content"])
 
     return arcs.select(*cols).mapInArrow(run, "archive string, content binary")
 
 
-RECORD = "archive string, record int, record_type string, record_id string, target_uri string, date string, key string, refers_to_key string, payload_digest string, payload_bytes long, payload binary, truncated boolean"
+RECORD = "archive string, record int, record_type string, record_id string, target_uri string, date string, key string, refers_to_key string, payload_digest string, payload_bytes long, payload binary, truncated boolean, error string"
 
 
 def read_archives(warcs: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of WARC files, warcinfo records included; a revisit's payload is null, its digest and size are the full payload's."""
+    """The records of WARC files, warcinfo records included; a revisit's payload is null, its digest and size are the full payload's.
+
+    What cannot be read is a row of type error that says why; the archive's records before it are kept."""
     schema = arrow_schema(RECORD)
 
     def row(name: str, k: int, r: WarcRecord) -> tuple:
         h = r.headers
-        head, payload = split_http(r.block)
-        kind = h["WARC-Type"]
-        digest = base64.b32decode(h["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-        if kind not in ("revisit", "warcinfo") and digest != hashlib.sha1(payload).hexdigest():
-            raise ArchiveError(f"{name}: payload of record {k} does not match its digest")
-        size = int(h.get("Payload-Length", len(payload)))
-        return (name, k, kind, h["WARC-Record-ID"], h.get("WARC-Target-URI"), h["WARC-Date"], h.get("Record-Key"), h.get("Refers-To-Key"), digest, size, payload if payloads and kind != "revisit" else None, "WARC-Truncated" in h)
+        kind = h.get("WARC-Type", "")
+        head, payload = (b"", r.block) if kind == "metadata" else split_http(r.block)
+        digest, error = hashlib.sha1(payload).hexdigest(), h.get("Conversion-Error")
+        label = h.get("WARC-Payload-Digest", "")
+        said = base64.b32decode(label[5:]).hex() if re.fullmatch("sha1:[A-Z2-7]{32}", label) else None
+        if kind not in ("revisit", "warcinfo") and said and digest != said:
+            error = "the payload does not match its digest"
+        size = int(h["Payload-Length"]) if h.get("Payload-Length", "").isdigit() else len(payload)
+        return (name, k, kind, h.get("WARC-Record-ID"), h.get("WARC-Target-URI"), h.get("WARC-Date"), h.get("Record-Key"), h.get("Refers-To-Key"), said or digest, size, payload if payloads and kind != "revisit" else None, "WARC-Truncated" in h, error)
+
+    def rows(name: str, content: bytes) -> Iterator[tuple]:
+        k = 0
+        try:
+            for r in read_warc(content):
+                yield row(name, k, r)
+                k += 1
+        except ArchiveError as e:
+            yield (name, k, "error", *[None] * 8, False, str(e))
 
     def run(batches):
         for b in batches:
             for name, content in zip(b.column("archive").to_pylist(), b.column("content")):
-                rows = [row(name, k, r) for k, r in enumerate(read_warc(content.as_py()))]
-                for i in range(0, len(rows), 500):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 500]), schema)], schema=schema)
+                held = []
+                for x in rows(name, content.as_py() or b""):
+                    held.append(x)
+                    if len(held) == 500:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+                        held = []
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
     return warcs.select("archive", "content").mapInArrow(run, RECORD)
 
@@ -268,9 +339,9 @@ def with_revisits(pages: DataFrame, key: str = "page_id", html: str = "html", le
     known = pages.select(F.col(key).alias("_key"), F.sha1(payload).alias("_digest"), F.length(payload).alias("_size")).where(F.col("_size") >= least)
     known = save(known.select("_key", "_digest"), "digests")
     holder = known.groupBy("_digest").agg(F.max("_key").alias("refers_to"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    moved = known.join(holder, "_digest").where("_key < refers_to").groupBy("_key", "_digest").agg(F.max("refers_to").alias("refers_to"))
+    moved = known.join(holder.where("refers_to is not null"), "_digest").where("_key is null or _key < refers_to").groupBy("_key", "_digest").agg(F.max("refers_to").alias("refers_to"))
     mine = pages.drop("refers_to").withColumn("_mine", F.sha1(payload))
-    return mine.join(moved, (mine[key] == moved["_key"]) & (mine["_mine"] == moved["_digest"]), "left").drop("_key", "_digest", "_mine")
+    return mine.join(moved, mine[key].eqNullSafe(moved["_key"]) & (mine["_mine"] == moved["_digest"]), "left").drop("_key", "_digest", "_mine")
 
 
 def archive_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: int = REVISIT_BYTES) -> DataFrame:

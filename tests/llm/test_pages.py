@@ -16,6 +16,7 @@ def rows(spark):
 
 @pytest.mark.parametrize("archive_rows", [1, 2, 1000])
 def test_pages_come_back_from_archives(spark, monkeypatch, archive_rows):
+    monkeypatch.setattr(warc, "ARCHIVE_ROWS", archive_rows)
     got = {int(r["key"]): r for r in warc.read_archives(warc.archive_pages(rows(spark))).collect() if r["record_type"] != "warcinfo"}
     assert sorted(got) == [p[0] for p in PAGES]
     for k, _, html in PAGES:
@@ -49,15 +50,66 @@ def test_converter_keeps_every_record(version):
     assert converted[2].headers["WARC-Date"] == "2001-02-03T04:05:00Z"
     again = list(warc.read_warc(b"".join(map(warc.warc_bytes, converted))))
     assert [r.headers for r in again] == [r.headers for r in converted] and [r.block for r in again] == [r.block for r in converted]
-    assert list(warc.read_arc(content[:-10]))[-2].body == b"line" if version == 1 else True
+    assert list(warc.read_arc(content[:-10]))[-2].body == b"line"
 
 
 def test_damaged_archives():
     r = warc.ArcRecord("http://h/", "1.2.3.4", "20010203040506", "text/html", b"x" * 50)
     cut = list(warc.read_arc(warc.write_arc([r], 1, "x")[:-11]))[-1]
     assert cut.truncated and cut.body == b"x" * 40 and warc.to_warc(cut).headers["WARC-Truncated"] == "length"
-    with pytest.raises(warc.ArchiveError):
-        list(warc.read_arc(b"not a header line\n"))
+    lost = list(warc.read_arc(b"not a header line\n"))
+    assert [(x.error, x.body, x.truncated) for x in lost] == [("header line cut short", b"not a header line\n", True)]
+
+
+@pytest.mark.parametrize("version", [1, 2])
+@pytest.mark.parametrize("zipped", [False, True])
+def test_archives_cut_at_every_byte(version, zipped):
+    import gzip
+
+    r = [warc.ArcRecord(f"http://h/{i}", "1.2.3.4", "20010203040506", "text/html", b"HTTP/1.0 200 OK\r\n\r\n" + bytes([65 + i]) * 9, "200") for i in range(3)]
+    plain = warc.write_arc(r, version, "x.arc")
+    content = gzip.compress(plain[:200], mtime=0) + gzip.compress(plain[200:], mtime=0) if zipped else plain
+    for n in range(len(content) + 1):
+        got = list(warc.read_arc(content[:n]))
+        whole = [x for x in got if not x.truncated and not x.error]
+        assert [x.body for x in whole[1:]] == [x.body for x in r[: max(0, len(whole) - 1)]]
+        assert all(x is got[-1] for x in got if x.truncated)
+        again = list(warc.read_warc(b"".join(warc.warc_bytes(warc.to_warc(x)) for x in got)))
+        assert len(again) == len(got)
+    assert len(got) == 4
+
+
+def test_header_lines_with_blanks_and_junk_between_records():
+    content = b"filedesc://x 0.0.0.0 20010203040506 text/plain 9\n1 0 me\nab\nhttp://h/a b c 1.2.3.4 20010203040506 text/html; charset=utf-8 4\nbody\njunk\nmore junk\nhttp://h/2 1.2.3.4 20010203040506 - 2\nok\n"
+    got = list(warc.read_arc(content))
+    assert [(r.url, r.kind, r.body, r.error) for r in got] == [
+        ("filedesc://x", "text/plain", b"1 0 me\nab", ""),
+        ("http://h/a b c", "text/html; charset=utf-8", b"body", ""),
+        ("", "", b"junk\nmore junk\n", "no header line"),
+        ("http://h/2", "-", b"ok", ""),
+    ]
+    assert [warc.to_warc(r).headers["WARC-Type"] for r in got] == ["warcinfo", "resource", "metadata", "resource"]
+
+
+def test_unreadable_archives_are_error_rows(spark):
+    good = warc.warc_bytes(warc.to_warc(warc.ArcRecord("http://h/", "1.2.3.4", "20010203040506", "text/html", b"x" * 50)))
+    rows = [("cut", good + good[:-20]), ("noise", b"noise"), ("null", None), ("zip", b"\x1f\x8bnoise"), ("long", good.replace(b"Content-Length: 50", b"Content-Length: x"))]
+    got = warc.read_archives(spark.createDataFrame(rows, "archive string, content binary")).collect()
+    assert sorted((r["archive"], r["record_type"]) for r in got) == [("cut", "error"), ("cut", "resource"), ("long", "error"), ("noise", "error")]
+    assert all((r["error"] is not None) == (r["record_type"] == "error") for r in got)
+    arcs = spark.createDataFrame([("a", b"noise"), ("b", None)], "archive string, content binary")
+    assert [(r["archive"], r["record_type"], r["error"]) for r in warc.read_archives(warc.convert_archives(arcs)).collect()] == [("a", "metadata", "header line cut short")]
+
+
+def test_pages_without_keys(spark):
+    same = "same payload " * 100
+    rows = [(None, "u", same), (None, "u", same), (None, None, "x"), (4, "u", same), (3, "filedesc:", "y"), (None, "v", "z" * 2000), (None, "v", "z" * 2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = warc.read_archives(warc.archive_pages(pages)).where("record_type != 'warcinfo'").collect()
+    assert sorted((str(r["key"]), r["record_type"], str(r["refers_to_key"]), r["payload_bytes"]) for r in got) == sorted(
+        [("None", "revisit", "4", 1300), ("None", "revisit", "4", 1300), ("None", "response", "None", 1), ("4", "response", "None", 1300), ("3", "response", "None", 1), *[("None", "response", "None", 2000)] * 2]
+    )
+    assert len({r["record_id"] for r in got}) == len(got)
 
 
 def plain_judge(url):

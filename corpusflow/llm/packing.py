@@ -7,11 +7,13 @@ runs of equal sequences; a piece finds its place from its rank among the pieces
 is its rank in its part of the table plus the count in earlier parts.
 
 Cases: null and empty texts are the end token alone; rows that repeat a doc_id are packed each; ties in
-length are ranked by part and place; an empty table gives no rows; other columns are ignored.
+length are ranked by part and place; an empty table gives no rows; other columns are ignored, whatever
+their names; a very long text is encoded whole, alone in its worker's memory, and cut into pieces.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -28,18 +30,18 @@ CAPACITY, END_ID = 1_024, 2
 #: Documents of a part.
 PART_ROWS = 2_000
 
-_TOKENS: dict[str, "Tokens"] = {}
+_TOKENS: dict[tuple[str, bool], "Tokens"] = {}
 
 
 class Tokens:
     """Ids of texts as little-endian 32-bit bytes, by a byte-level tokenizer file.
 
-    The file's vocabulary and pattern run in tiktoken's encoder, which gives the same ids several times faster;
-    if they differ on a sample of texts (a file whose merges do not follow its ids), tokenizers encodes itself.
+    The file's vocabulary and pattern run in tiktoken's encoder, which gives the same ids several times faster, if
+    the file is one that merges_by_rank() holds for; else tokenizers encodes itself.
     Texts that hold one of the file's added tokens, such as <|endoftext|>, always go to tokenizers.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, fast: bool = True):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -49,10 +51,7 @@ class Tokens:
         letters = byte_letters()
         ranks = {bytes(letters[c] for c in t): i for t, i in self.tokenizer.get_vocab().items() if t not in added}
         self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
-        self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        sample = "It's 12ab\u00b3 \u00bd\n\u2014\u201cna\u00efve\u201d  <|end|>\tthe quick; brown-fox \u4e2d\u6587 \n\n end "
-        if self.fast.encode_ordinary(sample) != self.tokenizer.encode(sample, add_special_tokens=False).ids:
-            self.fast = None
+        self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}) if fast else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         slow = [t for t in texts if self.fast is None or self.added.search(t)]
@@ -68,19 +67,50 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-def tokens(path: str) -> Tokens:
-    if path not in _TOKENS:
-        _TOKENS[path] = Tokens(path)
-    return _TOKENS[path]
+def tokens(path: str, fast: bool = True) -> Tokens:
+    if (path, fast) not in _TOKENS:
+        _TOKENS[path, fast] = Tokens(path, fast)
+    return _TOKENS[path, fast]
+
+
+def merges_by_rank(path: str) -> bool:
+    """Whether merging by rank, whatever the pair, gives the ids of the file's own merges.
+
+    So it does if the file is a plain byte-level one, every token of several bytes has one merge, ids follow the order
+    of merges, and each token's bytes alone, merged by rank, come to just the pair of its merge: then any
+    neighbours that spell a token are that pair.
+    """
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if not plain or file.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        return False
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    ids, letters = model["vocab"], byte_letters()
+    made = {a + b: (a, b) for a, b in pairs}
+    order = [ids.get(a + b, -1) for a, b in pairs]
+    if len(made) != len(pairs) or any(x >= y for x, y in zip(order, order[1:])) or {t for t in ids if len(t) > 1} - {t["content"] for t in file["added_tokens"]} != set(made) or not set(letters) <= set(ids):
+        return False
+    for token, pair in made.items():
+        parts, limit = list(token), ids[token]
+        while len(parts) > 2:
+            rank, k = min((ids.get(a + b, limit), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank >= limit:
+                break
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        if tuple(parts) != pair:
+            return False
+    return True
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """(part, doc_id, piece, start, length, ids_crc32, place): place is the rank among the part's pieces of that length."""
-    end = int(end_id).to_bytes(4, "little")
+    end, fast = int(end_id).to_bytes(4, "little"), merges_by_rank(path)
 
     def run(batches):
         base, n = TaskContext.get().partitionId() << 24, 0
-        encoder = tokens(path)
+        encoder = tokens(path, fast)
         for whole in batches:
             for k in range(0, whole.num_rows, PART_ROWS):
                 b = whole.slice(k, PART_ROWS)

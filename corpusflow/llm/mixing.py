@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm.common import n_words, save
 
-#: Sources beyond this number are joined by a shuffle instead of a broadcast.
-BROADCAST_SOURCES = 20_000
 RANGE_ROWS = 2_048
 
 
@@ -64,9 +62,8 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     src = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
     sized = save(docs.select("doc_id", "source", src.alias("src"), random_key(F.col("doc_id"), seed).alias("key"), n_words(F.col("text")).alias("size")), "mix-sized")
     per = save(source_targets(sized, weights, share, most), "mix-sources")
-    side = F.broadcast(per) if per.count() <= BROADCAST_SOURCES else per
     unit = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
-    keyed = sized.join(side, "src").withColumn("range", F.floor(unit * F.col("n_ranges")))
+    keyed = sized.join(per, "src").withColumn("range", F.floor(unit * F.col("n_ranges")))
     ranges = keyed.groupBy("src", "range").agg(F.sum("size").alias("in_range"))
     upto = Window.partitionBy("src").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select("src", "range", F.coalesce(F.sum("in_range").over(upto), F.lit(0)).alias("start"))
@@ -79,12 +76,16 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: docs repeated for each whole epoch, and cut after `part` words for the last.
 
-    doc_id is taken to name a document: rows that repeat one id with the same size and source share a plan.
+    Rows that repeat an id with the same size and source are numbered, and each takes a share of the plan of its own.
     Returns the columns of docs; n_chars, where there is one, follows the cut texts.
     """
-    plan = mix_plan(docs, **options).groupBy("doc_id", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("_src"), F.col("size").alias("_size")).agg(F.max("epochs").alias("_epochs"), F.max("part").alias("_part"))
-    keyed = docs.withColumns({"_src": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")), "_size": n_words(F.col("text")), "_id": F.col("doc_id")})
-    both = keyed.join(plan.withColumnRenamed("doc_id", "_pid"), (F.col("_id").eqNullSafe(F.col("_pid"))) & (keyed["_src"] == plan["_src"]) & (keyed["_size"] == plan["_size"])).drop(plan["_src"]).drop(plan["_size"])
+    named = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
+    plan = mix_plan(docs, **options).select(F.col("doc_id").alias("_pid"), named.alias("_psrc"), F.col("size").alias("_psize"), "epochs", "part")
+    turn = Window.partitionBy("_pid", "_psrc", "_psize").orderBy(F.desc("epochs"), F.desc("part"))
+    plan = plan.select("_pid", "_psrc", "_psize", F.col("epochs").alias("_epochs"), F.col("part").alias("_part"), F.row_number().over(turn).alias("_pturn"))
+    keyed = docs.withColumns({"_src": named, "_size": n_words(F.col("text")), "_id": F.col("doc_id")})
+    keyed = keyed.withColumn("_turn", F.row_number().over(Window.partitionBy("_id", "_src", "_size").orderBy("text")))
+    both = keyed.join(plan, F.col("_id").eqNullSafe(F.col("_pid")) & (F.col("_src") == F.col("_psrc")) & (F.col("_size") == F.col("_psize")) & (F.col("_turn") == F.col("_pturn")))
     copies = F.concat(F.array_repeat(F.col("_size"), F.col("_epochs").cast("int")), F.when(F.col("_part") > 0, F.array(F.col("_part"))).otherwise(F.array().cast("array<bigint>")))
     out = both.withColumn("_words", F.explode(copies))
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0), 1, F.col("_words").cast("int")), " ")

@@ -4,7 +4,7 @@ The trees are fitted on the driver from a bounded sample of labelled URLs and co
 column expression, so every URL is judged inside code generation, without a join or a shuffle.
 
 Cases: null urls and urls without `://` have an empty host and path and are judged on their (empty)
-features; with no labelled URL, or one class only, the trees are a constant; repeated rows are judged
+features; very long urls are judged whole; with no labelled URL, or one class only, the trees are a constant; repeated rows are judged
 alike; an empty table gives no rows; columns of the input are kept unless they bear a result's name.
 """
 
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host and path prefix) of the registered query.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
-#: Labelled URLs that the trees see at most, about; suffixes with a statistic of their own.
-SAMPLE_ROWS, MOST_SUFFIXES = 4_000, 200
+#: Distinct labelled URLs that the trees see, about.
+SAMPLE_ROWS = 4_000
 
 
 def host_of(url: Column) -> Column:
@@ -118,23 +118,22 @@ def fit_trees(x: np.ndarray, y: np.ndarray, names: list[str], rounds: int = 20,
 
 
 def train(labelled: DataFrame, url: str = "url", label: str = "block", sample_rows: int = SAMPLE_ROWS) -> Trees:
-    """Fit on rows of (url, block: 0 or 1), a hash sample of about sample_rows of them."""
+    """Fit on distinct rows of (url, block: 0 or 1), a hash sample of about sample_rows of them."""
+    labelled = labelled.select(F.col(url), F.col(label).cast("int").alias("y")).where("y is not null").distinct()
+    n = labelled.count()
+    unit = F.pmod(F.xxhash64(F.col(url)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    labelled = labelled.where(unit < sample_rows / max(n, 1))
     host, path = host_of(F.col(url)), path_of(F.col(url))
     values = features(F.col(url), host, path)
     names = list(values)
-    n = labelled.count()
-    if n > sample_rows:
-        unit = F.pmod(F.xxhash64(F.col(url)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        labelled = labelled.where(unit < sample_rows / n)
-    rows = labelled.select(F.col(label).cast("int").alias("y"), F.regexp_extract(host, r"([^.]*)$", 1).alias("suffix"), *[v.alias(k) for k, v in values.items()]).limit(4 * sample_rows).collect()
+    rows = labelled.select("y", F.regexp_extract(host, r"([^.]*)$", 1).alias("suffix"), *[v.alias(k) for k, v in values.items()]).collect()
     rows.sort(key=lambda r: tuple(r))
     y = np.array([r["y"] for r in rows], dtype=float)
     counts: dict[str, list[float]] = {}
     for r in rows:
         c = counts.setdefault(r["suffix"], [0.0, 0.0])
         c[r["y"]] += 1
-    kept = sorted(counts, key=lambda s: (-sum(counts[s]), s))[:MOST_SUFFIXES]
-    odds = {s: float(np.log((counts[s][1] + 1) / (counts[s][0] + 1))) for s in kept}
+    odds = {s: float(np.log((c[1] + 1) / (c[0] + 1))) for s, c in counts.items()}
     x = np.array([[r[k] for k in names] + [odds.get(r["suffix"], 0.0)] for r in rows], dtype=float).reshape(len(rows), len(names) + 1)
     model = fit_trees(x, y, [*names, "suffix_odds"])
     model.suffixes = odds

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -19,20 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Unset on a local master (tests), a temporary folder is made and set. On any other
-    master an unset folder is an error, as a machine-local folder would lose rows.
+    Where it is unset, a session in one process (master local, as in tests) gets a temporary folder, which driver
+    and tasks share there; on any other master that is an error, as a machine-local folder would lose rows.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    path = "file://" + tempfile.mkdtemp(prefix="corpusflow-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if not _own:
+        _own.append("file://" + tempfile.mkdtemp(prefix="corpusflow-"))
+    return _own[0]
 
 
 _scopes: list[list[str]] = []

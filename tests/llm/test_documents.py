@@ -89,7 +89,6 @@ def test_packing_places_every_piece(docs, empty):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     got = packing.pack(docs).collect()
     want = defaultdict(int)
     for r in fixture_rows():

@@ -1,6 +1,8 @@
 """Archives and URL filters."""
 
 import hashlib
+import math
+from collections import Counter
 
 import pytest
 
@@ -154,3 +156,44 @@ def test_trees_learn_and_columns_equal_them(spark):
     frame = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
     got = frame.select("y", model.column({"a": frame["a"], "b": frame["b"]}).alias("s")).collect()
     assert np.mean([(r["s"] > 0) == (r["y"] > 0) for r in got]) > 0.95
+
+
+def test_features_equal_a_plain_count(spark):
+    many = [u or "" for u in URLS] + [f"https://a{i}.example.com/x{i}/y?p={i}&q=2#f" for i in range(30)] + ["http://h/" + "long/" * 20_000]
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(many)], "page_id long, url string")
+    url = frame["url"]
+    got = {r["page_id"]: r for r in frame.select("page_id", *[v.alias(k) for k, v in urls.features(url, urls.host_of(url), urls.path_of(url)).items()]).collect()}
+    for i, u in enumerate(many):
+        host, path, _, _ = plain_judge(u)
+        n, query = max(1, len(u)), u.partition("?")[2].partition("#")[0]
+        want = {
+            "length": len(u), "path_length": len(path), "depth": path.count("/"), "digit_ratio": sum("0" <= c <= "9" for c in u) / n,
+            "entropy": -sum(k / n * math.log2(k / n) for k in Counter(u).values()), "params": query.count("="), "labels": host.count("."), "fragment": float("#" in u), "https": float(u.startswith("https:")),
+        }
+        assert {k: pytest.approx(v) for k, v in want.items()} == {k: got[i][k] for k in want}, u
+
+
+def test_verdicts_beyond_the_rules_are_the_trees(spark):
+    """The trees, walked in plain Python over plain features, say what the compiled column says."""
+    labelled = [(f"http://s{i}.example.{t}/p{i % 7}/{'?a=1&b=2' if t == 'bad' else ''}", int(t == "bad")) for i in range(200) for t in ("good", "bad")]
+    frame = spark.createDataFrame(labelled, "url string, block int")
+    model = urls.train(frame.union(frame), sample_rows=100_000)
+    assert set(model.suffixes) == {"good", "bad"} and model.suffixes["bad"] == pytest.approx(math.log(201))
+    url = frame["url"]
+    rows = frame.select("url", "block", *[v.alias(k) for k, v in urls.features(url, urls.host_of(url), urls.path_of(url)).items()]).collect()
+    judged = {r["url"]: r for r in urls.judge(frame, rules=(), model=model).collect()}
+
+    def walk(node, values):
+        while isinstance(node, tuple):
+            node = node[2] if values[node[0]] <= node[1] else node[3]
+        return node
+
+    for r in rows:
+        values = r.asDict() | {"suffix_odds": model.suffixes[plain_judge(r["url"])[0].rpartition(".")[2]]}
+        score = model.base + sum(walk(t, values) for t in model.trees)
+        assert judged[r["url"]]["block_score"] == pytest.approx(score) and judged[r["url"]]["verdict"] == ("block" if r["block"] else "allow")
+
+
+def test_more_suffixes_than_any_cap(spark):
+    frame = spark.createDataFrame([(f"http://h.s{i}/", i % 2) for i in range(700)], "url string, block int")
+    assert len(urls.train(frame, sample_rows=100_000).suffixes) == 700

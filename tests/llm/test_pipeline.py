@@ -95,7 +95,6 @@ def pieces(mixed):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     out = Counter()
     for d, text in mixed:
         ids = [*t.encode(text, add_special_tokens=False).ids, 2]

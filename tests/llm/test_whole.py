@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusflow.llm import language, lmscore, media, neardup, packing, warc
+from corpusflow.llm import language, lmscore, media, mixing, neardup, packing, warc
 
 
 def test_cross_entropy_counts_each_of_many_pairs(spark):
@@ -96,3 +96,29 @@ def test_language_learns_from_long_texts(spark):
     assert model.languages == ["long", "short"]
     odd = spark.createDataFrame([(1, "zéx xz"), (2, "ab cad")], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in language.predict(odd, model).collect()} == {1: "long", 2: "short"}
+
+
+def test_merges_of_the_file_follow_ranks(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.merges_by_rank(path) and not packing.merges_by_rank(public_tokenizers.path("word_bpe_49k.json"))
+    file = json.load(open(path, encoding="utf-8"))
+    merges = file["model"]["merges"]
+    file["model"]["merges"] = [merges[1], merges[0], *merges[2:]]
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(file), encoding="utf-8")
+    assert not packing.merges_by_rank(str(other))
+    assert packing.Tokens(path, fast=False).encode(["It's a naïve <|endoftext|> 12"]) == packing.Tokens(path).encode(["It's a naïve <|endoftext|> 12"])
+
+
+def test_mix_of_repeated_rows_keeps_each_budget(spark):
+    rows = [(i // 5, "one two three four", "s" if i % 2 else None) for i in range(40)] + [(None, "a b", "s")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    plan = {r["source"]: r for r in mixing.mix_plan(docs).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()}
+    got = Counter()
+    for r in mixing.mix(docs).collect():
+        got[r["source"]] += len(r["text"].split())
+    assert got == {s: r["sum(taken)"] for s, r in plan.items()} and all(abs(r["sum(taken)"] - r["max(target)"]) <= 0.5 for r in plan.values())

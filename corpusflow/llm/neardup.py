@@ -1,106 +1,124 @@
 """Near-duplicate documents by improved consistent weighted sampling over TF-IDF shingles.
 
-Shingles are five words, weighted tf * idf. The idf is 1 for a shingle in at most half of the texts and
-falls to IDF_LEAST for one in all, so copies, however many, do not discount what they share. Document
-frequencies come from one count sketch of fixed size: its cells hold about 600 / IDF_CELLS of the
-texts from other shingles, whatever their number, which is far from a half.
+Shingles are five words, weighted tf * idf with idf = 1 + ln(N / df) / ln(N): N is the number of rows and df the
+exact number of rows that have the shingle, gathered from all texts by chunks (see chunks.py). It is 2 for a shingle of
+one text and 1 for one of all; the 1 keeps what large groups of copies share from being discounted away.
 
 A band is an independent hash of the shingles into SLOTS groups; each group keeps its consistent
 weighted sample, and the band's key is the samples together. Texts that share a key are compared with
 the first of them; the weighted Jaccard similarity of the whole texts decides. A key whose texts then
-still lie in several classes is gone through again, in blocks, and every pair across classes is
+still lie in several components is gone through again, in blocks, and every pair across components is
 compared, through an index of rare shingles first, so a class is lost only if no band has brought two
 of its texts together (a chance under 0.001 at the threshold).
 
 Cases: null texts and texts without words are classes of their own, never linked; a text of fewer than
 five words is one shingle; equal texts are one class from the start; rows that repeat a doc_id with
-other texts join these texts' classes; an empty table gives no rows; other columns are ignored.
+other texts join these texts' classes; rows without a doc_id are classes of their own; very long texts are
+whole, in chunks of their own; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusflow.llm.common import arrow_schema, save
+from corpusflow.llm import chunks as C
+from corpusflow.llm.common import collected, drop_saved, save
 from corpusflow.llm.components import components
-from corpusflow.llm.hashing import GOLDEN, U64, mix, pack_ints, unpack_ints, windows, word_hashes
+from corpusflow.llm.hashing import GOLDEN, U64, join_blobs, mix, pack_ints, pack_sorted, split_blobs, unpack_ints, unpack_sorted, windows, word_hashes
 
 SHINGLE, THRESHOLD, BANDS, SLOTS = 5, 0.8, 12, 3
-IDF_CELLS, IDF_PARTS, IDF_LEAST = 1 << 18, 32, 0.1
 #: Bits of the filter that thins out the scan for the texts to compare.
 FILTER_BITS = 1 << 26
 #: Texts of a block when a key's texts are gone through again.
 BLOCK = 256
 
 
-def shingles(texts: pa.Array, size: int = SHINGLE) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per text its distinct shingle hashes, sorted, and their numbers."""
-    words, at = word_hashes(texts)
-    many = windows(words, size)
-    out = []
-    for a, b in zip(at[:-1], at[1:]):
-        if b - a >= size:
-            out.append(np.unique(many[a : b - size + 1], return_counts=True))
-        elif b > a:
-            out.append((mix(windows(words[a:b], int(b - a)) + U64(b - a)), np.ones(1, dtype=np.int64)))
-        else:
-            out.append((np.empty(0, dtype=U64), np.empty(0, dtype=np.int64)))
-    return out
-
-
-def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (mix(hashes ^ GOLDEN) % U64(IDF_CELLS)).astype(np.int64)
-
-
-def idf_table(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
-    """idf by cell of the sketch, from all texts; IDF_CELLS floats whatever the corpus."""
-    width = IDF_CELLS // IDF_PARTS
-    fields = arrow_schema("part int, n_docs long, counts binary")
-
-    def count(batches):
-        seen, n = np.zeros(IDF_CELLS, dtype=np.int64), 0
-        for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                for h, _ in shingles(whole.column(0).slice(k, 1000), size):
-                    n += len(h) > 0
-                    np.add.at(seen, np.unique(_cell(h)), 1)
-        if n:
-            parts = [(p, n if p == 0 else 0, pack_ints(seen[p * width : (p + 1) * width])) for p in range(IDF_PARTS)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*parts), fields)], schema=fields)
-
-    def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(width, dtype=np.int64)
-        for blob in frame["counts"]:
-            total += unpack_ints(blob).astype(np.int64)
-        return pd.DataFrame({"part": [int(key[0])], "n_docs": [int(frame["n_docs"].sum())], "counts": [pack_ints(total)]})
-
-    schema = "part int, n_docs long, counts binary"
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInPandas(merge, schema).collect()  # IDF_PARTS rows
-    n, df = 0, np.zeros(IDF_CELLS)
-    for r in rows:
-        n += r["n_docs"]
-        df[r["part"] * width : (r["part"] + 1) * width] = unpack_ints(bytes(r["counts"]))
-    return np.clip(np.log2((n + 1) / np.maximum(df, 1)), IDF_LEAST, 1.0).astype(np.float32)
-
-
-def band_keys(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, bands: int = BANDS, slots: int = SLOTS) -> np.ndarray:
-    """Keys (texts x bands) of texts that have shingles."""
-    h = np.concatenate([s for s, _ in sets])
-    weight = np.concatenate([c for _, c in sets]).astype(np.float32) * idf[_cell(h)]
-    starts = np.cumsum([0] + [len(s) for s, _ in sets[:-1]])
-    sizes = np.array([len(s) for s, _ in sets])
-    log_weight = np.log(weight)
+class Shingles:
+    """The shingles of an array of texts: for each text its distinct hashes, sorted, and how often it has them."""
+
+    def __init__(self, texts: pa.Array, size: int = SHINGLE):
+        words, at = word_hashes(texts)
+        n, many = np.diff(at), windows(words, size)
+        per = np.maximum(n - size + 1, 0)
+        start = np.repeat(at[:-1] - np.concatenate([[0], np.cumsum(per)[:-1]]), per) + np.arange(per.sum()) if len(n) else np.empty(0, dtype=np.int64)
+        short = np.flatnonzero((n > 0) & (n < size))
+        alone = np.array([mix(windows(words[at[i] : at[i + 1]], int(n[i])) + U64(n[i]))[0] for i in short], dtype=U64)
+        h, doc = np.concatenate([many[start], alone]), np.concatenate([np.repeat(np.arange(len(n)), per), short])
+        order = np.argsort(h, kind="stable")
+        h, doc = h[order], doc[order]
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+        first = np.flatnonzero(new)
+        h, doc, tf = h[first], doc[first], np.diff(first, append=len(h))
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = h[1:] != h[:-1]
+        #: the distinct hashes of all texts, and how many of the texts have each
+        self.keys = h[new]
+        self.df = np.diff(np.flatnonzero(new), append=len(h))
+        key, order = np.cumsum(new) - 1, np.argsort(doc, kind="stable")
+        #: text after text: hash, its place among the keys, occurrences
+        self.hashes, self.key, self.tf = h[order], key[order], tf[order]
+        self.at = np.searchsorted(doc[order], np.arange(len(n) + 1))
+
+    def weighted(self, df: np.ndarray, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per text (hashes, weights); df: of each hash of each text."""
+        w = self.tf * idf(df, n)
+        return [(self.hashes[a:b], w[a:b]) for a, b in zip(self.at[:-1], self.at[1:])]
+
+
+def idf(df: np.ndarray, n: int) -> np.ndarray:
+    return 1 + np.log(n / df) / np.log(n) if n > 1 else np.ones(len(df))
+
+
+def with_frequencies(docs: DataFrame, size: int, chunk_bytes: int) -> tuple[DataFrame, int]:
+    """(chunk, body, counts): docs by chunks, where counts are the replies with the document frequency of each of
+    its keys, and the number of rows of docs."""
+    chunks = C.make_chunks(docs, chunk_bytes=chunk_bytes)
+    total, n = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
+    _, bits = C.shard_bits(total // 2)
+    bodies = chunks.select("chunk", "body")
+
+    def send(row: dict):
+        x = Shingles(C.from_body(row["body"])["text"], size)
+        for s, p in key_parts(x.keys, bits):
+            if p.stop > p.start:
+                yield s, join_blobs([pack_sorted(x.keys[p] - U64(s << (64 - bits))), pack_ints(x.df[p].astype(U64))])
+
+    def reply(shard: int, blobs: list[bytes], _) -> list[bytes]:
+        keys, counts = zip(*((unpack_sorted(k), unpack_ints(c)) for k, c in map(split_blobs, blobs)))
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        keys = np.concatenate(keys)
+        order = np.argsort(keys, kind="stable")  # runs that are sorted
+        ordered = keys[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        sums = np.add.reduceat(np.concatenate(counts)[order], np.flatnonzero(new))
+        out = np.empty(len(keys), dtype=U64)
+        out[order] = sums[np.cumsum(new) - 1]
+        return [pack_ints(x) for x in np.split(out, cuts)]
+
+    return C.with_replies(bodies, counts=C.exchange(bodies, send, reply)).withColumn("bits", F.lit(bits)), n
+
+
+def key_parts(keys: np.ndarray, bits: int) -> list[tuple[int, slice]]:
+    """(shard, slice) of sorted 64-bit keys, by their first bits."""
+    cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=U64) << U64(64 - bits))
+    cuts = np.concatenate([[0], cuts, [len(keys)]]).tolist()
+    return [(s, slice(a, b)) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
+
+
+def band_keys(h: np.ndarray, weight: np.ndarray, starts: np.ndarray, bands: int = BANDS, slots: int = SLOTS) -> np.ndarray:
+    """Keys (texts x bands) of texts that have shingles: text i has h and weight from starts[i] up to the next start."""
+    sizes = np.diff(starts, append=len(h))
+    log_weight = np.log(weight.astype(np.float32))
     unit = np.float32(2.0**-32)
     low = U64(0xFFFFFFFF)
-    out = np.empty((len(sets), bands), dtype=np.int64)
+    out = np.empty((len(starts), bands), dtype=np.int64)
     for band in range(bands):
         z = mix(h + U64((band + 1) * int(GOLDEN) & 0xFFFFFFFFFFFFFFFF))
         slot = (z % U64(slots)).astype(np.int8)
@@ -113,7 +131,7 @@ def band_keys(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, bands:
         t = np.floor(log_weight / r + draws[4])
         log_a = np.log(-np.log(draws[2] * draws[3])) - r * (t - draws[4]) - r
         sample = mix(h ^ (t.astype(np.int64).view(U64) * GOLDEN + U64(band)))
-        key = np.zeros(len(sets), dtype=U64)
+        key = np.zeros(len(starts), dtype=U64)
         for s in range(slots):
             a = np.where(slot == s, log_a, np.float32(np.inf))
             best = np.repeat(np.minimum.reduceat(a, starts), sizes)
@@ -123,30 +141,39 @@ def band_keys(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, bands:
     return out
 
 
-def similarity(a: tuple, b: tuple, idf: np.ndarray) -> float:
-    """Weighted Jaccard of two texts' shingles."""
+def similarity(a: tuple, b: tuple) -> float:
+    """Weighted Jaccard of two texts' shingles (hashes, weights)."""
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(common):
         return 0.0
-    both = float((np.minimum(a[1][i], b[1][j]) * idf[_cell(common)]).sum(dtype=np.float64))
-    return both / (weight_of(a, idf) + weight_of(b, idf) - both)
-
+    both = float(np.minimum(a[1][i], b[1][j]).sum())
+    return both / (float(a[1].sum()) + float(b[1].sum()) - both)
 
-def weight_of(s: tuple, idf: np.ndarray) -> float:
-    return float((s[1] * idf[_cell(s[0])]).sum(dtype=np.float64))
 
-
-def links_within(ids: list, texts: list[tuple], classes: list, idf: np.ndarray, threshold: float, across: tuple[int, int] | None = None) -> list[tuple]:
+def links_within(ids: list, texts: list[tuple], classes: list, threshold: float, across: int | None = None) -> list[tuple]:
     """Links that join different classes, among texts, found through an index of each text's rarest shingles.
 
     Two texts as similar as the threshold share one of the (1 - threshold) of weight with which each
     begins, in an order common to both; so only texts that meet there are compared. across: compare only
-    between the first and the rest.
+    between the first so many and the rest.
     """
-    frequency: dict[int, int] = defaultdict(int)
-    for s, _ in texts:
-        for x in s.tolist():
-            frequency[x] += 1
+    sizes = np.array([len(h) for h, _ in texts])
+    full = np.flatnonzero(sizes)
+    if not len(full):
+        return []
+    h, w = np.concatenate([x for x, _ in texts]), np.concatenate([x for _, x in texts])
+    text = np.repeat(np.arange(len(texts)), sizes)
+    _, place, count = np.unique(h, return_inverse=True, return_counts=True)
+    order = np.lexsort((h, count[place], text))
+    h, w, text, place = h[order], w[order], text[order], place[order]
+    before = np.cumsum(w) - w
+    start = np.concatenate([[0], np.cumsum(sizes)])[:-1][full]
+    whole = np.add.reduceat(w, start)
+    opens = before - np.repeat(before[start], sizes[full]) <= np.repeat((1 - threshold) * whole * (1 + 1e-6) + 1e-9, sizes[full])
+    place, text = place[opens], text[opens]
+    order = np.argsort(place, kind="stable")  # the texts of a shingle stay in order
+    place, text = place[order], text[order]
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1, [len(place)]])
     parent = {c: c for c in classes}
 
     def root(c):
@@ -155,26 +182,21 @@ def links_within(ids: list, texts: list[tuple], classes: list, idf: np.ndarray,
             c = parent[c]
         return c
 
-    index, out = defaultdict(list), []
-    for k, (s, c) in enumerate(texts):
-        order = sorted(range(len(s)), key=lambda i: (frequency[int(s[i])], int(s[i])))
-        w = c * idf[_cell(s)]
-        slack, met = (1 - threshold) * float(w.sum(dtype=np.float64)) * (1 + 1e-6) + 1e-9, {}
-        for i in order:
-            if slack < 0:
-                break
-            x = int(s[i])
-            for other in index[x]:
-                met[other] = True
-            index[x].append(k)
-            slack -= float(w[i])
-        for other in met:
-            if across and (k < across[0]) == (other < across[0]):
-                continue
-            ra, rb = root(classes[k]), root(classes[other])
-            if ra != rb and similarity(texts[k], texts[other], idf) >= threshold:
-                parent[max(ra, rb)] = min(ra, rb)
-                out.append((ids[k], ids[other]))
+    met, out = set(), []
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if b - a < 2:
+            continue
+        here = text[a:b].tolist()
+        for j, y in enumerate(here):
+            ry = root(classes[y])
+            for x in here[:j]:
+                if (across is not None and (x < across) == (y < across)) or root(classes[x]) == ry or (x, y) in met:
+                    continue
+                met.add((x, y))
+                if similarity(texts[x], texts[y]) >= threshold:
+                    rx = root(classes[x])
+                    parent[max(rx, ry)] = ry = min(rx, ry)
+                    out.append((ids[y], ids[x]))
     return out
 
 
@@ -220,77 +242,104 @@ def unpacked(column) -> pa.Array:
     return pa.array([undo(x) for x in column.to_pylist()], pa.binary())
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS) -> DataFrame:
+def weighted_texts(ztexts: pa.Array, dfs: pa.Array, n: int, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, weights) of packed texts and the packed document frequencies of their shingles."""
+    df = [unpack_ints(x) for x in dfs.to_pylist()]
+    return Shingles(unpacked(ztexts), size).weighted(np.concatenate(df) if df else np.empty(0, dtype=U64), n)
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, chunk_bytes: int = C.CHUNK_BYTES) -> DataFrame:
     """(doc_id, digest, class_id, n_copies, kept) per row: class_id is the smallest doc_id of the class, n_copies its
     rows, and kept is true for the row of class_id (of the smallest digest, where that id has several texts)."""
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    idf = spark.sparkContext.broadcast(idf_table(docs, size))
-    keys_type = pa.list_(pa.int64())
-
-    def sign(batches):
-        for whole in batches:
-            for k in range(0, whole.num_rows, 300):
-                b = whole.slice(k, 300)
-                sets = shingles(b.column("text"), size)
-                full = [i for i, (s, _) in enumerate(sets) if len(s)]
-                keys: list = [None] * len(sets)
-                if full:
-                    for i, row in zip(full, band_keys([sets[i] for i in full], idf.value, bands)):
-                        keys[i] = row
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(keys, keys_type)], names=["doc_id", "digest", "keys"])
-
-    signed = save(docs.withColumn("digest", text_digest(F.col("text"))).mapInArrow(sign, f"doc_id {kind}, digest binary, keys array<long>"), "signed")
-    grouped = signed.where("keys is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+    with collected() as scratch:
+        counted, n = with_frequencies(docs.withColumn("digest", text_digest(F.col("text"))), size, chunk_bytes)
+        signed = save(counted.mapInArrow(_signer(n, size, bands), f"doc_id {kind}, digest binary, keys array<long>, dfs binary"), "signed")
+    drop_saved(docs.sparkSession, scratch[:-1])  # the chunks; what was made of them is written
+    grouped = signed.where("keys is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first(F.struct("keys", "dfs")).alias("s"))
     tie = F.row_number().over(Window.partitionBy("rep").orderBy("digest"))  # an id may stand for several texts
-    texts = save(grouped.select(F.struct("rep", tie.alias("tie")).alias("node"), "digest", "keys"), "texts")
+    texts = save(grouped.select(F.struct("rep", tie.alias("tie")).alias("node"), "digest", "s.keys", "s.dfs"), "texts")
     banded = texts.select("node", F.explode("keys").alias("key"))
     first = save(banded.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"), "shared-keys")
     held = save(banded.join(first, "key"), "held")
     pairs = save(held.where("node != first").select("node", F.col("first").alias("other")).distinct(), "pairs")
     wanted = pairs.select("node").union(pairs.select("other")).distinct()
-    body = save(wanted_texts(docs, texts.select("node", "digest").join(wanted, "node", "left_semi")), "wanted-texts")
+    few = save(texts.select("node", "digest", "dfs").join(wanted, "node", "left_semi"), "wanted")
+    body = save(wanted_texts(docs, few.select("node", "digest")).join(few.select("node", "dfs"), "node"), "wanted-texts")
     node = "struct<rep:" + kind + ",tie:int>"
 
     def compare(batches):
         for whole in batches:
             for k in range(0, whole.num_rows, 200):
                 b = whole.slice(k, 200)
-                x, y = shingles(unpacked(b.column("ztext")), size), shingles(unpacked(b.column("other_text")), size)
-                good = [similarity(p, q, idf.value) >= threshold for p, q in zip(x, y)]
-                few = pa.RecordBatch.from_arrays([b.column("node"), b.column("other")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-                if few.num_rows:
-                    yield few
-
-    compared = pairs.join(body, "node").join(body.select(F.col("node").alias("other"), F.col("ztext").alias("other_text")), "other")
-    links = save(compared.select("node", "other", "ztext", "other_text").mapInArrow(compare, f"a {node}, b {node}"), "links")
-    again = _again(held, links, body, node, idf, threshold, size)
-    classes = components(links.union(again), alone=False)
+                x, y = weighted_texts(b.column("ztext"), b.column("dfs"), n, size), weighted_texts(b.column("other_text"), b.column("other_dfs"), n, size)
+                good = [similarity(p, q) >= threshold for p, q in zip(x, y)]
+                found = pa.RecordBatch.from_arrays([b.column("node"), b.column("other")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+                if found.num_rows:
+                    yield found
+
+    compared = pairs.join(body, "node").join(body.select(F.col("node").alias("other"), F.col("ztext").alias("other_text"), F.col("dfs").alias("other_dfs")), "other")
+    links = save(compared.select("node", "other", "ztext", "dfs", "other_text", "other_dfs").mapInArrow(compare, f"a {node}, b {node}"), "links")
+    so_far = save(components(links, alone=False), "components")
+    again = _again(held, so_far, body, node, n, threshold, size)
+    classes = components(so_far.select(F.col("id").alias("a"), F.col("component").alias("b")).union(again), alone=False)
 
     known = texts.join(classes, texts["node"] == classes["id"], "left").select("digest", F.coalesce("component", "node").alias("group"))
     lone = F.col("group").isNull() | F.col("doc_id").isNull()
     row = F.concat(F.lit("row:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.hex("digest"), F.lit("")))
     member = signed.where("keys is not null").join(known, "digest", "left").select("doc_id", "digest", "group").union(signed.where("keys is null").select("doc_id", "digest", F.lit(None).cast(node)))
     member = save(member.select("doc_id", "digest", F.when(lone, row).otherwise(F.concat(F.lit("class:"), F.to_json("group"))).alias("group")), "members")
-    per = member.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("best"), F.count("*").alias("n_copies"))
-    out = member.join(per, "group")
-    kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & F.col("digest").eqNullSafe(F.col("best.digest"))
-    return out.select("doc_id", "digest", F.col("best.doc_id").alias("class_id"), "n_copies", kept.alias("kept"))
+    # only classes of several rows are joined, and both sides are plain tables, so that a large class's rows can be split
+    per = save(member.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("best"), F.count("*").alias("n_copies")).where("n_copies > 1"), "classes")
+    out = member.join(per, "group", "left")
+    kept = F.col("best").isNull() | (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & F.col("digest").eqNullSafe(F.col("best.digest")))
+    class_id = F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id"))
+    return out.select("doc_id", "digest", class_id.alias("class_id"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), kept.alias("kept"))
 
 
-def _again(held, links, body, node: str, idf, threshold: float, size: int) -> DataFrame:
-    """Links between texts that share a key of three texts or more and whose first comparisons did not link them.
+def _signer(n: int, size: int, bands: int):
+    """From (body, counts, bits) of chunks to (doc_id, digest, keys, dfs) of documents."""
 
-    A text's provisional class is the smallest first text that it was linked to; within a key all pairs of different
-    provisional classes are looked at, in blocks, so no link of the key that joins two components is left out.
+    def sign(batches):
+        for whole in batches:
+            for i in range(whole.num_rows):
+                row = {c: whole.column(c)[i].as_py() for c in ("body", "counts", "bits")}
+                table = C.from_body(row["body"])
+                x = Shingles(table["text"], size)
+                replies = {r["shard"]: r["blob"] for r in row["counts"] or ()}
+                df = np.empty(len(x.keys), dtype=U64)
+                for s, p in key_parts(x.keys, row["bits"]):
+                    if p.stop > p.start:
+                        df[p] = unpack_ints(replies[s])
+                df = df[x.key]
+                keys: list = [None] * len(table)
+                dfs: list = [None] * len(table)
+                full = np.flatnonzero(np.diff(x.at))
+                for k in range(0, len(full), 300):
+                    some = full[k : k + 300]
+                    a, b = x.at[some[0]], x.at[some[-1] + 1]
+                    for j, row_keys in zip(some, band_keys(x.hashes[a:b], x.tf[a:b] * idf(df[a:b], n), x.at[some] - a, bands)):
+                        keys[j], dfs[j] = row_keys, pack_ints(df[x.at[j] : x.at[j + 1]])
+                t = pa.table({"doc_id": table["doc_id"], "digest": table["digest"], "keys": pa.array(keys, pa.list_(pa.int64())), "dfs": pa.array(dfs, pa.binary())})
+                yield from t.combine_chunks().to_batches(max_chunksize=5000)
+
+    return sign
+
+
+def _again(held, so_far, body, node: str, n: int, threshold: float, size: int) -> DataFrame:
+    """Links between texts that share a key of three texts or more and still lie in different components.
+
+    Within a key all pairs across components are looked at, in blocks, so no link of the key that joins two
+    components is left out.
     """
-    provisional = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("class"))
-    many = held.where("n > 2").join(provisional, "node", "left").select("key", "n", "node", F.coalesce("class", "node").alias("class"))
-    many = save(many, "provisional")
+    known = so_far.select(F.col("id").alias("node"), F.col("component").alias("class"))
+    many = held.where("n > 2").join(known, "node", "left").select("key", "n", "node", F.coalesce("class", "node").alias("class"))
+    many = save(many, "unsettled")
     per = many.groupBy("key", "class").agg(F.count("*").alias("size")).groupBy("key").agg(F.max(F.struct("size", "class")).alias("main"), F.count("*").alias("classes"))
-    mixed = many.join(per.where("classes > 1").drop("classes"), "key")
-    # texts of the key's largest class need no look at each other: blocks of the others come first, and each of
+    per = save(per.where("classes > 1").drop("classes"), "unsettled-keys")
+    mixed = many.join(per, "key")
+    # texts of the key's largest component need no look at each other: blocks of the others come first, and each of
     # these meets every block
     other = F.col("class") != F.col("main.class")
     others, all_of = F.ceil((F.col("n") - F.col("main.size")) / BLOCK), F.ceil((F.col("n") - F.col("main.size")) / BLOCK) + F.ceil(F.col("main.size") / BLOCK)
@@ -305,8 +354,8 @@ def _again(held, links, body, node: str, idf, threshold: float, size: int) -> Da
         as_key = lambda c: [(x["rep"], x["tie"]) for x in c.to_pylist()]
         order = sorted(range(len(t)), key=lambda k, m=t["mine"].to_pylist(), n=as_key(t["node"]): (m[k], n[k]))
         t = t.take(pa.array(order, pa.int64()))
-        first = t["mine"].to_pylist().count(i)
-        found = links_within(as_key(t["node"]), shingles(unpacked(t["ztext"]), size), as_key(t["class"]), idf.value, threshold, None if i == j else (first, 0))
+        ahead = t["mine"].to_pylist().count(i)
+        found = links_within(as_key(t["node"]), weighted_texts(t["ztext"].combine_chunks(), t["dfs"].combine_chunks(), n, size), as_key(t["class"]), threshold, None if i == j else ahead)
         column = lambda k: pa.array([{"rep": x[k][0], "tie": x[k][1]} for x in found], kind)
         return pa.table({"a": column(0), "b": column(1)})
 

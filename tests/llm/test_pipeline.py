@@ -7,12 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from corpusflow.llm import neardup  # noqa: E402
+import plain  # noqa: E402
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -36,9 +35,8 @@ def rows():
     return out
 
 
-def plain_run(docs, idf):
+def plain_run(docs):
     docs = [d for d in docs if d[1] and any(c.isalpha() for c in d[1])]
-    sets = neardup.shingles(pa.array([d[1] for d in docs]))
     parent = {d[0]: d[0] for d in docs}
 
     def root(x):
@@ -46,11 +44,9 @@ def plain_run(docs, idf):
             x = parent[x]
         return x
 
-    for i in range(len(docs)):
-        for j in range(i):
-            if neardup.similarity(sets[i], sets[j], idf) >= 0.8:
-                a, b = root(docs[i][0]), root(docs[j][0])
-                parent[max(a, b)] = min(a, b)
+    for i, j in plain.similar_pairs([d[1] for d in docs]):
+        a, b = root(docs[i][0]), root(docs[j][0])
+        parent[max(a, b)] = min(a, b)
     docs = sorted(d for d in docs if root(d[0]) == d[0])
     first, kept = {}, []
     for d in docs:
@@ -106,9 +102,8 @@ def pieces(mixed):
 def test_run_equals_plain_stages(spark, tmp_path):
     frame = spark.createDataFrame(rows(), SCHEMA).repartition(3)
     frame.write.parquet(str(tmp_path / "documents.parquet"))
-    alive = frame.where("text rlike '[a-z]'")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert Counter(tuple(r)[:5] for r in got) == pieces(plain_run(rows(), neardup.idf_table(alive)))
+    assert Counter(tuple(r)[:5] for r in got) == pieces(plain_run(rows()))
     sequences = defaultdict(list)
     for r in got:
         sequences[r["sequence_id"]].append((r["offset"], r["length"]))

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+import plain
 from corpusflow.llm import components, embeddings, lmscore, neardup
 
 
@@ -90,24 +91,17 @@ def texts():
     return list(enumerate(out))
 
 
-def plain_classes(rows, idf):
-    import pyarrow as pa
-
-    sets = neardup.shingles(pa.array([t for _, t in rows]))
-    pairs = []
-    for i in range(len(rows)):
-        for j in range(i):
-            if len(sets[i][0]) and neardup.similarity(sets[i], sets[j], idf) >= 0.8:
-                pairs.append((rows[i][0], rows[j][0]))
-    return union(pairs, [r[0] for r in rows])
+def plain_classes(rows):
+    return union([(rows[i][0], rows[j][0]) for i, j in plain.similar_pairs([t for _, t in rows])], [r[0] for r in rows])
 
 
-def test_near_duplicates_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("chunk_bytes", [2_000, 1 << 20])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, chunk_bytes):
     rows = texts()
     frame = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, digest string").repartition(3)
     monkeypatch.setattr(neardup, "BLOCK", 16)
-    want = plain_classes(rows, neardup.idf_table(frame))
-    got = neardup.near_duplicates(frame).collect()
+    want = plain_classes(rows)
+    got = neardup.near_duplicates(frame, chunk_bytes=chunk_bytes).collect()
     assert {r["doc_id"]: r["class_id"] for r in got} == want
     sizes = Counter(want.values())
     for r in got:
@@ -115,29 +109,73 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert neardup.near_duplicates(frame.limit(0)).collect() == []
 
 
-def test_similarity_is_weighted_jaccard():
-    import pyarrow as pa
+def test_near_duplicates_find_nine_of_ten_copies(spark):
+    """All links of a whole table by exhaustive comparison; exact copies do not count."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted(docs.collect())
+    every = plain.similar_pairs([r["text"] for r in rows])
+    classes = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()}
+    pairs = [(rows[i]["doc_id"], rows[j]["doc_id"]) for i, j in every if rows[i]["text"] != rows[j]["text"]]
+    assert len(pairs) >= 10 and sum(classes[a] == classes[b] for a, b in pairs) >= 0.9 * len(pairs)
+    whole = union([(rows[i]["doc_id"], rows[j]["doc_id"]) for i, j in every], [r["doc_id"] for r in rows])
+    assert all(whole[i] == whole[c] for i, c in classes.items())
+
 
-    a, b = neardup.shingles(pa.array(["a b c d e f g a b c d e", "a b c d e f x"]), 5)
-    idf = np.ones(neardup.IDF_CELLS, dtype=np.float32)
-    grams = lambda t: Counter(tuple(t[i : i + 5]) for i in range(len(t) - 4))
-    x, y = grams("a b c d e f g a b c d e".split()), grams("a b c d e f x".split())
-    assert neardup.similarity(a, b, idf) == pytest.approx(sum((x & y).values()) / sum((x | y).values()))
+def test_near_duplicates_without_ids_and_with_repeats(spark):
+    text = " ".join(map(str, range(40)))
+    rows = [(None, text), (None, text), (1, text), (1, text), (1, text + " x"), (2, "other words"), (3, None), (3, None), (4, " ")]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == {(None, None): 2, (1, 1): 3, (2, 2): 1, (3, 3): 2, (4, 4): 1}
+    assert sum(r["kept"] for r in got if r["doc_id"] == 1) in (1, 2)
+    assert neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == 7
 
 
-def test_bands_meet_as_often_as_similarity_says():
+def weighted(texts):
     import pyarrow as pa
 
+    x = neardup.Shingles(pa.array(texts))
+    return x.weighted(x.df[x.key], len(texts))
+
+
+def test_similarity_is_weighted_jaccard():
+    texts = ["a b c d e f g a b c d e", "a b c d e f x", "x y", "a b c d e"]
+    x, y = weighted(texts), plain.tf_idf(texts)
+    for i in range(4):
+        assert np.allclose(sorted(x[i][1]), sorted(y[i].values()))
+        for j in range(4):
+            assert neardup.similarity(x[i], x[j]) == pytest.approx(plain.jaccard(y[i], y[j]))
+
+
+def test_bands_meet_as_often_as_similarity_says():
     rng = random.Random(1)
     base = [str(rng.random()) for _ in range(300)]
     changed = base[:270] + [str(rng.random()) for _ in range(30)]
-    a, b = neardup.shingles(pa.array([" ".join(base), " ".join(changed)]))
-    idf = np.ones(neardup.IDF_CELLS, dtype=np.float32)
-    s = neardup.similarity(a, b, idf)
-    keys = neardup.band_keys([a, b], idf, bands=600)
+    a, b = weighted([" ".join(base), " ".join(changed)])
+    s = neardup.similarity(a, b)
+    keys = neardup.band_keys(np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]), np.array([0, len(a[0])]), bands=600)
     assert np.mean(keys[0] == keys[1]) == pytest.approx(s**3, abs=0.08)
 
 
+def test_links_within_are_those_across_classes():
+    rng = random.Random(3)
+    base = [str(rng.random()) for _ in range(60)]
+    texts = []
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3])):
+            copy[rng.randrange(60)] = str(rng.random())
+        texts.append(" ".join(copy))
+    w, pairs = weighted(texts), plain.similar_pairs(texts)
+    for classes in (list(range(40)), [i // 4 for i in range(40)]):
+        found = neardup.links_within(list(range(40)), w, classes, 0.8)
+        inside = [(i, j) for i in range(40) for j in range(i) if classes[i] == classes[j]]
+        assert set(found) <= set(pairs) and union(found + inside, range(40)) == union(pairs + inside, range(40))
+        found = neardup.links_within(list(range(40)), w, classes, 0.8, 10)
+        across = [(i, j) for i, j in pairs if (i < 10) != (j < 10)]
+        assert union(found + inside, range(40)) == union(across + inside, range(40))
+
+
 def test_cross_entropy_equals_plain_counts(spark):
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice("a b c dd ee ff".split()) for _ in range(rng.randint(0, 30)))) for i in range(40)] + [(50, None), (51, "")]

@@ -1,18 +1,21 @@
 """Exact metric range join of unit vectors, label by label.
 
 On unit vectors a cosine of at least t is a distance of at most e = sqrt(2 - 2t). Each label's vectors are
-dealt to the nearest of a few pivots, about CELL_ROWS a pivot; the cell of pivot p has radius r_p. A vector x of
-another cell is replicated to p's only if d(x, p) <= r_p + e and d(x, p) <= d(x, own pivot) + 2e: otherwise the
-triangle inequality, or the bisector between the pivots, rules out any partner there. Cells then join
-independently, their own vectors against those and the visitors, in strips of rows, by matrix products
-in double precision. Identical vectors are one class from the start and count by their number.
+dealt to the nearest of a few pivots; the cell of pivot p has radius r_p. A vector x of another cell is
+replicated to p's only if d(x, p) <= r_p + e and d(x, p) <= d(x, q) + 2e for every other pivot q: otherwise the
+triangle inequality, or the bisector between two pivots, rules out any partner there. This is done twice: a label of n
+vectors gets about sqrt(n / CELL_ROWS) pivots, and each of their cells one for CELL_ROWS of its vectors, so that a
+vector meets the square root of all pivots. Cells then join independently by matrix products in double
+precision, a large cell in pairs of blocks of at most about BLOCK_ROWS rows, so that a dense region is many
+tasks of bounded size. Identical vectors are one class from the start and count by their number.
 
 A label may hold most rows: it only gets more pivots. Where vectors have no cluster structure, distances
 to all pivots are alike and most vectors visit most cells, as in any exact method on such data.
 
-Cases: null labels, and vectors that are null, zero, or hold null or non-finite components, link with
-nothing; vectors of different lengths link with nothing; repeated rows link like any others (a repeated
-vec_id is one node); an empty table gives no rows; other columns are ignored.
+Cases: null labels and ids, and vectors that are null, zero, or hold null or non-finite components, link with
+nothing; vectors of different lengths link with nothing; each row that repeats an id is a vector with links of
+its own, rows of the same id included, and the rows of an id share a component; an empty table gives no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import arrow_schema, save
 from corpusflow.llm.components import components
 
-THRESHOLD, CELL_ROWS, PART_ROWS, STRIP = 0.93, 4_096, 8_192, 512
+THRESHOLD, CELL_ROWS, PART_ROWS, BLOCK_ROWS, STRIP = 0.93, 4_096, 8_192, 8_192, 512
 #: Margin of the distance bounds against rounding.
 SLACK = 1e-9
 
@@ -35,17 +38,18 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _pack(vectors: DataFrame, label: str) -> DataFrame:
-    """(vec_id, label, dim, body): the usable vectors, divided by their length, as bytes of doubles."""
-    fields = arrow_schema("vec_id long, label string, dim int, body binary, digest string")
+    """(vec_id, space, digest, body) of every row: space is length and label, body the vector divided by its length as
+    bytes of doubles; all three are null for a vector that links with nothing."""
+    import hashlib
+
     kind = vectors.schema["vec_id"].dataType.simpleString()
 
     def run(batches):
-        import hashlib
-
         for b in batches:
-            ids, labels, out = b.column("vec_id"), b.column("label"), []
+            ids, labels, out = b.column("vec_id"), b.column("label").to_pylist(), []
             for i, v in enumerate(b.column("embedding").to_pylist()):
-                if v is None or any(x is None for x in v) or not labels[i].is_valid or not ids[i].is_valid:
+                out.append((None, None, None))
+                if v is None or any(x is None for x in v) or labels[i] is None or not ids[i].is_valid:
                     continue
                 x = np.array(v, dtype="<f8")
                 with np.errstate(over="ignore", invalid="ignore"):
@@ -55,23 +59,21 @@ def _pack(vectors: DataFrame, label: str) -> DataFrame:
                     x = x / top
                     x = x / np.sqrt(x @ x)
                 body = x.tobytes()
-                out.append((ids[i].as_py(), labels[i].as_py(), len(x), body, hashlib.sha1(body).hexdigest()))
-            if out:
-                types = [b.schema.field("vec_id").type, *[f.type for f in list(fields)[1:]]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=fields.names)
+                out[-1] = (f"{len(x)}:{labels[i]}", hashlib.sha1(body).hexdigest(), body)
+            cols = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.binary())], names=["vec_id", "space", "digest", "body"])
 
     plain = vectors.select("vec_id", F.col(label).cast("string").alias("label"), "embedding")
-    return plain.mapInArrow(run, f"vec_id {kind}, label string, dim int, body binary, digest string")
+    return plain.mapInArrow(run, f"vec_id {kind}, space string, digest string, body binary")
 
 
-def _pivots(points: DataFrame, cell_rows: int) -> DataFrame:
-    """(space, pivot, body): for each label and length one vector for about cell_rows of its rows, by hash order."""
-    sizes = points.groupBy("space").agg(F.count("*").alias("n"))
-    wanted = sizes.withColumn("m", F.ceil(F.col("n") / cell_rows))
+def _pivots(points: DataFrame, n_pivots) -> DataFrame:
+    """(space, pivot, body): for each space n_pivots(number of its own points) of them, by hash order."""
+    wanted = points.where("mine").groupBy("space").agg(F.count("*").alias("n")).withColumn("m", n_pivots(F.col("n")).cast("int"))
     unit = F.pmod(F.xxhash64("digest", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = points.join(wanted, "space").where(unit <= 4.0 * (F.col("m") + 4) / F.col("n")).select("space", "m", F.struct(unit.alias("unit"), "body").alias("candidate"))
+    few = points.where("mine").join(wanted, "space").where(unit <= 4.0 * (F.col("m") + 4) / F.col("n")).select("space", "m", F.struct(unit.alias("unit"), "body").alias("candidate"))
     picked = few.groupBy("space", "m").agg(F.sort_array(F.collect_list("candidate")).alias("c"))
-    return picked.select("space", F.posexplode(F.slice("c", F.lit(1), F.greatest(F.lit(1), F.col("m").cast("int")))).alias("pivot", "c")).select("space", "pivot", F.col("c.body").alias("body"))
+    return picked.select("space", F.posexplode(F.slice("c", F.lit(1), F.greatest(F.lit(1), F.col("m")))).alias("pivot", "c")).select("space", "pivot", F.col("c.body").alias("body"))
 
 
 def _with_pivots(points: DataFrame, pivots: DataFrame, parts: DataFrame, function, schema: str) -> DataFrame:
@@ -94,74 +96,111 @@ def _distances(points: pa.Table, pivots: pa.Table) -> np.ndarray:
     return np.sqrt(np.maximum(0, 2 - 2 * (_matrix(points["body"]) @ _matrix(pivots["body"]).T)))
 
 
-def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, label: str = "label", cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) per row of vectors (vec_id, label, embedding)."""
-    packed = save(_pack(vectors, label), "vectors")
-    space = F.concat_ws(":", F.col("dim").cast("string"), "label")
-    one = packed.groupBy("vec_id").agg(F.min(F.struct("digest", space.alias("space"), "body")).alias("v"))  # a repeated id is one node
-    rows = save(one.select("vec_id", "v.space", "v.digest", "v.body"), "nodes")
-    points = rows.groupBy("space", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("body").alias("body"))
-    points = save(points, "points")
-    e = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    pivots = save(_pivots(points, cell_rows), "pivots")
-    kind = vectors.schema["vec_id"].dataType.simpleString()
+def _split(points: DataFrame, e: float, n_pivots, name: str) -> DataFrame:
+    """The points (space, digest, pid, weight, body, mine) dealt to the cells of each space, which are the result's
+    spaces: each point that is its space's own is one cell's own, and points are visitors wherever they may have partners."""
+    pivots = save(_pivots(points, n_pivots), f"{name}-pivots")
     parts = points.groupBy("space").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("n_parts"))
 
+    def own_cells(t: pa.Table, p: pa.Table):
+        d, mine = _distances(t, p), t["mine"].to_numpy(zero_copy_only=False)
+        return d, mine, d.argmin(axis=1)
+
     def nearest(space: str, t: pa.Table, p: pa.Table) -> pa.Table:
-        d = _distances(t, p)
-        cells = d.argmin(axis=1)
-        out = [(space, int(c), float(d[cells == c, c].max())) for c in np.unique(cells)]
-        return pa.table({"space": [x[0] for x in out], "pivot": pa.array([x[1] for x in out], pa.int32()), "r": pa.array([x[2] for x in out], pa.float64())})
+        d, mine, own = own_cells(t, p)
+        out = [(space, int(c), float(d[mine & (own == c), c].max())) for c in np.unique(own[mine])]
+        return pa.table({"space": pa.array([x[0] for x in out], pa.string()), "pivot": pa.array([x[1] for x in out], pa.int32()), "r": pa.array([x[2] for x in out], pa.float64())})
 
     radii = _with_pivots(points, pivots, parts, nearest, "space string, pivot int, r double").groupBy("space", "pivot").agg(F.max("r").alias("r"))
-    known = save(pivots.join(radii, ["space", "pivot"], "left"), "radii")
+    known = save(pivots.join(radii, ["space", "pivot"], "left"), f"{name}-radii")
 
     def deal(space: str, t: pa.Table, p: pa.Table) -> pa.Table:
-        d = _distances(t, p)
-        own = d.argmin(axis=1)
+        d, mine, own = own_cells(t, p)
+        rows = np.arange(len(d))
         r = p["r"].fill_null(-np.inf).to_numpy() if len(p) else np.zeros(1)
-        visit = (d <= r + e) & (d <= d[np.arange(len(d)), own][:, None] + 2 * e)
-        visit[np.arange(len(d)), own] = True
+        visit = (d <= r + e) & (d <= d[rows, own][:, None] + 2 * e)
+        visit[rows[mine], own[mine]] = True
         at, cell = np.nonzero(visit)
-        rows = t.select(["rep", "weight", "body"]).take(pa.array(at))
-        return pa.table({"space": pa.array([space] * len(at), pa.string()), "at": pa.array(cell.astype(np.int32)), "mine": pa.array(own[at] == cell), **{c: rows[c] for c in rows.column_names}})
-
-    dealt = _with_pivots(points, known, parts, deal, f"space string, at int, mine boolean, rep {kind}, weight long, body binary")
+        held = t.select(["digest", "pid", "weight", "body"]).take(pa.array(at))
+        names = pa.array([f"{space}/{c}" for c in range(d.shape[1])], pa.string()).take(pa.array(cell))
+        return pa.table({"space": names, **{c: held[c] for c in held.column_names}, "mine": pa.array(mine[at] & (own[at] == cell))})
+
+    return save(_with_pivots(points, known, parts, deal, "space string, digest string, pid long, weight long, body binary, mine boolean"), f"{name}-cells")
+
+
+def _links(left: pa.Table, right: pa.Table, same: bool, threshold: float) -> pa.Table:
+    """Links between two blocks of a cell: (pid, with) that ties what is linked, and n, the rows near each of a block's own points."""
+    a, b = _matrix(left["body"]), _matrix(right["body"])
+    pids = np.concatenate([left["pid"].to_numpy(), right["pid"].to_numpy()])
+    mine = [t["mine"].to_numpy(zero_copy_only=False) for t in (left, right)]
+    weight = [t["weight"].to_numpy() for t in (left, right)]
+    na, nb = len(left), len(right)
+    n = [np.zeros(na, dtype=np.int64), np.zeros(nb, dtype=np.int64)]
+    parent = np.arange(na + nb)
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def tie(i: int, j: int) -> None:
+        i, j = root(i), root(j)
+        parent[max(i, j)] = min(i, j)
+
+    if same:
+        for i in range(na):
+            tie(i, na + i)
+    for at in range(0, na, STRIP) if nb else ():
+        near = a[at : at + STRIP] @ b.T >= threshold
+        if same:
+            near[np.arange(len(near)), at + np.arange(len(near))] = True
+        near &= mine[0][at : at + STRIP, None] | mine[1][None, :]  # two visitors meet where one of them is at home
+        n[0][at : at + STRIP] = near @ weight[1]
+        if not same:
+            n[1] += weight[0][at : at + STRIP] @ near
+        for i in np.flatnonzero(near.any(axis=1)):
+            for k in np.unique(parent[na + np.flatnonzero(near[i])]).tolist():
+                tie(at + i, k)
+    top = pids[[root(i) for i in range(na + nb)]] if na + nb else pids
+    own = np.concatenate([mine[0], np.zeros(nb, dtype=bool) if same else mine[1]])
+    keep = own | (top != pids)
+    counts = np.where(own, np.concatenate(n), 0)
+    return pa.table({"pid": pa.array(pids[keep]), "with": pa.array(top[keep]), "n": pa.array(counts[keep], pa.int64())})
+
+
+def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, label: str = "label", cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) per row of vectors (vec_id, label, embedding)."""
+    rows = save(_pack(vectors, label), "vectors")
+    usable = rows.where("body is not null")
+    points = usable.groupBy("space", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("body").alias("body"))
+    points = save(points.withColumns({"pid": F.monotonically_increasing_id(), "mine": F.lit(True)}), "points")
+    e = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
+    wide = _split(points, e, lambda n: F.ceil(F.sqrt(F.ceil(n / cell_rows))), "wide")
+    cells = _split(wide, e, lambda n: F.ceil(n / cell_rows), "narrow")
+    blocks = save(cells.groupBy("space").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")), "cell-blocks")
+    dealt = cells.join(blocks, "space").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("space", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "pid", "weight", "body", "mine")
 
     def join(key: tuple, t: pa.Table) -> pa.Table:
-        t = t.sort_by([("mine", "descending"), ("rep", "ascending")])
-        mine = int(np.count_nonzero(t["mine"].to_numpy(zero_copy_only=False)))
-        x, reps, weight = _matrix(t["body"]), t["rep"].to_numpy(), t["weight"].to_numpy()
-        parent = np.arange(len(x))
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        links = np.zeros(mine, dtype=np.int64)
-        for a in range(0, mine, STRIP):
-            near = x[a : min(mine, a + STRIP)] @ x.T >= threshold
-            near[np.arange(len(near)), a + np.arange(len(near))] = True
-            links[a : a + len(near)] = near @ weight - 1
-            for i in range(len(near)):
-                ri = root(a + i)
-                for k in np.unique(parent[np.flatnonzero(near[i])]):
-                    rk = root(int(k))
-                    if rk != ri:
-                        lo, hi = min(ri, rk), max(ri, rk)
-                        parent[hi] = lo
-                        ri = lo
-        top = np.array([root(i) for i in range(len(x))], dtype=np.int64)
-        n = np.concatenate([links, np.full(len(x) - mine, -1)])
-        keep = (n >= 0) | (top != np.arange(len(x)))  # visitors only if they are linked
-        return pa.table({"rep": pa.array(reps[keep]), "with": pa.array(reps[top[keep]]), "n_links": pa.array(n[keep])})
-
-    found = save(dealt.groupBy("space", "at").applyInArrow(join, f"rep {kind}, with {kind}, n_links long"), "links")
-    classes = components(found.select(F.col("rep").alias("a"), F.col("with").alias("b")), alone=False)
-    result = found.where("n_links >= 0").select("rep", "n_links").join(classes, F.col("rep") == F.col("id"), "left").select("rep", "n_links", F.coalesce("component", "rep").alias("component"))
-    per_id = rows.select("vec_id", "space", "digest").join(points.select("space", "digest", "rep"), ["space", "digest"]).join(result, "rep").select(F.col("vec_id").alias("_v"), "n_links", "component")
-    out = vectors.select("vec_id").join(per_id, F.col("vec_id") == F.col("_v"), "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+        i, j = key[1].as_py(), key[2].as_py()
+        t = t.sort_by("pid")
+        block = t["block"].to_numpy()
+        left, right = (t.filter(pa.array(block == k)) for k in (i, j))
+        return _links(left, right, i == j, threshold)
+
+    found = save(dealt.groupBy("space", "i", "j").applyInArrow(join, "pid long, with long, n long"), "links")
+    n_links = found.groupBy("pid").agg((F.sum("n") - 1).alias("n_links"))
+    of_row = save(usable.select("vec_id", "space", "digest").join(points.select("space", "digest", "pid"), ["space", "digest"]).select("vec_id", "pid"), "row-points")
+    several = of_row.groupBy("vec_id").agg(F.min("pid").alias("low"), F.max("pid").alias("high")).where("low != high").select("vec_id", "low")
+    tied = of_row.join(save(several, "repeated-ids"), "vec_id").select(F.col("pid").alias("a"), F.col("low").alias("b"))
+    classes = save(components(found.where("pid != with").select(F.col("pid").alias("a"), F.col("with").alias("b")).union(tied), alone=False), "components")
+    names = save(classes.join(points.select(F.col("pid").alias("id"), "rep"), "id").groupBy("component").agg(F.min("rep").alias("name")), "component-names")
+    named = classes.join(names, "component").select(F.col("id").alias("pid"), "name")
+    per = points.select("pid", "rep").join(n_links, "pid").join(named, "pid", "left").select("pid", "n_links", F.coalesce("name", "rep").alias("component_id"))
+    linked = of_row.join(save(per, "per-point"), "pid").select("vec_id", "n_links", "component_id")
+    ids = linked.select(F.col("vec_id").alias("_id"), "component_id").distinct()
+    lone = rows.where("body is null").select("vec_id").join(ids, F.col("vec_id") == F.col("_id"), "left")
+    out = linked.union(lone.select("vec_id", F.lit(0).cast("long"), F.coalesce("component_id", "vec_id")))
+    return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("component_id") == F.col("vec_id"), F.lit(True)).alias("kept"))

@@ -44,32 +44,60 @@ def vectors():
     return [(i, None if v is None else [float(x) for x in v], label) for i, (v, label) in enumerate(rows)] + [(900, [1.0] * 7 + [None], 1)]
 
 
-@pytest.mark.parametrize("cell_rows", [10, 40, 4096])
-def test_range_join_equals_brute_force(spark, cell_rows):
+@pytest.mark.parametrize("cell_rows,block_rows", [(3, 7), (10, 4096), (40, 16), (4096, 4096), (4096, 50)])
+def test_range_join_equals_brute_force(spark, cell_rows, block_rows):
     rows = vectors()
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
-    got = {r["vec_id"]: r for r in embeddings.near_vectors(frame, cell_rows=cell_rows).collect()}
-    pairs = []
-    for i, v, a in rows:
-        for j, w, b in rows:
-            if i < j and a is not None and a == b and v and w and len(v) == len(w) and None not in v + w:
-                x, y = (np.array(z) / np.abs(z).max() for z in (v, w))
-                with np.errstate(invalid="ignore"):
-                    if x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.93:
-                        pairs.append((i, j))
-    links, component = Counter(i for p in pairs for i in p), union(pairs, [r[0] for r in rows])
+    frame = spark.createDataFrame([(*r, "clash", 1) for r in rows], "vec_id long, embedding array<double>, label int, space string, pid int").repartition(3)
+    got = {r["vec_id"]: r for r in embeddings.near_vectors(frame, cell_rows=cell_rows, block_rows=block_rows).collect()}
+    pairs = brute_links(rows)
+    links, component = Counter(i for p in pairs for i in p), union([(rows[i][0], rows[j][0]) for i, j in pairs], [r[0] for r in rows])
     assert len(pairs) > 1000 and len(got) == len(rows)
-    for i, r in got.items():
-        assert (r["n_links"], r["component_id"], r["kept"]) == (links[i], component[i], component[i] == i)
+    for i, r in enumerate(rows):
+        r = got[r[0]]
+        assert (r["n_links"], r["component_id"], r["kept"]) == (links[i], component[rows[i][0]], component[rows[i][0]] == rows[i][0])
+
+
+def brute_links(rows):
+    """Pairs of places of rows (vec_id, vector, label) that link."""
+    pairs = []
+    for i, (a, v, x) in enumerate(rows):
+        for j, (b, w, y) in enumerate(rows[:i]):
+            if a is not None and b is not None and x is not None and x == y and v and w and len(v) == len(w) and None not in v + w and np.isfinite(v + w).all() and any(v) and any(w):
+                v1, w1 = (np.array(z) / np.abs(z).max() for z in (v, w))
+                if v1 @ w1 / np.sqrt((v1 @ v1) * (w1 @ w1)) >= 0.93:
+                    pairs.append((j, i))
+    return pairs
 
 
 def test_range_join_of_repeated_ids_and_nothing(spark):
-    schema = "vec_id long, label int, embedding array<float>"
-    same = spark.createDataFrame([(1, 1, [1.0, 0.0]), (1, 1, [1.0, 0.0]), (2, 1, [1.0, 0.1]), (None, 1, [1.0, 0.0])], schema)
-    assert sorted((str(r["vec_id"]), r["n_links"]) for r in embeddings.near_vectors(same).collect()) == [("1", 1), ("1", 1), ("2", 1), ("None", 0)]
+    schema = "vec_id long, embedding array<float>, label int"
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1), (None, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (3, [0.1, 1.0], 1), (4, [0.0, 1.0], 2), (2, None, 1), (5, None, 1), (3, [1.0, 0.0], 2)]
+    same = spark.createDataFrame(rows, schema)
+    ids = [r[0] for r in rows]
+    pairs = brute_links(rows)
+    links = Counter(i for p in pairs for i in p)
+    component = union([(ids[i], ids[j]) for i, j in pairs], [i for i in ids if i is not None]) | {None: None}
+    got = embeddings.near_vectors(same, cell_rows=1).collect()
+    assert Counter(map(tuple, got)) == Counter((v, links[i], component[v], v is None or component[v] == v) for i, v in enumerate(ids))
+    assert component[3] == component[2] == 1 and links[2] == 2
     assert embeddings.near_vectors(same.limit(0)).collect() == []
 
 
+def test_points_meet_few_pivots(spark):
+    """Clustered vectors visit few of the cells."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=16) * 0.05 + c], 1) for i, c in enumerate(np.repeat(rng.normal(size=(40, 16)), 25, axis=0))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    points = embeddings._pack(frame, "label").selectExpr("space", "digest", "vec_id as pid", "1L as weight", "body", "true as mine")
+    from pyspark.sql import functions as F
+
+    wide = embeddings._split(points, 0.38, lambda n: F.ceil(F.sqrt(F.ceil(n / 20))), "wide")
+    cells = embeddings._split(wide, 0.38, lambda n: F.ceil(n / 20), "narrow")
+    assert wide.where("mine").count() == cells.where("mine").count() == len(rows)
+    n_cells = cells.select("space").distinct().count()
+    assert n_cells > 20 and cells.count() < 0.25 * n_cells * len(rows)
+
+
 def texts():
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))

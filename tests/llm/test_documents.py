@@ -150,13 +150,13 @@ def test_language_learns_and_marks_und(spark, empty):
 
 
 def test_language_costs_equal_a_plain_tree():
-    texts = {"a": [b"abracadabra", b"abra"], "b": [b"banana band"]}
+    texts = {"a": [b"abracadabra", b"abra"], "b": [b"banana band", "\u043f\u0440\u0438\u0432\u0435\u0442 \u4e2d\u6587".encode()]}
     model = language.fit(texts)
 
     def cost(lang, text):
         counts = [defaultdict(lambda: defaultdict(int)) for _ in range(4)]
         for t in texts[lang]:
-            s = [0] * 3 + [int(model.symbol[c]) for c in t]
+            s = [0] * 3 + list(t)
             for i in range(3, len(s)):
                 for k in range(4):
                     counts[k][tuple(s[i - k : i])][s[i]] += 1
@@ -165,11 +165,11 @@ def test_language_costs_equal_a_plain_tree():
             seen = counts[k].get(tuple(context[3 - k :]), {})
             n, d = sum(seen.values()), len(seen)
             if k == 0:
-                return (seen.get(x, 0) + 0.5) / (n + 0.5 * model.n)
+                return (seen.get(x, 0) + 0.5) / (n + 0.5 * 256)
             lower = p(k - 1, context, x)
             return lower if not n else seen[x] / (n + d) if x in seen else d / (n + d) * lower
 
-        s, total = [0] * 3 + [int(model.symbol[c]) for c in text], 0.0
+        s, total = [0] * 3 + list(text), 0.0
         for i in range(3, len(s)):
             total -= np.log2(p(3, s[i - 3 : i], s[i]))
         return total
@@ -178,10 +178,28 @@ def test_language_costs_equal_a_plain_tree():
 
     for block in (3, 1 << 19):
         language.BLOCK, old = block, language.BLOCK
-        got, _ = language.code_lengths(model, pa.array(["abba", "", "banana", "zz"]))
+        some = ["abba", "", "banana", "zz", "\u043f\u0440\u0438\u4e2d"]
+        got, _ = language.code_lengths(model, pa.array(some))
         language.BLOCK = old
-        for i, t in enumerate([b"abba", b"", b"banana", b"zz"]):
-            assert np.allclose(got[i], [cost("a", t), cost("b", t)], rtol=1e-5)
+        for i, t in enumerate(some):
+            assert np.allclose(got[i], [cost("a", t.encode()), cost("b", t.encode())], rtol=1e-5)
+
+
+def test_language_knows_every_label_and_alphabet(spark):
+    """More languages than any cap of old, in several scripts, each learned and told apart."""
+    rng = random.Random(4)
+    rows = []
+    for lang in range(90):
+        base = [0x61, 0x430, 0x3B1, 0x4E00, 0xAC00][lang % 5]
+        own = [chr(base + x) for x in rng.sample(range(300 if base > 0x4000 else 24), 9)]
+        rows += [(90 * k + lang, " ".join("".join(rng.choice(own) for _ in range(5)) for _ in range(60)), f"l{lang:02d}") for k in range(6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.train(frame.where("doc_id < 450"))
+    assert model.languages == [f"l{i:02d}" for i in range(90)]
+    got = language.predict(frame.where("doc_id >= 450"), model).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.95
+    small = language.train(frame.where("doc_id < 450"), fit_bytes=1, fit_total=90)
+    assert small.languages == model.languages
 
 
 def test_mix_takes_each_budget(docs, empty):

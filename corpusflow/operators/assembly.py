@@ -46,7 +46,7 @@ def title_anchors(blocks: DataFrame, section: list[str], order: list[str], rank:
     """One anchor per section: of the blocks of the best title rank the only one, or the first of several that only
     header, footer or blank blocks part; none otherwise. blocks: all blocks with type, text, rank (null: no title)."""
     w = Window.partitionBy(*section).orderBy(*order)
-    solid = ~F.col("type").isin("header", "footer") & (F.trim(F.coalesce("text", F.lit(""))) != "")
+    solid = ~F.col("type").isin("header", "footer") & (X.strip(F.coalesce("text", F.lit(""))) != "")
     best = F.max(rank).over(Window.partitionBy(*section))
     marked = blocks.withColumns({"_best": F.coalesce(F.col(rank) == best, F.lit(False))})
     marked = marked.withColumn("_between", F.sum((solid & ~F.col("_best")).cast("int")).over(w)).where("_best")

@@ -98,48 +98,60 @@ def theory_specs(toc: DataFrame, partition: list[str], order: str = "ord") -> Da
     return joined.withColumn("parent_section_id", F.when(F.col("_at") < F.col(order), F.col("parent_number"))).drop("_at", "parent_number")
 
 
-def has_title(lines: Column, name: Column, strong: bool) -> Column:
-    """Whether a page's lines hold the title: lines 2 to 5 (strong) or any but the first, the running header.
+#: What may follow a name in its title line: options in braces or not, more names, an ellipsis (fixed values).
+TITLE_OPTIONS = r"(?:_(?:[A-Z][A-Z0-9]*_)?(?:OPTION[A-Z0-9]*|\{OPTION[A-Z0-9]*\})(?:_(?:[A-Z][A-Z0-9]*|\{OPTION[A-Z0-9]*\}))*(?:_\.\.\.(?:_(?:[A-Z][A-Z0-9]*|\{OPTION[A-Z0-9]*\}))*)*)$"
 
-    The entry's name may be followed by option suffixes in any brackets; white space is one blank."""
-    body = F.slice(lines, 2, 4) if strong else F.when(F.size(lines) > 1, F.slice(lines, F.lit(2), F.size(lines))).otherwise(F.array().cast("array<string>"))
-    return F.exists(body, lambda x: F.regexp_replace(x, r"(?:[ _]*(?:[{<\[(][A-Za-z0-9_ ]*[}>\])]|\.\.\.|…))+\s*$", "") == name)
+
+def title_lines(pages: DataFrame, partition: list[str]) -> DataFrame:
+    """(partition, pdf_page, _key, strong): each line that may be a title, as it is and without its options, a page's
+    first line (the running header) left out; strong: among lines 2 to 5. Contents pages have none."""
+    lines = pages.where(~F.col("is_toc")).select(*partition, "pdf_page", F.posexplode("lines").alias("_at", "_line")).where("_at > 0")
+    line = X.title_key(F.col("_line"))
+    keys = lines.withColumn("_line", line).withColumn("_key", F.explode(F.array_distinct(F.array("_line", F.regexp_replace("_line", TITLE_OPTIONS, "")))))
+    return keys.groupBy(*partition, "pdf_page", "_key").agg(F.max(F.col("_at") <= 4).alias("strong"))
 
 
 def locate_starts(specs: DataFrame, pages: DataFrame, partition: list[str]) -> DataFrame:
-    """specs (ord, name, manual_page) with start_page: a fold over the contents with a cursor that never falls.
+    """specs (ord, name, manual_page) with start_page and code: a fold over the contents with a cursor that never falls.
 
     Candidates are the pages whose footer bears the entry's printed page. The first at or after the cursor with a
-    strong title is taken, else with a weak one; without a titled candidate, the first later page that is no
-    contents page and has a strong title, else a weak one; else the first candidate. pages: pdf_page, manual_page,
-    is_toc, lines. The lists a fold needs are those of one document.
+    strong title is taken, else with a weak one; without a titled candidate, the first page from there on that is no
+    contents page and has a strong title, else a weak one (ANCHOR_CONFLICT if there was a candidate); else the first
+    candidate (TOC_PAGE_TITLE_NOT_FOUND), else none (TOC_ENTRY_UNRESOLVED). pages: pdf_page, manual_page, is_toc, lines.
+    Titles and printed pages are met by equal keys; the lists a fold needs are those of one document.
     """
-    p = pages.select(*partition, "pdf_page", "manual_page", "is_toc", "lines")
-    met = specs.join(p.select(*partition, "pdf_page", F.col("manual_page").alias("_printed"), "is_toc", "lines"), partition)
-    here = F.col("_printed") == F.col("manual_page")
-    met = met.where(~F.col("is_toc")).withColumns({"_strong": has_title(F.col("lines"), F.col("name"), True), "_weak": has_title(F.col("lines"), F.col("name"), False), "_here": F.coalesce(here, F.lit(False))})
-    met = met.where("_strong or _weak or _here")
-    lists = met.groupBy(*partition, "ord").agg(F.sort_array(F.collect_list(F.struct("pdf_page", "_strong", "_weak", "_here"))).alias("c"))
-    per = specs.join(lists, [*partition, "ord"], "left").groupBy(*partition).agg(F.sort_array(F.collect_list(F.struct("ord", F.coalesce("c", F.array().cast("array<struct<pdf_page:int,_strong:boolean,_weak:boolean,_here:boolean>>")).alias("c")))).alias("specs"))
+    named = specs.select(*partition, "ord", X.title_key(F.col("name")).alias("_key"), "manual_page")
+    titled = named.join(title_lines(pages, partition), [*partition, "_key"]).select(*partition, "ord", "pdf_page", "strong", F.lit(True).alias("weak"), F.lit(False).alias("here"))
+    printed = named.join(pages.where(~F.col("is_toc")).select(*partition, "pdf_page", "manual_page"), [*partition, "manual_page"]).select(*partition, "ord", "pdf_page", F.lit(False), F.lit(False), F.lit(True))
+    met = titled.union(printed).groupBy(*partition, "ord", "pdf_page").agg(F.max("strong").alias("strong"), F.max("weak").alias("weak"), F.max("here").alias("here"))
+    lists = met.groupBy(*partition, "ord").agg(F.sort_array(F.collect_list(F.struct("pdf_page", "strong", "weak", "here"))).alias("c"))
+    bare = F.array().cast("array<struct<pdf_page:int,strong:boolean,weak:boolean,here:boolean>>")
+    per = specs.select(*partition, "ord").join(lists, [*partition, "ord"], "left").groupBy(*partition).agg(F.sort_array(F.collect_list(F.struct("ord", F.coalesce("c", bare).alias("c")))).alias("specs"))
     picked = F.aggregate(
         "specs",
-        F.struct(F.lit(1).alias("cursor"), F.array().cast("array<struct<ord:int,start_page:int>>").alias("starts")),
+        F.struct(F.lit(1).alias("cursor"), F.array().cast("array<struct<ord:int,start_page:int,code:string>>").alias("starts")),
         lambda a, s: _pick(a, s),
         lambda a: a["starts"],
     )
-    starts = per.select(*partition, F.explode(picked).alias("s")).select(*partition, "s.ord", "s.start_page")
+    starts = per.select(*partition, F.explode(picked).alias("s")).select(*partition, "s.ord", "s.start_page", "s.code")
     return specs.join(starts, [*partition, "ord"], "left")
 
 
 def _pick(a: Column, s: Column) -> Column:
-    def first(good):
-        return F.get(F.filter(s["c"], lambda c: (c["pdf_page"] >= a["cursor"]) & good(c)), F.lit(0))["pdf_page"]
-
-    page = F.coalesce(
-        first(lambda c: c["_here"] & c["_strong"]), first(lambda c: c["_here"] & c["_weak"]),
-        first(lambda c: c["_strong"]), first(lambda c: c["_weak"]), first(lambda c: c["_here"]),
-    )
-    entry = F.array(F.struct(s["ord"].cast("int").alias("ord"), page.cast("int").alias("start_page")))
+    def first(good, start):
+        return F.get(F.filter(s["c"], lambda c: (c["pdf_page"] >= start) & good(c)), F.lit(0))["pdf_page"]
+
+    candidate = first(lambda c: c["here"], a["cursor"])
+    confirmed = F.coalesce(first(lambda c: c["here"] & c["strong"], a["cursor"]), first(lambda c: c["here"] & c["weak"], a["cursor"]))
+    onward = F.coalesce(candidate, a["cursor"])
+    searched = F.coalesce(first(lambda c: c["strong"], onward), first(lambda c: c["weak"], onward))
+    page = F.coalesce(confirmed, searched, candidate)
+    code = (
+        F.when(page.isNull(), "TOC_ENTRY_UNRESOLVED")
+        .when(candidate.isNotNull() & confirmed.isNull() & searched.isNotNull(), "ANCHOR_CONFLICT")
+        .when(candidate.isNotNull() & confirmed.isNull(), "TOC_PAGE_TITLE_NOT_FOUND")
+    )
+    entry = F.array(F.struct(s["ord"].cast("int").alias("ord"), page.cast("int").alias("start_page"), code.alias("code")))
     return F.struct(F.greatest(a["cursor"], page).cast("int").alias("cursor"), F.concat(a["starts"], entry).alias("starts"))
 
 
@@ -147,10 +159,11 @@ def interpolate(pages: DataFrame, partition: list[str], order: str = "pdf_page",
     """pages with filled and evidence: a page between two known ones of one chapter, as far apart in print
     as in place, gets its number by counting. known: the printed number or null."""
     w = Window.partitionBy(*partition).orderBy(order)
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # the next known page is the last one in falling order: a frame that grows, where one that shrinks is gone over again for each row
+    back, ahead = (x.rowsBetween(Window.unboundedPreceding, Window.currentRow) for x in (w, Window.partitionBy(*partition).orderBy(F.desc(order))))
     chapter_of = F.col(chapter) if chapter else F.lit(0)
     at = F.when(F.col(known).isNotNull(), F.struct(F.col(order).alias("p"), F.col(known).alias("k"), chapter_of.alias("c")))
-    out = pages.withColumns({"_prev": F.last(at, True).over(back), "_next": F.first(at, True).over(ahead)})
+    out = pages.withColumns({"_prev": F.last(at, True).over(back), "_next": F.last(at, True).over(ahead)})
     fits = (F.col("_prev.c") == F.col("_next.c")) & (F.col("_next.p") - F.col("_prev.p") == F.col("_next.k") - F.col("_prev.k"))
     filled = F.when(F.col(known).isNotNull(), F.col(known)).when(fits, F.col("_prev.k") + F.col(order) - F.col("_prev.p"))
     given = F.col(evidence) if evidence else F.lit("footer")
@@ -174,19 +187,24 @@ def section_ranges(starts: DataFrame, partition: list[str], order: list[str], st
 
 def root_ranges(starts: DataFrame, partition: list[str], order: str, start: str, indent: str, end_of_content: str) -> DataFrame:
     """Like section_ranges for document roots: the end is the next start at indent 0."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    following = F.first(F.when(F.col(indent) == 0, F.col(start)), ignorenulls=True).over(w)
+    w = Window.partitionBy(*partition).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    following = F.last(F.when(F.col(indent) == 0, F.col(start)), ignorenulls=True).over(w)
     return starts.withColumn("end_page", F.greatest(F.col(start), F.coalesce(following, F.col(end_of_content))))
 
 
 def theory_ranges(starts: DataFrame, partition: list[str], order: str, start: str, number: str, end_of_content: str) -> DataFrame:
-    """The end of a numbered section is the next start of its depth or less."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    depth = F.size(X.number_path(F.col(number)))
-    later = F.collect_list(F.struct(depth.alias("d"), F.col(start).alias("s"))).over(w)
-    found = F.get(F.filter(later, lambda x: x["d"] <= F.col("_depth")), F.lit(0))["s"]
-    out = starts.withColumns({"_depth": depth, "_later": later}).withColumn("end_page", F.greatest(F.col(start), F.coalesce(found, F.col(end_of_content))))
-    return out.drop("_depth", "_later")
+    """The end of a numbered section is the next start of its depth or less.
+
+    One column for each depth that occurs (a number's parts) holds the next start of that depth or less; all share
+    one window, gone through once from the end."""
+    w = Window.partitionBy(*partition).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    out = starts.withColumn("_depth", F.size(X.number_path(F.col(number))))
+    deepest = out.agg(F.max("_depth")).first()[0] or 0  # one number
+    following = [F.last(F.when(F.col("_depth") <= d, F.col(start)), ignorenulls=True).over(w) for d in range(deepest + 1)]
+    out = out.withColumns({f"_next{d}": c for d, c in enumerate(following)})
+    found = F.coalesce(*[F.when(F.col("_depth") == d, F.col(f"_next{d}")) for d in range(deepest + 1)])
+    out = out.withColumn("end_page", F.greatest(F.col(start), F.coalesce(found, F.col(end_of_content))))
+    return out.drop("_depth", *[f"_next{d}" for d in range(deepest + 1)])
 
 
 def content_end(pages: DataFrame, partition: list[str], profile: str = "keyword") -> DataFrame:
@@ -201,6 +219,27 @@ def alias_map(lines: DataFrame, line: str = "line") -> DataFrame:
     return found.select(F.regexp_extract(line, ALIAS_LINE, 1).alias("alias"), X.slug(F.regexp_extract(line, ALIAS_LINE, 2)).alias("keyword_id")).distinct()
 
 
+def invert_aliases(by_alias: DataFrame, alias: str = "alias", ids: str = "ids", name: str = "keyword_id") -> DataFrame:
+    """(name, aliases): of each id all aliases that stand for it, sorted. by_alias: alias and its array of ids."""
+    pairs = by_alias.select(F.col(alias).alias("_alias"), F.explode(ids).alias(name))
+    return pairs.groupBy(name).agg(F.sort_array(F.collect_set("_alias")).alias("aliases"))
+
+
+def inspection_counts(starts: DataFrame, pagemap: DataFrame, issues: DataFrame, partition: list[str]) -> DataFrame:
+    """(partition, measure, value, n): entries by kind, pages by evidence and issues by code, long."""
+    by = lambda df, column, name: df.groupBy(*partition, F.lit(name).alias("measure"), F.coalesce(F.col(column), F.lit("none")).alias("value")).agg(F.count("*").alias("n"))
+    return by(starts, "kind", "kind").union(by(pagemap, "evidence", "evidence")).union(by(issues, "code", "issue"))
+
+
+def inspection_gate(stats: DataFrame, starts: DataFrame, issues: DataFrame, partition: list[str]) -> DataFrame:
+    """stats (of inspection_stats) with unresolved entries and error issues; passes asks for coverage and none of both."""
+    lost = starts.groupBy(*partition).agg(F.count(F.when(F.col("start_page").isNull(), 1)).alias("unresolved"))
+    bad = issues.groupBy(*partition).agg(F.count(F.when(F.col("severity") == "error", 1)).alias("errors"))
+    out = stats.join(lost, partition, "left").join(bad, partition, "left")
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("unresolved", "errors")})
+    return out.withColumn("passes", F.col("passes") & (F.col("unresolved") == 0) & (F.col("errors") == 0))
+
+
 def inspection_stats(pagemap: DataFrame, partition: list[str], profile: str = "keyword") -> DataFrame:
     """Per document: pages, pages by evidence, coverage and whether it reaches the profile's least."""
     counts = pagemap.groupBy(*partition, "evidence").agg(F.count("*").alias("n"))

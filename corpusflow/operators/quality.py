@@ -17,6 +17,18 @@ def token_table(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     return exploded.groupBy(*keys, "token").agg(F.count("*").alias("n"), F.min("at").alias("first"))
 
 
+def token_runs(rows: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """(key, run): the distinct runs of `size` tokens of each text."""
+    listed = rows.select(key, X.tokens(F.col(text)).alias("_t")).where(F.size("_t") >= size)
+    runs = F.transform(F.sequence(F.lit(1), F.size("_t") - size + 1), lambda i: F.array_join(F.slice("_t", i, F.lit(size)), " "))
+    return listed.select(key, F.explode(F.array_distinct(runs)).alias("run"))
+
+
+def shared_runs(a: DataFrame, b: DataFrame, a_key: str, b_key: str, text: str, size: int) -> DataFrame:
+    """(a_key, b_key): pairs of texts that share a run of `size` tokens."""
+    return token_runs(a, a_key, text, size).join(token_runs(b, b_key, text, size), "run").select(a_key, b_key).distinct()
+
+
 def token_recall(a: DataFrame, b: DataFrame, pairs: DataFrame, a_key: str, b_key: str) -> DataFrame:
     """For pairs of texts: token counts, overlap (sum of the lesser counts) and recall on both sides."""
     size = lambda t, k, name: t.groupBy(k).agg(F.sum("n").alias(name))
@@ -78,12 +90,22 @@ def entry_status(has_content: Column, has_issue: Column) -> Column:
     return F.when(~has_content, "failed").when(has_issue, "warning").otherwise("success")
 
 
-def ordered_digest(rows: DataFrame, keys: list[str], path: str, content: str) -> DataFrame:
-    """SHA-256 over path, NUL, SHA-256 of the content, NUL in path order, for each key: moves with any byte
-    of any member but holds one digest a member, not its bytes."""
-    part = F.concat(F.col(path).cast("string"), F.lit("\x01"), F.sha2(F.col(content).cast("binary"), 256), F.lit("\x01"))
-    per = rows.groupBy(*keys).agg(F.count("*").alias("members"), F.sort_array(F.collect_list(F.struct(F.col(path).alias("p"), part.alias("d")))).alias("parts"))
-    return per.select(*keys, "members", F.sha2(F.array_join(F.transform("parts", lambda x: x["d"]), "").cast("binary"), 256).alias("digest"))
+DIGEST_RANGE = 1_000
+
+
+def ordered_digest(rows: DataFrame, keys: list[str], path: str, content: str, range_rows: int = DIGEST_RANGE) -> DataFrame:
+    """A digest of each key's members (path and content) that moves with any byte of any of them.
+
+    A member's line is its path, a tab, the SHA-256 of its content and a newline. Members are numbered in path order, the
+    lines of each `range_rows` neighbours are digested together, and so are the digests of these ranges: no row or task
+    holds more than a range, or one digest a range. It is no digest of the bytes laid end to end, which one task would have to read."""
+    line = F.concat(F.col(path).cast("string"), F.lit("\t"), F.sha2(F.col(content).cast("binary"), 256), F.lit("\n"))
+    w = Window.partitionBy(*keys).orderBy(path, "_line")
+    placed = rows.select(*keys, F.col(path).alias(path), line.alias("_line")).withColumn("_range", F.floor((F.row_number().over(w) - 1) / range_rows))
+    joined = lambda c, sep="": F.sha2(F.array_join(F.transform(c, lambda x: x["d"]), sep).cast("binary"), 256)
+    ranges = placed.groupBy(*keys, "_range").agg(F.count("*").alias("_n"), F.sort_array(F.collect_list(F.struct(F.col(path).alias("p"), F.col("_line").alias("d")))).alias("_lines"))
+    ranges = ranges.select(*keys, "_range", "_n", joined(F.col("_lines")).alias("d"))
+    return ranges.groupBy(*keys).agg(F.sum("_n").alias("members"), F.sort_array(F.collect_list(F.struct("_range", "d"))).alias("_ranges")).select(*keys, "members", joined(F.col("_ranges")).alias("digest"))
 
 
 def reconcile(listed: DataFrame, present: DataFrame, key: str) -> DataFrame:
@@ -95,22 +117,27 @@ def reconcile(listed: DataFrame, present: DataFrame, key: str) -> DataFrame:
 
 
 def accounting(owned: DataFrame, accounted: DataFrame, keys: list[str]) -> DataFrame:
-    """Blocks owned but not accounted for (lost), accounted for but not owned (foreign), or assigned several times (multiple)."""
-    a, b = owned.select(*keys), accounted.select(*keys)
-    tag = lambda df, name: df.select(*keys, F.lit(name).alias("finding"))
-    several = b.groupBy(*keys).count().where("count > 1")
-    return tag(a.exceptAll(b).distinct(), "lost").union(tag(b.distinct().exceptAll(a.distinct()), "foreign")).union(tag(several, "multiple"))
+    """Blocks owned but not accounted for (lost), accounted for but not owned (foreign), or assigned several times (multiple).
+
+    One union and one grouping: each side is counted by its own column."""
+    both = owned.select(*keys, F.lit(1).alias("_a"), F.lit(0).alias("_b")).union(accounted.select(*keys, F.lit(0), F.lit(1)))
+    counts = both.groupBy(*keys).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    found = F.array(F.when(F.col("_a") > F.col("_b"), "lost"), F.when((F.col("_a") == 0) & (F.col("_b") > 0), "foreign"), F.when(F.col("_b") > 1, "multiple"))
+    return counts.select(*keys, F.explode(F.filter(found, lambda x: x.isNotNull())).alias("finding"))
 
 
 def required_evidence(rows: DataFrame, requirements: DataFrame, selectors: dict[str, str]) -> DataFrame:
     """requirements (minimum and a column per selector, null for any) with found and met.
 
-    selectors: requirement column -> column of rows. requirements is a short list, broadcast only if Spark
-    finds it below its own limit.
+    selectors: requirement column -> column of rows. The rows are counted for each subset of the selectors, a subset's
+    missing columns being any, so that a requirement meets its count by equal keys.
     """
-    counted = rows.groupBy(*selectors.values()).agg(F.count("*").alias("_n"))
-    match = reduce(lambda a, b: a & b, [requirements[r].isNull() | (requirements[r] == counted[c]) for r, c in selectors.items()])
-    met = requirements.join(counted, match, "left").groupBy(*[requirements[c] for c in requirements.columns]).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("found"))
+    counted = rows.cube(*selectors.values()).agg(F.grouping_id(*selectors.values()).alias("_any"), F.count("*").alias("_n"))
+    size = len(selectors)
+    mask = reduce(lambda a, b: a + b, [F.when(requirements[r].isNull(), 1 << (size - 1 - i)).otherwise(0) for i, r in enumerate(selectors)]).cast("long")
+    wanted = requirements.withColumn("_mask", mask)
+    match = reduce(lambda a, b: a & b, [wanted[r].eqNullSafe(counted[c]) for r, c in selectors.items()], wanted["_mask"] == counted["_any"])
+    met = wanted.join(counted, match, "left").select(*[wanted[c] for c in requirements.columns], F.coalesce("_n", F.lit(0)).alias("found"))
     return met.withColumn("met", F.col("found") >= F.col("minimum"))
 
 
@@ -122,14 +149,15 @@ def review_status(current: DataFrame, baseline: DataFrame, keys: list[str], iden
     return out.drop("_status", *[f"_{c}" for c in identity])
 
 
-def acceptance(measured: DataFrame, expected: DataFrame, measures: list[str]) -> DataFrame:
-    """One row: passes, and a message for each measure that is not as expected."""
-    e = expected.select(*[F.col(c).alias(f"_{c}") for c in measures])
-    both = measured.select(*measures).join(e, F.lit(True))  # one row each
+def acceptance(measured: DataFrame, expected: DataFrame, measures: list[str], keys: list[str] | None = None) -> DataFrame:
+    """For each key, or the one row there is: passes, and a message for each measure that is not as expected."""
+    keys = keys or []
+    e = expected.select(*keys, *[F.col(c).alias(f"_{c}") for c in measures])
+    both = measured.select(*keys, *measures).join(e, keys, "left") if keys else measured.select(*measures).join(e, F.lit(True))  # without keys one row each
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
     message = [F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.concat(F.lit(f"{c}: "), text(c), F.lit(" instead of "), text(f"_{c}"))) for c in measures]
     failures = F.filter(F.array(*message), lambda x: x.isNotNull())
-    return both.select((F.size(failures) == 0).alias("passes"), failures.alias("failures"))
+    return both.select(*keys, (F.size(failures) == 0).alias("passes"), failures.alias("failures"))
 
 
 def page_ir_issues(pages: DataFrame) -> DataFrame:
@@ -146,7 +174,7 @@ def page_ir_issues(pages: DataFrame) -> DataFrame:
         name((F.col("rowspan") < 1) | (F.col("colspan") < 1), "PAGEIR_INVALID_TABLE_SPAN"), name(F.col("row") + F.col("rowspan") > F.col("n_rows"), "PAGEIR_TABLE_SPAN_OUT_OF_BOUNDS"),
     )
     bad_cells = cells.select("document_id", "pdf_page", F.explode(F.filter(codes, lambda x: x.isNotNull())).alias("code"))
-    covered = cells.where("rowspan > 0 and colspan > 0 and column >= 0").withColumn("r", F.explode(F.expr("sequence(row, row + rowspan - 1)"))).withColumn("k", F.explode(F.expr("sequence(column, column + colspan - 1)")))
+    covered = cells.where("rowspan > 0 and colspan > 0 and column >= 0").where("row < n_rows").withColumn("r", F.explode(F.expr("sequence(row, least(row + rowspan, n_rows) - 1)"))).withColumn("k", F.explode(F.expr("sequence(column, column + colspan - 1)")))
     overlap = covered.groupBy("document_id", "pdf_page", "block", "r", "k").count().where("count > 1").select("document_id", "pdf_page", F.lit("PAGEIR_TABLE_SPAN_OVERLAP").alias("code"))
     severity = pages.select("document_id", "pdf_page", F.explode("issues").alias("i")).where(~F.col("i.severity").isin(*SEVERITIES)).select("document_id", "pdf_page", F.lit("PAGEIR_INVALID_ISSUE_SEVERITY").alias("code"))
     return reduce(DataFrame.union, [bad_page, bad_box, bad_cells, overlap, severity]).distinct()

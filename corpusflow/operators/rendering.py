@@ -30,8 +30,8 @@ def pipe_table(rows: Column) -> Column:
 
 def render_block(block: Column, page: Column) -> Column:
     """One block (type, text, rows) as Markdown, null where it shows nothing."""
-    text = F.trim(X.real_newlines(F.coalesce(block["text"], F.lit(""))))
-    bare = F.trim(F.regexp_replace(text, r"^\$\$|\$\$$", ""))
+    text = X.strip(X.real_newlines(F.coalesce(block["text"], F.lit(""))))
+    bare = X.strip(F.regexp_replace(text, r"^\$\$|\$\$$", ""))
     out = (
         F.when(block["type"].isin("header", "footer"), F.lit(None).cast("string"))
         .when(block["type"] == "table", pipe_table(grid(block["rows"])))
@@ -53,7 +53,7 @@ def render_body(parts: DataFrame, keys: list[str], order: list[str]) -> DataFram
     null where no bucket but the general one has content. parts: keys, order, bucket, md."""
     rank = F.coalesce(*[F.when(F.col("bucket") == b, F.lit(i)) for i, (b, _) in enumerate(BODY)])
     head = F.coalesce(*[F.when(F.col("bucket") == b, F.lit(f"## {h}")) for b, h in BODY])
-    p = parts.withColumns({"_rank": rank, "_head": head}).where("_rank is not null and trim(md) != ''")
+    p = parts.withColumns({"_rank": rank, "_head": head}).where("_rank is not null").where(X.strip("md") != "")
     sig = X.collapse(F.col("md"))
     p = p.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys, "bucket", sig).orderBy(*order))).where("_nth = 1")
     per = p.groupBy(*keys, "_rank", "_head").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, "md"))), lambda x: x["md"]), "\n\n").alias("_md"))

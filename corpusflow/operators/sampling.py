@@ -57,10 +57,11 @@ def holdout(sections: DataFrame, frozen: DataFrame, keys: list[str]) -> DataFram
     return sections.join(frozen.select(*keys).distinct(), keys, "left_anti")
 
 
-def sample_summary(sample: DataFrame, document: str, bucket: str) -> DataFrame:
-    """Counts by document and by bucket."""
-    by = lambda c: sample.groupBy(F.lit(c).alias("by"), F.col(c).cast("string").alias("value")).agg(F.count("*").alias("n"))
-    return by(document).union(by(bucket))
+def sample_summary(sample: DataFrame, document: str, bucket: str, features: str | None = None) -> DataFrame:
+    """Counts by document, by bucket and, where the array column is given, by feature."""
+    by = lambda df, c: df.groupBy(F.lit(c).alias("by"), F.col(c).cast("string").alias("value")).agg(F.count("*").alias("n"))
+    out = by(sample, document).union(by(sample, bucket))
+    return out.union(by(sample.select(F.explode(features).alias("feature")), "feature")) if features else out
 
 
 def bucketed(sections: DataFrame, pages: str) -> DataFrame:

@@ -77,7 +77,7 @@ def summary_is_redundant(definition: Column, summary: Column, supplied: Column)
 def variable_catalog(variables: DataFrame, section: list[str], order: list[str], name: str = "variable") -> DataFrame:
     """Variables in the order of their first occurrence, whatever the case."""
     w = Window.partitionBy(*section, F.lower(name)).orderBy(*order)
-    return variables.where(F.trim(name) != "").withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+    return variables.where(X.strip(name) != "").withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
 def match_variables(titles: DataFrame, catalog: DataFrame, title: str, name: str, scope: list[str] | None = None) -> DataFrame:
@@ -157,7 +157,7 @@ def variable_ranges(rows: DataFrame, table: list[str], order: list[str], variabl
     A row with a variable opens its range, and blank or continuation labels extend it; a row with another label closes it.
     """
     w = Window.partitionBy(*table).orderBy(*order)
-    blank = (F.trim(F.coalesce(F.col(label), F.lit(""))) == "") | F.col(label).rlike(r"(?i)^\s*\(?cont")
+    blank = X.is_continuation_label(F.coalesce(F.col(label), F.lit("")))
     mark = F.when(F.col(variable).isNotNull() | ~blank, F.struct(F.col(variable).alias("v")))
     out = rows.withColumn("_mark", mark)
     out = out.withColumns({"_held": F.last("_mark", ignorenulls=True).over(w)["v"], "_run": F.sum(F.col("_mark").isNotNull().cast("int")).over(w)})

@@ -38,12 +38,14 @@ RAW = "document_id string, pdf_page int, layout_result string, error string"
 def raw_stage(plan: DataFrame, state: DataFrame, provider: Provider, source: str = "source_sha256") -> tuple[DataFrame, DataFrame]:
     """(raw pages, state rows) of the planned pages that no checkpoint of this source and provider has done.
 
-    Quota errors leave a page paused_quota, any other failed; both are taken up by a later run.
+    Quota errors leave a page paused_quota, any other failed; both are taken up by a later run. The recogniser's
+    answers are written to the folder of spark.checkpoint.dir once, and both results read them there: it is the dearest step,
+    and a second run could answer otherwise.
     """
     mine = plan.withColumns({"provider": F.lit(provider.name), "model": F.lit(provider.model), "semantic_config_hash": F.lit(provider.identity())})
     identity = ["provider", "model", source, "semantic_config_hash"]
     todo = planning.pending(mine, state, ["document_id", "pdf_page"], identity, "status", ("raw_done", "done"))
-    raw = todo.mapInPandas(provider.recognise, RAW)
+    raw = todo.mapInPandas(provider.recognise, RAW).checkpoint()
     status = F.when(F.col("error").isNull(), "raw_done").when(F.startswith("error", F.lit("quota")), "paused_quota").otherwise("failed")
     rows = raw.join(todo.select("document_id", "pdf_page", *identity), ["document_id", "pdf_page"]).withColumn("status", status)
     return raw.where("error is null").drop("error"), rows.select("document_id", "pdf_page", "status", *identity, "error")
@@ -52,7 +54,7 @@ def raw_stage(plan: DataFrame, state: DataFrame, provider: Provider, source: str
 def page_stage(raw: DataFrame, page_text: DataFrame, attempts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(page tables, state rows): an empty page whose source is not blank is tried again once, then fails."""
     pages = adapting.page_blocks(raw)
-    blank = page_text.select("document_id", "pdf_page", (F.trim(F.coalesce("text", F.lit(""))) == "").alias("_blank"))
+    blank = page_text.select("document_id", "pdf_page", (X.strip(F.coalesce("text", F.lit(""))) == "").alias("_blank"))
     known = pages.join(blank, ["document_id", "pdf_page"], "left").join(attempts.select("document_id", "pdf_page", "empty_parse_attempts"), ["document_id", "pdf_page"], "left")
     empty = F.size("blocks") == 0
     tries = F.coalesce("empty_parse_attempts", F.lit(0)) + (empty & ~F.coalesce("_blank", F.lit(False))).cast("int")
@@ -103,7 +105,8 @@ def build_status(entries: DataFrame) -> DataFrame:
 
 def theory_entries(sections: DataFrame, blocks: DataFrame) -> DataFrame:
     """Blocks owned by theory sections: from a section's title to the next title of any section."""
-    match = blocks.join(sections.select("document_id", "section_id", "section_number", "title", "start_page", "end_page"), "document_id").where(F.col("pdf_page").between(F.col("start_page"), F.col("end_page")))
+    pages = sections.select("document_id", "section_id", "section_number", "title", F.explode(F.sequence("start_page", "end_page")).alias("pdf_page"))
+    match = blocks.join(pages, ["document_id", "pdf_page"])
     rank = F.when(X.theory_title_key(F.col("text")) == X.theory_title_key(F.concat_ws(" ", "section_number", "title")), 2)
     anchors = assembly.title_anchors(match.withColumn("rank", rank), ["document_id", "section_id"], ["pdf_page", "block_index"])
     marks = anchors.select("document_id", "section_id", "anchor.*")

@@ -174,19 +174,23 @@ def q12_status_rollup(t):
     return c.select("c_custkey", quality.worst(F.col("k")).alias("worst"), quality.entry_status(F.col("k").isNotNull(), F.col("k") > 1).alias("status"))
 
 
+#: Tokens in a row that make an item and a document a pair to compare.
+SHARED_RUN = 8
 RECALL = """
-bt AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+(?:[._-][a-z0-9]+)*')) AS token, unnest(range(len(regexp_extract_all(lower(text), '[a-z0-9]+(?:[._-][a-z0-9]+)*')))) AS pos FROM benchmark),
-dt AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+(?:[._-][a-z0-9]+)*')) AS token FROM documents),
+bl AS (SELECT item_id, regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+(?:[._-][a-z0-9]+)*') AS ts FROM benchmark),
+dl AS (SELECT doc_id, regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+(?:[._-][a-z0-9]+)*') AS ts FROM documents),
+bt AS (SELECT item_id, unnest(ts) AS token, unnest(range(len(ts))) AS pos FROM bl), dt AS (SELECT doc_id, unnest(ts) AS token FROM dl),
 b AS (SELECT item_id, token, count(*) AS n, min(pos) AS first FROM bt GROUP BY ALL), d AS (SELECT doc_id, token, count(*) AS n FROM dt GROUP BY ALL),
-rare AS (SELECT token FROM d GROUP BY token HAVING count(*) <= 5),
-pairs AS (SELECT DISTINCT item_id, doc_id FROM b JOIN d USING (token) WHERE token IN (SELECT token FROM rare))"""
+br AS (SELECT DISTINCT item_id, array_to_string(ts[i:i + 7], ' ') AS run FROM (SELECT item_id, ts, unnest(range(1, len(ts) - 6)) AS i FROM bl)),
+dr AS (SELECT DISTINCT doc_id, array_to_string(ts[i:i + 7], ' ') AS run FROM (SELECT doc_id, ts, unnest(range(1, len(ts) - 6)) AS i FROM dl)),
+pairs AS (SELECT DISTINCT item_id, doc_id FROM br JOIN dr USING (run))"""
 
 
 def recall_parts(t):
+    """Token tables of items and documents, and the pairs that share a run of SHARED_RUN tokens, however many share it."""
     b = quality.token_table(t("benchmark"), ["item_id"], "text")
     d = quality.token_table(t("documents"), ["doc_id"], "text")
-    rare = d.groupBy("token").count().where("count <= 5").select("token")
-    pairs = b.join(rare, "token", "left_semi").select("item_id", "token").join(d.select("doc_id", "token"), "token").select("item_id", "doc_id").distinct()
+    pairs = quality.shared_runs(t("benchmark"), t("documents"), "item_id", "doc_id", "text", SHARED_RUN)
     return b, d, pairs
 
 
@@ -252,24 +256,24 @@ def q19_conditions(t):
     return c.groupBy("flag", "c.variable", F.upper("c.operator").alias("operator"), F.array_join("c.values", "|").alias("operands")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH s AS (SELECT doc_id, len(regexp_extract_all(text, '(?i)the')) AS cards, len(regexp_extract_all(text, '[0-9]+')) AS conditions, length(text) - length(replace(text, '=', '')) AS formulas, len(regexp_extract_all(text, chr(10))) + 1 AS lines FROM documents WHERE text IS NOT NULL)
+@query("""WITH s AS (SELECT doc_id, len(regexp_extract_all(text, '(?i)the')) AS cards, len(regexp_extract_all(text, '[0-9]+')) AS conditions, length(text) - length(replace(text, '=', '')) AS formulas, len(regexp_extract_all(text, chr(10))) + 1 AS lines FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))
 SELECT doc_id, CAST(cards AS BIGINT) AS cards, CAST(conditions AS BIGINT) AS conditions, CAST(formulas AS BIGINT) AS formulas,
 concat_ws(',', CASE WHEN cards > 1 THEN 'cards' END, CASE WHEN conditions > 0 THEN 'conditions' END, CASE WHEN formulas > 0 THEN 'formulas' END) AS flags, CASE WHEN lines <= 2 THEN 'short' WHEN lines <= 6 THEN 'medium' ELSE 'long' END AS bucket FROM s""")
 def q20_feature_flags(t):
     count = lambda p: F.regexp_count("text", F.lit(p))
-    d = t("documents").where("text is not null").select("doc_id", count("(?i)the").alias("cards"), count("[0-9]+").alias("conditions"), sampling.signals(F.col("text"))["formulas"].alias("formulas"), (count("\n") + 1).alias("lines"))
+    d = t("documents").withColumn("text", F.coalesce("text", F.lit(""))).select("doc_id", count("(?i)the").alias("cards"), count("[0-9]+").alias("conditions"), sampling.signals(F.col("text"))["formulas"].alias("formulas"), (count("\n") + 1).alias("lines"))
     named = sampling.flags({"cards": F.col("cards") > 1, "conditions": F.col("conditions") > 0, "formulas": F.col("formulas") > 0})
     return d.select("doc_id", big("cards"), big("conditions"), big("formulas"), F.array_join(named, ",").alias("flags"), X.length_bucket(F.col("lines")).alias("bucket"))
 
 
 def stratified(t, seed: int) -> DataFrame:
-    d = t("documents").where("lang is not null").select("doc_id", "lang", X.length_bucket(F.col("n_chars"), 800, 2400).alias("bucket"))
+    d = t("documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("lang"), X.length_bucket(F.col("n_chars"), 800, 2400).alias("bucket"))
     return sampling.section_sample(d, "lang", "bucket", F.col("doc_id").cast("string"), seed)
 
 
 def strata_sql(name: str, seed: int) -> str:
     return f"""{name} AS (SELECT * FROM (SELECT doc_id, lang, bucket, row_number() OVER (PARTITION BY lang, bucket ORDER BY sha256('{seed}:' || lang || ':' || bucket || ':' || doc_id)) AS pick
-FROM (SELECT doc_id, lang, CASE WHEN n_chars <= 800 THEN 'short' WHEN n_chars <= 2400 THEN 'medium' ELSE 'long' END AS bucket FROM documents WHERE lang IS NOT NULL)) WHERE pick <= CASE bucket WHEN 'medium' THEN 4 ELSE 3 END)"""
+FROM (SELECT doc_id, coalesce(lang, 'none') AS lang, CASE WHEN n_chars <= 800 THEN 'short' WHEN n_chars <= 2400 THEN 'medium' ELSE 'long' END AS bucket FROM documents)) WHERE pick <= CASE bucket WHEN 'medium' THEN 4 ELSE 3 END)"""
 
 
 @query(f"WITH {strata_sql('s', sampling.SEED)} SELECT doc_id, lang, bucket, CAST(pick AS INT) AS pick FROM s")
@@ -295,18 +299,19 @@ def q24_review_pages(t):
     return ordered.review_places(manual_pages(t), ["user_id"], "page", "event_type").select("user_id", "page", "event_type")
 
 
-@query("""SELECT doc_id, 'missing' AS finding FROM (SELECT DISTINCT doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE text IS NOT NULL AND lang <> 'de'))
-UNION ALL SELECT doc_id, 'unlisted' FROM (SELECT DISTINCT doc_id FROM documents WHERE text IS NOT NULL AND lang <> 'de' AND doc_id NOT IN (SELECT doc_id FROM labels))
+@query("""SELECT doc_id, 'missing' AS finding FROM (SELECT DISTINCT doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))
+UNION ALL SELECT doc_id, 'unlisted' FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
 UNION ALL SELECT doc_id, 'duplicate' FROM labels GROUP BY doc_id HAVING count(*) > 1""")
 def q25_reconcile(t):
-    return quality.reconcile(t("labels"), t("documents").where("text is not null and lang != 'de'"), "doc_id")
+    return quality.reconcile(t("labels"), t("documents"), "doc_id")
 
 
-@query("""WITH p AS (SELECT source, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS path, text FROM documents WHERE text IS NOT NULL)
-SELECT source, CAST(count(*) AS BIGINT) AS members, sha256(string_agg(path || chr(1) || sha256(text) || chr(1), '' ORDER BY path)) AS digest FROM p GROUP BY source""")
+@query("""WITH p AS (SELECT source, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS path, coalesce(text, '') AS text FROM documents),
+r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY path) - 1) // 20 AS range FROM p), d AS (SELECT source, range, count(*) AS n, sha256(string_agg(path || chr(9) || sha256(text) || chr(10), '' ORDER BY path)) AS d FROM r GROUP BY source, range)
+SELECT source, CAST(sum(n) AS BIGINT) AS members, sha256(string_agg(d, '' ORDER BY range)) AS digest FROM d GROUP BY source""")
 def q26_tree_digest(t):
-    d = t("documents").where("text is not null").select("source", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), "text")
-    return quality.ordered_digest(d, ["source"], "path", "text")
+    d = t("documents").select("source", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), F.coalesce("text", F.lit("")).alias("text"))
+    return quality.ordered_digest(d, ["source"], "path", "text", 20)
 
 
 REQUIREMENTS = [("error", None, 1), ("click", 3, 1), ("purchase", 5, 100000), (None, 7, 2), ("none", None, 1)]
@@ -432,8 +437,7 @@ def q38_render_markdown(t):
 @query("""SELECT p_type AS keyword_id, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS aliases FROM part GROUP BY p_type""")
 def q39_alias_invert(t):
     by_alias = t("part").groupBy(F.col("p_brand").alias("alias")).agg(F.collect_set("p_type").alias("ids"))
-    inverted = by_alias.select("alias", F.explode("ids").alias("keyword_id")).groupBy("keyword_id").agg(F.sort_array(F.collect_set("alias")).alias("aliases"))
-    return inverted.select("keyword_id", F.array_join("aliases", ",").alias("aliases"))
+    return navigation.invert_aliases(by_alias).select("keyword_id", F.array_join("aliases", ",").alias("aliases"))
 
 
 @query("""SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS status FROM events GROUP BY user_id""")

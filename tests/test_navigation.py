@@ -93,7 +93,7 @@ def test_text_functions(spark):
     assert one(X.real_newlines(lit(r"a\nb \neq \nabla c\n"))) == "a\nb \\neq \\nabla c\n"
     assert one(X.theory_title_key(lit("The  $\\mathrm{Straße}$ – a_b"))) == "the strasse - a b"
     assert one(X.alias_tokens(lit("AB/C or D1"))) == ["AB", "C", "D1"] and one(X.alias_tokens(lit("AB or not, that"))) == []
-    assert one(X.field_triplet(lit("KID I none")))["default"] == "none" and one(X.field_triplet(lit("KID I none x"))) is None
+    assert one(X.field_triplet(lit("KID I none")))["default"] == "none" and one(X.field_triplet(lit("KID I none x")))["default"] == "none x" and one(X.field_triplet(lit("KID II none"))) is None
     assert one(X.variable_key(lit("`SF-A`_1 $x$"))) == "SFA1X"
     assert one(X.title_rank(lit("A_B_OPTION"), lit("A_B"))) == 1 and one(X.title_rank(lit("A_B"), lit("A_B"))) == 2 and one(X.title_rank(lit("A_BC"), lit("A_B"))) is None
     c = one(X.conditions(lit("Only if IOPT.EQ.1 or 2, and N.GT. 3.")))

@@ -68,6 +68,36 @@ def confusable_groups(values: DataFrame, value: str, partition: list[str] | None
     return groups.where(F.size("spellings") > 1)
 
 
+#: Findings of an entry and the flags that they raise, in order (fixed values).
+FINDINGS = (
+    ("dual_cards", "card_summary_definition_dual_render_candidate"), ("confusable", "confusable_identifier_candidate"),
+    ("literal_newlines", "literal_backslash_n_candidate"), ("fallback", "source_material_fallback_candidate"),
+)
+
+
+def entry_findings(entries: DataFrame, values: DataFrame, cards: DataFrame, keys: list[str]) -> DataFrame:
+    """entries (keys, markdown) with what a review should look at, and flags.
+
+    confusable: groups of identifiers (values: keys, value) that differ in case or o and 0 only; dual_cards: labels of cards (cards: keys,
+    label, summary, definition, redundant) shown by a summary that says more than the definition; literal_newlines: backslashes with
+    an n that stand for line ends; fallback: whether source material is shown as it is.
+    """
+    groups = confusable_groups(values.where(F.col("value") != ""), "value", keys).groupBy(*keys).agg(F.sort_array(F.collect_list("spellings")).alias("confusable"))
+    dual = cards.where("summary and definition and not redundant").groupBy(*keys).agg(F.sort_array(F.collect_set("label")).alias("dual_cards"))
+    text = F.coalesce("markdown", F.lit(""))
+    out = entries.join(groups, keys, "left").join(dual, keys, "left")
+    out = out.withColumns({"confusable": F.coalesce("confusable", F.array().cast("array<array<string>>")), "dual_cards": F.coalesce("dual_cards", F.array().cast("array<string>"))})
+    out = out.withColumns({"literal_newlines": X.literal_newlines(text), "fallback": F.contains(text, F.lit("## Source Material"))})
+    raised = {"dual_cards": F.size("dual_cards") > 0, "confusable": F.size("confusable") > 0, "literal_newlines": F.col("literal_newlines") > 0, "fallback": F.col("fallback")}
+    return out.withColumn("flags", F.filter(F.array(*[F.when(raised[name], F.lit(flag)) for name, flag in FINDINGS]), lambda x: x.isNotNull()))
+
+
+def detection_summary(statuses: DataFrame, issues: DataFrame, findings: DataFrame) -> DataFrame:
+    """(kind, name, n): entries by status, issues by code (text layer's among them) and entries by flag."""
+    by = lambda df, kind, name: df.groupBy(F.lit(kind).alias("kind"), F.col(name).alias("name")).agg(F.count("*").alias("n"))
+    return by(statuses, "status", "status").union(by(issues, "issue", "code")).union(by(findings.select(F.explode("flags").alias("flag")), "flag", "flag"))
+
+
 def severity_rank(severity: Column) -> Column:
     return F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), severity)
 

@@ -44,14 +44,6 @@ def buckets(blocks: DataFrame, section: list[str], order: list[str], text: str =
     return out.withColumn("bucket", bucket).drop("_label")
 
 
-def card_regions(rows: DataFrame, table: list[str], row: str = "row", first_cell: str = "label") -> DataFrame:
-    """Rows of a table with the card that they belong to: a row that starts `Card N` opens one."""
-    w = Window.partitionBy(*table).orderBy(row)
-    card = X.card_label(F.col(first_cell))
-    out = rows.withColumn("_card", card)
-    return out.withColumn("card", F.last("_card", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("opens_card", F.col("_card").isNotNull()).drop("_card")
-
-
 def slot_fields(cells: DataFrame, card: list[str], slot: str = "slot", label: str = "label", value: str = "value") -> DataFrame:
     """One record per slot: the cells of the Variable, Type and Default rows side by side; slots empty in all rows
     at a card's end go. cells: card columns, slot, label (of the row) and value (trimmed or null)."""

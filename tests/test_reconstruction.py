@@ -100,8 +100,6 @@ def test_variable_tables(spark):
     rows = [("t", 1, "A", "A"), ("t", 2, None, ""), ("t", 3, None, "EQ.1: on"), ("t", 4, None, "unknown"), ("t", 5, None, " "), ("t", 6, "B", "B")]
     got = semantics.variable_ranges(spark.createDataFrame(rows, "t string, row int, variable string, label string"), ["t"], ["row"]).collect()
     assert sorted((r["described"], r["row_start"], r["row_end"]) for r in got) == [("A", 1, 3), ("B", 6, 6)]
-    cards = semantics.card_regions(spark.createDataFrame([("t", 0, "Card 1"), ("t", 1, "Variable"), ("t", 2, "card 2b.1 x")], "t string, row int, label string"), ["t"]).orderBy("row").collect()
-    assert [r["card"] for r in cards] == ["1", "1", "2b.1"]
     names = semantics.variable_catalog(spark.createDataFrame([("t", 1, "Ab"), ("t", 2, "AB"), ("t", 3, "c"), ("t", 4, " ")], "t string, i int, variable string"), ["t"], ["i"])
     assert [r["variable"] for r in names.orderBy("i").collect()] == ["Ab", "c"]
 

@@ -1,8 +1,9 @@
-"""python -m corpusflow doctor | inspect | plan | adapt | reconstruct | sample: stages over Parquet tables."""
+"""python -m corpusflow doctor | inspect | plan | adapt | reconstruct | sample | build: stages over Parquet tables, or all of them."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,19 +11,21 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
 from corpusflow.operators import adapting, sampling
-from corpusflow.plans import build
+from corpusflow.plans import build, driver
 from corpusflow.sources import readers, writers
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="corpusflow", description=__doc__)
     stages = p.add_subparsers(dest="stage", required=True)
-    for name, inputs in (("doctor", ("config",)), ("inspect", ("pages", "out")), ("plan", ("sections", "out")), ("adapt", ("raw", "out")), ("reconstruct", ("sections", "page-ir", "out")), ("sample", ("sections", "out"))):
+    for name, inputs in (("doctor", ("config",)), ("inspect", ("pages", "out")), ("plan", ("sections", "out")), ("adapt", ("raw", "out")), ("reconstruct", ("sections", "page-ir", "out")), ("sample", ("sections", "out")), ("build", ("config", "pages", "sources", "provider", "out"))):
         s = stages.add_parser(name)
         for i in inputs:
             s.add_argument(f"--{i}", required=True)
         if name == "plan":
             s.add_argument("--max-batch-pages", type=int, default=1)
+        if name == "build":
+            s.add_argument("--baseline")
         if name == "sample":
             s.add_argument("--seed", type=int, default=sampling.SEED)
     return p
@@ -33,8 +36,15 @@ def sample(sections: DataFrame, seed: int) -> DataFrame:
     return sampling.section_sample(sampling.bucketed(pages, "page_count"), "document_id", "bucket", F.col("section_id"), seed)
 
 
+def plug_in(name: str):
+    """The object that `module:attribute` names, called if it is a class."""
+    module, _, attribute = name.partition(":")
+    found = getattr(importlib.import_module(module), attribute)
+    return found() if isinstance(found, type) else found
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    """Runs a stage; 0 for success, 1 for warnings, 2 for a failure."""
+    """Runs a stage; 0 for success, 1 for warnings, 2 for a failure, 3 for a build that is paused."""
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("corpusflow").getOrCreate()
     read = spark.read.parquet
@@ -43,6 +53,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for check, status, detail in checks:
             print(f"{status:8} {check}: {detail}")
         return build.EXIT_CODES["failed" if any(c[1] == "failed" for c in checks) else "warning" if any(c[1] == "warning" for c in checks) else "success"]
+    if a.stage == "build":
+        baseline = read(a.baseline) if a.baseline else None
+        return driver.run_build(spark, readers.BuildConfig.load(a.config), read(a.pages), read(a.sources), plug_in(a.provider), a.out, baseline, driver.Progress()).exit_code
     if a.stage == "inspect":
         for name, table in build.inspect(read(a.pages)).items():
             writers.write_table(table.drop("lines"), f"{a.out}/{name}")

@@ -190,6 +190,15 @@ def acceptance(measured: DataFrame, expected: DataFrame, measures: list[str], ke
     return both.select(*keys, (F.size(failures) == 0).alias("passes"), failures.alias("failures"))
 
 
+def corpus_measures(entries: DataFrame, issues: DataFrame) -> DataFrame:
+    """One row of measures of a corpus: entries, entries by status, issues by severity, and a digest of all Markdown."""
+    by = lambda name, value: F.count(F.when(F.col(name) == value, 1)).alias(f"{value}_{'entries' if name == 'status' else 'issues'}")
+    counts = entries.agg(F.count("*").alias("entries"), *[by("status", v) for v in ("success", "warning", "failed")])
+    found = issues.agg(F.count("*").alias("issues"), *[by("severity", v) for v in SEVERITIES])
+    digest = ordered_digest(entries.select(F.lit(1).alias("_all"), F.concat_ws("/", "document_id", "section_id").alias("path"), F.coalesce("markdown", F.lit("")).alias("markdown")), ["_all"], "path", "markdown").select("digest")
+    return counts.join(found, F.lit(True)).join(digest, F.lit(True), "left")  # one row each
+
+
 def page_ir_issues(pages: DataFrame) -> DataFrame:
     """(document_id, pdf_page, code) of the constraints that a page table (blocks with cells) breaks."""
     blocks = pages.select("document_id", "pdf_page", F.posexplode("blocks").alias("block", "b"))

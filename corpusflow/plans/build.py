@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
-from corpusflow.operators import adapting, assembly, navigation, planning, quality, rendering, semantics
+from corpusflow.operators import adapting, assembly, navigation, planning, quality, rendering
+from corpusflow.operators import sections as reading
+from corpusflow.schemas import BLOCK
 
 #: Exit codes of a build by its status, and attempts on an empty page before it fails (fixed values).
 EXIT_CODES = {"success": 0, "warning": 1, "failed": 2, "paused": 3}
@@ -75,23 +77,53 @@ def plan(sections: DataFrame, most: int = 1) -> DataFrame:
     return planning.plan_batches(starts, "document_id", "pdf_page", most, "starts")
 
 
+#: Issues that are for information only.
+INFO_CODES = ("KEYWORD_BOUNDARY_RESOLVED", "THEORY_HIERARCHICAL_PAGE_OVERLAP", "SOURCE_BLANK_PAGE")
+PAGE_BLOCKS = f"array<{BLOCK}>"
+
+
+def title_ranks(blocks: DataFrame) -> DataFrame:
+    """blocks with rank: how well a text or header block's only line is the section's name, null where it is not."""
+    short = F.when((F.col("type") != "table") & (F.length("text") <= 200), F.col("text"))
+    return blocks.withColumn("rank", X.title_rank(X.keyword_key(X.keyword_surface(short)), X.keyword_key(F.col("name"))))
+
+
+def own_blocks(blocks: DataFrame, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(blocks, issues): of a page that several sections share each keeps its part, cut at confirmed titles, or all keep the whole.
+
+    blocks: document_id, section_id, name, ord, start_page, end_page, pdf_page, block_index, type, text."""
+    keys = ["document_id", "section_id"]
+    ranked = title_ranks(blocks)
+    shared = assembly.shared_pages(claims).select("document_id", "pdf_page")
+    on_shared = ranked.join(shared, ["document_id", "pdf_page"], "left_semi")
+    anchors = assembly.title_anchors(on_shared.where("type != 'header'"), [*keys, "pdf_page"], ["block_index"]).select(*keys, "pdf_page", F.col("anchor.block_index").alias("anchor"))
+    owners = on_shared.groupBy(*keys, "pdf_page", "ord", F.col("start_page").alias("first_page"), F.col("end_page").alias("last_page")).agg((F.max("block_index") + 1).alias("n_blocks"))
+    slices = assembly.boundary_slices(owners.join(anchors, [*keys, "pdf_page"], "left"))
+    cut = ranked.join(slices.withColumnRenamed("code", "_code"), [*keys, "pdf_page"], "left")
+    kept = cut.where(F.col("_code").isNull() | F.col("block_index").between(F.col("first_block"), F.col("end_block") - 1))
+    kept = kept.withColumn("ambiguous", F.coalesce(F.col("_code") == "KEYWORD_BOUNDARY_AMBIGUOUS", F.lit(False))).drop("_code", "first_block", "end_block")
+    return kept, slices.select(*keys, "pdf_page", F.col("code").alias("issue"))
+
+
 def reconstruct(sections: DataFrame, page_ir: DataFrame) -> dict[str, DataFrame]:
     """Entries from sections (document_id, section_id, name, start_page, end_page) and page tables.
 
-    Gives blocks (every block of a section with its bucket), entries (markdown and status) and issues.
+    Gives blocks (every block of a section with its bucket and what it belongs to), entries (markdown and status) and issues.
     """
-    claims = sections.withColumn("pdf_page", F.explode(F.sequence("start_page", "end_page")))
-    assembled = assembly.assemble(claims, page_ir)
     keys = ["document_id", "section_id"]
-    blocks = assembled.where("blocks is not null").select(*keys, "name", "pdf_page", F.posexplode("blocks").alias("block_index", "block"))
+    order = F.col("ord") if "ord" in sections.columns else F.lit(0)
+    numbered = sections.withColumn("ord", order)
+    claims = numbered.withColumn("pdf_page", F.explode(F.sequence("start_page", "end_page")))
+    assembled = assembly.assemble(claims, page_ir)
+    blocks = assembled.where("blocks is not null").select(*keys, "name", "ord", "start_page", "end_page", "pdf_page", F.posexplode("blocks").alias("block_index", "block"))
     blocks = blocks.withColumns({"type": F.col("block.type"), "text": F.coalesce("block.text", F.lit(""))})
-    title = X.slug(F.regexp_replace("text", r"^[#*\s]+", "")) == X.slug(F.regexp_replace("name", r"^[#*\s]+", ""))
-    marked = semantics.buckets(blocks.withColumn("is_title", title), keys, ["pdf_page", "block_index"], title="is_title")
-    parts = marked.withColumn("md", rendering.render_block(F.col("block"), F.col("pdf_page"))).where("md is not null")
-    body = rendering.render_body(parts.select(*keys, "pdf_page", "block_index", "bucket", "md"), keys, ["pdf_page", "block_index"])
-    shared = assembly.shared_pages(claims).select("document_id", "pdf_page", F.explode("owners").alias("section_id"), F.lit("SECTION_SHARED_BOUNDARY_PAGE").alias("issue"))
-    issues = assembled.where("issue is not null").select(*keys, "pdf_page", "issue").unionByName(shared.select(*keys, "pdf_page", "issue"))
-    counted = issues.groupBy(*keys).agg(F.count("*").alias("n_issues"))
+    owned, cuts = own_blocks(blocks, claims)
+    ready = owned.withColumn("grid", F.when(F.col("type") == "table", adapting.grid(F.col("block.rows"))))
+    marked = reading.read_sections(ready, keys, ["pdf_page", "block_index"])
+    parts = marked.withColumn("md", rendering.render_block(F.col("block"), F.col("pdf_page"))).where("md is not null and part is not null")
+    body = rendering.render_body(parts.select(*keys, "pdf_page", "block_index", F.col("part").alias("bucket"), "md"), keys, ["pdf_page", "block_index"])
+    issues = assembled.where("issue is not null").select(*keys, "pdf_page", "issue").union(cuts).union(marked.where("issue is not null").select(*keys, "pdf_page", "issue"))
+    counted = issues.where(~F.col("issue").isin(*INFO_CODES)).groupBy(*keys).agg(F.count("*").alias("n_issues"))
     entries = sections.join(body, keys, "left").join(counted, keys, "left").withColumn("status", quality.entry_status(F.col("markdown").isNotNull(), F.coalesce("n_issues", F.lit(0)) > 0))
     return {"blocks": marked, "entries": entries.drop("n_issues"), "issues": issues}
 

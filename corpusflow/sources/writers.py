@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import uuid
+from pathlib import PurePosixPath
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow import schemas as S
@@ -19,9 +24,41 @@ def append_state(rows: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str, order: list[str] | None = None, null_fields: bool = False) -> None:
-    """Lines of JSON in a total order where one is given; small contract tables make one file."""
+    """Lines of JSON, in a total order over the parts by name where one is given."""
     out = df.orderBy(*order) if order else df
-    out.coalesce(1).write.mode("overwrite").option("ignoreNullFields", not null_fields).json(path)
+    out.write.mode("overwrite").option("ignoreNullFields", not null_fields).json(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def write_files(files: DataFrame, folder: str) -> int:
+    """files (path, value) as one file each under folder, written by the executors; the number of files.
+
+    A path that is absolute or leads out of the folder raises. A file is written beside its place and moved there, so that
+    a task that runs again leaves no half a file. folder is any address that pyarrow reads, without a scheme a shared local path.
+    """
+    address = folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}"
+
+    def run(frames):
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(address)
+        for frame in frames:
+            for path, value in zip(frame["path"], frame["value"]):
+                p = PurePosixPath(path)
+                if p.is_absolute() or ".." in p.parts or not p.parts:
+                    raise ValueError(f"no path inside the folder: {path!r}")
+                store.create_dir(f"{root}/{p.parent}", recursive=True)
+                beside = f"{root}/{p}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(beside) as out:
+                    out.write(value.encode())
+                store.move(beside, f"{root}/{p}")
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    return files.select("path", "value").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def navigation_documents(pagemap: DataFrame, sections: DataFrame, release: str) -> tuple[DataFrame, DataFrame]:
@@ -58,7 +95,37 @@ def manifest(entries: DataFrame) -> DataFrame:
     return entries.withColumn("markdown_path", path).orderBy("document_id", F.get("source_pages", F.lit(0))["pdf_page"], name)
 
 
-def write_markdown(entries: DataFrame, path: str) -> None:
-    """Entries (markdown_path, markdown) as texts, one partition folder an entry; entries without content are left out."""
-    rows = entries.where("markdown is not null").select(F.col("markdown").alias("value"), F.replace("markdown_path", F.lit("/"), F.lit("__")).alias("entry"))
-    rows.write.mode("overwrite").option("lineSep", "\n").partitionBy("entry").text(path)
+def write_markdown(entries: DataFrame, path: str) -> int:
+    """Entries (markdown_path, markdown) as files at their paths; entries without content make none. The number of files."""
+    return write_files(entries.where("markdown is not null").select(F.col("markdown_path").alias("path"), F.col("markdown").alias("value")), path)
+
+
+def write_corpus(spark: SparkSession, entries: DataFrame, issues: DataFrame, pagemap: DataFrame, config, provider, folder: str) -> None:
+    """Markdown files, manifest and issue lines in order, a summary and a header; all rows are written by the executors."""
+    from corpusflow.functions import text as X
+
+    named = entries.withColumn("markdown_path", F.concat_ws("/", "document_id", F.concat(X.safe_component(F.col("section_id")), F.lit(".md"))))
+    write_markdown(named, folder)
+    write_json(named.withColumn("markdown_path", F.when(F.col("markdown").isNotNull(), F.col("markdown_path"))).drop("markdown"), f"{folder}/manifest", ["document_id", "start_page", "section_id"], True)
+    write_json(issues, f"{folder}/issues", ["document_id", "pdf_page", "code"])
+    counts = entries.groupBy("status").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("status", "n")))).alias("entries"))
+    codes = issues.groupBy("code").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("code", "n")))).alias("issues"))
+    pages = pagemap.agg(F.count("*").alias("pages"), F.count_distinct("document_id").alias("documents"))
+    one = counts.join(codes, F.lit(True)).join(pages, F.lit(True))  # one row each
+    header = F.lit(f'schema_version: "{S.CORPUS_VERSION}"\nrelease: "{config.release}"\nparser:\n  provider: "{provider.name}"\n  model: "{provider.model}"\n')
+    summary = one.select(F.explode(F.array(F.struct(F.lit("summary.json").alias("path"), F.to_json(F.struct("documents", "pages", "entries", "issues")).alias("value")), F.struct(F.lit("corpus.yaml").alias("path"), header.alias("value")))).alias("f"))
+    write_files(summary.select("f.*"), folder)
+
+
+def write_acceptance(report: DataFrame, folder: str) -> bool:
+    """The gate's report as acceptance.json, whether it passes or not; whether it does."""
+    row = report.first()  # one row
+    kept = report.sparkSession.createDataFrame([row], report.schema)
+    write_files(kept.select(F.lit("acceptance.json").alias("path"), F.to_json(F.struct(*kept.columns)).alias("value")), folder)
+    return bool(row["passes"])
+
+
+def write_sample(sample: DataFrame, report: DataFrame, folder: str) -> None:
+    """A sample's manifest lines and its detection report."""
+    write_json(sample, f"{folder}/sample", sample.columns[:2], True)
+    write_json(report, f"{folder}/report", ["kind", "name"])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
-from corpusflow.operators import adapting, assembly, navigation, planning, quality, rendering, sampling, semantics
+from corpusflow.operators import adapting, assembly, cards, navigation, planning, quality, rendering, sampling, sections, semantics
 from corpusflow.plans import build
 from corpusflow.queries import MANUAL, big, manual_pages, query
 from corpusflow.schemas import BLOCK
@@ -498,3 +498,89 @@ def q96_sample_supplement(t):
 @query("""SELECT p_partkey, sha256('{"p_name":"' || p_name || '","p_size":' || CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS VARCHAR) ELSE 'null' END || '}') AS identity FROM part""")
 def q97_stage_identity(t):
     return t("part").select("p_partkey", "p_name", F.when(key() % 2 == 0, F.col("p_size")).alias("p_size")).select("p_partkey", planning.fingerprint("p_name", "p_size").alias("identity"))
+
+
+CARD_TABLES = """l AS (SELECT l_orderkey AS d, l_linenumber AS n, min(l_returnflag) AS f FROM lineitem GROUP BY ALL),
+r AS (SELECT d, n, f, row_number() OVER (PARTITION BY d ORDER BY n) - 1 AS row, CASE WHEN n % 4 = 1 THEN 'card' WHEN n % 4 = 3 AND d % 2 = 0 THEN 'slots' WHEN n % 4 = 2 THEN 'variable' ELSE 'other' END AS kind FROM l)"""
+
+
+def card_tables(t) -> DataFrame:
+    """An order's lines as rows of a table: cards, rows that number slots (for even keys), rows of variables and others."""
+    one = t("lineitem").groupBy(F.col("l_orderkey").alias("d"), F.col("l_linenumber").alias("n")).agg(F.min("l_returnflag").alias("f"))
+    w = Window.partitionBy("d").orderBy("n")
+    n = F.col("n")
+    cells = F.when(n % 4 == 1, F.array(F.concat(L("Card "), s(n), L(":")), L("1"), L("2"))).when((n % 4 == 3) & (F.col("d") % 2 == 0), F.array(F.concat(L("Slots "), s(n)), L("1"), L(" 2 "), L(" "))).when(n % 4 == 2, F.array(L("Variable"), F.concat(L("V"), s(n)), F.col("f"))).otherwise(F.array(L("Type"), L("I"), L("F")))
+    return one.select("d", (F.row_number().over(w) - 1).alias("row"), cells.alias("cells"))
+
+
+@query(f"""WITH {CARD_TABLES}, g AS (SELECT *, sum(CASE WHEN kind IN ('card', 'slots') THEN 1 ELSE 0 END) OVER (PARTITION BY d ORDER BY row) AS region FROM r)
+SELECT d, CASE WHEN min(row) FILTER (kind = 'card') IS NOT NULL THEN 'Card ' ELSE 'Slots ' END || arg_min(n, row) AS label, CAST(min(row) AS INT) AS row_start, CAST(max(row) + 1 AS INT) AS row_end FROM g WHERE region > 0 GROUP BY d, region
+HAVING count(*) FILTER (kind = 'card') > 0 OR count(*) FILTER (kind = 'variable') = 1""")
+def q98_card_regions(t):
+    return cards.card_regions(card_tables(t), ["d"], structural=F.col("d") % 2 == 0).select("d", "label", "row_start", "row_end")
+
+
+@query("""WITH k AS (SELECT p_partkey, p_partkey % 5 AS k, p_size, 'V' || p_size AS v FROM part)
+SELECT p_partkey, CASE k WHEN 0 THEN v || '/I/0,W/F/none' WHEN 1 THEN v || '/I/0,W/F/1.5' WHEN 2 THEN v || '/I/-,W/F/-' WHEN 3 THEN v || '/I/7,W/F/-' ELSE '-/I/-,-/F/-' END AS fields,
+CASE k WHEN 2 THEN 'CARD_DEFINITION_SLOT_HEADER_INVALID' WHEN 3 THEN 'CARD_DEFINITION_ROW_AMBIGUOUS' WHEN 4 THEN 'CARD_DEFINITION_VARIABLE_ROW_MISSING' ELSE '' END AS codes FROM k""")
+def q99_definition_fields(t):
+    v = F.concat(L("V"), s("p_size"))
+    head, types = F.array(L("Card 1"), L("1"), L("2")), F.array(L("Type"), L("I"), L("F"))
+    rows = pick(
+        key(), F.array(head, F.array(L("Variable"), v, L("W")), types, F.array(L("Default"), L("0"), L("none")), F.array(L("Variable"), L("Description")), F.array(L("Type"), L("X"), L("Y"))),
+        F.array(head, F.array(L("Variable Type Default"), F.concat(v, L(" I 0")), L("W\\nF\\n1.5"))),
+        F.array(F.array(L("Card 1"), L("1"), L("3")), F.array(L("Variable\\nType"), F.concat(v, L("  I")), L("W\\nF"))),
+        F.array(head, F.array(L("Variable Type Default"), v, L("W")), F.array(L("I"), L("F")), F.array(L("7"), L(" ")), F.array(L("Variable"), L("a"), L("b"))),
+        F.array(head, types),
+    )
+    out = cards.definition_fields(t("part").select("p_partkey", rows.alias("rows")))
+    shown = F.transform("fields", lambda f: F.concat_ws("/", *[F.coalesce(f[c], L("-")) for c in ("variable", "field_type", "default")]))
+    return out.select("p_partkey", F.array_join(shown, ",").alias("fields"), F.array_join("codes", ",").alias("codes"))
+
+
+@query(f"""WITH {TURNS}, x AS (SELECT *, CASE WHEN n % 9 = 0 THEN 'remarks' WHEN n % 11 = 0 THEN 'references' END AS last, CASE WHEN n % 5 = 0 THEN 'purpose' WHEN n % 7 = 0 THEN 'options' WHEN n % 4 = 0 THEN 'card' END AS first FROM c),
+y AS (SELECT *, last_value(last IGNORE NULLS) OVER w AS held, last_value(coalesce(last, first) IGNORE NULLS) OVER w AS region, last_value(CASE WHEN last IS NULL AND first = 'card' THEN n END IGNORE NULLS) OVER w AS card FROM x WINDOW w AS (PARTITION BY conv_id ORDER BY block_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT conv_id, CAST(block_index AS INT) AS block_index, CASE WHEN held IS NOT NULL THEN held WHEN region = 'purpose' THEN 'purpose' WHEN region = 'options' THEN CASE WHEN first IS NULL AND n % 2 = 0 THEN 'option' ELSE 'option_intro' END WHEN region = 'card' THEN 'card_condition' ELSE 'unclassified' END AS bucket,
+CASE WHEN held IS NOT NULL THEN NULL WHEN region = 'options' AND first IS NULL AND n % 2 = 0 THEN 'OPT_' || n WHEN region = 'card' THEN 'Card ' || card END AS detail FROM y""")
+def q100_read_sections(t):
+    n = F.col("n")
+    text = F.when(n % 9 == 0, "Remarks:").when(n % 11 == 0, " references").when(n % 5 == 0, "Purpose: to say").when(n % 7 == 0, "The available options are").when(n % 4 == 0, F.concat(L("Card "), s(n), L(" if"))).when(n % 2 == 0, F.concat(L("OPT_"), s(n))).otherwise("some words here")
+    b = turns(t).select("conv_id", "block_index", L("*NAME").alias("name"), L("text").alias("type"), text.alias("text"), L(None).cast("array<array<string>>").alias("grid"), L(False).alias("ambiguous"))
+    return sections.read_sections(b, ["conv_id"], ["block_index"]).select("conv_id", "block_index", "bucket", "detail")
+
+
+FINDINGS = r"""e AS (SELECT p_size AS k, count(*) AS n, max(p_partkey) AS top FROM part GROUP BY p_size), c AS (SELECT k FROM e WHERE k % 3 = 0),
+f AS (SELECT k, concat_ws(',', CASE WHEN k % 4 = 0 THEN 'card_summary_definition_dual_render_candidate' END, CASE WHEN k % 3 = 0 THEN 'confusable_identifier_candidate' END, CASE WHEN k % 5 > 0 THEN 'literal_backslash_n_candidate' END, CASE WHEN k % 2 = 0 THEN 'source_material_fallback_candidate' END) AS flags FROM e)"""
+
+
+def findings(t) -> DataFrame:
+    e = t("part").select(F.col("p_size").alias("k")).distinct()
+    k = F.col("k")
+    text = F.concat(F.when(k % 2 == 0, "## Source Material\n").otherwise("## Purpose\n"), F.repeat(L("a\\n1 \\nabla "), (k % 5).cast("int")))
+    values = e.select("k", F.explode(F.array(F.concat(L("NO"), s(k)), F.when(k % 3 == 0, F.concat(L("N0"), s(k))).otherwise(""), L("other"), L("other"))).alias("value"))
+    table = e.select("k", F.explode(F.array(L("Card 1"), L("Card 2"))).alias("label")).select("k", "label", (k % 2 == 0).alias("summary"), (k % 4 == 0).alias("definition"), (F.col("label") == "Card 2").alias("redundant"))
+    return quality.entry_findings(e.select("k", text.alias("markdown")), values, table, ["k"])
+
+
+@query(f"""WITH {FINDINGS} SELECT k, CASE WHEN k % 3 = 0 THEN 'N0' || k || '+NO' || k ELSE '' END AS confusable, CASE WHEN k % 4 = 0 THEN 'Card 1' ELSE '' END AS cards, CAST(k % 5 AS INT) AS newlines, flags FROM e JOIN f USING (k)""")
+def q101_entry_findings(t):
+    f = findings(t)
+    return f.select("k", F.array_join(F.transform("confusable", lambda g: F.array_join(g, "+")), ",").alias("confusable"), F.array_join("dual_cards", ",").alias("cards"), F.col("literal_newlines").alias("newlines"), F.array_join("flags", ",").alias("flags"))
+
+
+@query(f"""WITH {FINDINGS} SELECT 'status' AS kind, o_orderstatus AS name, count(*) AS n FROM orders GROUP BY ALL UNION ALL SELECT 'issue', upper(event_type), count(*) FROM events GROUP BY ALL
+UNION ALL SELECT 'flag', flag, count(*) FROM (SELECT unnest(string_split(flags, ',')) AS flag FROM f WHERE flags <> '') GROUP BY ALL""")
+def q102_detection_summary(t):
+    return quality.detection_summary(t("orders").select(F.col("o_orderstatus").alias("status")), t("events").select(F.upper("event_type").alias("code")), findings(t))
+
+
+@query("""WITH c AS (SELECT conv_id % 7 AS d, conv_id, count(*) AS n, row_number() OVER (PARTITION BY conv_id % 7 ORDER BY conv_id) AS ord FROM conversations GROUP BY conv_id)
+SELECT CAST(d AS VARCHAR) AS document_id, 'S' || conv_id AS section_id, CASE WHEN n % 3 = 1 THEN '## Purpose' || chr(10) || chr(10) || 'Purpose ' || n ELSE NULL END AS markdown, CASE n % 3 WHEN 1 THEN 'success' ELSE 'failed' END AS status FROM c""")
+def q103_reconstruct(t):
+    """Sections of a page each: with a purpose, with text that is nothing but source material, or without blocks."""
+    c = t("conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(F.col("conv_id") % 7).orderBy("conv_id")
+    c = c.select(s(F.col("conv_id") % 7).alias("document_id"), F.concat(L("S"), s("conv_id")).alias("section_id"), F.concat(L("*S"), s("conv_id")).alias("name"), F.row_number().over(w).alias("pdf_page"), "n")
+    blocks = pick(F.col("n"), F.array(block("header", F.col("name")), block("text", "words")), F.array(block("header", F.col("name")), block("text", F.concat(L("Purpose "), s("n"))), block("footer", "1-1")), F.array().cast(f"array<{BLOCK}>"))
+    found = c.select("document_id", "section_id", "name", F.col("pdf_page").alias("start_page"), F.col("pdf_page").alias("end_page"))
+    return build.reconstruct(found, c.select("document_id", "pdf_page", blocks.alias("blocks")))["entries"].select("document_id", "section_id", "markdown", "status")

@@ -53,10 +53,10 @@ def test_manifest_state_and_texts(spark, tmp_path):
     e = spark.createDataFrame([("d", "k2", "failed", "p/b.md", [(2, None)], None), ("d", "k1", "success", "p/a.md", [(1, None)], "# A\n\ntext")], "document_id string, keyword_id string, status string, markdown_path string, source_pages array<struct<pdf_page:int,manual_page:string>>, markdown string").withColumns({c: F.lit(None).cast("string") for c in ("section_id", "name", "title")})
     assert [(r["keyword_id"], r["markdown_path"]) for r in writers.manifest(e).collect()] == [("k1", "p/a.md"), ("k2", None)]
     writers.write_markdown(e, str(tmp_path / "md"))
-    files = list((tmp_path / "md").glob("entry=*/*.txt"))
-    assert len(files) == 1 and files[0].read_text().startswith("# A")
+    files = [p for p in (tmp_path / "md").rglob("*") if p.is_file()]
+    assert files == [tmp_path / "md/p/a.md"] and files[0].read_text() == "# A\n\ntext"
     writers.write_json(e.select("keyword_id", "name"), str(tmp_path / "j"), ["keyword_id"])
-    assert [json.loads(x) for f in (tmp_path / "j").glob("part-*") for x in f.read_text().splitlines()] == [{"keyword_id": "k1"}, {"keyword_id": "k2"}]
+    assert [json.loads(x) for f in sorted((tmp_path / "j").glob("part-*")) for x in f.read_text().splitlines()] == [{"keyword_id": "k1"}, {"keyword_id": "k2"}]
     rows = spark.createDataFrame([("d", 1, "done")], "document_id string, pdf_page int, status string")
     for _ in range(2):
         writers.append_state(rows, str(tmp_path / "s"))
@@ -94,6 +94,6 @@ def test_command_line(spark, tmp_path, capsys):
     spark.createDataFrame([("d", 2, layout)], "document_id string, pdf_page int, layout_result string").write.parquet(str(tmp_path / "raw"))
     assert cli.main(["adapt", "--raw", str(tmp_path / "raw"), "--out", str(tmp_path / "ir")], spark) == 0
     assert cli.main(["reconstruct", "--sections", str(tmp_path / "nav" / "sections"), "--page-ir", str(tmp_path / "ir"), "--out", str(tmp_path / "out")], spark) == 0
-    assert "Purpose" in next((tmp_path / "out" / "markdown").glob("*/*.txt")).read_text()
+    assert "Purpose" in (tmp_path / "out/markdown/d/ALPHA.md").read_text()
     (tmp_path / "c.json").write_text(json.dumps({"release": "R1", "input_dir": str(tmp_path)}))
     assert cli.main(["doctor", "--config", str(tmp_path / "c.json")], spark) in (0, 1) and "input" in capsys.readouterr().out

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import arrow_schema, save
 from corpusflow.llm.hashing import word_hashes
 
-CHUNK_BYTES = 6 << 20
-#: A shard's part of the hash space, in cells; at least this many shards, so that all cores have some.
-SHARD_CELLS, LEAST_SHARDS = 1 << 23, 16
+#: Bytes of text in a chunk, for inputs of up to SMALL_INPUT bytes; beyond, chunks grow with the input's square root up to the largest.
+CHUNK_BYTES, MOST_CHUNK_BYTES, SMALL_INPUT = 6 << 20, 24 << 20, 2 << 30
+#: A shard's part of the hash space, in cells, for up to SMALL_KEYS keys, and what it may grow to; at least this many shards, so that all cores have some.
+SHARD_CELLS, MOST_SHARD_CELLS, SMALL_KEYS, LEAST_SHARDS = 1 << 23, 1 << 25, 1 << 29, 16
 
 
 def to_body(table: pa.Table) -> bytes:
@@ -36,12 +37,22 @@ def from_body(body: bytes) -> pa.Table:
     return pa.ipc.open_stream(body).read_all()
 
 
-def make_chunks(docs: DataFrame, order: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def chunk_size(docs: DataFrame) -> int:
+    """Bytes of text a chunk for these rows: messages number chunks times shards, so both grow with the square root of the input.
+
+    It goes by the optimizer's estimate of the input's size, and only how the work is cut depends on it."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = size if size < 1 << 62 else 0  # the estimate of rows of which nothing is known
+    return min(MOST_CHUNK_BYTES, int(CHUNK_BYTES * max(1.0, size / SMALL_INPUT) ** 0.5))
+
+
+def make_chunks(docs: DataFrame, order: str = "doc_id", text: str = "text", chunk_bytes: int | None = None) -> DataFrame:
     """(chunk long, n_docs long, n_words long, body binary, ids array: `order` of its rows), written to the shared folder.
 
     Rows stay in the partition that held them; within a chunk they are sorted by `order`, nulls first.
-    A single document larger than chunk_bytes is a chunk of its own.
+    A single document larger than chunk_bytes (chunk_size() where none is given) is a chunk of its own.
     """
+    chunk_bytes = chunk_bytes or chunk_size(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
@@ -73,7 +84,8 @@ def make_chunks(docs: DataFrame, order: str = "doc_id", text: str = "text", chun
 def shard_bits(n_keys: int, spread: int = 4) -> tuple[int, int]:
     """(bits of a cell, bits of a shard) for n_keys keys over at least `spread` cells a key."""
     cell = max(12, (max(1, n_keys) * spread - 1).bit_length())
-    shards = max(LEAST_SHARDS, (1 << cell) // SHARD_CELLS)
+    cells = min(MOST_SHARD_CELLS, int(SHARD_CELLS * max(1.0, n_keys / SMALL_KEYS) ** 0.5))
+    shards = max(LEAST_SHARDS, (1 << cell) // cells)
     return cell, (shards - 1).bit_length()
 
 

@@ -75,7 +75,7 @@ def idf(df: np.ndarray, n: int) -> np.ndarray:
     return 1 + np.log(n / df) / np.log(n) if n > 1 else np.ones(len(df))
 
 
-def with_frequencies(docs: DataFrame, size: int, chunk_bytes: int) -> tuple[DataFrame, int]:
+def with_frequencies(docs: DataFrame, size: int, chunk_bytes: int | None) -> tuple[DataFrame, int]:
     """(chunk, body, counts): docs by chunks, where counts are the replies with the document frequency of each of
     its keys, and the number of rows of docs."""
     chunks = C.make_chunks(docs, chunk_bytes=chunk_bytes)
@@ -248,7 +248,7 @@ def weighted_texts(ztexts: pa.Array, dfs: pa.Array, n: int, size: int) -> list[t
     return Shingles(unpacked(ztexts), size).weighted(np.concatenate(df) if df else np.empty(0, dtype=U64), n)
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, chunk_bytes: int = C.CHUNK_BYTES) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, chunk_bytes: int | None = None) -> DataFrame:
     """(doc_id, digest, class_id, n_copies, kept) per row: class_id is the smallest doc_id of the class, n_copies its
     rows, and kept is true for the row of class_id (of the smallest digest, where that id has several texts)."""
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -7,7 +7,9 @@ hash, and each chunk learns which of its windows have their first start elsewher
 
 Cases: null and empty texts have no words; a text of fewer words than a window keeps them all; rows
 that repeat a doc_id are ordered by their chunk and place, the first counting as earlier; null doc_ids
-sort first; an empty table gives no rows; other columns pass through unchanged.
+sort first; an empty table gives no rows; other columns pass through unchanged, but for n_words and n_removed, which are
+replaced; very long texts are whole, in chunks of their own. doc_id is an integer, as its order says which window is the earlier:
+a column of another type raises TypeError.
 """
 
 from __future__ import annotations
@@ -77,10 +79,12 @@ def _sliced(keys: np.ndarray, bits: int, shard_bits: int):
     return [(s, slice(a, b)) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
 
 
-def remove_repeats(docs: DataFrame, size: int = WINDOW, rows: int = ROWS, chunk_bytes: int = C.CHUNK_BYTES, as_is: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = WINDOW, rows: int = ROWS, chunk_bytes: int | None = None, as_is: bool = False) -> DataFrame:
     """docs with `text` reduced to the words outside of repeated windows, joined by single spaces
     (null where it was null), and the columns n_words and n_removed. as_is: texts that lose nothing keep
     their white space."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError(f"doc_id is an integer, not {docs.schema['doc_id'].dataType.simpleString()}")
     clash = [c for c in ("n_words", "n_removed") if c in docs.columns]
     docs = docs.drop(*clash)
     chunks = C.make_chunks(docs, chunk_bytes=chunk_bytes)

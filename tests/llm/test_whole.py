@@ -122,3 +122,53 @@ def test_mix_of_repeated_rows_keeps_each_budget(spark):
     for r in mixing.mix(docs).collect():
         got[r["source"]] += len(r["text"].split())
     assert got == {s: r["sum(taken)"] for s, r in plan.items()} and all(abs(r["sum(taken)"] - r["max(target)"]) <= 0.5 for r in plan.values())
+
+
+def plain_peaks(samples):
+    """The two strongest local maxima of each frame's spectrum, by sums over the definition of the transform."""
+    n, hop = 256, 128
+    window = [0.5 - 0.5 * math.cos(2 * math.pi * i / (n - 1)) for i in range(n)]
+    waves = np.exp(-2j * np.pi * np.outer(np.arange(1, n // 2 + 1), np.arange(n)) / n)
+    out = []
+    for at in range(0, max(0, len(samples) - n + hop - 1) // hop * hop + 1, hop):
+        frame = list(samples[at : at + n]) + [0] * max(0, n - len(samples[at : at + n]))
+        mean = sum(frame) / n
+        power = np.abs(waves @ np.array([(x - mean) * w for x, w in zip(frame, window)]))
+        around = [0.0, *power, 0.0]
+        tops = [(-power[k], k) for k in range(len(power)) if power[k] > around[k] and power[k] >= around[k + 2] and power[k] > power.mean() * 1.0001 + 1e-3]
+        out.append([k + 1 for _, k in sorted(tops)[:2]])
+    return out
+
+
+def test_fingerprints_are_pairs_of_plain_peaks():
+    rng = np.random.default_rng(5)
+    tones = [128 + 60 * np.sin(2 * np.pi * a * np.arange(1200) / 256) + 40 * np.sin(2 * np.pi * b * np.arange(1200) / 256) for a, b in ((20, 70), (33, 90), (5, 110))]
+    samples = np.concatenate([*tones, rng.integers(0, 256, 900)]).astype(np.uint8)
+    peaks = plain_peaks(samples.tolist())
+    want = {(t << 32) | (a << 16) | (b << 4) | gap for t, here in enumerate(peaks) for gap in range(1, 7) if t + gap < len(peaks) for a in here for b in peaks[t + gap]}
+    got = set(media.fingerprints(samples).tolist())
+    assert len(want) > 500 and len(got ^ want) <= 0.02 * len(want)
+
+
+def test_cross_entropy_of_repeated_rows_and_null_ids(spark):
+    rows = [(1, "a b a b c", 0.5), (1, "a b a b c", 0.5), (None, "a b x", 0.1), (2, None, 0.2), (3, "word " * 50_000, 0.3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    got = lmscore.cross_entropy(frame, spark.createDataFrame([(1,), (1,), (None,)], "doc_id long")).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["in_target"]) for r in got) == [("1", 5, True), ("1", 5, True), ("2", 0, False), ("3", 50_000, False), ("None", 3, False)]
+    first, second = [r for r in got if r["doc_id"] == 1]
+    assert first == second and all((r["score"] is None) == (r["doc_id"] == 2) for r in got)
+
+
+def test_substrings_ask_for_integer_ids(spark):
+    from corpusflow.llm import substrings
+
+    with pytest.raises(TypeError, match="doc_id is an integer"):
+        substrings.remove_repeats(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+    empty = substrings.remove_repeats(spark.createDataFrame([(None, "x " * 40), (None, "x " * 40), (7, None)], "doc_id int, text string")).collect()
+    assert sorted(r["n_removed"] for r in empty) == [0, 39, 40]
+
+
+def test_chunks_and_shards_grow_with_the_square_root():
+    from corpusflow.llm import chunks
+
+    assert chunks.shard_bits(1 << 27) == (29, 6) and chunks.shard_bits(1 << 31)[1] == 9 and chunks.shard_bits(1 << 35)[1] == 12

@@ -15,6 +15,11 @@ VARIABLE_FAMILY = r"\b(?:Aij|Ai\s*,\s*Bi|[A-Z]ij|[A-Z]i)\b"
 OPTION = r"(?i)available\s+options?|\bkeyword\s+options?\b|\bOPTION[A-Z0-9_]*\b"
 VARIABLE_DESCRIPTION = r"(?is)\bVARIABLE\s+DESCRIPTION\b|\bVARIABLE\b.{0,30}\bDESCRIPTION\b"
 FIGURE = r"(?i)\b(?:Figure|Fig\.)\s*\d+"
+#: The named features of a section, in order (fixed values).
+FEATURES = (
+    "non_keyword", "nested_section", "shared_boundary_candidate", "multiple_cards_candidate", "card_conditions_candidate", "options_candidate",
+    "variable_description_candidate", "variable_family_candidate", "multi_page_card_candidate", "multi_page_variable_description_candidate", "formula_dense_candidate", "figure_rich_candidate",
+)
 TARGETS = {"short": 3, "medium": 4, "long": 3}
 MOST_PAGES, SEED, HOLDOUT_SEED = 40, 20260817, 20260818
 
@@ -39,6 +44,26 @@ def flags(conditions: dict[str, Column]) -> Column:
     return F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in conditions.items()]), lambda x: x.isNotNull())
 
 
+def feature_flags(pages: Column, keyword: Column, nested: Column, shared: Column) -> tuple[Column, dict[str, Column]]:
+    """The names of the features that a section's page texts (an array) show, and the counts behind them."""
+    text = F.array_join(pages, "\n")
+    n = signals(text, pages)
+    has = lambda pattern: text.rlike(pattern)
+    shown = (
+        ~keyword, nested, shared, n["cards"] >= 2, n["conditions"] > 0, has(OPTION), has(VARIABLE_DESCRIPTION), has(VARIABLE_FAMILY),
+        n["card_pages"] >= 2, n["variable_pages"] >= 2, n["formulas"] >= 6, n["figures"] >= 2,
+    )
+    return flags(dict(zip(FEATURES, shown))), n
+
+
+def with_anchors(sample: DataFrame, sections: DataFrame, anchors: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(sample with the sections that are named, anchors that are no section); anchor tells the named rows."""
+    named = anchors.select(*keys).distinct().withColumn("anchor", F.lit(True))
+    marked = sample.join(named, keys, "left").withColumn("anchor", F.coalesce("anchor", F.lit(False)))
+    more = sections.join(named, keys).join(sample.select(*keys), keys, "left_anti")
+    return marked.unionByName(more, allowMissingColumns=True), named.drop("anchor").join(sections.select(*keys), keys, "left_anti")
+
+
 def section_sample(sections: DataFrame, document: str, bucket: str, key: Column, seed: int = SEED, targets: dict[str, int] = TARGETS) -> DataFrame:
     """Sections picked in seeded order, by document and length bucket."""
     target = F.coalesce(*[F.when(F.col(bucket) == b, F.lit(n)) for b, n in targets.items()], F.lit(0))

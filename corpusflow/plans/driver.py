@@ -34,6 +34,10 @@ class Progress:
         self.report(f"{stage}: {done} of {total}, {done / took:.1f} a second" + (f", {left:.0f} s left" if left is not None else ""))
 
 
+class Aborted(RuntimeError):
+    """The recogniser refuses to work for this user; what it had done is stored."""
+
+
 @dataclass(frozen=True)
 class Result:
     status: str
@@ -76,6 +80,9 @@ def recognise(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provid
     rows = rows.join(before.select(*KEYS, "empty_parse_attempts"), KEYS, "left")
     raw.withColumn("stage", F.lit(stage)).write.mode("append").parquet(f"{out}/raw")
     log_state(rows, log, stage)
+    refused = rows.where(F.startswith("error", F.lit("auth"))).select("error").first()
+    if refused:
+        raise Aborted(refused["error"])
     state = state_of(spark, log)
     now = spark.read.parquet(f"{out}/raw").where(F.col("stage") == stage).drop("stage")
     known = state.join(now.select(*KEYS), KEYS, "left_semi")

@@ -5,8 +5,13 @@ Versions and identities are checked inside the plan: a row of an unknown version
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field, fields
+from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +30,23 @@ class DiscoveryError(ValueError):
     pass
 
 
+#: Settings by group and name as files have them, and the fields that hold them (fixed values).
+GROUPS = {
+    "manual": {"release": "release", "manuals_dir": "input_dir", "documents": "documents"},
+    "parser": {"provider": "provider", "model": "model", "max_batch_pages": "max_batch_pages", "batch_size": "batch_size", "max_retries": "max_retries", "timeout_seconds": "timeout_seconds", "poll_interval_seconds": "poll_interval_seconds", "local": "local", "api_key": "api_key", "job_url": "job_url", "quota_exhausted_codes": "quota_exhausted_codes"},
+    "output": {"corpus_dir": "output_dir"},
+    "options": {"start_page": "start_page", "end_page": "end_page", "concurrency": "concurrency"},
+    "validation": {"text_layer_enabled": "text_layer_enabled", "text_layer_sample_pages": "text_layer_pages", "text_layer_min_tokens": "text_layer_min_tokens", "text_layer_min_visual_recall": "text_layer_min_recall"},
+    "quality_gate": {"baseline": "baseline"},
+}
+
+
 @dataclass(frozen=True)
 class BuildConfig:
-    """Settings of a build. from_dict rejects unknown keys, and renames batch_size unless both are given."""
+    """Settings of a build. from_dict rejects unknown keys, and renames batch_size unless both are given; settings may come
+    flat or in the groups of GROUPS. provider settings of its own (local, job_url and so on) are kept for the provider."""
 
-    release: str
+    release: str | None = None
     input_dir: str = "manuals"
     output_dir: str = "corpus"
     file_prefix: str = "manual"
@@ -40,21 +57,48 @@ class BuildConfig:
     text_layer_min_tokens: int = 8
     text_layer_min_recall: float = 0.65
     seed: int = 20260817
-    documents: tuple = field(default_factory=tuple)
+    documents: tuple | None = None
+    text_layer_enabled: bool = True
+    start_page: int = 1
+    end_page: int | None = None
+    concurrency: int = 4
+    baseline: str | None = None
+    max_retries: int = 2
+    timeout_seconds: int = 1800
+    poll_interval_seconds: int = 5
+    api_key: str | None = field(default=None, repr=False)
+    job_url: str | None = None
+    quota_exhausted_codes: tuple = ()
+    local: dict | None = None
 
     def __post_init__(self):
-        release = str(self.release).strip().upper()
-        if not release.startswith("R"):
-            raise ConfigError(f"a release starts with R: {self.release!r}")
-        object.__setattr__(self, "release", release)
-        if self.max_batch_pages < 1 or (self.provider == "local" and self.max_batch_pages != 1):
-            raise ConfigError("max_batch_pages is at least 1, and 1 for a local provider")
+        if self.release is not None:
+            release = str(self.release).strip().upper()
+            if not release.startswith("R"):
+                raise ConfigError(f"a release starts with R: {self.release!r}")
+            object.__setattr__(self, "release", release)
+        if self.max_batch_pages < 1:
+            raise ConfigError("max_batch_pages is at least 1")
+        if self.provider.endswith("local"):  # such a provider takes a page a request
+            object.__setattr__(self, "max_batch_pages", 1)
+        if self.documents is not None:
+            if not self.documents:
+                raise ConfigError("documents, where they are given, are some")
+            object.__setattr__(self, "documents", tuple(explicit_document(d) for d in self.documents))
+        if self.timeout_seconds <= 0 or self.poll_interval_seconds <= 0 or self.max_retries < 0 or self.text_layer_pages < 0:
+            raise ConfigError("times are positive, retries and sample pages not negative")
         if not 0 <= self.text_layer_min_recall <= 1 or self.text_layer_min_tokens < 0:
             raise ConfigError("text layer bounds: recall from 0 to 1, tokens not negative")
 
     @classmethod
     def from_dict(cls, values: dict) -> BuildConfig:
-        values = dict(values)
+        flat = {k: v for k, v in values.items() if k not in GROUPS}
+        for group in set(values) & set(GROUPS):
+            inner = values[group] or {}
+            if not isinstance(inner, dict) or (unknown := set(inner) - set(GROUPS[group])):
+                raise ConfigError(f"unknown settings of {group}: {sorted(unknown) if isinstance(inner, dict) else inner!r}")
+            flat |= {GROUPS[group][k]: v for k, v in inner.items()}
+        values = flat
         if "batch_size" in values:
             if "max_batch_pages" in values:
                 raise ConfigError("batch_size is the former name of max_batch_pages; give one")
@@ -77,6 +121,48 @@ class BuildConfig:
         return cls.from_dict(yaml.safe_load(text))
 
 
+@dataclass(frozen=True)
+class ExplicitDocument:
+    path: str
+    manual_type: str | None = None
+    volume: int | None = None
+
+
+def explicit_document(value: dict | ExplicitDocument) -> ExplicitDocument:
+    """A document named in the settings; a keyword document has a volume from 1 to 3, and no other has one."""
+    if isinstance(value, ExplicitDocument):
+        return value
+    if unknown := set(value) - {"path", "manual_type", "volume"}:
+        raise ConfigError(f"unknown settings of a document: {sorted(unknown)}")
+    d = ExplicitDocument(str(value["path"]), value.get("manual_type"), value.get("volume"))
+    if d.manual_type not in (None, "keyword", "theory") or (d.manual_type == "keyword") != (d.volume is not None) or d.volume not in (None, *VOLUMES.values()):
+        raise ConfigError(f"keyword documents have a volume from 1 to 3, others none: {value}")
+    return d
+
+
+def explicit_documents(spark: SparkSession, config: BuildConfig, prefix: str | None = None) -> DataFrame:
+    """(path, document_id, manual_type, volume, release) of the documents that the settings name, in document order.
+
+    What a file's name says comes first; settings that contradict it, several files of one document or releases that differ raise.
+    The documents are the few that a person has listed."""
+    rows = [(d.path, d.manual_type, d.volume) for d in config.documents or ()]
+    named = spark.createDataFrame(rows, "path string, _type string, _volume int").withColumn("_id", file_identity(F.element_at(F.split("path", "/"), -1), prefix or config.file_prefix))
+    given = F.when(F.col("_type") == "theory", "theory").when(F.col("_type") == "keyword", F.concat(F.lit("keyword-volume-"), F.col("_volume").cast("string")))
+    out = named.select("path", "_type", "_volume", F.coalesce("_id.document_id", given).alias("document_id"), F.coalesce("_id.manual_type", "_type").alias("manual_type"), F.coalesce("_id.volume", "_volume").alias("volume"), F.coalesce("_id.release", F.lit(config.release)).alias("release"))
+    seen: set[str] = set()
+    for r in out.collect():
+        if r["document_id"] is None or r["release"] is None:
+            raise ConfigError(f"neither name nor settings say what {r['path']} is")
+        if (r["_type"] or r["manual_type"]) != r["manual_type"] or (r["_volume"] or r["volume"]) != r["volume"]:
+            raise ConfigError(f"the settings of {r['path']} contradict its name")
+        if r["document_id"] in seen:
+            raise ConfigError(f"several files for {r['document_id']}")
+        seen.add(r["document_id"])
+    if len({r["release"] for r in out.select("release").distinct().collect()} | ({config.release} if config.release else set())) > 1:
+        raise ConfigError("documents of several releases")
+    return out.drop("_type", "_volume").orderBy(F.array_position(F.array(*map(F.lit, DOCUMENT_ORDER)), F.col("document_id")))
+
+
 def file_identity(name: Column, prefix: str = "manual") -> Column:
     """struct(document_id, manual_type, volume, release) of a source file's name, null if it is none."""
     volume = rf"(?i)^{prefix}_(?:volume|vol)_(i{{1,3}})_r(\d+(?:\.\d+)?)\.pdf$"
@@ -111,6 +197,80 @@ def source_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("source_sha256"))
 
 
+#: Operators of a page's content that show something (fixed values of the format).
+VISIBLE = frozenset((b"Tj", b"TJ", b"'", b'"', b"Do", b"S", b"s", b"f", b"F", b"f*", b"B", b"B*", b"b", b"b*", b"sh"))
+PDF_OBJECT = re.compile(rb"\bobj\b(.*?)\bendobj\b", re.S)
+PDF_STREAM = re.compile(rb"stream\r?\n(.*?)\r?\n?endstream", re.S)
+
+
+def pdf_summary(content: bytes) -> tuple[int, bool]:
+    """(pages, encrypted) of a PDF's bytes: page objects, also those in compressed object streams, and an Encrypt entry."""
+    parts = []
+    for m in PDF_OBJECT.finditer(content):
+        body = m[1]
+        parts.append(PDF_STREAM.sub(b"", body))
+        if b"/ObjStm" in body and (s := PDF_STREAM.search(body)):
+            try:
+                parts.append(zlib.decompressobj().decompress(s[1]))
+            except zlib.error:
+                pass  # an encrypted or damaged stream shows no objects
+    text = b"\n".join(parts)
+    encrypted = re.search(rb"/Encrypt\b", PDF_STREAM.sub(b"", content)) is not None
+    return len(re.findall(rb"/Type\s*/Page(?![A-Za-z])", text)), encrypted
+
+
+def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
+    """source_files with page_count; a row of an encrypted file raises when it is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
+
+    @F.pandas_udf("pages int, encrypted boolean")
+    def summary(content: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([pdf_summary(bytes(c)) for c in content], columns=["pages", "encrypted"])
+
+    out = files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("source_sha256"), summary("content").alias("_s"))
+    return checked(out.select("path", "size", "source_sha256", F.col("_s.pages").alias("page_count"), "_s.encrypted"), ~F.col("encrypted"), "an encrypted file").drop("encrypted")
+
+
+def shows_nothing(stream: bytes) -> bool:
+    """Whether a page's content stream has no operator that shows anything; what stands in strings is none."""
+    bare = re.sub(rb"\((?:\\.|[^\\()]|\((?:\\.|[^\\()])*\))*\)|<[0-9A-Fa-f\s]*>|%[^\r\n]*", b" ", stream, flags=re.S)
+    return not VISIBLE & set(re.findall(rb"[^\s\[\]<>/()]+", bare))
+
+
+def blank_pages(pages: DataFrame, stream: str = "content", annotations: str = "annotations") -> DataFrame:
+    """pages (a content stream and a number of annotations) with blank: no annotation and nothing shown; without a stream a page is blank."""
+
+    @F.pandas_udf("boolean")
+    def nothing(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: True if x is None else shows_nothing(bytes(x)))
+
+    return pages.withColumn("blank", (F.coalesce(annotations, F.lit(0)) == 0) & nothing(stream))
+
+
+class Extractor(Protocol):
+    """A reader of text layers: a file's bytes to one text a page. It runs in the executors, so it is serialisable."""
+
+    def extract(self, content: bytes) -> list[str]: ...
+
+
+def extract_pages(files: DataFrame, extractor: Extractor, document: str = "document_id", content: str = "content") -> DataFrame:
+    """(document, pdf_page, text) of files' text layers by an extractor."""
+    kind = files.schema[document].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for d, c in zip(f[document], f[content]):
+                texts = extractor.extract(bytes(c))
+                yield pd.DataFrame({document: [d] * len(texts), "pdf_page": range(1, len(texts) + 1), "text": texts})
+
+    return files.select(document, content).mapInPandas(run, f"{document} {kind}, pdf_page int, text string")
+
+
+def signed_addresses(text: Column) -> Column:
+    """Web addresses without their query, where signatures stand."""
+    return F.regexp_replace(text, r"(https?://[^\s?\"'<>]+)\?[^\s\"'<>]*", "$1")
+
+
 def form_feed_pages(texts: DataFrame, document: str = "document_id", text: str = "text") -> DataFrame:
     """Page texts of a text layer whose pages end with form feeds; one empty page at the end is none."""
     pages = F.split(F.col(text), "\f")

@@ -92,3 +92,14 @@ def test_files_stay_in_their_folder(spark, tmp_path):
             writers.write_files(spark.createDataFrame([(path, "v")], "path string, value string"), str(tmp_path))
     assert writers.write_files(spark.createDataFrame([("a/b.txt", "é"), ("c", "")], "path string, value string"), str(tmp_path)) == 2
     assert (tmp_path / "a/b.txt").read_text() == "é" and sorted(p.name for p in tmp_path.rglob("*") if p.is_file()) == ["b.txt", "c"]
+
+
+def test_a_refusal_aborts(build):
+    class Refusing(Lines):
+        def recognise(self, frames):
+            for f in super().recognise(frames):
+                f["error"] = "auth: no such user"
+                yield f
+
+    with pytest.raises(driver.Aborted, match="no such user"):
+        build(Refusing({}))

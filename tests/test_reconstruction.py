@@ -199,7 +199,7 @@ def test_config():
 
     c = readers.BuildConfig.from_dict({"release": " r17", "batch_size": 4})
     assert c.release == "R17" and c.max_batch_pages == 4
-    for bad in ({"release": "17"}, {"release": "R1", "x": 1}, {"release": "R1", "batch_size": 1, "max_batch_pages": 1}, {"release": "R1", "provider": "local", "max_batch_pages": 2}):
+    for bad in ({"release": "17"}, {"release": "R1", "x": 1}, {"release": "R1", "batch_size": 1, "max_batch_pages": 1}):
         with pytest.raises(readers.ConfigError):
             readers.BuildConfig.from_dict(bad)
 

@@ -80,13 +80,20 @@ def first_per_class(rows: DataFrame, partition: list[str], classes: str, order:
     return rows.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= k).drop("_nth")
 
 
-def review_places(rows: DataFrame, partition: list[str], order: str, classes: str, most: int = 24) -> DataFrame:
-    """Places to review: the first three, the last, the quartiles and the first two of each class, `most` at most."""
+def review_places(rows: DataFrame, partition: list[str], order: str, classes: str, most: int = 24, start: Column | None = None, issue: Column | None = None) -> DataFrame:
+    """Places to review: the first three, the last, the first two of each class, those with an issue, and quartiles, `most` at most.
+
+    Quartiles are of the section starts, the first and last start among them, where starts are given, else of all places."""
     w = Window.partitionBy(*partition).orderBy(order)
     whole = Window.partitionBy(*partition)
-    two = F.row_number().over(Window.partitionBy(*partition, classes).orderBy(order)) <= 2
-    out = rows.withColumns({"_at": F.row_number().over(w), "_n": F.count("*").over(whole), "_two": two})
-    n = F.col("_n")
-    quartile = F.col("_at").isin(F.lit(-1)) | (F.col("_at") == F.floor(n / 4) + 1) | (F.col("_at") == F.floor(n / 2) + 1) | (F.col("_at") == F.floor(3 * n / 4) + 1)
-    out = out.where((F.col("_at") <= 3) | (F.col("_at") == n) | quartile | F.col("_two"))
-    return out.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= most).drop("_at", "_n", "_two", "_k")
+    two = F.col(classes).isNotNull() & (F.row_number().over(Window.partitionBy(*partition, classes).orderBy(order)) <= 2)
+    out = rows.withColumns({"_at": F.row_number().over(w), "_n": F.count("*").over(whole), "_two": two, "_issue": F.coalesce(issue, F.lit(False)) if issue is not None else F.lit(False)})
+    n, at = F.col("_n"), F.col("_at")
+    quartile = (at == F.floor(n / 4) + 1) | (at == F.floor(n / 2) + 1) | (at == F.floor(3 * n / 4) + 1)
+    if start is not None:
+        out = out.withColumn("_start", F.coalesce(start, F.lit(False)).cast("int"))
+        out = out.withColumns({"_k": F.sum("_start").over(w) - 1, "_m": F.sum("_start").over(whole)})
+        m, k = F.col("_m"), F.col("_k")
+        quartile = (F.col("_start") == 1) & ((k == 0) | (k == m - 1) | (k == F.floor(m / 4)) | (k == F.floor(m / 2)) | (k == F.floor(3 * m / 4)))
+    out = out.where((at <= 3) | (at == n) | quartile | F.col("_two") | F.col("_issue")).drop("_start", "_k", "_m")
+    return out.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= most).drop("_at", "_n", "_two", "_issue", "_k")

@@ -235,6 +235,44 @@ def section_issues(sections: DataFrame, partition: list[str], ident: str = "sect
     return tag(repeated, "SECTION_ID_DUPLICATE").union(tag(orphan, "SECTION_PARENT_MISSING")).union(tag(ragged, "SECTION_PAGE_RANGE_INVALID")).distinct()
 
 
+def pagemap_issues(pagemap: DataFrame, partition: list[str]) -> DataFrame:
+    """Documents where a page has a printed number without evidence, or evidence without a number."""
+    odd = pagemap.where(F.col("manual_page").isNull() != F.col("evidence").isNull())
+    return odd.select(*partition).distinct().select(*partition, F.lit("PAGEMAP_EVIDENCE_INVALID").alias("code"))
+
+
+def navigation_issues(sections: DataFrame, documents: DataFrame, document: str = "document_id") -> DataFrame:
+    """(document, section_id, code) of what sections (pdf_pages, manual_pages, kind, keyword_id, volume, parent_section_id) break.
+
+    documents: document, volume and pages, one row each; what section_issues finds is included, and pages beyond the document's end."""
+    known = sections.join(documents.select(document, F.col("volume").alias("_volume"), F.col("pages").alias("_pages")), document, "left")
+    identity = F.when(F.col("kind") == "keyword", F.col("keyword_id").eqNullSafe(F.col("section_id"))).otherwise(F.col("keyword_id").isNull())
+    codes = F.array(
+        F.when(~F.col("volume").eqNullSafe(F.col("_volume")), "SECTION_VOLUME_MISMATCH"),
+        F.when(F.exists("pdf_pages", lambda p: (p < 1) | (p > F.col("_pages"))), "SECTION_PAGE_RANGE_INVALID"),
+        F.when(F.size("pdf_pages") != F.size("manual_pages"), "SECTION_PAGE_LABEL_COUNT_MISMATCH"),
+        F.when(~identity, "SECTION_KEYWORD_ID_INVALID"),
+    )
+    own = known.select(document, "section_id", F.explode(F.filter(codes, lambda c: c.isNotNull())).alias("code"))
+    return own.union(section_issues(sections, [document], pages="pdf_pages").select(document, "section_id", "code")).distinct()
+
+
+def regression_matrix(documents: DataFrame, issues: DataFrame, review: DataFrame, baseline: DataFrame | None = None, keys: tuple[str, ...] = ("release", "document_id"), identity: tuple[str, ...] = ()) -> DataFrame:
+    """documents (keys, measures, passes) with the counts of their issue codes, their pages to review and the review's status.
+
+    issues: keys and code; review: keys and pdf_page. A review is taken over from the baseline where all of `identity` is the same."""
+    keys = list(keys)
+    codes = issues.groupBy(*keys, "code").agg(F.count("*").alias("n")).groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("code", "n")))).alias("issue_codes"))
+    pages = review.groupBy(*keys).agg(F.sort_array(F.collect_set("pdf_page")).alias("review_pages"))
+    out = documents.join(codes, keys, "left").join(pages, keys, "left")
+    return out.withColumn("review", F.lit("pending")) if baseline is None else review_status(out, baseline, keys, list(identity))
+
+
+def matrix_summary(matrix: DataFrame) -> DataFrame:
+    """One row: documents, gates not passed, reviews to do."""
+    return matrix.agg(F.count("*").alias("documents"), F.count(F.when(~F.col("passes"), 1)).alias("failed_gates"), F.count(F.when(F.col("review") == "pending", 1)).alias("pending_reviews"))
+
+
 def backfill(issues: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
     """issues with a missing pdf_page taken from their owner page, and its printed label where the pages agree."""
     p = pages.select(*keys, F.col("pdf_page").alias("_page"), F.col("manual_page").alias("_label"))

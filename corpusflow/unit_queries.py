@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
-from corpusflow.operators import adapting, assembly, cards, navigation, planning, quality, rendering, sampling, sections, semantics
+from corpusflow.operators import adapting, assembly, cards, navigation, ordered, planning, quality, rendering, sampling, sections, semantics
 from corpusflow.plans import build
 from corpusflow.queries import MANUAL, big, manual_pages, query
 from corpusflow.schemas import BLOCK
@@ -584,3 +584,77 @@ def q103_reconstruct(t):
     blocks = pick(F.col("n"), F.array(block("header", F.col("name")), block("text", "words")), F.array(block("header", F.col("name")), block("text", F.concat(L("Purpose "), s("n"))), block("footer", "1-1")), F.array().cast(f"array<{BLOCK}>"))
     found = c.select("document_id", "section_id", "name", F.col("pdf_page").alias("start_page"), F.col("pdf_page").alias("end_page"))
     return build.reconstruct(found, c.select("document_id", "pdf_page", blocks.alias("blocks")))["entries"].select("document_id", "section_id", "markdown", "status")
+
+
+@query(f"""WITH {MANUAL}, x AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n, row_number() OVER (PARTITION BY user_id, event_type ORDER BY page) AS k FROM manual),
+s AS (SELECT user_id, page, row_number() OVER (PARTITION BY user_id ORDER BY page) - 1 AS k, count(*) OVER (PARTITION BY user_id) AS m FROM manual WHERE event_id % 4 = 0),
+q AS (SELECT user_id, page FROM s WHERE k IN (0, m - 1, m // 4, m // 2, 3 * m // 4)),
+c AS (SELECT x.user_id, x.page, row_number() OVER (PARTITION BY x.user_id ORDER BY x.page) AS r FROM x LEFT JOIN q ON q.user_id = x.user_id AND q.page = x.page WHERE x.page <= 3 OR x.page = n OR q.page IS NOT NULL OR x.k <= 2 OR event_id % 9 = 0)
+SELECT user_id, page FROM c WHERE r <= 24""")
+def q104_review_pages(t):
+    return ordered.review_places(manual_pages(t), ["user_id"], "page", "event_type", start=F.col("event_id") % 4 == 0, issue=F.col("event_id") % 9 == 0).select("user_id", "page")
+
+
+@query("""WITH k AS (SELECT p_partkey, p_size, p_partkey % 3 AS k FROM part)
+SELECT p_partkey, concat_ws(',', CASE WHEN k = 1 THEN 'non_keyword' END, CASE WHEN k = 2 THEN 'nested_section' END, CASE WHEN p_size % 2 = 0 THEN 'shared_boundary_candidate' END, CASE WHEN p_size % 4 >= 2 THEN 'multiple_cards_candidate' END, CASE WHEN p_size % 5 > 0 THEN 'card_conditions_candidate' END,
+CASE WHEN k = 0 THEN 'options_candidate' END, CASE WHEN p_size % 3 > 0 THEN 'variable_description_candidate' END, CASE WHEN p_size % 4 >= 2 THEN 'multi_page_card_candidate' END, CASE WHEN p_size % 3 = 2 THEN 'multi_page_variable_description_candidate' END, CASE WHEN p_size % 7 = 6 THEN 'formula_dense_candidate' END, CASE WHEN p_size % 6 >= 2 THEN 'figure_rich_candidate' END) AS flags,
+CAST(p_size % 4 AS INT) AS cards, CAST(p_size % 5 AS INT) AS conditions, CAST(p_size % 6 AS INT) AS figures, CAST(p_size % 7 AS INT) AS formulas FROM k""")
+def q105_feature_flags(t):
+    n = F.col("p_size")
+    many = lambda k, text: F.transform(F.filter(F.sequence(L(0), L(6)), lambda i: i < (n % k).cast("int")), text)
+    pages = F.concat(
+        many(4, lambda i: F.concat(L("Card "), s(i), L("\nCARD "), s(i))), many(5, lambda i: F.concat(L("ge. "), s(i))), F.when(key() % 3 == 0, F.array(L("OPTION2"))).otherwise(F.array(L("other"))),
+        many(3, lambda i: L("variable and description")), many(7, lambda i: L("\\frac")), many(6, lambda i: F.concat(L("Fig. "), s(i))),
+    )
+    flags, counts = sampling.feature_flags(pages, key() % 3 != 1, key() % 3 == 2, n % 2 == 0)
+    return t("part").select("p_partkey", F.array_join(flags, ",").alias("flags"), *[counts[c].cast("int").alias(c) for c in ("cards", "conditions", "figures", "formulas")])
+
+
+@query("""SELECT doc_id, doc_id % 13 = 0 AS anchor FROM documents WHERE doc_id % 10 = 0 OR doc_id % 13 = 0 UNION ALL SELECT -item_id - 1, NULL FROM benchmark""")
+def q106_sample_anchors(t):
+    d = t("documents").select("doc_id")
+    anchors = d.where("doc_id % 13 = 0").union(t("benchmark").select(-F.col("item_id") - 1))
+    sample, missing = sampling.with_anchors(d.where("doc_id % 10 = 0"), d, anchors, ["doc_id"])
+    return sample.select("doc_id", "anchor").union(missing.select("doc_id", L(None).cast("boolean")))
+
+
+@query("""WITH k AS (SELECT o_custkey AS d, o_orderkey AS s, o_orderkey % 8 AS k, c_nationkey AS v FROM orders JOIN customer ON c_custkey = o_custkey)
+SELECT d AS document_id, s AS section_id, CASE k WHEN 0 THEN 'SECTION_VOLUME_MISMATCH' WHEN 1 THEN 'SECTION_PAGE_RANGE_INVALID' WHEN 2 THEN 'SECTION_PAGE_LABEL_COUNT_MISMATCH' WHEN 3 THEN 'SECTION_KEYWORD_ID_INVALID' WHEN 4 THEN 'SECTION_PARENT_MISSING' WHEN 5 THEN 'SECTION_PAGE_RANGE_INVALID' WHEN 6 THEN 'SECTION_KEYWORD_ID_INVALID' END AS code FROM k WHERE k < 7""")
+def q107_navigation_contract(t):
+    k = F.col("o_orderkey") % 8
+    o = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    ident = F.col("o_orderkey")
+    sections_ = o.select(
+        F.col("o_custkey").alias("document_id"), ident.alias("section_id"), F.when(k == 0, F.col("c_nationkey") + 1).otherwise(F.col("c_nationkey")).alias("volume"), F.when(k == 6, "document").otherwise("keyword").alias("kind"),
+        F.when(k == 3, ident + 1).otherwise(ident).alias("keyword_id"), F.when(k == 4, -ident - 1).when(k == 7, ident).alias("parent_section_id"),
+        F.when(k == 1, F.array(L(1), L(11))).when(k == 5, F.array(L(2), L(1))).otherwise(F.array(L(1), L(2))).alias("pdf_pages"), F.when(k == 2, F.array(L("1-1"))).otherwise(F.array(L("1-1"), L(None).cast("string"))).alias("manual_pages"),
+    )
+    documents = t("customer").select(F.col("c_custkey").alias("document_id"), F.col("c_nationkey").alias("volume"), L(10).alias("pages"))
+    return quality.navigation_issues(sections_, documents)
+
+
+@query("SELECT p_partkey, CAST(p_partkey % 4 IN (0, 2) AS BOOLEAN) AS related FROM part")
+def q108_hierarchy_overlap(t):
+    n = s("p_size")
+    owners = pick(key(), F.array(n, F.concat(n, L(".1")), F.concat(n, L(".1.2"))), F.array(n, F.concat(n, L(".1")), F.concat(n, L(".2"))), F.array(F.concat(n, L(".3.1")), F.concat(n, L(".3"))), F.array(n, L("A.1")))
+    return t("part").select("p_partkey", assembly.hierarchy_overlap(owners).alias("related"))
+
+
+@query("""WITH d AS (SELECT o_orderpriority AS p, o_orderstatus AS s, count(*) AS n FROM orders GROUP BY ALL),
+i AS (SELECT o_orderpriority AS p, o_orderstatus AS s, string_agg(c || '=' || n, ',' ORDER BY c) AS codes FROM (SELECT o_orderpriority, o_orderstatus, 'C' || o_orderkey % 3 AS c, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0 GROUP BY ALL) GROUP BY ALL)
+SELECT d.p AS release, d.s AS document_id, coalesce(codes, '') AS codes, n % 2 = 0 AS passes, CASE WHEN d.s = 'F' THEN 'reviewed' ELSE 'pending' END AS review, (SELECT string_agg(DISTINCT CAST(o_orderkey % 7 AS VARCHAR), ',' ORDER BY CAST(o_orderkey % 7 AS VARCHAR)) FROM orders o WHERE o.o_orderpriority = d.p AND o.o_orderstatus = d.s) AS pages FROM d LEFT JOIN i ON i.p = d.p AND i.s = d.s""")
+def q109_regression_matrix(t):
+    o = t("orders").select(F.col("o_orderpriority").alias("release"), F.col("o_orderstatus").alias("document_id"), "o_orderkey")
+    d = o.groupBy("release", "document_id").agg(F.count("*").alias("n")).withColumn("passes", F.col("n") % 2 == 0)
+    issues = o.where("o_orderkey % 2 = 0").select("release", "document_id", F.concat(L("C"), s(F.col("o_orderkey") % 3)).alias("code"))
+    base = d.select("release", "document_id", F.when(F.col("document_id") == "F", F.col("n")).otherwise(0).alias("n"), L("reviewed").alias("review"))
+    m = quality.regression_matrix(d, issues, o.select("release", "document_id", (F.col("o_orderkey") % 7).alias("pdf_page")), base, identity=("n",))
+    shown = F.transform(F.map_entries("issue_codes"), lambda e: F.concat(e["key"], L("="), s(e["value"])))
+    return m.select("release", "document_id", F.coalesce(F.array_join(shown, ","), L("")).alias("codes"), "passes", "review", F.array_join(F.transform("review_pages", s), ",").alias("pages"))
+
+
+@query("SELECT p_partkey, CAST(p_partkey % 5 IN (0, 2) AS BOOLEAN) AS blank FROM part")
+def q110_blank_streams(t):
+    text = pick(key(), F.concat(L("q ("), "p_name", L(" Tj) Q")), F.concat(L("BT ("), "p_name", L(") Tj ET")), L(None).cast("string"), "/Im0 Do", "q Q")
+    pages = t("part").select("p_partkey", text.cast("binary").alias("content"), F.when(key() % 5 == 4, 1).otherwise(0).alias("annotations"))
+    return readers.blank_pages(pages).select("p_partkey", "blank")

@@ -209,7 +209,7 @@ def test_cross_entropy_equals_plain_counts(spark):
     rows = [(i, " ".join(rng.choice("a b c dd ee ff".split()) for _ in range(rng.randint(0, 30)))) for i in range(40)] + [(50, None), (51, "")]
     target = {i for i in range(0, 40, 3)}
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r for r in lmscore.cross_entropy(frame, spark.createDataFrame([(i,) for i in [*target, 0, 99, None]], "doc_id long"), chunk_bytes=300).collect()}
+    got = {r["doc_id"]: r for r in lmscore.cross_entropy(frame, spark.createDataFrame([(i,) for i in [*target, 0, 99, None]], "doc_id long"), chunk_bytes=300, weights=np.full((2, lmscore.CLASSES), 0.6)).collect()}
     assert len(got) == len(rows)
     words, context, pair, n = (defaultdict(Counter) for _ in range(4))
     for i, t in rows:

@@ -20,17 +20,23 @@ def vectorized(function, kind):
     """A pandas UDF of a function of one value; nulls stay null."""
 
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else function(x))
+        known = s.notna()
+        return s.where(~known, s[known].map(function)) if known.any() else s
 
     return F.pandas_udf(run, kind)
 
 
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
+
+
 def nfkd(text: Column) -> Column:
-    return vectorized(lambda x: unicodedata.normalize("NFKD", x), T.StringType())(text)
+    """Only values beyond ASCII go to Python; the others are their own form."""
+    return F.coalesce(vectorized(lambda x: unicodedata.normalize("NFKD", x), T.StringType())(F.when(~is_ascii(text), text)), text)
 
 
 def casefold(text: Column) -> Column:
-    return vectorized(str.casefold, T.StringType())(text)
+    return F.coalesce(vectorized(str.casefold, T.StringType())(F.when(~is_ascii(text), text)), F.lower(text))
 
 
 def logical_lines(text: Column) -> Column:

@@ -212,7 +212,15 @@ def test_state_stream_keeps_the_latest(spark, tmp_path):
     stream = state.resume_stream(spark, source, schema, files_per_batch=1)
     q = state.keep_latest(stream, str(tmp_path / "t"), str(tmp_path / "c"), ["k"], ["at"], ["status"])
     q.awaitTermination(120)
-    got = {r["k"]: r["status"] for r in spark.read.parquet(str(tmp_path / "t" / "version=1")).collect()}
-    assert got["a"] == "done" and set(got) == {"a", "b1", "b2"}
+    got = {r["k"]: r["status"] for r in state.read_latest(spark, str(tmp_path / "t"), schema).collect()}
+    assert got == {"a": "done", "b1": "failed", "b2": "done"}
+    for at in (3, 4, 5):
+        spark.createDataFrame([("a", at, f"s{at}")], schema).coalesce(1).write.mode("append").parquet(source)
+        q = state.keep_latest(state.resume_stream(spark, source, schema, files_per_batch=1), str(tmp_path / "t"), str(tmp_path / "c"), ["k"], ["at"], ["status"])
+        q.awaitTermination(120)
+    got = {r["k"]: r["status"] for r in state.read_latest(spark, str(tmp_path / "t"), schema).collect()}
+    assert got == {"a": "s5", "b1": "failed", "b2": "done"}
+    versions = state._versions(spark, str(tmp_path / "t"))
+    assert max(map(len, versions.values())) == 2 and [3, 4] in versions.values()
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert state.event_windows(events).agg(F.sum("n")).first()[0] == events.count()

@@ -111,6 +111,35 @@ def title_lines(pages: DataFrame, partition: list[str]) -> DataFrame:
     return keys.groupBy(*partition, "pdf_page", "_key").agg(F.max(F.col("_at") <= 4).alias("strong"))
 
 
+def _first_word(text: Column) -> Column:
+    return F.regexp_extract(text, r"^[^\s.:]*", 0)
+
+
+def opening_titles(specs: DataFrame, pages: DataFrame, partition: list[str]) -> DataFrame:
+    """(partition, ord, pdf_page, strong) of lines that open with the name of an entry that is no keyword.
+
+    A document's entry is met by a line that begins with its name up to a colon, whatever the case, at the end of a word. A numbered entry
+    (section_number) is met where its number opens a line and number and title begin the next lines, up to four, a hyphen at a
+    line's end closing up. Lines and entries meet by their first word, so that no page is held against all entries."""
+    numbered = F.col("section_number").isNotNull()
+    short = lambda c: F.regexp_replace(c, r"-\s+", "-")
+    name = X.title_key(F.col("name"))
+    head = X.title_key(F.split_part("name", F.lit(":"), F.lit(1)))
+    title = F.when(numbered, short(F.concat_ws(" ", "section_number", X.title_key(F.col("title"))))).otherwise(F.lower(F.when(head == "", name).otherwise(head)))
+    wanted = specs.select(*partition, "ord", numbered.alias("_numbered"), title.alias("_title"), F.when(numbered, F.col("section_number")).otherwise(_first_word(title)).alias("_word"))
+    own = pages.where(~F.col("is_toc")).select(*partition, "pdf_page", "lines", F.posexplode("lines").alias("_at", "_line")).where("_at > 0")
+    line = X.title_key(F.col("_line"))
+    seen = own.withColumns({"_line": line, "_word": F.split_part(line, F.lit(" "), F.lit(1))})
+    run = lambda last: short(F.array_join(F.transform(F.slice("lines", F.col("_at") + 1, F.greatest(last, F.lit(1))), X.collapse), " "))
+    opens = lambda text: (text == F.col("_title")) | F.startswith(text, F.concat("_title", F.lit(" ")))
+    by_number = seen.select(*partition, "pdf_page", "_at", "_word", run(F.lit(4)).alias("_run"), run(F.least(F.lit(4), F.lit(5) - F.col("_at"))).alias("_top")).join(wanted.where("_numbered"), [*partition, "_word"])
+    found = by_number.where(opens(F.col("_run"))).select(*partition, "ord", "pdf_page", (opens(F.col("_top")) & (F.col("_at") <= 4)).alias("strong"))
+    low = seen.select(*partition, "pdf_page", "_at", F.lower("_line").alias("_line")).withColumn("_word", _first_word(F.col("_line"))).join(wanted.where("not _numbered"), [*partition, "_word"])
+    after = F.substring(F.col("_line"), F.length("_title") + 1, F.lit(1))
+    fits = F.startswith("_line", F.col("_title")) & ((after == "") | after.rlike(r"[\s.:]"))
+    return found.union(low.where(fits).select(*partition, "ord", "pdf_page", F.col("_at") <= 4))
+
+
 def locate_starts(specs: DataFrame, pages: DataFrame, partition: list[str]) -> DataFrame:
     """specs (ord, name, manual_page) with start_page and code: a fold over the contents with a cursor that never falls.
 
@@ -118,10 +147,16 @@ def locate_starts(specs: DataFrame, pages: DataFrame, partition: list[str]) -> D
     strong title is taken, else with a weak one; without a titled candidate, the first page from there on that is no
     contents page and has a strong title, else a weak one (ANCHOR_CONFLICT if there was a candidate); else the first
     candidate (TOC_PAGE_TITLE_NOT_FOUND), else none (TOC_ENTRY_UNRESOLVED). pages: pdf_page, manual_page, is_toc, lines.
-    Titles and printed pages are met by equal keys; the lists a fold needs are those of one document.
+    Titles and printed pages are met by equal keys; the lists a fold needs are those of one document. Entries of another kind than
+    keyword, where specs have a kind, are titled as opening_titles says.
     """
     named = specs.select(*partition, "ord", X.title_key(F.col("name")).alias("_key"), "manual_page")
-    titled = named.join(title_lines(pages, partition), [*partition, "_key"]).select(*partition, "ord", "pdf_page", "strong", F.lit(True).alias("weak"), F.lit(False).alias("here"))
+    keyed = named.join(specs.where("kind = 'keyword'").select(*partition, "ord"), [*partition, "ord"], "left_semi") if "kind" in specs.columns else named
+    titles = keyed.join(title_lines(pages, partition), [*partition, "_key"]).select(*partition, "ord", "pdf_page", "strong")
+    if "kind" in specs.columns:
+        full = specs.withColumns({c: F.lit(None).cast("string") for c in ("section_number", "title") if c not in specs.columns})
+        titles = titles.union(opening_titles(full.where("kind != 'keyword'"), pages, partition))
+    titled = titles.select("*", F.lit(True).alias("weak"), F.lit(False).alias("here"))
     printed = named.join(pages.where(~F.col("is_toc")).select(*partition, "pdf_page", "manual_page"), [*partition, "manual_page"]).select(*partition, "ord", "pdf_page", F.lit(False), F.lit(False), F.lit(True))
     met = titled.union(printed).groupBy(*partition, "ord", "pdf_page").agg(F.max("strong").alias("strong"), F.max("weak").alias("weak"), F.max("here").alias("here"))
     lists = met.groupBy(*partition, "ord").agg(F.sort_array(F.collect_list(F.struct("pdf_page", "strong", "weak", "here"))).alias("c"))

@@ -658,3 +658,21 @@ def q110_blank_streams(t):
     text = pick(key(), F.concat(L("q ("), "p_name", L(" Tj) Q")), F.concat(L("BT ("), "p_name", L(") Tj ET")), L(None).cast("string"), "/Im0 Do", "q Q")
     pages = t("part").select("p_partkey", text.cast("binary").alias("content"), F.when(key() % 5 == 4, 1).otherwise(0).alias("annotations"))
     return readers.blank_pages(pages).select("p_partkey", "blank")
+
+
+@query("""WITH k AS (SELECT o_orderkey AS d, o_orderkey % 8 AS k FROM orders)
+SELECT d, 1 AS ord, 2 AS pdf_page, k IN (0, 1) AS strong FROM k WHERE k < 3 UNION ALL SELECT d, 2, 2, k = 4 FROM k WHERE k IN (4, 5)""")
+def q111_opening_titles(t):
+    """Titles of an appendix and of a numbered section: near the top, below, run over lines, or none."""
+    d = F.col("o_orderkey")
+    name = F.concat(L("Appendix A"), s(d))
+    top, low = (lambda *x: F.array(L("head"), *x)), (lambda *x: F.array(*[L(c) for c in "habcd"], *x))
+    lines = pick(
+        d, top(F.concat(F.upper(name), L(": All"))), top(L("x"), F.concat(name, L(". All"))), low(name), top(F.concat(name, L("b"))), top(F.concat(L("2.1 Basic of order-")), F.concat(s(d), L(" in"))), low(L("2.1"), F.concat(L("Basic of order-"), s(d))),
+        top(L("2.1 Basic of"), L("other")), F.array(F.concat(name, L(" head")), L("12.1 Basic")),
+    )
+    o = t("orders")
+    pages = o.select(d.alias("d"), F.explode(F.array(F.struct(L(1).alias("p"), L(True).alias("toc")), F.struct(L(2).alias("p"), L(False).alias("toc")))).alias("x"), lines.alias("lines")).select("d", F.col("x.p").alias("pdf_page"), F.col("x.toc").alias("is_toc"), "lines")
+    none = L(None).cast("string")
+    specs = o.select(d.alias("d"), F.explode(F.array(F.struct(L(1).alias("ord"), F.concat(name, L(": All of it")).alias("name"), none.alias("section_number"), none.alias("title")), F.struct(L(2).alias("ord"), L("2.1 Basic").alias("name"), L("2.1").alias("section_number"), F.concat(L("Basic of order- "), s(d)).alias("title")))).alias("x")).select("d", "x.*")
+    return navigation.opening_titles(specs, pages, ["d"])

@@ -102,3 +102,11 @@ def test_text_functions(spark):
     assert one(X.number_path(lit("22.3.1"))) == [22, 3, 1] and one(X.number_path(lit("A.1"))) == []
     assert one(X.prose(lit("a $x$ b $$y\nz$$ c"))).split() == ["a", "b", "c"]
     assert one(quality.text_layer_verdict(lit(20), lit(2), lit(0.1), lit(0.9))) == "TEXT_LAYER_FORMULA_REPRESENTATION_DIVERGENCE"
+
+
+def test_starts_of_other_kinds(spark):
+    lines = {1: ["toc"], 2: ["head", "APPENDIX A. More"], 3: ["head", "2 Theory of", "many- things", "x"], 4: ["h", "a", "b", "c", "d", "*KEY_OPTION1_{OPTION2}"], 5: ["Appendix A: names", "x"]}
+    pages = spark.createDataFrame([("d", p, None, p == 1, x) for p, x in lines.items()], "document_id string, pdf_page int, manual_page string, is_toc boolean, lines array<string>")
+    specs = spark.createDataFrame([("d", 1, "Appendix A: Names", "1-1", "document", None, None), ("d", 2, "2 Theory", "1-2", "theory", "2", "Theory of many-things"), ("d", 3, "*KEY", "1-3", "keyword", None, None), ("d", 4, "Appendix A: again", "1-4", "child", None, None)], "document_id string, ord int, name string, manual_page string, kind string, section_number string, title string")
+    got = {r["ord"]: (r["start_page"], r["code"]) for r in navigation.locate_starts(specs, pages, ["document_id"]).collect()}
+    assert got == {1: (2, None), 2: (3, None), 3: (4, None), 4: (None, "TOC_ENTRY_UNRESOLVED")}

@@ -136,13 +136,29 @@ def build_status(entries: DataFrame) -> DataFrame:
 
 
 def theory_entries(sections: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Blocks owned by theory sections: from a section's title to the next title of any section."""
-    pages = sections.select("document_id", "section_id", "section_number", "title", F.explode(F.sequence("start_page", "end_page")).alias("pdf_page"))
+    """Blocks by the numbered sections that own them, with anchored.
+
+    A section whose title stands on one of its pages owns the blocks from there to the next title of any section, up to its
+    last page; one whose title does not keeps all blocks of its pages, and its rows are not anchored."""
+    keys, order = ["document_id", "section_id"], ["pdf_page", "block_index"]
+    pages = sections.select(*keys, "section_number", "title", F.explode(F.sequence("start_page", "end_page")).alias("pdf_page"))
     match = blocks.join(pages, ["document_id", "pdf_page"])
-    rank = F.when(X.theory_title_key(F.col("text")) == X.theory_title_key(F.concat_ws(" ", "section_number", "title")), 2)
-    anchors = assembly.title_anchors(match.withColumn("rank", rank), ["document_id", "section_id"], ["pdf_page", "block_index"])
-    marks = anchors.select("document_id", "section_id", "anchor.*")
-    return assembly.theory_ownership(blocks, marks, "document_id", ["pdf_page", "block_index"])
+    text, number, title = X.theory_title_key(F.col("text")), X.theory_title_key(F.col("section_number")), X.theory_title_key(F.col("title"))
+    rank = F.when(text == F.concat_ws(" ", number, title), 2).when(text == title, 1)
+    anchors = assembly.title_anchors(match.withColumn("rank", rank), keys, order)
+    marks = anchors.select(*keys, "anchor.*")
+    owned = assembly.theory_ownership(blocks, marks, "document_id", order)
+    ends = sections.select(*keys, "end_page")
+    cut = owned.join(ends, keys).where(F.col("pdf_page") <= F.col("end_page")).drop("end_page").withColumn("anchored", F.lit(True))
+    bare = pages.join(marks.select(*keys), keys, "left_anti").select(*keys, "pdf_page")
+    whole = blocks.join(bare, ["document_id", "pdf_page"]).withColumn("anchored", F.lit(False))
+    return cut.unionByName(whole)
+
+
+def theory_issues(owned: DataFrame) -> DataFrame:
+    """(document_id, section_id, code): whether a section's bounds are its titles' or all its pages'."""
+    per = owned.groupBy("document_id", "section_id").agg(F.max("anchored").alias("anchored"))
+    return per.select("document_id", "section_id", F.when(F.col("anchored"), "THEORY_BOUNDARY_RESOLVED").otherwise("THEORY_TITLE_ANCHOR_MISSING").alias("code"))
 
 
 def preflight(spark, config) -> list[tuple[str, str, str]]:

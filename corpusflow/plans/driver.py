@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.functions import text as X
 from corpusflow.operators import navigation, planning, quality
 from corpusflow.plans import build
 from corpusflow.sources import readers, writers
@@ -117,8 +118,10 @@ def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataF
     progress = progress or Progress(lambda line: None)
     progress("inspect")
     found = navigation.inspect_pages(page_text)
-    for name in ("pagemap", "sections", "starts"):
+    for name in ("toc", "pagemap", "sections", "starts"):
         writers.write_table(found[name].drop("lines"), f"{out}/navigation/{name}", None)
+    aliases = navigation.alias_map(page_text.select(F.explode(X.logical_lines(F.col("text"))).alias("line")))
+    writers.write_table(navigation.invert_aliases(aliases.groupBy("alias").agg(F.collect_set("keyword_id").alias("ids"))), f"{out}/navigation/aliases", None)
     sections, starts, pagemap = (spark.read.parquet(f"{out}/navigation/{name}") for name in ("sections", "starts", "pagemap"))
     plan = build.plan(sections, config.max_batch_pages).join(sources, "document_id")
     state = run_parsing(spark, plan, page_text, provider, out, progress)

@@ -326,6 +326,14 @@ def read_issues(spark: SparkSession, path: str) -> DataFrame:
     return df.where("_bad is null and severity is not null and code is not null").drop("_bad")
 
 
+def skipped_issues(spark: SparkSession, path: str) -> DataFrame:
+    """(file, skipped): how many lines of each file read_issues leaves out; blank ones do not count."""
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.trim("value").alias("value")).where("value != ''")
+    read = F.from_json("value", "severity string, code string", {"mode": "PERMISSIVE"})
+    bad = read.isNull() | read["severity"].isNull() | read["code"].isNull()
+    return lines.where(bad).groupBy("file").agg(F.count("*").alias("skipped"))
+
+
 def layouts(lines: DataFrame, line: str = "value") -> DataFrame:
     """(line_index, layout_index, layout_result) of provider lines that each hold an array of layouts."""
     parsed = F.from_json(F.col(line), "struct<result:struct<layoutParsingResults:array<string>>>")["result"]["layoutParsingResults"]

@@ -676,3 +676,25 @@ def q111_opening_titles(t):
     none = L(None).cast("string")
     specs = o.select(d.alias("d"), F.explode(F.array(F.struct(L(1).alias("ord"), F.concat(name, L(": All of it")).alias("name"), none.alias("section_number"), none.alias("title")), F.struct(L(2).alias("ord"), L("2.1 Basic").alias("name"), L("2.1").alias("section_number"), F.concat(L("Basic of order- "), s(d)).alias("title")))).alias("x")).select("d", "x.*")
     return navigation.opening_titles(specs, pages, ["d"])
+
+
+@query(f"""WITH {TURNS}, b AS (SELECT conv_id AS d, block_index AS i, (block_index - 1) // 2 + 1 AS page, n % 3 AS k, n FROM c), s AS (SELECT d, 'S' || i AS section, i, page AS first, page + 1 AS last, k FROM b WHERE n % 2 = 0),
+a AS (SELECT d, section, i AS at, last FROM s WHERE k < 2), o AS (SELECT b.d, b.i, b.page, max(a.at) AS at FROM b LEFT JOIN a ON a.d = b.d AND a.at <= b.i GROUP BY ALL),
+r AS (SELECT o.d, o.i, a.section, true AS anchored FROM o JOIN a ON a.d = o.d AND a.at = o.at WHERE o.page <= a.last UNION ALL SELECT b.d, b.i, s.section, false FROM s JOIN b ON b.d = s.d AND b.page BETWEEN s.first AND s.last WHERE s.k = 2)
+SELECT CAST(d AS VARCHAR) AS document_id, CAST(i AS INT) AS block_index, section AS section_id, anchored FROM r""")
+def q112_theory_entries(t):
+    n, i = F.col("n"), F.col("block_index")
+    b = turns(t).withColumn("page", (F.floor((i - 1) / 2) + 1).cast("int"))
+    number = F.concat(s("block_index"), L(".1"))
+    title = F.concat(L("On matter "), s("block_index"))
+    text = F.when((n % 2 == 0) & (n % 3 == 0), F.concat_ws(" ", number, title)).when((n % 2 == 0) & (n % 3 == 1), F.upper(title)).otherwise("text")
+    blocks = b.select(s("conv_id").alias("document_id"), F.col("page").alias("pdf_page"), "block_index", L("text").alias("type"), text.alias("text"))
+    found = b.where("n % 2 = 0").select(s("conv_id").alias("document_id"), F.concat(L("S"), s("block_index")).alias("section_id"), number.alias("section_number"), title.alias("title"), F.col("page").alias("start_page"), (F.col("page") + 1).alias("end_page"))
+    return build.theory_entries(found, blocks).select("document_id", "block_index", "section_id", "anchored")
+
+
+@query("""WITH k AS (SELECT o_orderkey, o_orderkey % 3 AS k FROM orders) SELECT CAST(o_orderkey AS VARCHAR) AS document_id, 'S' AS section_id, CASE WHEN k = 0 THEN 'THEORY_TITLE_ANCHOR_MISSING' ELSE 'THEORY_BOUNDARY_RESOLVED' END AS code FROM k""")
+def q113_theory_issues(t):
+    k = F.col("o_orderkey") % 3
+    owned = t("orders").select(s("o_orderkey").alias("document_id"), L("S").alias("section_id"), F.explode(F.array(k > 0, k == 1)).alias("anchored"))
+    return build.theory_issues(owned)

@@ -82,3 +82,10 @@ def test_features_and_anchors(spark):
     sections = spark.createDataFrame([(i,) for i in "abc"], "id string")
     sample, missing = sampling.with_anchors(sections.where("id = 'a'"), sections, spark.createDataFrame([("a",), ("c",), ("z",)], "id string"), ["id"])
     assert sorted(map(tuple, sample.collect())) == [("a", True), ("c", True)] and [r["id"] for r in missing.collect()] == ["z"]
+
+
+def test_skipped_issue_lines_are_counted(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"severity":"error","code":"X"}\n\n{"code":"Y"}\nnot json\n[1]\n')
+    (tmp_path / "b.jsonl").write_text('{"severity":"info","code":"Z"}\n')
+    got = {r["file"][-7:]: r["skipped"] for r in readers.skipped_issues(spark, str(tmp_path)).collect()}
+    assert got == {"a.jsonl": 3} and readers.read_issues(spark, str(tmp_path)).count() == 2

@@ -57,8 +57,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         baseline = read(a.baseline) if a.baseline else None
         return driver.run_build(spark, readers.BuildConfig.load(a.config), read(a.pages), read(a.sources), plug_in(a.provider), a.out, baseline, driver.Progress()).exit_code
     if a.stage == "inspect":
-        for name, table in build.inspect(read(a.pages)).items():
-            writers.write_table(table.drop("lines"), f"{a.out}/{name}")
+        build.inspect(read(a.pages), writers.stored(spark, a.out, "document_id"))
     elif a.stage == "plan":
         writers.write_table(build.plan(read(a.sections), a.max_batch_pages), a.out)
     elif a.stage == "adapt":
@@ -66,7 +65,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.stage == "sample":
         writers.write_table(sample(read(a.sections), a.seed), a.out)
     else:
-        out = build.reconstruct(read(a.sections), read(a.page_ir))
+        out = build.reconstruct(read(a.sections), read(a.page_ir), writers.stored(spark, a.out, "document_id"))
         for name in ("entries", "issues"):
             writers.write_table(out[name], f"{a.out}/{name}")
         entries = read(f"{a.out}/entries")

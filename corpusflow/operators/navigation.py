@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -286,14 +288,16 @@ def inspection_stats(pagemap: DataFrame, partition: list[str], profile: str = "k
     return per.withColumns({"coverage": coverage, "passes": coverage >= LEAST_COVERAGE[profile]})
 
 
-def inspect_pages(page_text: DataFrame, partition: list[str] | None = None) -> dict[str, DataFrame]:
-    """The whole inspection of page texts (document_id, pdf_page, text): footers, contents, specs, sections, page map."""
+def inspect_pages(page_text: DataFrame, partition: list[str] | None = None, store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
+    """The whole inspection of page texts (document_id, pdf_page, text): footers, contents, specs, sections, page map.
+
+    store may write a table and give it back as read, so that the tables made of it do not make it again."""
     part = partition or ["document_id"]
-    scanned = scan_footers(page_text.withColumn("lines", X.logical_lines(F.col("text"))))
+    scanned = store("footers", scan_footers(page_text.withColumn("lines", X.logical_lines(F.col("text")))).drop("text"))
     lines = scanned.where("is_toc").select(*part, "pdf_page", F.posexplode("lines").alias("line_no", "line")).where("line_no > 0")
-    toc = parse_toc(lines, part, ["pdf_page", "line_no"]).withColumn("ord", F.row_number().over(Window.partitionBy(*part).orderBy("pdf_page", "line_no"))).drop("pdf_page", "line_no")
-    specs = select_specs(toc, part)
-    starts = locate_starts(specs, scanned, part)
+    toc = store("toc", parse_toc(lines, part, ["pdf_page", "line_no"]).withColumn("ord", F.row_number().over(Window.partitionBy(*part).orderBy("pdf_page", "line_no"))).drop("pdf_page", "line_no"))
+    specs = store("specs", select_specs(toc, part))
+    starts = store("starts", locate_starts(specs, scanned, part))
     sections = section_ranges(starts.where("start_page is not null").join(content_end(scanned, part), part), part, ["start_page", "ord"], "start_page", "content_end")
     anchors = starts.where("start_page is not null").groupBy(*part, F.col("start_page").alias("pdf_page")).agg(F.min("manual_page").alias("anchor"))
     labelled = scanned.join(anchors, [*part, "pdf_page"], "left")
@@ -303,4 +307,4 @@ def inspect_pages(page_text: DataFrame, partition: list[str] | None = None) -> d
     up = Window.partitionBy(*part).orderBy("pdf_page").rowsBetween(Window.unboundedPreceding, 0)
     chapter = F.coalesce("chapter", F.last("chapter", True).over(up))
     pagemap = filled.select(*part, "pdf_page", F.when(F.col("filled").isNotNull(), F.concat_ws("-", chapter.cast("string"), F.col("filled").cast("string"))).alias("manual_page"), "evidence")
-    return {"toc": toc, "specs": specs, "starts": starts, "sections": sections, "pagemap": pagemap}
+    return {"toc": toc, "specs": specs, "starts": starts, "sections": store("sections", sections), "pagemap": store("pagemap", pagemap)}

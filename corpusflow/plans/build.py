@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
@@ -13,6 +13,10 @@ from corpusflow.functions import text as X
 from corpusflow.operators import adapting, assembly, navigation, planning, quality, rendering
 from corpusflow.operators import sections as reading
 from corpusflow.schemas import BLOCK
+from corpusflow.sources.writers import as_is
+
+#: Writes a named table and gives it back as read, or leaves it as it is (sources.writers.stored, as_is).
+Store = Callable[[str, DataFrame], DataFrame]
 
 #: Exit codes of a build by its status, and attempts on an empty page before it fails (fixed values).
 EXIT_CODES = {"success": 0, "warning": 1, "failed": 2, "paused": 3}
@@ -53,7 +57,7 @@ def raw_stage(plan: DataFrame, state: DataFrame, provider: Provider, source: str
     return raw.where("error is null").drop("error"), rows.select("document_id", "pdf_page", "status", *identity, "error")
 
 
-def page_stage(raw: DataFrame, page_text: DataFrame, attempts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def page_stage(raw: DataFrame, page_text: DataFrame, attempts: DataFrame, store: Store = as_is) -> tuple[DataFrame, DataFrame]:
     """(page tables, state rows): an empty page whose source is not blank is tried again once, then fails."""
     pages = adapting.page_blocks(raw)
     blank = page_text.select("document_id", "pdf_page", (X.strip(F.coalesce("text", F.lit(""))) == "").alias("_blank"))
@@ -62,12 +66,12 @@ def page_stage(raw: DataFrame, page_text: DataFrame, attempts: DataFrame) -> tup
     tries = F.coalesce("empty_parse_attempts", F.lit(0)) + (empty & ~F.coalesce("_blank", F.lit(False))).cast("int")
     status = F.when(~empty | F.coalesce("_blank", F.lit(False)), "done").when(tries >= MOST_EMPTY_ATTEMPTS, "failed").otherwise("parse_empty")
     code = F.when(empty & F.coalesce("_blank", F.lit(False)), "SOURCE_BLANK_PAGE").when(status != "done", "PAGE_PARSE_EMPTY")
-    out = known.withColumns({"empty_parse_attempts": tries, "status": status, "code": code})
+    out = store("page_ir", known.withColumns({"empty_parse_attempts": tries, "status": status, "code": code}))
     return out.where("status = 'done'").drop("_blank", "status", "code", "empty_parse_attempts"), out.select("document_id", "pdf_page", "status", "empty_parse_attempts", "code")
 
 
-def inspect(page_text: DataFrame) -> dict[str, DataFrame]:
-    return navigation.inspect_pages(page_text)
+def inspect(page_text: DataFrame, store: Store = as_is) -> dict[str, DataFrame]:
+    return navigation.inspect_pages(page_text, store=store)
 
 
 def plan(sections: DataFrame, most: int = 1) -> DataFrame:
@@ -88,7 +92,7 @@ def title_ranks(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("rank", X.title_rank(X.keyword_key(X.keyword_surface(short)), X.keyword_key(F.col("name"))))
 
 
-def own_blocks(blocks: DataFrame, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
+def own_blocks(blocks: DataFrame, claims: DataFrame, store: Store = as_is) -> tuple[DataFrame, DataFrame]:
     """(blocks, issues): of a page that several sections share each keeps its part, cut at confirmed titles, or all keep the whole.
 
     blocks: document_id, section_id, name, ord, start_page, end_page, pdf_page, block_index, type, text."""
@@ -98,14 +102,14 @@ def own_blocks(blocks: DataFrame, claims: DataFrame) -> tuple[DataFrame, DataFra
     on_shared = ranked.join(shared, ["document_id", "pdf_page"], "left_semi")
     anchors = assembly.title_anchors(on_shared.where("type != 'header'"), [*keys, "pdf_page"], ["block_index"]).select(*keys, "pdf_page", F.col("anchor.block_index").alias("anchor"))
     owners = on_shared.groupBy(*keys, "pdf_page", "ord", F.col("start_page").alias("first_page"), F.col("end_page").alias("last_page")).agg((F.max("block_index") + 1).alias("n_blocks"))
-    slices = assembly.boundary_slices(owners.join(anchors, [*keys, "pdf_page"], "left"))
+    slices = store("boundaries", assembly.boundary_slices(owners.join(anchors, [*keys, "pdf_page"], "left")))
     cut = ranked.join(slices.withColumnRenamed("code", "_code"), [*keys, "pdf_page"], "left")
     kept = cut.where(F.col("_code").isNull() | F.col("block_index").between(F.col("first_block"), F.col("end_block") - 1))
     kept = kept.withColumn("ambiguous", F.coalesce(F.col("_code") == "KEYWORD_BOUNDARY_AMBIGUOUS", F.lit(False))).drop("_code", "first_block", "end_block")
     return kept, slices.select(*keys, "pdf_page", F.col("code").alias("issue"))
 
 
-def reconstruct(sections: DataFrame, page_ir: DataFrame) -> dict[str, DataFrame]:
+def reconstruct(sections: DataFrame, page_ir: DataFrame, store: Store = as_is) -> dict[str, DataFrame]:
     """Entries from sections (document_id, section_id, name, start_page, end_page) and page tables.
 
     Gives blocks (every block of a section with its bucket and what it belongs to), entries (markdown and status) and issues.
@@ -117,9 +121,9 @@ def reconstruct(sections: DataFrame, page_ir: DataFrame) -> dict[str, DataFrame]
     assembled = assembly.assemble(claims, page_ir)
     blocks = assembled.where("blocks is not null").select(*keys, "name", "ord", "start_page", "end_page", "pdf_page", F.posexplode("blocks").alias("block_index", "block"))
     blocks = blocks.withColumns({"type": F.col("block.type"), "text": F.coalesce("block.text", F.lit(""))})
-    owned, cuts = own_blocks(blocks, claims)
+    owned, cuts = own_blocks(blocks, claims, store)
     ready = owned.withColumn("grid", F.when(F.col("type") == "table", adapting.grid(F.col("block.rows"))))
-    marked = reading.read_sections(ready, keys, ["pdf_page", "block_index"])
+    marked = store("blocks", reading.read_sections(ready, keys, ["pdf_page", "block_index"]))
     parts = marked.withColumn("md", rendering.render_block(F.col("block"), F.col("pdf_page"))).where("md is not null and part is not null")
     body = rendering.render_body(parts.select(*keys, "pdf_page", "block_index", F.col("part").alias("bucket"), "md"), keys, ["pdf_page", "block_index"])
     issues = assembled.where("issue is not null").select(*keys, "pdf_page", "issue").union(cuts).union(marked.where("issue is not null").select(*keys, "pdf_page", "issue"))

@@ -72,25 +72,32 @@ def next_stage(spark: SparkSession, path: str) -> int:
 
 
 def recognise(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress) -> None:
-    """One pass of recognition and adapting over what the state leaves to do; both results and states are stored."""
-    stage, log = next_stage(spark, f"{out}/state"), f"{out}/state"
-    before = state_of(spark, log)
+    """One pass of recognition over what the state leaves to do, then of adapting over the planned pages that are recognised and not
+    adapted, be it by this pass or by one that broke off. Each result is written once and read again for the states that it gives."""
+    log = f"{out}/state"
+    stage, before = next_stage(spark, log), state_of(spark, log)
     raw, rows = build.raw_stage(plan, before, provider)
-    if rows.isEmpty():
+    if not rows.isEmpty():
+        raw.withColumn("stage", F.lit(stage)).write.mode("append").partitionBy("stage").parquet(f"{out}/raw")
+        log_state(rows.join(before.select(*KEYS, "empty_parse_attempts"), KEYS, "left"), log, stage)
+        refused = rows.where(F.startswith("error", F.lit("auth"))).select("error").first()
+        if refused:
+            raise Aborted(refused["error"])
+    known = state_of(spark, log).where("status = 'raw_done'").join(plan.select(*KEYS), KEYS, "left_semi")
+    if known.isEmpty():
         return
-    rows = rows.join(before.select(*KEYS, "empty_parse_attempts"), KEYS, "left")
-    raw.withColumn("stage", F.lit(stage)).write.mode("append").parquet(f"{out}/raw")
-    log_state(rows, log, stage)
-    refused = rows.where(F.startswith("error", F.lit("auth"))).select("error").first()
-    if refused:
-        raise Aborted(refused["error"])
-    state = state_of(spark, log)
-    now = spark.read.parquet(f"{out}/raw").where(F.col("stage") == stage).drop("stage")
-    known = state.join(now.select(*KEYS), KEYS, "left_semi")
-    pages, parsed = build.page_stage(now, page_text, known)
-    pages.select(*KEYS, "blocks", "issues").withColumn("stage", F.lit(stage)).write.mode("append").parquet(f"{out}/page_ir")
+    stage = next_stage(spark, log)
+
+    def store(name: str, parsed: DataFrame) -> DataFrame:
+        kept = parsed.select(*KEYS, "blocks", "issues", "status", "code", "empty_parse_attempts").withColumn("stage", F.lit(stage))
+        kept.write.mode("append").partitionBy("stage").parquet(f"{out}/{name}")
+        return spark.read.schema(kept.schema).parquet(f"{out}/{name}").where(F.col("stage") == stage).drop("stage")
+
+    raws = spark.read.schema("document_id string, pdf_page int, layout_result string, stage int").parquet(f"{out}/raw")
+    now = planning.latest_state(raws.join(known.select(*KEYS, "stage"), [*KEYS, "stage"], "left_semi"), KEYS, ["stage"], ["layout_result"]).drop("stage")
+    _, parsed = build.page_stage(now, page_text, known, store)
     identity = known.drop("status", "empty_parse_attempts", "error", "stage", "updated_at")
-    log_state(parsed.withColumnRenamed("code", "error").join(identity, KEYS), log, stage + 1)
+    log_state(parsed.withColumnRenamed("code", "error").join(identity, KEYS), log, stage)
     progress("pages", parsed.where("status = 'done'").count(), plan.count())
 
 
@@ -98,7 +105,8 @@ def run_parsing(spark: SparkSession, plan: DataFrame, page_text: DataFrame, prov
     """Recognise what is planned, and once more the pages that came out empty though their source is not; the pages' states."""
     recognise(spark, plan, page_text, provider, out, progress)
     empty = state_of(spark, f"{out}/state").where("status = 'parse_empty'").select(*KEYS)
-    again = plan.join(empty, KEYS, "left_semi")
+    # written out: Spark takes two reads of a growing log for one where a plan holds both, as recognise's would
+    again = plan.join(empty, KEYS, "left_semi").checkpoint()
     if not again.isEmpty():
         recognise(spark, again, page_text, provider, out, progress)
     return state_of(spark, f"{out}/state")
@@ -117,19 +125,17 @@ def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataF
     """
     progress = progress or Progress(lambda line: None)
     progress("inspect")
-    found = navigation.inspect_pages(page_text)
-    for name in ("toc", "pagemap", "sections", "starts"):
-        writers.write_table(found[name].drop("lines"), f"{out}/navigation/{name}", None)
+    found = navigation.inspect_pages(page_text, store=writers.stored(spark, f"{out}/navigation"))
     aliases = navigation.alias_map(page_text.select(F.explode(X.logical_lines(F.col("text"))).alias("line")))
     writers.write_table(navigation.invert_aliases(aliases.groupBy("alias").agg(F.collect_set("keyword_id").alias("ids"))), f"{out}/navigation/aliases", None)
-    sections, starts, pagemap = (spark.read.parquet(f"{out}/navigation/{name}") for name in ("sections", "starts", "pagemap"))
+    sections, starts, pagemap = (found[name] for name in ("sections", "starts", "pagemap"))
     plan = build.plan(sections, config.max_batch_pages).join(sources, "document_id")
     state = run_parsing(spark, plan, page_text, provider, out, progress)
     progress("reconstruct")
-    page_ir = planning.latest_state(spark.read.parquet(f"{out}/page_ir"), KEYS, ["stage"], ["blocks", "issues"]) if writers.exists(spark, f"{out}/page_ir") else None
+    page_ir = planning.latest_state(spark.read.parquet(f"{out}/page_ir").where("status = 'done'"), KEYS, ["stage"], ["blocks", "issues"]) if writers.exists(spark, f"{out}/page_ir") else None
     if page_ir is None:
         page_ir = spark.createDataFrame([], "document_id string, pdf_page int, blocks array<string>, issues array<string>").select(*KEYS, F.col("blocks").cast(build.PAGE_BLOCKS).alias("blocks"))
-    made = build.reconstruct(sections, page_ir)
+    made = build.reconstruct(sections, page_ir, writers.stored(spark, out))
     writers.write_table(made["entries"], f"{out}/entries", None)
     entries = spark.read.parquet(f"{out}/entries")
     failures = state.where("status in ('failed', 'paused_quota', 'parse_empty')").select(*KEYS, F.lit("error").alias("severity"), F.lit("PAGE_PARSE_FAILED").alias("code"), F.coalesce("error", "status").alias("message"))

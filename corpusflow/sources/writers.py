@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from pathlib import PurePosixPath
 
 import pandas as pd
@@ -18,6 +19,21 @@ def write_table(df: DataFrame, path: str, partition: str | None = "document_id",
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
+def stored(spark: SparkSession, folder: str, partition: str | None = None) -> Callable[[str, DataFrame], DataFrame]:
+    """A function that writes a table to its name in the folder and reads it there: what comes after does not make it again."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        write_table(df, f"{folder}/{name}", partition)
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}").select(df.columns)
+
+    return store
+
+
+def as_is(name: str, df: DataFrame) -> DataFrame:
+    """In the place of stored: leaves a table as the plan that it is."""
+    return df
+
+
 def append_state(rows: DataFrame, path: str) -> None:
     """One append for a stage; readers take the latest row of each key."""
     rows.withColumn("updated_at", F.current_timestamp()).write.mode("append").parquet(path)

@@ -94,12 +94,15 @@ def test_files_stay_in_their_folder(spark, tmp_path):
     assert (tmp_path / "a/b.txt").read_text() == "é" and sorted(p.name for p in tmp_path.rglob("*") if p.is_file()) == ["b.txt", "c"]
 
 
-def test_a_refusal_aborts(build):
+def test_a_refusal_aborts_and_what_was_recognised_is_taken_up(spark, build, tmp_path):
     class Refusing(Lines):
         def recognise(self, frames):
             for f in super().recognise(frames):
-                f["error"] = "auth: no such user"
+                f["error"] = ["auth: no such user" if p == 4 else None for p in f["pdf_page"]]
                 yield f
 
     with pytest.raises(driver.Aborted, match="no such user"):
-        build(Refusing({}))
+        build(Refusing(text()))
+    assert build(Lines(text([4]))).exit_code == 0  # pages 2 and 3 are in the raw table, and not asked for again
+    assert {(r["pdf_page"], r["stage"]) for r in spark.read.parquet(f"{tmp_path}/raw").collect()} == {(2, 1), (3, 1), (4, 2)}
+    assert {r["status"] for r in driver.state_of(spark, f"{tmp_path}/state").collect()} == {"done"}

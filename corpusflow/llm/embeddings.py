@@ -1,16 +1,17 @@
-"""Exact metric range join of unit vectors, label by label.
+"""Exact join of vectors by cosine, label by label, of which each round ships the vectors twice at most.
 
-On unit vectors a cosine of at least t is a distance of at most e = sqrt(2 - 2t). Each label's vectors are
-dealt to the nearest of a few pivots; the cell of pivot p has radius r_p. A vector x of another cell is
-replicated to p's only if d(x, p) <= r_p + e and d(x, p) <= d(x, q) + 2e for every other pivot q: otherwise the
-triangle inequality, or the bisector between two pivots, rules out any partner there. This is done twice: a label of n
-vectors gets about sqrt(n / CELL_ROWS) pivots, and each of their cells one for CELL_ROWS of its vectors, so that a
-vector meets the square root of all pivots. Cells then join independently by matrix products in double
-precision, a large cell in pairs of blocks of at most about BLOCK_ROWS rows, so that a dense region is many
-tasks of bounded size. Identical vectors are one class from the start and count by their number.
+Identical vectors are one class from the start (a point) and count by their number. A label's points are dealt by hash to
+g groups of GROUP_VALUES numbers at most. In round r group i meets group i + r (mod g), so g / 2 + 1 rounds bring
+every two groups together once; a round's shuffle files go before the next round. So disk holds the points and
+two copies of them, whatever the vectors look like, while traffic grows with g and work, at worst, with the square of a label.
 
-A label may hold most rows: it only gets more pivots. Where vectors have no cluster structure, distances
-to all pivots are alike and most vectors visit most cells, as in any exact method on such data.
+Where two groups meet, one is parted into cells around pivots. On unit vectors a cosine of at least t is a distance of at most
+e = sqrt(2 - 2t): a vector is compared with a cell only if its distance to the pivot is at most the cell's radius + e. What
+is left is compared by its first HEAD components and the length of the rest, which bound the cosine from above, then by
+all components, both in single precision with a margin for rounding; what is that near the threshold, in double precision.
+
+A label may hold most rows: it only gets more groups. Where vectors have no cluster structure, no cell can be left
+out, as in any exact method on such data.
 
 Cases: null labels and ids, and vectors that are null, zero, or hold null or non-finite components, link with
 nothing; vectors of different lengths link with nothing; each row that repeats an id is a vector with links of
@@ -20,15 +21,20 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from corpusflow.llm.common import arrow_schema, save
 from corpusflow.llm.components import components
 
-THRESHOLD, CELL_ROWS, PART_ROWS, BLOCK_ROWS, STRIP = 0.93, 4_096, 8_192, 8_192, 512
+THRESHOLD, CELL_ROWS, PART_ROWS, STRIP = 0.93, 1_024, 8_192, 1_024
+#: Numbers in a group of vectors (131,072 vectors of 64), components of a head, and pairs that are looked at or tied at once.
+GROUP_VALUES, HEAD, PAIRS = 1 << 23, 24, 1 << 16
 #: Margin of the distance bounds against rounding.
 SLACK = 1e-9
 
@@ -37,34 +43,43 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.stack([np.frombuffer(x.as_py(), dtype="<f8") for x in column]) if len(column) else np.empty((0, 0))
 
 
-def _pack(vectors: DataFrame, label: str) -> DataFrame:
+def _unit(x: np.ndarray) -> np.ndarray:
+    """The rows, divided by their lengths in double precision; rows that have no direction hold no finite number."""
+    with np.errstate(all="ignore"):
+        x = x.astype("<f8")
+        x /= np.abs(x).max(axis=1, keepdims=True)
+        return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _pack(vectors: DataFrame, label: str, plain: bool = False) -> DataFrame:
     """(vec_id, space, digest, body) of every row: space is length and label, body the vector divided by its length as
-    bytes of doubles; all three are null for a vector that links with nothing."""
+    bytes of doubles; all three are null for a vector that links with nothing. plain: floats stay as they are, in half the bytes."""
     import hashlib
 
     kind = vectors.schema["vec_id"].dataType.simpleString()
+    kept = "<f4" if plain and isinstance(vectors.schema["embedding"].dataType.elementType, FloatType) else None
 
     def run(batches):
         for b in batches:
-            ids, labels, out = b.column("vec_id"), b.column("label").to_pylist(), []
-            for i, v in enumerate(b.column("embedding").to_pylist()):
-                out.append((None, None, None))
-                if v is None or any(x is None for x in v) or labels[i] is None or not ids[i].is_valid:
-                    continue
-                x = np.array(v, dtype="<f8")
-                with np.errstate(over="ignore", invalid="ignore"):
-                    top = np.abs(x).max() if len(x) else 0.0
-                    if not np.isfinite(top) or top == 0:
-                        continue
-                    x = x / top
-                    x = x / np.sqrt(x @ x)
-                body = x.tobytes()
-                out[-1] = (f"{len(x)}:{labels[i]}", hashlib.sha1(body).hexdigest(), body)
+            ids, labels, lists = b.column("vec_id"), b.column("label").to_pylist(), b.column("embedding")
+            values = lists.flatten().cast(pa.float32() if kept else pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False)
+            lengths = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+            starts = np.cumsum(lengths) - lengths
+            out = [(None, None, None)] * b.num_rows
+            named = ids.is_valid().to_numpy(zero_copy_only=False) & np.array([x is not None for x in labels], dtype=bool)
+            for n in np.unique(lengths[named & (lengths > 0)]).tolist():
+                at = np.flatnonzero(named & (lengths == n))
+                held = values[starts[at][:, None] + np.arange(n)]
+                unit = _unit(held)
+                usable = np.isfinite(unit).all(axis=1)
+                held = held.astype(kept) if kept else unit
+                for i in np.flatnonzero(usable):
+                    out[at[i]] = (f"{n}:{labels[at[i]]}", hashlib.blake2b(unit[i].tobytes(), digest_size=16).hexdigest(), held[i].tobytes())
             cols = list(zip(*out)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([ids, pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.binary())], names=["vec_id", "space", "digest", "body"])
 
-    plain = vectors.select("vec_id", F.col(label).cast("string").alias("label"), "embedding")
-    return plain.mapInArrow(run, f"vec_id {kind}, space string, digest string, body binary")
+    wanted = vectors.select("vec_id", F.col(label).cast("string").alias("label"), "embedding")
+    return wanted.mapInArrow(run, f"vec_id {kind}, space string, digest string, body binary")
 
 
 def _pivots(points: DataFrame, n_pivots) -> DataFrame:
@@ -128,79 +143,128 @@ def _split(points: DataFrame, e: float, n_pivots, name: str) -> DataFrame:
     return save(_with_pivots(points, known, parts, deal, "space string, digest string, pid long, weight long, body binary, mine boolean"), f"{name}-cells")
 
 
-def _links(left: pa.Table, right: pa.Table, same: bool, threshold: float) -> pa.Table:
-    """Links between two blocks of a cell: (pid, with) that ties what is linked, and n, the rows near each of a block's own points."""
-    a, b = _matrix(left["body"]), _matrix(right["body"])
-    pids = np.concatenate([left["pid"].to_numpy(), right["pid"].to_numpy()])
-    mine = [t["mine"].to_numpy(zero_copy_only=False) for t in (left, right)]
-    weight = [t["weight"].to_numpy() for t in (left, right)]
-    na, nb = len(left), len(right)
-    n = [np.zeros(na, dtype=np.int64), np.zeros(nb, dtype=np.int64)]
-    parent = np.arange(na + nb)
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    def tie(i: int, j: int) -> None:
-        i, j = root(i), root(j)
-        parent[max(i, j)] = min(i, j)
-
-    if same:
-        for i in range(na):
-            tie(i, na + i)
-    for at in range(0, na, STRIP) if nb else ():
-        near = a[at : at + STRIP] @ b.T >= threshold
-        if same:
-            near[np.arange(len(near)), at + np.arange(len(near))] = True
-        near &= mine[0][at : at + STRIP, None] | mine[1][None, :]  # two visitors meet where one of them is at home
-        n[0][at : at + STRIP] = near @ weight[1]
-        if not same:
-            n[1] += weight[0][at : at + STRIP] @ near
-        for i in np.flatnonzero(near.any(axis=1)):
-            for k in np.unique(parent[na + np.flatnonzero(near[i])]).tolist():
-                tie(at + i, k)
-    top = pids[[root(i) for i in range(na + nb)]] if na + nb else pids
-    own = np.concatenate([mine[0], np.zeros(nb, dtype=bool) if same else mine[1]])
-    keep = own | (top != pids)
-    counts = np.where(own, np.concatenate(n), 0)
-    return pa.table({"pid": pa.array(pids[keep]), "with": pa.array(top[keep]), "n": pa.array(counts[keep], pa.int64())})
-
-
-def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, label: str = "label", cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) per row of vectors (vec_id, label, embedding)."""
-    rows = save(_pack(vectors, label), "vectors")
-    usable = rows.where("body is not null")
-    points = usable.groupBy("space", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("body").alias("body"))
-    points = save(points.withColumns({"pid": F.monotonically_increasing_id(), "mine": F.lit(True)}), "points")
-    e = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    wide = _split(points, e, lambda n: F.ceil(F.sqrt(F.ceil(n / cell_rows))), "wide")
-    cells = _split(wide, e, lambda n: F.ceil(n / cell_rows), "narrow")
-    blocks = save(cells.groupBy("space").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")), "cell-blocks")
-    dealt = cells.join(blocks, "space").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("space", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "pid", "weight", "body", "mine")
+def _tie(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Unite the classes of i and j, pair by pair; parent holds each place's smallest one, before and after."""
+    while len(i):
+        p, q = parent[i], parent[j]
+        apart = p != q
+        i, j, p, q = i[apart], j[apart], p[apart], q[apart]
+        np.minimum.at(parent, np.maximum(p, q), np.minimum(p, q))
+        while (up := parent[parent]).tobytes() != parent.tobytes():
+            parent[:] = up
+
+
+def _links(left: pa.Table, right: pa.Table | None, dim: int, threshold: float, cell_rows: int) -> pa.Table:
+    """Links between two groups of points, or within one: (pid, with) that ties what is linked, and n, the rows near each point."""
+    tables = [left] if right is None else [left, right]
+    if not all(map(len, tables)):
+        return pa.table({"pid": pa.array([], pa.int64()), "with": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+    raw = []
+    for t in tables:
+        data = b"".join(t["body"].to_pylist())
+        raw.append(np.frombuffer(data, dtype="<f4" if len(data) == 4 * dim * len(t) else "<f8").reshape(-1, dim))
+    pids, weight = ([t[c].to_numpy() for t in tables] for c in ("pid", "weight"))
+    units = [np.concatenate([_unit(x[k : k + PAIRS]).astype("<f4") for k in range(0, len(x), PAIRS)]) for x in raw]
+    margin, e = (dim + 16) * 3e-7, np.sqrt(max(0.0, 2 - 2 * threshold))
+    # both sides by their nearest pivot of the left
+    pivots = units[0][np.linspace(0, len(left) - 1, -(-len(left) // cell_rows)).astype(np.int64)]
+    order, own = [], []
+    for x in units:
+        nearest = np.concatenate([(x[k : k + STRIP] @ pivots.T).argmax(axis=1) for k in range(0, len(x), STRIP)])
+        order.append(np.argsort(nearest, kind="stable"))
+        own.append(nearest[order[-1]])
+    raw, units, pids, weight = ([x[o] for x, o in zip(xs, order)] for xs in (raw, units, pids, weight))
+    cuts = np.searchsorted(own[0], np.arange(len(pivots) + 1))
+    radius = np.array([np.sqrt(max(0.0, 2 - 2 * float((units[0][a:b] @ p).min())) + 2 * margin) if b > a else -np.inf for p, a, b in zip(pivots, cuts[:-1], cuts[1:])])
+    reach = np.where(np.isfinite(radius), (radius + e) ** 2, -np.inf) + 2 * margin
+    heads = [np.column_stack([x[:, :HEAD], np.sqrt((x[:, HEAD:] ** 2).sum(axis=1))]) for x in units] if dim >= 2 * HEAD else None
+    a, b, first = units[0], units[-1], 0 if right is None else len(left)
+    n = [np.zeros(len(x), dtype=np.int64) for x in units]
+    parent, waiting, held = np.arange(sum(map(len, units))), [], 0
+
+    def exact(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs link."""
+        parts = [(_unit(raw[0][i[k : k + PAIRS // 4]]) * _unit(raw[-1][j[k : k + PAIRS // 4]])).sum(axis=1) >= threshold for k in range(0, len(i), PAIRS // 4)]
+        return np.concatenate(parts) if parts else np.empty(0, dtype=bool)
+
+    for at in range(0, len(b), STRIP):
+        visits = 2 - 2 * (b[at : at + STRIP] @ pivots.T) <= reach
+        for c in np.flatnonzero(visits.any(axis=0)):
+            rows, mates = np.arange(cuts[c], cuts[c + 1]), at + np.flatnonzero(visits[:, c])
+            few = None
+            if heads:
+                few = np.flatnonzero(heads[0][rows[0] : rows[-1] + 1] @ heads[-1][mates].T >= threshold - margin)
+            if few is not None and len(few) * 50 <= len(rows) * len(mates):
+                i, j = rows[few // len(mates)], mates[few % len(mates)]
+                near = exact(i, j) & ((i != j) if right is None else True)
+                i, j = i[near], j[near]
+                np.add.at(n[0], i, weight[-1][j])
+                if right is not None:
+                    np.add.at(n[1], j, weight[0][i])
+            else:
+                s = a[rows[0] : rows[-1] + 1] @ b[mates].T
+                near = s >= threshold + margin
+                i, j = np.nonzero((s >= threshold - margin) & ~near)
+                near[i, j] = exact(rows[i], mates[j])
+                if right is None:
+                    near &= rows[:, None] != mates[None, :]
+                n[0][rows] += near @ weight[-1][mates]
+                if right is not None:
+                    n[1][mates] += weight[0][rows] @ near
+                i, j = np.nonzero(near & (parent[rows][:, None] != parent[first + mates][None, :]))
+                i, j = rows[i], mates[j]
+            if len(i):
+                waiting.append((i, first + j))
+                held += len(i)
+            if held > PAIRS:
+                _tie(parent, *map(np.concatenate, zip(*waiting)))
+                waiting, held = [], 0
+    if waiting:
+        _tie(parent, *map(np.concatenate, zip(*waiting)))
+    n, pids = np.concatenate(n), np.concatenate(pids)
+    linked = np.flatnonzero(n)
+    return pa.table({"pid": pa.array(pids[linked]), "with": pa.array(pids[parent[linked]]), "n": pa.array(n[linked])})
+
+
+def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, label: str = "label", cell_rows: int = CELL_ROWS, block_rows: int | None = None) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) per row of vectors (vec_id, label, embedding); block_rows: rows of a group, about."""
+    rows = _pack(vectors, label, plain=True)
+    keys = save(rows.select("vec_id", "space", "digest"), "vectors")  # without their bodies, which only points hold
+    usable = keys.where("digest is not null")
+    points = rows.where("body is not null").groupBy("space", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("body").alias("body"))
+    points = save(points.withColumn("pid", F.monotonically_increasing_id()), "points", tidy=True)
+    dim = F.split("space", ":")[0].cast("int")
+    most = F.greatest(F.lit(1), F.lit(GROUP_VALUES) / dim) if block_rows is None else F.lit(block_rows)
+    sizes = points.groupBy("space").agg(F.ceil(F.count("*") / F.first(most)).cast("int").alias("g")).where("g > 1")
+    sizes = save(sizes, "groups", tidy=True)  # of spaces that have several, each of which fills a group or more
+    dealt = points.join(F.broadcast(sizes), "space", "left").withColumn("g", F.coalesce("g", F.lit(1)))
+    dealt = dealt.select("space", "g", F.pmod(F.xxhash64("digest", F.lit(3)), F.col("g")).cast("int").alias("i"), "pid", "weight", "body")
 
     def join(key: tuple, t: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
+        space, meets = key[0].as_py(), key[2].as_py()
         t = t.sort_by("pid")
-        block = t["block"].to_numpy()
-        left, right = (t.filter(pa.array(block == k)) for k in (i, j))
-        return _links(left, right, i == j, threshold)
-
-    found = save(dealt.groupBy("space", "i", "j").applyInArrow(join, "pid long, with long, n long"), "links")
-    n_links = found.groupBy("pid").agg((F.sum("n") - 1).alias("n_links"))
-    of_row = save(usable.select("vec_id", "space", "digest").join(points.select("space", "digest", "pid"), ["space", "digest"]).select("vec_id", "pid"), "row-points")
+        sides = [t.filter(pa.array(t["right"].to_numpy(zero_copy_only=False) == x)) for x in (False, True)] if meets else [t, None]
+        return _links(*sides, int(space.split(":")[0]), threshold, cell_rows)
+
+    found = []
+    for r in range((sizes.agg(F.max("g")).first()[0] or 1) // 2 + 1):
+        # group i meets group i + r; where that is half the way round, each two meet from one side only
+        left, right = F.struct("i", F.lit(False).alias("right")), F.struct(F.pmod(F.col("i") - r, "g").alias("i"), F.lit(True).alias("right"))
+        sent = dealt.withColumn("to", F.explode(F.array(left, right) if r else F.array(left))).where((2 * r < F.col("g")) | (2 * r == F.col("g")) & (F.col("to.i") < r))
+        sent = sent.select("space", F.col("to.i").alias("i"), F.lit(r).alias("r"), F.col("to.right").alias("right"), "pid", "weight", "body")
+        found.append(save(sent.groupBy("space", "i", "r").applyInArrow(join, "pid long, with long, n long"), "links", tidy=True))
+    found = reduce(DataFrame.union, found)
+    n_links = found.groupBy("pid").agg(F.sum("n").alias("n"))
+    of_row = save(usable.join(points.select("space", "digest", "pid"), ["space", "digest"]).select("vec_id", "pid"), "row-points", tidy=True)
     several = of_row.groupBy("vec_id").agg(F.min("pid").alias("low"), F.max("pid").alias("high")).where("low != high").select("vec_id", "low")
-    tied = of_row.join(save(several, "repeated-ids"), "vec_id").select(F.col("pid").alias("a"), F.col("low").alias("b"))
-    classes = save(components(found.where("pid != with").select(F.col("pid").alias("a"), F.col("with").alias("b")).union(tied), alone=False), "components")
-    names = save(classes.join(points.select(F.col("pid").alias("id"), "rep"), "id").groupBy("component").agg(F.min("rep").alias("name")), "component-names")
+    tied = of_row.join(save(several, "repeated-ids", tidy=True), "vec_id").select(F.col("pid").alias("a"), F.col("low").alias("b"))
+    classes = save(components(found.where("pid != with").select(F.col("pid").alias("a"), F.col("with").alias("b")).union(tied), alone=False), "components", tidy=True)
+    names = save(classes.join(points.select(F.col("pid").alias("id"), "rep"), "id").groupBy("component").agg(F.min("rep").alias("name")), "component-names", tidy=True)
     named = classes.join(names, "component").select(F.col("id").alias("pid"), "name")
-    per = points.select("pid", "rep").join(n_links, "pid").join(named, "pid", "left").select("pid", "n_links", F.coalesce("name", "rep").alias("component_id"))
-    linked = of_row.join(save(per, "per-point"), "pid").select("vec_id", "n_links", "component_id")
+    per = points.select("pid", "rep", "weight").join(n_links, "pid", "left").join(named, "pid", "left")
+    per = per.select("pid", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("name", "rep").alias("component_id"))
+    linked = of_row.join(save(per, "per-point", tidy=True), "pid").select("vec_id", "n_links", "component_id")
     ids = linked.select(F.col("vec_id").alias("_id"), "component_id").distinct()
-    lone = rows.where("body is null").select("vec_id").join(ids, F.col("vec_id") == F.col("_id"), "left")
+    lone = keys.where("digest is null").select("vec_id").join(ids, F.col("vec_id") == F.col("_id"), "left")
     out = linked.union(lone.select("vec_id", F.lit(0).cast("long"), F.coalesce("component_id", "vec_id")))
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("component_id") == F.col("vec_id"), F.lit(True)).alias("kept"))

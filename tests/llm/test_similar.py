@@ -98,6 +98,29 @@ def test_points_meet_few_pivots(spark):
     assert n_cells > 20 and cells.count() < 0.25 * n_cells * len(rows)
 
 
+def test_vectors_without_structure_are_stored_about_once(spark):
+    """What the join writes does not grow with its cells; groups meet once, and heads and margins lose no link."""
+    from pathlib import Path
+
+    from corpusflow.llm.common import collected
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 64))
+    x[1000:1250] = x[:250] + rng.normal(size=(250, 64)) * rng.choice([0.1, 0.4], size=(250, 1))
+    x[1250:1300] = x[0] + rng.normal(size=(50, 64)) * 0.2
+    x[1300:1310] = x[1]
+    x = x.astype("<f4")
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(3)
+    with collected() as paths:
+        got = {r["vec_id"]: r for r in embeddings.near_vectors(frame, cell_rows=50, block_rows=400).collect()}
+        written = sum(f.stat().st_size for p in paths for f in Path(p.removeprefix("file://")).rglob("*.parquet") if f.stat().st_size > 20_000)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    pairs = np.argwhere(np.triu(unit @ unit.T >= embeddings.THRESHOLD, 1)).tolist()
+    links, component = Counter(i for p in pairs for i in p), union(pairs, range(len(x)))
+    assert len(pairs) > 300 and {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {i: (links[i], component[i]) for i in range(len(x))}
+    assert written < 1.5 * x.nbytes, written / x.nbytes
+
+
 def texts():
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))

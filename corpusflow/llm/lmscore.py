@@ -8,8 +8,10 @@ its own occurrence, in the background, and in the target where the document belo
 is scored by what it brought itself.
 
 The weight of the bigram depends on how often its context occurs, by powers of two. It is fitted for each model on
-held-out words: those of a bounded sample of the texts (FIT_WORDS of them, about), each under counts of all texts that
-leave out its own occurrence; a word that occurs nowhere else says nothing of the weight.
+all of its words, each held out: under counts of all texts that leave out its own occurrence; a word that occurs nowhere else
+says nothing of the weight. A word matters to the fit only by its class and by the quotient of its two
+probabilities, so beyond FIT_WORDS words every word is counted in a bin of that quotient, 1 / BINS_AN_OCTAVE octaves wide,
+and a bin stands for the mean of its words' logarithms: that moves the share of the bigram in a bin's words by less than 0.000002.
 
 Cases: null and empty texts have no words and null losses; a document labelled more than once is
 of the target if any label says so; without a target document the target's model is uniform over the
@@ -19,6 +21,8 @@ whole, in chunks of their own; other columns are ignored, whatever their names;
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,8 +35,10 @@ from corpusflow.llm.hashing import GOLDEN, U64, join_blobs, mix, pack_bits, pack
 
 #: The bigram's weight before it is fitted and where there is nothing to fit it on, what is added to a word's count, and the classes of contexts by count.
 BIGRAM, ADD, CLASSES = 0.6, 0.5, 12
-#: Words of the sample that the weights are fitted on, about; bytes of its slices of texts.
-FIT_WORDS, SLICE_BYTES = 100_000, 65_536
+#: Up to so many words are fitted one by one. Beyond, octaves to both sides of 1, bins an octave, and parts of a bin.
+FIT_WORDS, OCTAVES, BINS_AN_OCTAVE, BIN_PARTS = 100_000, 44, 64, 1 << 20
+#: Bins of a class: the first is for words whose pair occurs nowhere else.
+BINS = 2 * OCTAVES * BINS_AN_OCTAVE + 1
 
 
 class _Grams:
@@ -67,83 +73,94 @@ class _Grams:
         self.ends_of_target = np.bincount(last, weights=in_target[n > 0], minlength=len(self.keys)).astype(np.int64)
 
 
-def _hashed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the words, of the pairs that they end and of their contexts, as in _Grams, and the texts' word offsets."""
-    words, at = word_hashes(table["text"])
-    before = np.empty_like(words)
-    before[:1], before[1:] = 0, words[:-1]
-    before[at[:-1][np.diff(at) > 0]] = 0
-    return mix(words + GOLDEN), mix(mix(before ^ U64(2)) * GOLDEN + words), mix(before + GOLDEN), at
-
-
 def context_class(count: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(count, 1)).astype(np.int64), CLASSES - 1)
 
 
-def fit_weights(ratio: np.ndarray, unigram: np.ndarray, seen: np.ndarray, rounds: int = 40) -> np.ndarray:
-    """The weights, by class of context, under which the words are likeliest, by expectation maximisation; classes without
-    words have the weight of all classes together."""
+def fit_quotients(quotient: np.ndarray, times: np.ndarray, classes: np.ndarray, rounds: int = 40) -> np.ndarray:
+    """The weights, by class of context, under which words are likeliest that have these quotients of bigram and unigram so
+    many times, by expectation maximisation; classes of under 50 words have the weight of all classes together."""
 
-    def climb(r, u):
+    def climb(q, n):
         w = BIGRAM
-        for _ in range(rounds if len(r) else 0):
-            w = float(np.mean(w * r / (w * r + (1 - w) * u)))
+        for _ in range(rounds if len(q) else 0):
+            w = float(np.sum(n * (w * q / (w * q + (1 - w)))) / np.sum(n))
         return min(max(w, 0.001), 0.999)
 
+    whole = climb(quotient, times)
+    return np.array([climb(quotient[classes == k], times[classes == k]) if times[classes == k].sum() >= 50 else whole for k in range(CLASSES)])
+
+
+def fit_weights(ratio: np.ndarray, unigram: np.ndarray, seen: np.ndarray, rounds: int = 40) -> np.ndarray:
+    """The weights, by class of context, of words one by one."""
     kept = (seen > 0) & (unigram > 0)
-    ratio, unigram, classes = ratio[kept], unigram[kept], context_class(seen[kept])
-    whole = climb(ratio, unigram)
-    return np.array([climb(ratio[classes == k], unigram[classes == k]) if (classes == k).sum() >= 50 else whole for k in range(CLASSES)])
-
-
-def held_out_weights(docs: DataFrame, ids: DataFrame, bodies: DataFrame, total: int) -> np.ndarray:
-    """Weights (target, background) x class. The sample is of slices of distinct texts, by hash; its keys are counted in all chunks."""
-    share = min(1.0, FIT_WORDS / max(total, 1))
-    slices = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{SLICE_BYTES // 4}}}"), F.lit(0))  # a character has at most 4 bytes
-    cut = docs.select("doc_id", F.posexplode(F.when(F.octet_length("text") <= SLICE_BYTES, F.array("text")).otherwise(slices)).alias("place", "text"))
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = cut.where(unit < share).join(ids.withColumn("in_target", F.lit(True)), "doc_id", "left")
-    rows = sample.groupBy("text").agg(F.max(F.coalesce("in_target", F.lit(False))).alias("in_target"), F.min("place").alias("place")).orderBy("text").collect()
-    if not rows:
-        return np.full((2, CLASSES), BIGRAM)
-    word, pair, context, at = _hashed(pa.table({"text": pa.array([r["text"] for r in rows], pa.string())}))
-    n = np.diff(at)
-    judged = np.ones(len(word), dtype=bool)
-    judged[at[:-1][(n > 0) & np.array([r["place"] > 0 for r in rows])]] = False  # what stands before a slice is not in it
-    in_target = np.repeat(np.array([r["in_target"] for r in rows]), n)
-    keys = np.unique(np.concatenate([word, pair, context]))
-    shared = docs.sparkSession.sparkContext.broadcast(keys)  # about three keys a word of the sample, whatever the corpus
+    return fit_quotients(ratio[kept] / unigram[kept], np.ones(int(kept.sum())), context_class(seen[kept]), rounds)
+
+
+def bin_words(pair: np.ndarray, word: np.ndarray, context: np.ndarray, n: int) -> np.ndarray:
+    """(words, parts of a bin beyond its start) x class x bin, of words with these counts."""
+    kept = (context > 0) & (word > 0)
+    pair, word, context = pair[kept], word[kept], context[kept]
+    with np.errstate(divide="ignore"):
+        place = np.clip((np.log2(pair * (n / word) / context) + OCTAVES) * BINS_AN_OCTAVE, 0, BINS - 1.5)
+    whole = np.floor(place)
+    at = context_class(context) * BINS + np.where(pair > 0, whole.astype(np.int64) + 1, 0)
+    parts = np.where(pair > 0, np.floor((place - whole) * BIN_PARTS), 0)
+    counts = [np.bincount(at, minlength=CLASSES * BINS), np.bincount(at, weights=parts, minlength=CLASSES * BINS)]
+    return np.array(counts).astype(np.int64).reshape(2, CLASSES, BINS)
+
+
+def fit_bins(sums: np.ndarray) -> np.ndarray:
+    """The weights of words that bin_words() has counted."""
+    classes, at = np.nonzero(sums[0])
+    times, parts = sums[0][classes, at], sums[1][classes, at]
+    quotient = np.where(at > 0, 2.0 ** ((at - 1 + parts / times / BIN_PARTS) / BINS_AN_OCTAVE - OCTAVES), 0.0)
+    return fit_quotients(quotient, times, classes)
+
+
+def held_out_weights(counted: DataFrame, counts_of: Callable[[dict], tuple], total: int) -> np.ndarray:
+    """Weights (target, background) x class, fitted on all words of the chunks; counts_of: as in cross_entropy."""
+    by_word = total <= FIT_WORDS
+
+    def held_out(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+        """Of the target, then of all texts: how often the words' pairs, the words and their contexts occur elsewhere, and the model's words."""
+        _, g, c, _, target_words = counts_of(row)
+        for model, of, n in ((1, g.target, target_words), (0, slice(None), total)):
+            opens = c[model] - c[model + 2]
+            yield (*(np.maximum(x - 1, 0) for x in (c[model][g.pair[of]], c[model][g.word[of]], opens[g.context[of]])), max(1, n))
 
     def count(batches):
-        """Per task the counts of the sample's words, pairs and contexts: of all texts, and of the target's."""
-        sums = np.zeros((3, 2, len(shared.value)), dtype=np.int64)
-        near = np.zeros(1 << 23, dtype=bool)
-        near[shared.value >> U64(41)] = True
+        """Of each chunk its words' counts, or of all chunks of a task the bins."""
+        sums = np.zeros((2, 2, CLASSES, BINS), dtype=np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                table = C.from_body(batch.column("body")[i].as_py())
-                chosen = np.zeros(len(table), dtype=bool)
-                chosen[np.array(batch.column("targets")[i].as_py() or [], dtype=np.int64)] = True
-                *grams, offsets = _hashed(table)
-                of_target = np.repeat(chosen, np.diff(offsets))
-                for k, h in enumerate(grams):
-                    maybe = np.flatnonzero(near[h >> U64(41)])  # few others share their first bits with a key
-                    place = np.minimum(np.searchsorted(shared.value, h[maybe]), len(shared.value) - 1)
-                    known = shared.value[place] == h[maybe]
-                    sums[k, 0] += np.bincount(place[known], minlength=len(shared.value))
-                    sums[k, 1] += np.bincount(place[known & of_target[maybe]], minlength=len(shared.value))
-        parts = [(p, pack_ints(x.astype(U64))) for p, x in enumerate(np.array_split(sums.reshape(-1), 16))]
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["part", "counts"])
+                row = {n: batch.column(n)[i].as_py() for n in ("chunk", "body", "targets", "counts")}
+                for model, (p, w, c, n) in enumerate(held_out(row)):
+                    if by_word:
+                        blob = join_blobs([n.to_bytes(8, "little"), *[pack_ints(x.astype(U64)) for x in (p, w, c)]])
+                        yield pa.RecordBatch.from_arrays([pa.array([model], pa.int32()), pa.array([row["chunk"]], pa.int64()), pa.array([blob], pa.binary())], names=["model", "part", "counts"])
+                    else:
+                        sums[model] += bin_words(p, w, c, n)
+        for model in (0, 1) if not by_word else ():
+            parts = [(k, pack_ints(x.astype(U64))) for k, x in enumerate(np.array_split(sums[model].reshape(-1), 8))]
+            yield pa.RecordBatch.from_arrays([pa.array([model] * 8, pa.int32()), pa.array([k for k, _ in parts], pa.int64()), pa.array([x for _, x in parts], pa.binary())], names=["model", "part", "counts"])
 
     def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": [int(key[0])], "counts": [pack_ints(sum(unpack_ints(x) for x in frame["counts"]))]})
+        return pd.DataFrame({"model": [int(key[0])], "part": [int(key[1])], "counts": [pack_ints(sum(unpack_ints(x) for x in frame["counts"]))]})
 
-    merged = bodies.select("body", "targets").mapInArrow(count, "part int, counts binary").groupBy("part").applyInPandas(merge, "part int, counts binary").collect()  # 16 rows
-    sums = np.concatenate([unpack_ints(bytes(r["counts"])) for r in sorted(merged, key=lambda r: r["part"])]).astype(np.int64).reshape(3, 2, len(keys))
+    schema = "model int, part long, counts binary"
+    found = counted.mapInArrow(count, schema)
+    found = found if by_word else found.groupBy("model", "part").applyInPandas(merge, schema)
+    rows = sorted(save(found, "held-out", tidy=True).collect(), key=lambda x: (x["model"], x["part"]))  # of FIT_WORDS words at most, or 16 rows
     out = []
-    for model, own, of in ((1, 1, judged & in_target), (0, 1, judged)):
-        w, p, c = (sums[k, model, np.searchsorted(keys, h[of])] - own for k, h in enumerate((word, pair, context)))
-        out.append(fit_weights(np.maximum(p, 0) / np.maximum(c, 1), np.maximum(w, 0) / max(1, total if not model else int(sums[0, 1].sum())), c))
+    for model in (0, 1):
+        blobs = [bytes(x["counts"]) for x in rows if x["model"] == model]
+        if by_word:
+            parts = [split_blobs(x) for x in blobs]
+            p, w, c = (np.concatenate([np.empty(0), *[unpack_ints(x[k]) for x in parts]]) for k in (1, 2, 3))
+            out.append(fit_weights(p / np.maximum(c, 1), w / (int.from_bytes(parts[0][0], "little") if parts else 1), c))
+        else:
+            out.append(fit_bins(np.concatenate([unpack_ints(x) for x in blobs]).astype(np.int64).reshape(2, CLASSES, BINS)))
     return np.array(out)
 
 
@@ -161,7 +178,6 @@ def cross_entropy(docs: DataFrame, target: DataFrame, chunk_bytes: int | None =
     places = chunks.select("chunk", F.posexplode("ids").alias("place", "doc_id")).join(ids, "doc_id", "left_semi")
     targets = save(places.groupBy("chunk").agg(F.sort_array(F.collect_list("place")).alias("targets")), "targets")
     bodies = chunks.select("chunk", "body").join(targets, "chunk", "left")
-    weights = held_out_weights(docs.select("doc_id", "text"), ids, bodies, total) if weights is None else np.asarray(weights)
 
     def load(row: dict) -> tuple[pa.Table, _Grams, list[tuple[int, slice]]]:
         table = C.from_body(row["body"])
@@ -203,7 +219,22 @@ def cross_entropy(docs: DataFrame, target: DataFrame, chunk_bytes: int | None =
         told = int(is_word.sum()).to_bytes(8, "little") + words.to_bytes(8, "little")
         return [join_blobs([told, *[pack_ints(c[r]) for c in sums]]) for r in ranks]
 
-    replies = C.exchange(bodies, send, reply)
+    def counts_of(row: dict) -> tuple[pa.Table, _Grams, np.ndarray, int, int]:
+        """A chunk's rows and keys; of the keys, over all texts, counts and ends in the background, the target; the vocabulary, the target's words."""
+        table, g, parts = load(row)
+        got = {x["shard"]: split_blobs(x["blob"]) for x in row["counts"]}
+        vocabulary = sum(int.from_bytes(x[0][:8], "little") for x in got.values())
+        target_words = int.from_bytes(next(iter(got.values()))[0][8:], "little")
+        c = np.zeros((4, len(g.keys)))
+        for s, p in parts:
+            for k in range(4):
+                c[k, p] = unpack_ints(got[s][1 + k])
+        return table, g, c, vocabulary, target_words
+
+    # the messages, most of the disk, go before the replies are read twice
+    replies = save(C.exchange(bodies, send, reply), "replies", tidy=True)
+    counted = C.with_replies(bodies, counts=replies).select("chunk", "body", "targets", "counts")
+    weights = held_out_weights(counted, counts_of, total) if weights is None else np.asarray(weights)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, in_target boolean, target_loss double, background_loss double"
     fields = arrow_schema(schema)
@@ -212,14 +243,7 @@ def cross_entropy(docs: DataFrame, target: DataFrame, chunk_bytes: int | None =
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in ("body", "targets", "counts")}
-                table, g, parts = load(row)
-                got = {x["shard"]: split_blobs(x["blob"]) for x in row["counts"]}
-                vocabulary = sum(int.from_bytes(x[0][:8], "little") for x in got.values())
-                target_words = int.from_bytes(next(iter(got.values()))[0][8:], "little")
-                c = np.zeros((4, len(g.keys)))
-                for s, p in parts:
-                    for k in range(4):
-                        c[k, p] = unpack_ints(got[s][1 + k])
+                table, g, c, vocabulary, target_words = counts_of(row)
                 b, t, b_opens, t_opens = c[0], c[1], c[0] - c[2], c[1] - c[3]
                 background = word_loss(b[g.pair], b_opens[g.context], b[g.word], total, vocabulary, 1, weights[1])
                 in_target = word_loss(t[g.pair], t_opens[g.context], t[g.word], target_words, vocabulary, g.target.astype(np.int64), weights[0])
@@ -227,7 +251,7 @@ def cross_entropy(docs: DataFrame, target: DataFrame, chunk_bytes: int | None =
                 cols = [table["doc_id"].combine_chunks(), pa.array(g.n), pa.array(g.in_target), *[pa.array(x, mask=g.n == 0) for x in sums]]
                 yield from pa.Table.from_arrays([c.cast(f.type) for c, f in zip(cols, fields)], schema=fields).to_batches(max_chunksize=5000)
 
-    scored = C.with_replies(bodies, counts=replies).select("body", "targets", "counts").mapInArrow(score, schema)
+    scored = counted.select("body", "targets", "counts").mapInArrow(score, schema)
     return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 

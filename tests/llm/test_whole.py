@@ -206,3 +206,41 @@ def test_bigram_weights_are_fitted_on_held_out_words(spark, monkeypatch):
         want.update((round((pairs[p] - 1) / max(1, contexts[p[0]] - 1), 9), round((words[p[1]] - 1) / sum(words.values()), 9), contexts[p[0]] - 1) for p in zip(["^", *split[:-1]], split))
     ratio, unigram, seen = got[1]
     assert Counter((round(float(a), 9), round(float(b), 9), int(c)) for a, b, c in zip(ratio, unigram, seen)) == want
+
+
+def test_bigram_weights_are_fitted_on_all_words(spark, monkeypatch):
+    """However many words there are, the weights are those that a plain loop over every word finds."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    after = {w: rng.sample(vocabulary, 3) for w in [*vocabulary, "^"]}
+    rows = []
+    for i in range(200):
+        words, last = [], "^"
+        for _ in range(rng.randint(5, 60)):
+            last = rng.choice(after[last]) if rng.random() < (0.9 if i % 3 else 0.5) else rng.choice(vocabulary)
+            words.append(last)
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(lmscore, "FIT_WORDS", 200)
+    got, fit = [], lmscore.held_out_weights
+    monkeypatch.setattr(lmscore, "held_out_weights", lambda *a: got.append(fit(*a)) or got[-1])
+    docs, target = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(i,) for i in range(0, 200, 3)], "doc_id long")
+    assert lmscore.cross_entropy(docs, target, chunk_bytes=5_000).count() == 200
+    for model, kept in enumerate((range(0, 200, 3), range(200))):
+        texts = [["^", *rows[i][1].split()] for i in kept]
+        words, contexts = Counter(w for t in texts for w in t[1:]), Counter(w for t in texts for w in t[:-1])
+        pairs = Counter(p for t in texts for p in zip(t, t[1:]))
+        seen = [(pairs[a, b] - 1, contexts[a] - 1, (words[b] - 1) / sum(words.values())) for t in texts for a, b in zip(t, t[1:])]
+        of = {}
+        for p, c, u in seen:
+            if c and u:
+                of.setdefault(min(int(math.log2(c)), lmscore.CLASSES - 1), []).append((p / c, u))
+
+        def climb(held):
+            w = lmscore.BIGRAM
+            for _ in range(40):
+                w = sum(w * r / (w * r + (1 - w) * u) for r, u in held) / len(held)
+            return min(max(w, 0.001), 0.999)
+
+        whole = climb([x for xs in of.values() for x in xs])
+        want = [climb(of[k]) if len(of.get(k, ())) >= 50 else whole for k in range(lmscore.CLASSES)]
+        assert len({round(x, 3) for x in want}) > 2 and np.allclose(got[0][model], want, rtol=0, atol=1e-5), (got[0][model], want)

@@ -16,8 +16,8 @@ the term and the other lacks it; only for terms that both have, a task that hold
 f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0). So the work is that of postings, not of terms times pairs of sources; a task sums
 over its terms and sends a row for each pair.
 
-Scale: a language or group may hold most rows: tasks hold a hash part of a language's terms, of about PART_POSTINGS postings
-with whole posting lists (as long as the language's sources), and a group's buckets are joined, not gathered.
+Scale: a language or group may hold most rows: tasks hold a hash part of a language's terms, of PART_POSTINGS postings or about
+as many, with whole posting lists (as long as the language's sources), and a group's buckets are joined, not gathered.
 
 Exact: p is made in decimals; f, its sums and their parts fit a long, as a group's p sum to PARTS + V at most (V below 10^9).
 
@@ -180,9 +180,9 @@ def pair_divergence(posts: DataFrame, groups: DataFrame) -> DataFrame:
     theirs = F.struct(F.col("item").alias("source"), F.col("source").alias("item"), (terms * (divergence(q0, p) - divergence(q0, p0))).alias("value"))
     alone = counts.select("lang", F.explode(F.array(mine, theirs)).alias("x")).select("lang", "x.*")
     none = g.join(h, "lang").where("source != item").select("lang", "source", "item", F.when(F.col("v") > 0, F.col("v") * divergence(p0, q0)).otherwise(0).alias("value"))
-    parts = posts.groupBy("lang").agg(F.ceil(F.count("*") / PART_POSTINGS).cast("int").alias("parts"))
-    dealt = posts.join(parts, "lang").join(g, ["lang", "source"])
-    dealt = dealt.select("lang", F.pmod(F.xxhash64("term"), F.col("parts")).cast("int").alias("part"), "term", "source", probability("c", "n", "v").alias("p"), "p0")
+    n_parts = -(-posts.count() // PART_POSTINGS)
+    dealt = posts.join(g, ["lang", "source"])
+    dealt = dealt.select("lang", F.pmod(F.xxhash64("term"), F.lit(max(1, n_parts))).cast("int").alias("part"), "term", "source", probability("c", "n", "v").alias("p"), "p0")
     both = dealt.groupBy("lang", "part").applyInArrow(_both, "lang string, source string, item string, value long")
     value = none.union(alone).union(both).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     return value.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")))

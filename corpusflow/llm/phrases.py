@@ -1,16 +1,20 @@
 """Collocations: phrases whose words occur together far more often than their parts do apart.
 
 1. Texts are cut into pieces, and equal pieces become one with a multiplicity: within tasks first, then by a shuffle. So copies
-   and passages that many documents share are cut into n-grams once.
-2. Tasks make the n-grams of the pieces, weighted by multiplicity and summed for as long as they fit, and send them to hash
-   buckets. A bucket's counts stream into a duckdb of the task with a bound on its memory, which sums them out-of-core, in
-   scratch files that go with the task. Counts below the least one go: a part of a phrase is at least as frequent as the phrase.
-3. A candidate needs the counts of its parts, and a phrase those of the longer candidates around it, which lie in other
+   and passages that many documents share are cut into n-grams once. Pieces lie in chunks of some megabytes.
+2. Most n-grams are rare, and none of those below the least count can be a phrase or the part of one. So chunks first send the
+   cells that their n-grams' hashes fall into, with weights, to shards of the hash space, which add them up and reply by a bit a
+   cell: whether its sum reaches the least count. A sum is an n-gram's count at least, so no phrase and no part is lost.
+3. Chunks send the n-grams of such cells, with their weighted counts, to hash buckets. A bucket's counts stream into a duckdb
+   of the task with a bound on its memory, which sums them out-of-core, in scratch files that go with the task, and gives
+   those that do reach the least count.
+4. A candidate needs the counts of its parts, and a phrase those of the longer candidates around it, which lie in other
    buckets. So buckets send lookup requests: one for each part, however many of the bucket's candidates have it, with the
    largest count of those around it. Requests are shuffled to where the part is counted and the answers back to the bucket
    that asked. A very common word gets as many requests as there are buckets, and no more.
 
-Exact: counts are longs, scores are made in decimals of 38 digits, which hold counts of up to 10^15.
+Exact: counts are longs, scores are made in decimals of 38 digits, which hold counts of up to 10^15. Within a chunk equal
+n-grams are told by two 64-bit hashes of their words and their length; buckets count by the n-grams themselves.
 
 Cases: null texts are empty, a null lang is `und` and one with lang 'und'; empty texts and pieces have no phrases but count
 for nothing else either; a very long piece is dealt in segments that overlap, each n-gram counted where it starts; repeated rows
@@ -20,23 +24,27 @@ whatever their names.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusflow.llm.chunks import exchange, from_body, make_chunks, map_chunks, shard_bits, with_replies
 from corpusflow.llm.common import arrow_schema, save
+from corpusflow.llm.hashing import U64, join_blobs, mix, pack_bits, pack_ints, pack_sorted, split_blobs, unpack_bits, unpack_ints, unpack_sorted, utf8, windows, word_hashes
 
 #: What ends a piece, and words, in lower-cased UTF-8.
 ENDS, SPACES = re.compile(rb"[.,;:!?\x0A-\x0D]"), re.compile(rb"[^\x20\x09]+")
 LONGEST, LEAST, COVER_PERCENT, TOP, SCALE = 3, 10, 50, 2000, 1_000_000
-#: Words of a segment of a piece; bytes of pieces and n-grams that a task holds before it sends them on; memory of a bucket.
-SEGMENT, HELD_BYTES, HELD_GRAMS, BUCKET_MEMORY = 50_000, 24 << 20, 600_000, "200MB"
+#: Words of a segment of a piece, bytes of pieces that a task holds before it sends them on, memory of a bucket and the words it is for.
+SEGMENT, HELD_BYTES, BUCKET_MEMORY, BUCKET_WORDS = 50_000, 24 << 20, "200MB", 1 << 23
 
 
 def _segments(piece: bytes, longest: int, segment: int) -> Iterator[tuple[bytes, int]]:
@@ -80,38 +88,88 @@ def pieces(docs: DataFrame, longest: int = LONGEST, segment: int = SEGMENT) -> D
     return wanted.mapInArrow(run, schema).groupBy("lang", "piece", "starts").agg(F.sum("times").alias("times"))
 
 
-def grams(held: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """(lang, gram binary, size, f): each task's weighted counts of the n-grams of its pieces, to be summed."""
-    schema = "lang string, gram binary, size int, f long"
-    fields = arrow_schema(schema)
-
-    def rows(counts: dict[str, list[Counter]]) -> Iterator[pa.RecordBatch]:
-        for lang, by_size in counts.items():
-            for i, counted in enumerate(by_size):
-                keys, values = list(counted), list(counted.values())
-                for k in range(0, len(keys), 50_000):
-                    part = keys[k : k + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part, pa.binary()), pa.array([i + 1] * len(part), pa.int32()), pa.array(values[k : k + 50_000], pa.int64())], schema=fields)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, list[Counter]] = {}
-        for b in batches:
-            for lang, piece, starts, times in zip(*(c.to_pylist() for c in b.columns)):
-                by_size = counts.get(lang) or counts.setdefault(lang, [Counter() for _ in range(longest)])
-                words = piece.split(b" ")
-                for i, counted in enumerate(by_size):
-                    made = words[:starts] if not i else list(map(b" ".join, zip(words[:starts], *(words[k:] for k in range(1, i + 1)))))
-                    if times == 1:
-                        counted.update(made)
-                    else:
-                        for g in made:
-                            counted[g] += times
-            if sum(len(c) for by_size in counts.values() for c in by_size) > HELD_GRAMS:
-                yield from rows(counts)
-                counts = {}
-        yield from rows(counts)
-
-    return held.select("lang", "piece", "starts", "times").mapInArrow(run, schema)
+class _Grams:
+    """The n-grams of a chunk of pieces: per size the places of their first words, weights and hashes."""
+
+    def __init__(self, body: bytes, longest: int):
+        self.t = from_body(body)
+        words, at = word_hashes(self.t["piece"])
+        self.data, offsets = utf8(self.t["piece"])
+        n = np.diff(at)
+        self.langs = self.t["lang"].combine_chunks().dictionary_encode()
+        lang = self.langs.indices.to_numpy().astype(np.int64)
+        self.seeds = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.langs.dictionary.to_pylist()], dtype=U64)
+        self.row = np.repeat(np.arange(len(n)), n)
+        self.lang, self.times = lang, self.t["times"].to_numpy()
+        # pieces are words joined by single spaces, so a word ends where the next one's space or its row ends
+        gap = np.flatnonzero(self.data[: int(offsets[-1])] == 32)
+        self.start = np.sort(np.concatenate([offsets[:-1][n > 0], gap + 1]))
+        self.end = np.sort(np.concatenate([offsets[1:][n > 0], gap]))
+        nth = np.arange(len(words)) - np.repeat(at[:-1], n)
+        starts, size = np.repeat(self.t["starts"].to_numpy(), n), np.repeat(n, n)
+        self.words, self.by_size = words, []
+        for k in range(1, longest + 1):
+            first = np.flatnonzero((nth < starts) & (nth + k <= size))
+            self.by_size.append((first, self.hashes(k, 0)[first]))
+
+    def hashes(self, k: int, seed: int) -> np.ndarray:
+        return mix(windows(self.words, k, 2 * seed + k) ^ self.seeds[self.lang[self.row[: max(0, len(self.words) - k + 1)]]])
+
+    def cells(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted cells and the weights that fall into them."""
+        cell = np.concatenate([h for _, h in self.by_size]) >> U64(64 - bits)
+        weight = np.concatenate([self.times[self.row[first]] for first, _ in self.by_size])
+        cells, inverse = np.unique(cell, return_inverse=True)
+        return cells, np.bincount(inverse, weights=weight, minlength=len(cells)).astype(np.int64)
+
+
+def grams(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+    """(lang, gram binary, size, f): each chunk's weighted counts of the n-grams that may reach the least count, to be summed; with
+    size 0 and an empty gram the number of its words."""
+    n_keys = longest * (chunks.agg(F.sum("n_words")).first()[0] or 0)
+    cell_bits, bits = shard_bits(n_keys)
+    local = cell_bits - bits
+
+    def send(row: dict) -> Iterator[tuple[int, bytes]]:
+        cells, weights = _Grams(row["body"], longest).cells(cell_bits)
+        cuts = np.searchsorted(cells >> U64(local), np.arange((1 << bits) + 1, dtype=U64))
+        for shard in np.flatnonzero(np.diff(cuts)):
+            a, z = cuts[shard], cuts[shard + 1]
+            yield int(shard), join_blobs([pack_sorted(cells[a:z] & U64((1 << local) - 1)), pack_ints(weights[a:z])])
+
+    def reply(shard: int, messages: list[bytes], senders: list[int]) -> list[bytes]:
+        total, sent = np.zeros(1 << local, dtype=np.int64), [split_blobs(m) for m in messages]
+        for cells, weights in sent:
+            total[unpack_sorted(cells).astype(np.int64)] += unpack_ints(weights).astype(np.int64)  # (a message has a cell once)
+        return [pack_bits(total[unpack_sorted(cells).astype(np.int64)] >= least) for cells, _ in sent]
+
+    def wanted(row: dict) -> Iterator[tuple[str, bytes, int, int]]:
+        g = _Grams(row["body"], longest)
+        cells, _ = g.cells(cell_bits)
+        cuts = np.searchsorted(cells >> U64(local), np.arange((1 << bits) + 1, dtype=U64))
+        often = np.zeros(len(cells), dtype=bool)
+        for r in row["replies"] or ():
+            a, z = cuts[r["shard"]], cuts[r["shard"] + 1]
+            often[a:z] = unpack_bits(r["blob"], int(z - a))
+        data, langs = g.data.tobytes(), g.langs.dictionary.to_pylist()
+        for lang, n in enumerate(np.bincount(g.lang, weights=g.times * g.t["starts"].to_numpy(), minlength=len(langs))):
+            yield langs[lang], b"", 0, int(n)
+        for k, (first, hashes) in enumerate(g.by_size, 1):
+            keep = often[np.searchsorted(cells, hashes >> U64(64 - cell_bits))]
+            first, hashes = first[keep], hashes[keep]
+            if not len(first):
+                continue
+            _, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+            length, second = g.end[first + k - 1] - g.start[first], g.hashes(k, 1)[first]
+            same = (second == second[at][inverse]) & (length == length[at][inverse])
+            f = np.bincount(inverse[same], weights=g.times[g.row[first[same]]], minlength=len(at)).astype(np.int64)
+            for i, n in zip(first[at].tolist(), f.tolist()):
+                yield langs[g.lang[g.row[i]]], data[g.start[i] : g.end[i + k - 1]], k, n
+            for i in first[~same].tolist():  # of another n-gram with an equal hash
+                yield langs[g.lang[g.row[i]]], data[g.start[i] : g.end[i + k - 1]], k, int(g.times[g.row[i]])
+
+    asked = with_replies(chunks, replies=exchange(chunks, send, reply))
+    return map_chunks(asked.select("body", "replies"), wanted, "lang string, gram binary, size int, f long")
 
 
 def count_buckets(weighted: DataFrame, n_buckets: int, least: int) -> DataFrame:
@@ -125,7 +183,7 @@ def count_buckets(weighted: DataFrame, n_buckets: int, least: int) -> DataFrame:
             for b in batches:
                 part = pa.Table.from_batches([b]).select(["lang", "gram", "size", "f"])  # noqa: F841  (read by name)
                 con.execute("INSERT INTO counts SELECT * FROM part")
-            found = con.sql(f"SELECT lang, decode(gram) AS gram, size, CAST(sum(f) AS BIGINT) AS f FROM counts GROUP BY lang, gram, size HAVING sum(f) >= {int(least)}")
+            found = con.sql(f"SELECT lang, decode(gram) AS gram, size, CAST(sum(f) AS BIGINT) AS f FROM counts GROUP BY lang, gram, size HAVING sum(f) >= {int(least)} OR size = 0")
             for b in found.to_arrow_reader(50_000):
                 yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()] * b.num_rows, pa.int32()), *(c.cast(f.type) for c, f in zip(b.columns, list(fields)[1:]))], schema=fields)
 
@@ -137,14 +195,15 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, co
     """(lang, rank, phrase, a, l, r, n, score): each language's `top` phrases of 2 to `longest` words.
 
     Phrases that occur `least` times are candidates; those with a longer candidate around them that has at least
-    cover_percent of their count are left out. n_buckets: by default one for every 16 MB of distinct pieces, and one a shuffle partition at least."""
+    cover_percent of their count are left out. n_buckets: by default one for every BUCKET_WORDS words of distinct pieces, and one a shuffle partition at least."""
     spark = docs.sparkSession
-    held = save(pieces(docs, longest, segment), "pieces", tidy=True)
-    totals = held.groupBy("lang").agg(F.sum(F.col("starts") * F.col("times")).alias("n"))
+    chunks = make_chunks(pieces(docs, longest, segment), order="times", text="piece")
     if n_buckets is None:
-        size = held.agg(F.coalesce(F.sum(F.length("piece")), F.lit(0))).first()[0]
-        n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (16 << 20)))
-    counted = save(count_buckets(grams(held, longest), n_buckets, least), "gram-counts", tidy=True)
+        n_words = chunks.agg(F.sum("n_words")).first()[0] or 0
+        n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_words // BUCKET_WORDS))
+    counted = save(count_buckets(grams(chunks, longest, least), n_buckets, least), "gram-counts", tidy=True)
+    totals = counted.where("size = 0").select("lang", F.col("f").alias("n"))
+    counted = counted.where("size > 0")
 
     # a candidate's parts: the cuts' first parts and rests, and everything shorter inside it that could be a phrase
     words = F.split("gram", " ")

@@ -137,3 +137,13 @@ def test_bounds_leave_out_far_blocks_and_lose_nothing():
     assert looked < 0.35 * len(q) * len(cuts)
     want = [(i, -s, j) for i in range(len(q)) for s, j in sorted((-int(s), j) for j, s in enumerate(x @ q[i]))[:5]]
     assert list(zip(row.tolist(), [int(s) for s in score], col.tolist())) == want
+
+
+def test_chunks_of_any_size_and_odd_languages_count_alike(spark, monkeypatch):
+    rows = [(f"{w} the cat sat on the mat. a b, the cat", lang) for i in range(40) for w, lang in ((f"w{i % 3}", ""), (f"v{i}", "a b"), ("x", "zz"), ("y", None))]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    monkeypatch.setattr(phrases, "make_chunks", lambda d, order, text: phrases_chunks(d, order, text, 200))
+    assert sorted(map(tuple, phrases.collocations(df, least=5).collect())) == plain_phrases(rows, 5, 50, 2000, 3)
+
+
+phrases_chunks = phrases.make_chunks

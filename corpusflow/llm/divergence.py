@@ -43,7 +43,7 @@ from corpusflow.llm.common import arrow_schema, save
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 LEAST_DOCS, TOP, PARTS = 3, 200, 1_000_000_000
 #: Entries that a task counts before it sends them on, terms of a text counted at once, postings of a part.
-HELD, SLICE, PART_POSTINGS = 300_000, 200_000, 1 << 20
+HELD, SLICE, PART_POSTINGS = 300_000, 200_000, 1 << 17
 
 
 def count_terms(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,6 @@ whatever their names.
 from __future__ import annotations
 
 import hashlib
-import re
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
@@ -36,48 +35,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.chunks import exchange, from_body, make_chunks, map_chunks, shard_bits, with_replies
+from corpusflow.llm.chunks import exchange, from_body, make_chunks, shard_bits, with_replies
 from corpusflow.llm.common import arrow_schema, save
 from corpusflow.llm.hashing import U64, join_blobs, mix, pack_bits, pack_ints, pack_sorted, split_blobs, unpack_bits, unpack_ints, unpack_sorted, utf8, windows, word_hashes
 
-#: What ends a piece, and words, in lower-cased UTF-8.
-ENDS, SPACES = re.compile(rb"[.,;:!?\x0A-\x0D]"), re.compile(rb"[^\x20\x09]+")
+#: Bytes of UTF-8 as they are read: A-Z in lower case, and what ends a piece as a line feed.
+READ = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\x0d", bytes(range(97, 123)) + 9 * b"\n")
 LONGEST, LEAST, COVER_PERCENT, TOP, SCALE = 3, 10, 50, 2000, 1_000_000
 #: Words of a segment of a piece, bytes of pieces that a task holds before it sends them on, memory of a bucket and the words it is for.
 SEGMENT, HELD_BYTES, BUCKET_MEMORY, BUCKET_WORDS = 50_000, 24 << 20, "200MB", 1 << 23
 
 
-def _segments(piece: bytes, longest: int, segment: int) -> Iterator[tuple[bytes, int]]:
-    """(words joined by a space, how many of them n-grams start at) of the parts of a piece."""
-    words = SPACES.findall(piece)
-    if len(words) <= segment:
-        if words:
-            yield b" ".join(words), len(words)
-        return
-    for k in range(0, len(words), segment):
-        yield b" ".join(words[k : k + segment + longest - 1]), min(segment, len(words) - k)
-
-
 def pieces(docs: DataFrame, longest: int = LONGEST, segment: int = SEGMENT) -> DataFrame:
-    """(lang, piece binary, starts, times): each distinct piece of a language and how often it occurs."""
+    """(lang, piece binary, starts, times): each distinct piece of a language, its words parted by single spaces, how many of
+    them n-grams start at, and how often it occurs."""
     schema = "lang string, piece binary, starts int, times long"
     fields = arrow_schema(schema)
 
-    def rows(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-        for lang, counted in held.items():
-            keys = list(counted)
+    def rows(held: dict[str, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        for lang, (whole, cut) in held.items():
+            keys = [(p, p.count(b" ") + 1, n) for p, n in whole.items()] + [(*p, n) for p, n in cut.items()]
             for k in range(0, len(keys), 20_000):
-                part = keys[k : k + 20_000]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([p for p, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int32()), pa.array([counted[x] for x in part], pa.int64())], schema=fields)
+                part = list(zip(*keys[k : k + 20_000]))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0])), *(pa.array(x, f.type) for x, f in zip(part, list(fields)[1:]))], schema=fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
+        held: dict[str, tuple[Counter, Counter]] = {}
         size = 0
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                counted = held.setdefault(lang, Counter())
-                for piece in ENDS.split(text.lower()):  # (bytes: only A-Z changes)
-                    counted.update(_segments(piece, longest, segment))
+                whole, cut = held.setdefault(lang, (Counter(), Counter()))
+                found = []
+                for piece in text.translate(READ).split(b"\n"):
+                    words = piece.split()  # at spaces and tabs, as all else that bytes.split parts at has gone
+                    if len(words) > segment:
+                        cut.update((b" ".join(words[k : k + segment + longest - 1]), min(segment, len(words) - k)) for k in range(0, len(words), segment))
+                    elif words:
+                        found.append(b" ".join(words))
+                whole.update(found)
                 size += len(text)
                 if size > HELD_BYTES:
                     yield from rows(held)
@@ -119,8 +114,19 @@ class _Grams:
         """Sorted cells and the weights that fall into them."""
         cell = np.concatenate([h for _, h in self.by_size]) >> U64(64 - bits)
         weight = np.concatenate([self.times[self.row[first]] for first, _ in self.by_size])
-        cells, inverse = np.unique(cell, return_inverse=True)
-        return cells, np.bincount(inverse, weights=weight, minlength=len(cells)).astype(np.int64)
+        once = np.sort(cell[weight == 1])
+        at = np.flatnonzero(np.concatenate([[True], once[1:] != once[:-1]])) if len(once) else np.empty(0, np.int64)
+        cells, sums = once[at], np.diff(np.append(at, len(once)))
+        more, inverse = np.unique(cell[weight > 1], return_inverse=True)
+        added = np.bincount(inverse, weights=weight[weight > 1], minlength=len(more)).astype(np.int64)
+        place = np.searchsorted(cells, more)
+        there = np.append(cells, U64(0))[place] == more if len(cells) else np.zeros(len(more), bool)
+        there &= place < len(cells)
+        sums[place[there]] += added[there]
+        return np.insert(cells, place[~there], more[~there]), np.insert(sums, place[~there], added[~there])
+
+    def cells_only(self, bits: int) -> np.ndarray:
+        return np.unique(np.concatenate([h for _, h in self.by_size]) >> U64(64 - bits))
 
 
 def grams(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
@@ -143,19 +149,25 @@ def grams(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Data
             total[unpack_sorted(cells).astype(np.int64)] += unpack_ints(weights).astype(np.int64)  # (a message has a cell once)
         return [pack_bits(total[unpack_sorted(cells).astype(np.int64)] >= least) for cells, _ in sent]
 
-    def wanted(row: dict) -> Iterator[tuple[str, bytes, int, int]]:
-        g = _Grams(row["body"], longest)
-        cells, _ = g.cells(cell_bits)
+    def wanted(body: bytes, replies: list[dict]) -> Iterator[pa.RecordBatch]:
+        g = _Grams(body, longest)
+        cells = g.cells_only(cell_bits)
         cuts = np.searchsorted(cells >> U64(local), np.arange((1 << bits) + 1, dtype=U64))
         often = np.zeros(len(cells), dtype=bool)
-        for r in row["replies"] or ():
+        for r in replies or ():
             a, z = cuts[r["shard"]], cuts[r["shard"] + 1]
             often[a:z] = unpack_bits(r["blob"], int(z - a))
-        data, langs = g.data.tobytes(), g.langs.dictionary.to_pylist()
-        for lang, n in enumerate(np.bincount(g.lang, weights=g.times * g.t["starts"].to_numpy(), minlength=len(langs))):
-            yield langs[lang], b"", 0, int(n)
+        cells = np.append(cells[often], ~U64(0))
+        data, langs = g.data.tobytes(), g.langs.dictionary.cast(pa.string())
+
+        def rows(lang: np.ndarray, found: list[bytes], k: int, f: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), pa.array(found, pa.binary()), pa.array(np.full(len(found), k), pa.int32()), pa.array(f, pa.int64())], schema=fields)
+
+        totals = np.bincount(g.lang, weights=g.times * g.t["starts"].to_numpy(), minlength=len(langs)).astype(np.int64)
+        yield rows(np.arange(len(langs)), [b""] * len(langs), 0, totals)
         for k, (first, hashes) in enumerate(g.by_size, 1):
-            keep = often[np.searchsorted(cells, hashes >> U64(64 - cell_bits))]
+            cell = hashes >> U64(64 - cell_bits)
+            keep = cells[np.searchsorted(cells, cell)] == cell
             first, hashes = first[keep], hashes[keep]
             if not len(first):
                 continue
@@ -163,13 +175,22 @@ def grams(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Data
             length, second = g.end[first + k - 1] - g.start[first], g.hashes(k, 1)[first]
             same = (second == second[at][inverse]) & (length == length[at][inverse])
             f = np.bincount(inverse[same], weights=g.times[g.row[first[same]]], minlength=len(at)).astype(np.int64)
-            for i, n in zip(first[at].tolist(), f.tolist()):
-                yield langs[g.lang[g.row[i]]], data[g.start[i] : g.end[i + k - 1]], k, n
-            for i in first[~same].tolist():  # of another n-gram with an equal hash
-                yield langs[g.lang[g.row[i]]], data[g.start[i] : g.end[i + k - 1]], k, int(g.times[g.row[i]])
+            odd = first[~same]  # another n-gram with an equal hash
+            at, f = np.concatenate([first[at], odd]), np.concatenate([f, g.times[g.row[odd]]])
+            for c in range(0, len(at), 100_000):
+                i = at[c : c + 100_000]
+                yield rows(g.lang[g.row[i]], [data[a:z] for a, z in zip(g.start[i].tolist(), g.end[i + k - 1].tolist())], k, f[c : c + 100_000])
+
+    schema = "lang string, gram binary, size int, f long"
+    fields = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                yield from wanted(b.column(0)[i].as_py(), b.column(1)[i].as_py())
 
     asked = with_replies(chunks, replies=exchange(chunks, send, reply))
-    return map_chunks(asked.select("body", "replies"), wanted, "lang string, gram binary, size int, f long")
+    return asked.select("body", "replies").mapInArrow(run, schema)
 
 
 def count_buckets(weighted: DataFrame, n_buckets: int, least: int) -> DataFrame:
@@ -226,6 +247,9 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, co
     score = F.call_function("div", F.lit(SCALE).cast("decimal(7,0)") * (wide("a") * wide("a")).cast("decimal(30,0)"), wide("l") * wide("r"))
     worst = cuts.withColumn("score", score).groupBy("lang", "gram", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     kept = worst.join(covered, ["lang", "gram"], "left_anti").select("lang", F.col("gram").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # a language's best are among the best of its parts, which bounds what one task sorts
+    order = [F.col("score").desc(), F.col("a").desc(), "phrase"]
+    some = kept.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(n_buckets)))
+    some = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))).where(F.col("rank") <= top).drop("_part")
+    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")

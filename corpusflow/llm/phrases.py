@@ -42,8 +42,8 @@ from corpusflow.llm.hashing import U64, join_blobs, mix, pack_bits, pack_ints, p
 #: Bytes of UTF-8 as they are read: A-Z in lower case, and what ends a piece as a line feed.
 READ = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\x0d", bytes(range(97, 123)) + 9 * b"\n")
 LONGEST, LEAST, COVER_PERCENT, TOP, SCALE = 3, 10, 50, 2000, 1_000_000
-#: Words of a segment of a piece, bytes of pieces that a task holds before it sends them on, memory of a bucket and the words it is for.
-SEGMENT, HELD_BYTES, BUCKET_MEMORY, BUCKET_WORDS = 50_000, 24 << 20, "200MB", 1 << 23
+#: Words of a segment of a piece, bytes of pieces and n-grams that a task holds before it sends them on, memory of a bucket and the words it is for.
+SEGMENT, HELD_BYTES, HELD_GRAMS, BUCKET_MEMORY, BUCKET_WORDS = 50_000, 24 << 20, 600_000, "200MB", 1 << 23
 
 
 def pieces(docs: DataFrame, longest: int = LONGEST, segment: int = SEGMENT) -> DataFrame:
@@ -102,31 +102,48 @@ class _Grams:
         self.end = np.sort(np.concatenate([offsets[1:][n > 0], gap]))
         nth = np.arange(len(words)) - np.repeat(at[:-1], n)
         starts, size = np.repeat(self.t["starts"].to_numpy(), n), np.repeat(n, n)
-        self.words, self.by_size = words, []
+        self.words, firsts, hashes = words, [], []
         for k in range(1, longest + 1):
-            first = np.flatnonzero((nth < starts) & (nth + k <= size))
-            self.by_size.append((first, self.hashes(k, 0)[first]))
+            firsts.append(np.flatnonzero((nth < starts) & (nth + k <= size)))
+            hashes.append(self.hashes(k, 0)[firsts[-1]])
+        self.sizes = [len(f) for f in firsts]
+        self.first, h = np.concatenate(firsts), np.concatenate(hashes)
+        del firsts, hashes, nth, starts, size
+        self.order = np.argsort(h)
+        h = h[self.order]
+        self.new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+        self.distinct = h[self.new]
+        self.weight = np.add.reduceat(self.times[self.row[self.first[self.order]]], self.new) if len(h) else np.empty(0, np.int64)
 
     def hashes(self, k: int, seed: int) -> np.ndarray:
         return mix(windows(self.words, k, 2 * seed + k) ^ self.seeds[self.lang[self.row[: max(0, len(self.words) - k + 1)]]])
 
-    def cells(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted cells and the weights that fall into them."""
-        cell = np.concatenate([h for _, h in self.by_size]) >> U64(64 - bits)
-        weight = np.concatenate([self.times[self.row[first]] for first, _ in self.by_size])
-        once = np.sort(cell[weight == 1])
-        at = np.flatnonzero(np.concatenate([[True], once[1:] != once[:-1]])) if len(once) else np.empty(0, np.int64)
-        cells, sums = once[at], np.diff(np.append(at, len(once)))
-        more, inverse = np.unique(cell[weight > 1], return_inverse=True)
-        added = np.bincount(inverse, weights=weight[weight > 1], minlength=len(more)).astype(np.int64)
-        place = np.searchsorted(cells, more)
-        there = np.append(cells, U64(0))[place] == more if len(cells) else np.zeros(len(more), bool)
-        there &= place < len(cells)
-        sums[place[there]] += added[there]
-        return np.insert(cells, place[~there], more[~there]), np.insert(sums, place[~there], added[~there])
-
-    def cells_only(self, bits: int) -> np.ndarray:
-        return np.unique(np.concatenate([h for _, h in self.by_size]) >> U64(64 - bits))
+    def cells(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The cells of the distinct hashes, sorted: where each begins among these, each cell and its weight."""
+        cell = self.distinct >> U64(64 - bits)
+        at = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.empty(0, np.int64)
+        return at, cell[at], np.add.reduceat(self.weight, at) if len(at) else self.weight
+
+    def counts(self, keep: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(size, lang, first words, weights) of the n-grams whose distinct hashes are kept."""
+        n = np.diff(np.append(self.new, len(self.order)))
+        member = self.order[np.repeat(keep, n)]
+        n = n[keep]
+        head = member[np.cumsum(n) - n]
+        k = np.repeat(np.arange(1, len(self.sizes) + 1), self.sizes)
+        second = np.concatenate([self.hashes(i, 1)[f] for i, f in enumerate(np.split(self.first, np.cumsum(self.sizes)[:-1]), 1)])
+        length = self.end[self.first + k - 1] - self.start[self.first]
+        odd = np.zeros(len(member), dtype=bool)  # another n-gram with an equal hash
+        for told in (second, length, k):
+            odd |= told[member] != np.repeat(told[head], n)
+        weight = self.weight[keep]
+        if odd.any():
+            weight = weight - np.bincount(np.repeat(np.arange(len(n)), n)[odd], weights=self.times[self.row[self.first[member[odd]]]], minlength=len(n)).astype(np.int64)
+            weight, head = np.concatenate([weight, self.times[self.row[self.first[member[odd]]]]]), np.concatenate([head, member[odd]])
+        lang, size = self.lang[self.row[self.first[head]]], k[head]
+        for code in np.unique(lang * (len(self.sizes) + 1) + size):
+            some = lang * (len(self.sizes) + 1) + size == code
+            yield int(code % (len(self.sizes) + 1)), int(code // (len(self.sizes) + 1)), self.first[head[some]], weight[some]
 
 
 def grams(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
@@ -137,7 +154,7 @@ def grams(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Data
     local = cell_bits - bits
 
     def send(row: dict) -> Iterator[tuple[int, bytes]]:
-        cells, weights = _Grams(row["body"], longest).cells(cell_bits)
+        _, cells, weights = _Grams(row["body"], longest).cells(cell_bits)
         cuts = np.searchsorted(cells >> U64(local), np.arange((1 << bits) + 1, dtype=U64))
         for shard in np.flatnonzero(np.diff(cuts)):
             a, z = cuts[shard], cuts[shard + 1]
@@ -149,45 +166,45 @@ def grams(chunks: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Data
             total[unpack_sorted(cells).astype(np.int64)] += unpack_ints(weights).astype(np.int64)  # (a message has a cell once)
         return [pack_bits(total[unpack_sorted(cells).astype(np.int64)] >= least) for cells, _ in sent]
 
-    def wanted(body: bytes, replies: list[dict]) -> Iterator[pa.RecordBatch]:
+    schema = "lang string, gram binary, size int, f long"
+    fields = arrow_schema(schema)
+
+    def wanted(body: bytes, replies: list[dict], held: dict[tuple[str, int], Counter]) -> None:
         g = _Grams(body, longest)
-        cells = g.cells_only(cell_bits)
+        at, cells, _ = g.cells(cell_bits)
         cuts = np.searchsorted(cells >> U64(local), np.arange((1 << bits) + 1, dtype=U64))
         often = np.zeros(len(cells), dtype=bool)
         for r in replies or ():
             a, z = cuts[r["shard"]], cuts[r["shard"] + 1]
             often[a:z] = unpack_bits(r["blob"], int(z - a))
-        cells = np.append(cells[often], ~U64(0))
-        data, langs = g.data.tobytes(), g.langs.dictionary.cast(pa.string())
-
-        def rows(lang: np.ndarray, found: list[bytes], k: int, f: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), pa.array(found, pa.binary()), pa.array(np.full(len(found), k), pa.int32()), pa.array(f, pa.int64())], schema=fields)
-
-        totals = np.bincount(g.lang, weights=g.times * g.t["starts"].to_numpy(), minlength=len(langs)).astype(np.int64)
-        yield rows(np.arange(len(langs)), [b""] * len(langs), 0, totals)
-        for k, (first, hashes) in enumerate(g.by_size, 1):
-            cell = hashes >> U64(64 - cell_bits)
-            keep = cells[np.searchsorted(cells, cell)] == cell
-            first, hashes = first[keep], hashes[keep]
-            if not len(first):
-                continue
-            _, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            length, second = g.end[first + k - 1] - g.start[first], g.hashes(k, 1)[first]
-            same = (second == second[at][inverse]) & (length == length[at][inverse])
-            f = np.bincount(inverse[same], weights=g.times[g.row[first[same]]], minlength=len(at)).astype(np.int64)
-            odd = first[~same]  # another n-gram with an equal hash
-            at, f = np.concatenate([first[at], odd]), np.concatenate([f, g.times[g.row[odd]]])
-            for c in range(0, len(at), 100_000):
-                i = at[c : c + 100_000]
-                yield rows(g.lang[g.row[i]], [data[a:z] for a, z in zip(g.start[i].tolist(), g.end[i + k - 1].tolist())], k, f[c : c + 100_000])
-
-    schema = "lang string, gram binary, size int, f long"
-    fields = arrow_schema(schema)
+        data, langs = g.data.tobytes(), g.langs.dictionary.to_pylist()
+        for lang, n in enumerate(np.bincount(g.lang, weights=g.times * g.t["starts"].to_numpy(), minlength=len(langs))):
+            held.setdefault((langs[lang], 0), Counter())[b""] += int(n)
+        for k, lang, first, weight in g.counts(np.repeat(often, np.diff(np.append(at, len(g.distinct))))):
+            found = {data[a:z]: n for a, z, n in zip(g.start[first].tolist(), g.end[first + k - 1].tolist(), weight.tolist())}
+            if len(found) < len(first):  # of equal hashes, several are of one n-gram that is not the first
+                found = Counter()
+                for a, z, n in zip(g.start[first].tolist(), g.end[first + k - 1].tolist(), weight.tolist()):
+                    found[data[a:z]] += n
+            held.setdefault((langs[lang], k), Counter()).update(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], Counter] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for (lang, k), counted in held.items():
+                found, f = list(counted), list(counted.values())
+                for c in range(0, len(found), 50_000):
+                    part = found[c : c + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part, pa.binary()), pa.array([k] * len(part), pa.int32()), pa.array(f[c : c + 50_000], pa.int64())], schema=fields)
+            held.clear()
+
         for b in batches:
             for i in range(b.num_rows):
-                yield from wanted(b.column(0)[i].as_py(), b.column(1)[i].as_py())
+                wanted(b.column(0)[i].as_py(), b.column(1)[i].as_py(), held)
+                if sum(map(len, held.values())) > HELD_GRAMS:
+                    yield from rows()
+        yield from rows()
 
     asked = with_replies(chunks, replies=exchange(chunks, send, reply))
     return asked.select("body", "replies").mapInArrow(run, schema)

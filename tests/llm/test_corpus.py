@@ -147,3 +147,30 @@ def test_chunks_of_any_size_and_odd_languages_count_alike(spark, monkeypatch):
 
 
 phrases_chunks = phrases.make_chunks
+
+
+def test_equal_hashes_of_unequal_ngrams_are_told_apart(monkeypatch):
+    import pyarrow as pa
+
+    from corpusflow.llm.chunks import to_body
+
+    texts, langs, times = ["a b c d", "x y", "a b", "c d c d", "zz"], ["en", "en", "de", "en", "de"], [1, 2, 3, 1, 5]
+    body = to_body(pa.table({"lang": langs, "piece": pa.array([x.encode() for x in texts], pa.binary()), "starts": pa.array([len(x.split()) for x in texts], pa.int32()), "times": pa.array(times, pa.int64())}))
+    want = Counter()
+    for lang, words, n in zip(langs, map(str.split, texts), times):
+        want.update({(lang, k, " ".join(words[i : i + k])): 0 for k in (1, 2, 3) for i in range(len(words) - k + 1)})
+        for k in (1, 2, 3):
+            for i in range(len(words) - k + 1):
+                want[lang, k, " ".join(words[i : i + k])] += n
+
+    def counted():
+        g, out = phrases._Grams(body, 3), Counter()
+        for k, lang, first, weight in g.counts(np.ones(len(g.distinct), dtype=bool)):
+            for f, n in zip(first, weight):
+                out[g.langs.dictionary.to_pylist()[lang], k, g.data.tobytes()[g.start[f] : g.end[f + k - 1]].decode()] += int(n)
+        return out
+
+    assert counted() == want
+    hashes = phrases._Grams.hashes
+    monkeypatch.setattr(phrases._Grams, "hashes", lambda self, k, seed: hashes(self, k, seed) if seed else hashes(self, k, seed) & np.uint64(3))
+    assert counted() == want

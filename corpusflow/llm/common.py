@@ -56,19 +56,25 @@ def collected():
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def save(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+def place(spark: SparkSession, name: str) -> str:
+    """A new path for a table in the shared folder."""
+    return f"{shared_dir(spark)}/corpusflow/{name}-{uuid.uuid4().hex}"
+
+
+def save(df: DataFrame, name: str, tidy: bool = False, into: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts the lineage so that a
     lost executor costs one task, and fixes rows whose order or grouping a retry could change.
 
-    tidy: its shuffle files go once it is written, not when the driver next collects its garbage."""
+    tidy: its shuffle files go once it is written, not when the driver next collects its garbage. into: the path of a table
+    that it is added to, and that is read back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusflow/{name}-{uuid.uuid4().hex}"
+    path = into or place(spark, name)
     for scope in _scopes:
         scope.append(path)
     before = spark.conf.get(TIDY)
     spark.conf.set(TIDY, str(tidy or before == "true").lower())
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.mode("append").option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -89,3 +95,8 @@ def n_words(text: Column) -> Column:
 def arrow_schema(ddl: str):
     """The Arrow schema of a DDL string; only the driver can parse one."""
     return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def packed(df: DataFrame, name: str = "row", without: tuple[str, ...] = ()) -> Column:
+    """The columns of df as one struct, beside which helper columns clash with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in without]).alias(name)

@@ -1,17 +1,20 @@
-"""Exact join of vectors by cosine, label by label, of which each round ships the vectors twice at most.
+"""Exact metric range join of vectors by cosine, label by label.
 
-Identical vectors are one class from the start (a point) and count by their number. A label's points are dealt by hash to
-g groups of GROUP_VALUES numbers at most. In round r group i meets group i + r (mod g), so g / 2 + 1 rounds bring
-every two groups together once; a round's shuffle files go before the next round. So disk holds the points and
-two copies of them, whatever the vectors look like, while traffic grows with g and work, at worst, with the square of a label.
+Identical vectors are one class from the start (a point) and count by their number. On unit vectors a cosine of at least t is
+a distance of at most e = sqrt(2 - 2t). Pivots partition a label's points: about sqrt(n) / PIVOT_ROOT of them, by hash order; a point
+lies in the cell of its nearest pivot, c, and is stored there, once. By the triangle inequality it can have links to points of
+the cell of another pivot, p, only if its distance to p is at most the cell's radius + e, and at most 2e more than to c. It visits
+the cells of smaller number for which both hold, so that a pair of cells is looked at from one side.
 
-Where two groups meet, one is parted into cells around pivots. On unit vectors a cosine of at least t is a distance of at most
-e = sqrt(2 - 2t): a vector is compared with a cell only if its distance to the pivot is at most the cell's radius + e. What
-is left is compared by its first HEAD components and the length of the rest, which bound the cosine from above, then by
-all components, both in single precision with a margin for rounding; what is that near the threshold, in double precision.
+Then cells are joined independently: each with itself and with its visitors. What visits is stored as cell numbers beside the
+point; the vectors themselves are sent in waves of about WAVE times the points, and a wave's shuffle files go before the next one, so
+that disk holds the points and some copies of them, whatever the vectors look like. A cell or its visitors beyond GROUP_VALUES numbers
+are dealt by hash to blocks, which meet two by two. Where blocks meet, pivots of their own part them again, what is left is
+compared by its first HEAD components and the length of the rest, which bound the cosine from above, then by all components,
+both in single precision with a margin for rounding; what is that near the threshold, in double precision.
 
-A label may hold most rows: it only gets more groups. Where vectors have no cluster structure, no cell can be left
-out, as in any exact method on such data.
+A label may hold most rows: it only gets more cells. Where vectors have no cluster structure, most points visit most cells, as in
+any exact metric method on such data: that costs work and traffic, not disk.
 
 Cases: null labels and ids, and vectors that are null, zero, or hold null or non-finite components, link with
 nothing; vectors of different lengths link with nothing; each row that repeats an id is a vector with links of
@@ -21,26 +24,22 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from corpusflow.llm.common import arrow_schema, save
+from corpusflow.llm.common import collected, drop_saved, place, save
 from corpusflow.llm.components import components
 
 THRESHOLD, CELL_ROWS, PART_ROWS, STRIP = 0.93, 1_024, 8_192, 1_024
-#: Numbers in a group of vectors (131,072 vectors of 64), components of a head, and pairs that are looked at or tied at once.
+#: The share of sqrt(n) that is pivots, their most for a label, and the rows that a wave sends, by the points.
+PIVOT_ROOT, MOST_PIVOTS, WAVE = 16, 1_024, 1.5
+#: Numbers in a block of vectors (131,072 vectors of 64), components of a head, and pairs that are looked at or tied at once.
 GROUP_VALUES, HEAD, PAIRS = 1 << 23, 24, 1 << 16
 #: Margin of the distance bounds against rounding.
-SLACK = 1e-9
-
-
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    return np.stack([np.frombuffer(x.as_py(), dtype="<f8") for x in column]) if len(column) else np.empty((0, 0))
+SLACK = 1e-7
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -82,20 +81,26 @@ def _pack(vectors: DataFrame, label: str, plain: bool = False) -> DataFrame:
     return wanted.mapInArrow(run, f"vec_id {kind}, space string, digest string, body binary")
 
 
-def _pivots(points: DataFrame, n_pivots) -> DataFrame:
-    """(space, pivot, body): for each space n_pivots(number of its own points) of them, by hash order."""
-    wanted = points.where("mine").groupBy("space").agg(F.count("*").alias("n")).withColumn("m", n_pivots(F.col("n")).cast("int"))
+def _units(t: pa.Table, dim: int) -> np.ndarray:
+    """The vectors of the bodies, divided by their lengths in double precision."""
+    raw = [x.as_py() for x in t["body"]]
+    return _unit(np.stack([np.frombuffer(x, dtype="<f4" if len(x) == 4 * dim else "<f8") for x in raw])) if raw else np.empty((0, dim))
+
+
+def _pivots(points: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(space, pivot, body): of each space of sizes (space, n, m) m of its points, by hash order."""
     unit = F.pmod(F.xxhash64("digest", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = points.where("mine").join(wanted, "space").where(unit <= 4.0 * (F.col("m") + 4) / F.col("n")).select("space", "m", F.struct(unit.alias("unit"), "body").alias("candidate"))
+    few = points.join(sizes, "space").where(unit <= 4.0 * (F.col("m") + 4) / F.col("n")).select("space", "m", F.struct(unit.alias("unit"), "body").alias("candidate"))
     picked = few.groupBy("space", "m").agg(F.sort_array(F.collect_list("candidate")).alias("c"))
-    return picked.select("space", F.posexplode(F.slice("c", F.lit(1), F.greatest(F.lit(1), F.col("m")))).alias("pivot", "c")).select("space", "pivot", F.col("c.body").alias("body"))
+    return picked.select("space", F.posexplode(F.slice("c", F.lit(1), F.col("m"))).alias("pivot", "c")).select("space", "pivot", F.col("c.body").alias("body"))
 
 
-def _with_pivots(points: DataFrame, pivots: DataFrame, parts: DataFrame, function, schema: str) -> DataFrame:
+def _with_pivots(points: DataFrame, pivots: DataFrame, sizes: DataFrame, function, schema: str) -> DataFrame:
     """Rows that function makes of a part of a space's points (about PART_ROWS) and all pivots of the space.
 
     function(space, points, pivots) gets Arrow tables; the pivots are copied to each part, so no row carries them.
     """
+    parts = sizes.select("space", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("n_parts"))
     dealt = points.join(parts, "space").withColumn("part", F.pmod(F.xxhash64("digest"), F.col("n_parts")).cast("int")).drop("n_parts")
     copied = pivots.join(parts, "space").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))).drop("n_parts")
 
@@ -105,42 +110,44 @@ def _with_pivots(points: DataFrame, pivots: DataFrame, parts: DataFrame, functio
     return dealt.groupBy("space", "part").cogroup(copied.groupBy("space", "part")).applyInArrow(run, schema)
 
 
-def _distances(points: pa.Table, pivots: pa.Table) -> np.ndarray:
+def _distances(space: str, points: pa.Table, pivots: pa.Table) -> np.ndarray:
+    dim = int(space.split(":")[0])
     if not len(pivots):  # the hash sample of a space was empty: all its points lie in one cell
         return np.zeros((len(points), 1))
-    return np.sqrt(np.maximum(0, 2 - 2 * (_matrix(points["body"]) @ _matrix(pivots["body"]).T)))
-
+    return np.sqrt(np.maximum(0, 2 - 2 * (_units(points, dim) @ _units(pivots, dim).T)))
 
-def _split(points: DataFrame, e: float, n_pivots, name: str) -> DataFrame:
-    """The points (space, digest, pid, weight, body, mine) dealt to the cells of each space, which are the result's
-    spaces: each point that is its space's own is one cell's own, and points are visitors wherever they may have partners."""
-    pivots = save(_pivots(points, n_pivots), f"{name}-pivots")
-    parts = points.groupBy("space").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("n_parts"))
 
-    def own_cells(t: pa.Table, p: pa.Table):
-        d, mine = _distances(t, p), t["mine"].to_numpy(zero_copy_only=False)
-        return d, mine, d.argmin(axis=1)
+def locate(points: DataFrame, e: float, root: float = PIVOT_ROOT) -> DataFrame:
+    """The points (space, digest, pid, rep, weight, body) with cell, the number of the nearest pivot, and visits, the smaller numbers of
+    the cells in which the triangle inequality leaves room for links."""
+    sizes = points.groupBy("space").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("m", F.least(F.lit(MOST_PIVOTS), F.ceil(F.sqrt("n") / root)).cast("int")).where("m > 1")
+    sizes = save(sizes, "sizes", tidy=True)
+    pivots = save(_pivots(points, sizes), "pivots", tidy=True)
 
-    def nearest(space: str, t: pa.Table, p: pa.Table) -> pa.Table:
-        d, mine, own = own_cells(t, p)
-        out = [(space, int(c), float(d[mine & (own == c), c].max())) for c in np.unique(own[mine])]
-        return pa.table({"space": pa.array([x[0] for x in out], pa.string()), "pivot": pa.array([x[1] for x in out], pa.int32()), "r": pa.array([x[2] for x in out], pa.float64())})
+    def radius(space: str, t: pa.Table, p: pa.Table) -> pa.Table:
+        d = _distances(space, t, p)
+        own = d.argmin(axis=1)
+        cells = np.unique(own)
+        return pa.table({"space": pa.array([space] * len(cells), pa.string()), "pivot": pa.array(cells, pa.int32()), "r": pa.array([float(d[own == c, c].max()) for c in cells], pa.float64())})
 
-    radii = _with_pivots(points, pivots, parts, nearest, "space string, pivot int, r double").groupBy("space", "pivot").agg(F.max("r").alias("r"))
-    known = save(pivots.join(radii, ["space", "pivot"], "left"), f"{name}-radii")
+    radii = _with_pivots(points.select("space", "digest", "body"), pivots, sizes, radius, "space string, pivot int, r double").groupBy("space", "pivot").agg(F.max("r").alias("r"))
+    known = save(pivots.join(radii, ["space", "pivot"], "left"), "radii", tidy=True)
+    names = ["digest", "pid", "rep", "weight", "body"]
+    kinds = ", ".join(f"{c} {points.schema[c].dataType.simpleString()}" for c in names)
 
     def deal(space: str, t: pa.Table, p: pa.Table) -> pa.Table:
-        d, mine, own = own_cells(t, p)
-        rows = np.arange(len(d))
+        d = _distances(space, t, p)
+        own = d.argmin(axis=1)
         r = p["r"].fill_null(-np.inf).to_numpy() if len(p) else np.zeros(1)
-        visit = (d <= r + e) & (d <= d[rows, own][:, None] + 2 * e)
-        visit[rows[mine], own[mine]] = True
-        at, cell = np.nonzero(visit)
-        held = t.select(["digest", "pid", "weight", "body"]).take(pa.array(at))
-        names = pa.array([f"{space}/{c}" for c in range(d.shape[1])], pa.string()).take(pa.array(cell))
-        return pa.table({"space": names, **{c: held[c] for c in held.column_names}, "mine": pa.array(mine[at] & (own[at] == cell))})
+        visit = (d <= r + e + SLACK) & (d <= d.min(axis=1)[:, None] + 2 * e + SLACK) & (np.arange(d.shape[1]) < own[:, None])
+        offsets = np.concatenate([[0], np.cumsum(visit.sum(axis=1))])
+        visits = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.nonzero(visit)[1], pa.int32()))
+        return pa.table({"space": pa.array([space] * len(t), pa.string()), **{c: t[c] for c in names}, "cell": pa.array(own, pa.int32()), "visits": visits})
 
-    return save(_with_pivots(points, known, parts, deal, "space string, digest string, pid long, weight long, body binary, mine boolean"), f"{name}-cells")
+    schema = f"space string, {kinds}, cell int, visits array<int>"
+    small = points.join(sizes.select("space"), "space", "left_anti").select("space", *names, F.lit(0).alias("cell"), F.array().cast("array<int>").alias("visits"))
+    return _with_pivots(points.select("space", *names), known, sizes, deal, schema).union(small)
 
 
 def _tie(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
@@ -226,34 +233,60 @@ def _links(left: pa.Table, right: pa.Table | None, dim: int, threshold: float, c
     return pa.table({"pid": pa.array(pids[linked]), "with": pa.array(pids[parent[linked]]), "n": pa.array(n[linked])})
 
 
-def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, label: str = "label", cell_rows: int = CELL_ROWS, block_rows: int | None = None) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) per row of vectors (vec_id, label, embedding); block_rows: rows of a group, about."""
-    rows = _pack(vectors, label, plain=True)
-    keys = save(rows.select("vec_id", "space", "digest"), "vectors")  # without their bodies, which only points hold
-    usable = keys.where("digest is not null")
-    points = rows.where("body is not null").groupBy("space", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("body").alias("body"))
-    points = save(points.withColumn("pid", F.monotonically_increasing_id()), "points", tidy=True)
+def cell_links(located: DataFrame, threshold: float, cell_rows: int = CELL_ROWS, block_rows: int | None = None, wave: float = WAVE) -> DataFrame:
+    """Links of located points: (pid, with) that ties what is linked, and n, the rows near each point; in several rows a point.
+
+    A cell's points are dealt to `mine` blocks and its visitors to `theirs`. A unit of work is a block a and a step s: in step 0 block a
+    with itself, in step s with block a + s (where that is half the way round, from one side only), and in each with block s of
+    the visitors. Units are dealt to waves by hash."""
     dim = F.split("space", ":")[0].cast("int")
     most = F.greatest(F.lit(1), F.lit(GROUP_VALUES) / dim) if block_rows is None else F.lit(block_rows)
-    sizes = points.groupBy("space").agg(F.ceil(F.count("*") / F.first(most)).cast("int").alias("g")).where("g > 1")
-    sizes = save(sizes, "groups", tidy=True)  # of spaces that have several, each of which fills a group or more
-    dealt = points.join(F.broadcast(sizes), "space", "left").withColumn("g", F.coalesce("g", F.lit(1)))
-    dealt = dealt.select("space", "g", F.pmod(F.xxhash64("digest", F.lit(3)), F.col("g")).cast("int").alias("i"), "pid", "weight", "body")
+    own = located.groupBy("space", "cell").agg(F.count("*").alias("n_own"))
+    guests = located.select("space", F.explode("visits").alias("cell")).groupBy("space", "cell").agg(F.count("*").alias("n_guests"))
+    cells = own.join(guests, ["space", "cell"], "left").fillna(0, ["n_guests"]).withColumns({"mine": F.ceil(F.col("n_own") / most).cast("int"), "theirs": F.ceil(F.col("n_guests") / most).cast("int")})
+    cells = save(cells.withColumn("steps", F.greatest(F.floor(F.col("mine") / 2).cast("int") + 1, "theirs")), "cells", tidy=True)
+    sent = F.col("n_own") * (F.col("steps") + F.floor(F.col("mine") / 2)) + F.col("n_guests") * F.col("mine")
+    rows, points = cells.agg(F.coalesce(F.sum(sent), F.lit(0)), F.coalesce(F.sum("n_own"), F.lit(0))).first()
+    n_waves = max(1, -int(-rows // max(1, wave * points)))
+    cells = cells.select("space", "cell", "mine", "theirs", "steps")
+    held = located.join(cells, ["space", "cell"]).withColumn("i", F.pmod(F.xxhash64("pid"), "mine").cast("int"))
+    visiting = located.select("space", F.explode("visits").alias("cell"), "pid", "weight", "body").join(cells, ["space", "cell"]).withColumn("j", F.pmod(F.xxhash64("pid", F.lit(3)), "theirs").cast("int"))
+    unit = lambda a, s: F.struct(a.cast("int").alias("a"), s.cast("int").alias("s"))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
     def join(key: tuple, t: pa.Table) -> pa.Table:
-        space, meets = key[0].as_py(), key[2].as_py()
         t = t.sort_by("pid")
-        sides = [t.filter(pa.array(t["right"].to_numpy(zero_copy_only=False) == x)) for x in (False, True)] if meets else [t, None]
-        return _links(*sides, int(space.split(":")[0]), threshold, cell_rows)
-
-    found = []
-    for r in range((sizes.agg(F.max("g")).first()[0] or 1) // 2 + 1):
-        # group i meets group i + r; where that is half the way round, each two meet from one side only
-        left, right = F.struct("i", F.lit(False).alias("right")), F.struct(F.pmod(F.col("i") - r, "g").alias("i"), F.lit(True).alias("right"))
-        sent = dealt.withColumn("to", F.explode(F.array(left, right) if r else F.array(left))).where((2 * r < F.col("g")) | (2 * r == F.col("g")) & (F.col("to.i") < r))
-        sent = sent.select("space", F.col("to.i").alias("i"), F.lit(r).alias("r"), F.col("to.right").alias("right"), "pid", "weight", "body")
-        found.append(save(sent.groupBy("space", "i", "r").applyInArrow(join, "pid long, with long, n long"), "links", tidy=True))
-    found = reduce(DataFrame.union, found)
+        role = t["role"].to_numpy()
+        mine, other, guests = (t.filter(pa.array(role == k)) for k in range(3))
+        n = int(key[0].as_py().split(":")[0])
+        out = [_links(mine, None, n, threshold, cell_rows)] if key[3].as_py() == 0 else [_links(mine, other, n, threshold, cell_rows)]
+        return pa.concat_tables([*out, _links(mine, guests, n, threshold, cell_rows)])
+
+    path, found = place(located.sparkSession, "links"), None
+    for w in range(n_waves):
+        now = lambda u: F.pmod(F.xxhash64("space", "cell", u["a"], u["s"]), F.lit(n_waves)) == w  # noqa: E731,B023
+        lefts = F.transform(upto(F.col("steps")), lambda s: unit(F.col("i"), s))
+        half = F.floor(F.col("mine") / 2).cast("int")
+        rights = F.filter(F.transform(upto(half), lambda s: unit(F.pmod(F.col("i") - s - 1, F.col("mine")), s + 1)), lambda u: (2 * u["s"] < F.col("mine")) | (u["a"] < u["s"]))
+        meets = F.transform(upto(F.col("mine")), lambda a: unit(a, F.col("j")))
+        send = lambda df, units, role: df.select("space", "cell", F.explode(F.filter(units, now)).alias("u"), F.lit(role).alias("role"), "pid", "weight", "body")  # noqa: E731,B023
+        sent = send(held, lefts, 0).union(send(held, rights, 1)).union(send(visiting, meets, 2))
+        sent = sent.select("space", "cell", "u.a", "u.s", "role", "pid", "weight", "body")
+        found = save(sent.groupBy("space", "cell", "a", "s").applyInArrow(join, "pid long, with long, n long"), "links", tidy=True, into=path)
+    return found
+
+
+def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, label: str = "label", cell_rows: int = CELL_ROWS, block_rows: int | None = None, root: float = PIVOT_ROOT) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) per row of vectors (vec_id, label, embedding); block_rows: rows of a block, about."""
+    rows = _pack(vectors, label, plain=True)
+    keys = save(rows.select("vec_id", "space", "digest"), "vectors")  # without their bodies, which only points hold
+    usable = keys.where("digest is not null")
+    points = rows.where("body is not null").groupBy("space", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("body").alias("body"))
+    with collected() as unplaced:
+        points = save(points.withColumn("pid", F.monotonically_increasing_id()), "points", tidy=True)
+    points = save(locate(points, float(np.sqrt(max(0.0, 2 - 2 * threshold))), root), "located", tidy=True)
+    drop_saved(vectors.sparkSession, unplaced)  # the located points are all of them
+    found = cell_links(points, threshold, cell_rows, block_rows)
     n_links = found.groupBy("pid").agg(F.sum("n").alias("n"))
     of_row = save(usable.join(points.select("space", "digest", "pid"), ["space", "digest"]).select("vec_id", "pid"), "row-points", tidy=True)
     several = of_row.groupBy("vec_id").agg(F.min("pid").alias("low"), F.max("pid").alias("high")).where("low != high").select("vec_id", "low")

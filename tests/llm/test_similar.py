@@ -83,19 +83,46 @@ def test_range_join_of_repeated_ids_and_nothing(spark):
     assert embeddings.near_vectors(same.limit(0)).collect() == []
 
 
-def test_points_meet_few_pivots(spark):
-    """Clustered vectors visit few of the cells."""
+def test_pivots_partition_and_the_inequality_sets_the_boundaries(spark):
+    """Points lie once in the cell of their nearest pivot; far cells never meet, and no near pair is lost between cells."""
     rng = np.random.default_rng(8)
-    rows = [(i, [float(x) for x in rng.normal(size=16) * 0.05 + c], 1) for i, c in enumerate(np.repeat(rng.normal(size=(40, 16)), 25, axis=0))]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    points = embeddings._pack(frame, "label").selectExpr("space", "digest", "vec_id as pid", "1L as weight", "body", "true as mine")
-    from pyspark.sql import functions as F
-
-    wide = embeddings._split(points, 0.38, lambda n: F.ceil(F.sqrt(F.ceil(n / 20))), "wide")
-    cells = embeddings._split(wide, 0.38, lambda n: F.ceil(n / 20), "narrow")
-    assert wide.where("mine").count() == cells.where("mine").count() == len(rows)
-    n_cells = cells.select("space").distinct().count()
-    assert n_cells > 20 and cells.count() < 0.25 * n_cells * len(rows)
+    x = rng.normal(size=(1000, 16)) * 0.06 + np.repeat(rng.normal(size=(40, 16)), 25, axis=0)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    points = embeddings._pack(frame, "label").selectExpr("space", "digest", "vec_id as pid", "vec_id as rep", "1L as weight", "body").where("digest is not null")
+    e = math.sqrt(2 - 2 * embeddings.THRESHOLD)
+    located = {r["pid"]: (r["cell"], set(r["visits"])) for r in embeddings.locate(points, e, root=0.8).collect()}
+    cells = {c for c, _ in located.values()}
+    assert sorted(located) == list(range(1000)) and len(cells) > 20
+    assert sum(1 + len(v) for _, v in located.values()) < 3 * len(x)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    d = np.sqrt(np.maximum(0, 2 - 2 * unit @ unit.T))
+    crossing = 0
+    for i, j in np.argwhere(np.triu(d <= e, 1)).tolist():
+        (a, va), (b, vb) = located[i], located[j]
+        assert a == b or a in vb or b in va
+        crossing += a != b
+    assert crossing > 0
+    # a point stays away from a cell all of whose points are further than its radius and e allow
+    of = {c: [i for i in located if located[i][0] == c] for c in cells}
+    met = {(min(a, c), max(a, c)) for a, v in located.values() for c in v}
+    far = [(a, c) for a in cells for c in cells if a < c and d[np.ix_(of[a], of[c])].min() > 2 * e + 2 * max(d[np.ix_(of[a], of[a])].max(), d[np.ix_(of[c], of[c])].max())]
+    assert far and not met & set(far)
+
+
+@pytest.mark.parametrize("root,block_rows,wave", [(0.5, 60, 0.3), (1.0, 40, 5.0), (16.0, 70, 1.0)])
+def test_cells_blocks_and_waves_count_each_pair_once(spark, root, block_rows, wave, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(300, 8)), rng.normal(size=(150, 8)) * 0.12 + 1, rng.normal(size=(150, 8)) * 0.3 - 1])
+    labels = [int(i % 7 == 0) for i in range(len(x))]
+    frame = spark.createDataFrame([(i, v.tolist(), k) for (i, v), k in zip(enumerate(x), labels)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(embeddings, "WAVE", wave)
+    links = embeddings.cell_links
+    monkeypatch.setattr(embeddings, "cell_links", lambda p, t, c, b: links(p, t, c, b, wave))
+    got = {r["vec_id"]: r for r in embeddings.near_vectors(frame, cell_rows=20, block_rows=block_rows, root=root).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    pairs = [p for p in np.argwhere(np.triu(unit @ unit.T >= embeddings.THRESHOLD, 1)).tolist() if labels[p[0]] == labels[p[1]]]
+    n, component = Counter(i for p in pairs for i in p), union(pairs, range(len(x)))
+    assert len(pairs) > 2000 and {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {i: (n[i], component[i]) for i in range(len(x))}
 
 
 def test_vectors_without_structure_are_stored_about_once(spark):

@@ -10,8 +10,7 @@ is scored by what it brought itself.
 The weight of the bigram depends on how often its context occurs, by powers of two. It is fitted for each model on
 all of its words, each held out: under counts of all texts that leave out its own occurrence; a word that occurs nowhere else
 says nothing of the weight. A word matters to the fit only by its class and by the quotient of its two
-probabilities, so beyond FIT_WORDS words every word is counted in a bin of that quotient, 1 / BINS_AN_OCTAVE octaves wide,
-and a bin stands for the mean of its words' logarithms: that moves the share of the bigram in a bin's words by less than 0.000002.
+probabilities, so every word is counted in a bin of that quotient, 1 / BINS_AN_OCTAVE octaves wide, and a bin stands for the mean of its words' logarithms: that moves the share of the bigram in a bin's words by less than 0.000002.
 
 Cases: null and empty texts have no words and null losses; a document labelled more than once is
 of the target if any label says so; without a target document the target's model is uniform over the
@@ -35,8 +34,8 @@ from corpusflow.llm.hashing import GOLDEN, U64, join_blobs, mix, pack_bits, pack
 
 #: The bigram's weight before it is fitted and where there is nothing to fit it on, what is added to a word's count, and the classes of contexts by count.
 BIGRAM, ADD, CLASSES = 0.6, 0.5, 12
-#: Up to so many words are fitted one by one. Beyond, octaves to both sides of 1, bins an octave, and parts of a bin.
-FIT_WORDS, OCTAVES, BINS_AN_OCTAVE, BIN_PARTS = 100_000, 44, 64, 1 << 20
+#: Bins of words by the quotient of their two probabilities: octaves to both sides of 1, bins an octave, and parts of a bin.
+OCTAVES, BINS_AN_OCTAVE, BIN_PARTS = 44, 64, 1 << 20
 #: Bins of a class: the first is for words whose pair occurs nowhere else.
 BINS = 2 * OCTAVES * BINS_AN_OCTAVE + 1
 
@@ -91,12 +90,6 @@ def fit_quotients(quotient: np.ndarray, times: np.ndarray, classes: np.ndarray,
     return np.array([climb(quotient[classes == k], times[classes == k]) if times[classes == k].sum() >= 50 else whole for k in range(CLASSES)])
 
 
-def fit_weights(ratio: np.ndarray, unigram: np.ndarray, seen: np.ndarray, rounds: int = 40) -> np.ndarray:
-    """The weights, by class of context, of words one by one."""
-    kept = (seen > 0) & (unigram > 0)
-    return fit_quotients(ratio[kept] / unigram[kept], np.ones(int(kept.sum())), context_class(seen[kept]), rounds)
-
-
 def bin_words(pair: np.ndarray, word: np.ndarray, context: np.ndarray, n: int) -> np.ndarray:
     """(words, parts of a bin beyond its start) x class x bin, of words with these counts."""
     kept = (context > 0) & (word > 0)
@@ -120,47 +113,32 @@ def fit_bins(sums: np.ndarray) -> np.ndarray:
 
 def held_out_weights(counted: DataFrame, counts_of: Callable[[dict], tuple], total: int) -> np.ndarray:
     """Weights (target, background) x class, fitted on all words of the chunks; counts_of: as in cross_entropy."""
-    by_word = total <= FIT_WORDS
-
-    def held_out(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-        """Of the target, then of all texts: how often the words' pairs, the words and their contexts occur elsewhere, and the model's words."""
-        _, g, c, _, target_words = counts_of(row)
-        for model, of, n in ((1, g.target, target_words), (0, slice(None), total)):
-            opens = c[model] - c[model + 2]
-            yield (*(np.maximum(x - 1, 0) for x in (c[model][g.pair[of]], c[model][g.word[of]], opens[g.context[of]])), max(1, n))
 
     def count(batches):
-        """Of each chunk its words' counts, or of all chunks of a task the bins."""
+        """The bins of all chunks of a task, by how often the words' pairs, the words and their contexts occur elsewhere."""
         sums = np.zeros((2, 2, CLASSES, BINS), dtype=np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in ("chunk", "body", "targets", "counts")}
-                for model, (p, w, c, n) in enumerate(held_out(row)):
-                    if by_word:
-                        blob = join_blobs([n.to_bytes(8, "little"), *[pack_ints(x.astype(U64)) for x in (p, w, c)]])
-                        yield pa.RecordBatch.from_arrays([pa.array([model], pa.int32()), pa.array([row["chunk"]], pa.int64()), pa.array([blob], pa.binary())], names=["model", "part", "counts"])
-                    else:
-                        sums[model] += bin_words(p, w, c, n)
-        for model in (0, 1) if not by_word else ():
+                _, g, c, _, target_words = counts_of(row)
+                for model, of, n in ((1, g.target, target_words), (0, slice(None), total)):
+                    opens = c[model] - c[model + 2]
+                    pair, word, context = (np.maximum(x - 1, 0) for x in (c[model][g.pair[of]], c[model][g.word[of]], opens[g.context[of]]))
+                    sums[1 - model] += bin_words(pair, word, context, max(1, n))
+        for model in (0, 1):
             parts = [(k, pack_ints(x.astype(U64))) for k, x in enumerate(np.array_split(sums[model].reshape(-1), 8))]
             yield pa.RecordBatch.from_arrays([pa.array([model] * 8, pa.int32()), pa.array([k for k, _ in parts], pa.int64()), pa.array([x for _, x in parts], pa.binary())], names=["model", "part", "counts"])
 
     def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"model": [int(key[0])], "part": [int(key[1])], "counts": [pack_ints(sum(unpack_ints(x) for x in frame["counts"]))]})
 
-    schema = "model int, part long, counts binary"
-    found = counted.mapInArrow(count, schema)
-    found = found if by_word else found.groupBy("model", "part").applyInPandas(merge, schema)
-    rows = sorted(save(found, "held-out", tidy=True).collect(), key=lambda x: (x["model"], x["part"]))  # of FIT_WORDS words at most, or 16 rows
+    found = counted.mapInArrow(count, "model int, part long, counts binary").groupBy("model", "part").applyInPandas(merge, "model int, part long, counts binary")
+    rows = sorted(save(found, "held-out", tidy=True).collect(), key=lambda x: (x["model"], x["part"]))  # 16 rows
     out = []
     for model in (0, 1):
-        blobs = [bytes(x["counts"]) for x in rows if x["model"] == model]
-        if by_word:
-            parts = [split_blobs(x) for x in blobs]
-            p, w, c = (np.concatenate([np.empty(0), *[unpack_ints(x[k]) for x in parts]]) for k in (1, 2, 3))
-            out.append(fit_weights(p / np.maximum(c, 1), w / (int.from_bytes(parts[0][0], "little") if parts else 1), c))
-        else:
-            out.append(fit_bins(np.concatenate([unpack_ints(x) for x in blobs]).astype(np.int64).reshape(2, CLASSES, BINS)))
+        blobs = [unpack_ints(bytes(x["counts"])) for x in rows if x["model"] == model]
+        sums = np.concatenate(blobs).astype(np.int64) if blobs else np.zeros(2 * CLASSES * BINS, dtype=np.int64)
+        out.append(fit_bins(sums.reshape(2, CLASSES, BINS)))
     return np.array(out)
 
 

@@ -174,8 +174,8 @@ def test_chunks_and_shards_grow_with_the_square_root():
     assert chunks.shard_bits(1 << 27) == (29, 6) and chunks.shard_bits(1 << 31)[1] == 9 and chunks.shard_bits(1 << 35)[1] == 12
 
 
-def test_bigram_weights_are_fitted_on_held_out_words(spark, monkeypatch):
-    """The fitted weights, from counts that a plain loop makes, beat the fixed one and others near them."""
+def test_bigram_weights_are_fitted_on_held_out_words(spark):
+    """The fitted weights beat the fixed one; the next test holds them against a plain loop's."""
     rng = random.Random(2)
     vocabulary = [f"w{i}" for i in range(60)]
     after = {w: rng.sample(vocabulary, 3) for w in [*vocabulary, "^"]}
@@ -187,25 +187,11 @@ def test_bigram_weights_are_fitted_on_held_out_words(spark, monkeypatch):
             words.append(last)
         rows.append((i, " ".join(words)))
     docs, target = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(i,) for i in range(0, 200, 3)], "doc_id long")
-    got = []
-    monkeypatch.setattr(lmscore, "fit_weights", lambda r, u, s, f=lmscore.fit_weights: got.append((r, u, s)) or f(r, u, s))
     fitted = {r["doc_id"]: r for r in lmscore.cross_entropy(docs, target).collect()}
     fixed = {r["doc_id"]: r for r in lmscore.cross_entropy(docs, target, weights=np.full((2, lmscore.CLASSES), lmscore.BIGRAM)).collect()}
     bits = lambda rows, c, of: sum(rows[i][c] * rows[i]["n_words"] for i in of)
     assert bits(fitted, "background_loss", range(200)) < bits(fixed, "background_loss", range(200))
     assert bits(fitted, "target_loss", range(0, 200, 3)) < bits(fixed, "target_loss", range(0, 200, 3))
-    words, pairs, contexts = Counter(), Counter(), Counter()
-    for _, text in rows:
-        split = text.split()
-        words.update(split)
-        contexts.update(["^", *split[:-1]])
-        pairs.update(zip(["^", *split[:-1]], split))
-    want = Counter()
-    for _, text in rows:
-        split = text.split()
-        want.update((round((pairs[p] - 1) / max(1, contexts[p[0]] - 1), 9), round((words[p[1]] - 1) / sum(words.values()), 9), contexts[p[0]] - 1) for p in zip(["^", *split[:-1]], split))
-    ratio, unigram, seen = got[1]
-    assert Counter((round(float(a), 9), round(float(b), 9), int(c)) for a, b, c in zip(ratio, unigram, seen)) == want
 
 
 def test_bigram_weights_are_fitted_on_all_words(spark, monkeypatch):
@@ -220,7 +206,6 @@ def test_bigram_weights_are_fitted_on_all_words(spark, monkeypatch):
             last = rng.choice(after[last]) if rng.random() < (0.9 if i % 3 else 0.5) else rng.choice(vocabulary)
             words.append(last)
         rows.append((i, " ".join(words)))
-    monkeypatch.setattr(lmscore, "FIT_WORDS", 200)
     got, fit = [], lmscore.held_out_weights
     monkeypatch.setattr(lmscore, "held_out_weights", lambda *a: got.append(fit(*a)) or got[-1])
     docs, target = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(i,) for i in range(0, 200, 3)], "doc_id long")

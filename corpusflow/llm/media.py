@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusflow.llm.common import packed
+
 #: Payloads are padded to whole units; a frame of the transform holds FRAME samples and starts HOP after the last.
 UNIT, FRAME, HOP, RATE = 64, 256, 128, 8_000
 #: Peaks that a frame may contribute and hops that a pair may span.
@@ -83,16 +85,18 @@ def fingerprints(samples: np.ndarray) -> np.ndarray:
 
 
 def add_media(df: DataFrame, payload: str, media: str = "media") -> DataFrame:
-    """df with a binary column: the WAV form of the (binary or UTF-8 text) column payload."""
-    plain = df.drop(media).withColumn("_payload", F.col(payload).cast("binary"))
+    """df with a binary column: the WAV form of the (binary or UTF-8 text) column payload. A column of df named as `media` says
+    is replaced; all others stay, whatever their names."""
+    others = [c for c in df.columns if c.lower() != media.lower()]
+    plain = df.select(*([packed(df.select(*[f"`{c}`" for c in others]))] if others else []), F.col(payload).cast("binary").alias("payload"))
 
     def run(batches):
         for b in batches:
-            col = pa.array([encode_wav(x or b"") for x in b.column("_payload").to_pylist()], pa.binary())
-            names = [n for n in b.schema.names if n != "_payload"]
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], col], names=[*names, media])
+            col = pa.array([encode_wav(x or b"") for x in b.column("payload").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], col], names=[*b.schema.names[:-1], "media"])
 
-    return plain.mapInArrow(run, T.StructType([*df.drop(media).schema.fields, T.StructField(media, T.BinaryType())]))
+    out = plain.mapInArrow(run, T.StructType([*plain.schema.fields[:-1], T.StructField("media", T.BinaryType())]))
+    return out.select(*[F.col("row")[c].alias(c) for c in others], F.col("media").alias(media))
 
 
 MEDIA_FEATURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, rate int, fingerprint array<long>"

@@ -6,8 +6,9 @@ range its start, and a window inside each range gives each document its place in
 A source takes whole epochs while its budget lasts and cuts the last one at the exact word.
 
 Cases: null texts have size 0; a null source is a source of its own, the last; repeated rows and
-equal keys are ordered by (key, doc_id, size), and rows equal in all three are exchangeable; an
-empty table gives no rows; other columns of the input are ignored by mix_plan.
+equal keys are ordered by (key, doc_id, size), and rows equal in all three are exchangeable; a very long text is cut
+like any other, within its one row; an empty table gives no rows; other columns of the input are ignored by mix_plan and
+handed on by mix, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import n_words, save
+from corpusflow.llm.common import n_words, packed, save
 
 RANGE_ROWS = 2_048
 
@@ -83,15 +84,15 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     plan = mix_plan(docs, **options).select(F.col("doc_id").alias("_pid"), named.alias("_psrc"), F.col("size").alias("_psize"), "epochs", "part")
     turn = Window.partitionBy("_pid", "_psrc", "_psize").orderBy(F.desc("epochs"), F.desc("part"))
     plan = plan.select("_pid", "_psrc", "_psize", F.col("epochs").alias("_epochs"), F.col("part").alias("_part"), F.row_number().over(turn).alias("_pturn"))
-    keyed = docs.withColumns({"_src": named, "_size": n_words(F.col("text")), "_id": F.col("doc_id")})
-    keyed = keyed.withColumn("_turn", F.row_number().over(Window.partitionBy("_id", "_src", "_size").orderBy("text")))
+    keyed = docs.select(packed(docs), named.alias("_src"), n_words(F.col("text")).alias("_size"), F.col("doc_id").alias("_id"))
+    keyed = keyed.withColumn("_turn", F.row_number().over(Window.partitionBy("_id", "_src", "_size").orderBy("row.text")))
     both = keyed.join(plan, F.col("_id").eqNullSafe(F.col("_pid")) & (F.col("_src") == F.col("_psrc")) & (F.col("_size") == F.col("_psize")) & (F.col("_turn") == F.col("_pturn")))
     copies = F.concat(F.array_repeat(F.col("_size"), F.col("_epochs").cast("int")), F.when(F.col("_part") > 0, F.array(F.col("_part"))).otherwise(F.array().cast("array<bigint>")))
     out = both.withColumn("_words", F.explode(copies))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0), 1, F.col("_words").cast("int")), " ")
-    text = F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text"))
-    changed = {"text": text} | ({"n_chars": F.length(text).cast("long")} if "n_chars" in docs.columns else {})
-    return out.withColumns(changed).select(*docs.columns)
+    cut = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+"), 0), 1, F.col("_words").cast("int")), " ")
+    text = F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("row.text"))
+    out = out.select(F.col("row").withField("text", text).alias("row")).select("row.*")
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 MIX_SQL = r"""

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusflow.llm import chunks as C
-from corpusflow.llm.common import collected, drop_saved, save
+from corpusflow.llm.common import collected, drop_saved, packed, save
 from corpusflow.llm.components import components
 from corpusflow.llm.hashing import GOLDEN, U64, join_blobs, mix, pack_ints, pack_sorted, split_blobs, unpack_ints, unpack_sorted, windows, word_hashes
 
@@ -363,11 +363,11 @@ def _again(held, so_far, body, node: str, n: int, threshold: float, size: int) -
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """docs with one row of each class of near-duplicates; rows that are no class's (without words or id) all stay."""
-    digest = text_digest(F.col("text"))
+    """docs with one row of each class of near-duplicates; rows that are no class's (without words or id) all stay. All columns
+    are handed on, whatever their names."""
     dropped = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("_id"), "digest").distinct()
-    mine = docs.withColumn("_digest", digest)
-    left = mine.join(dropped, (mine["doc_id"] == dropped["_id"]) & (mine["_digest"] == dropped["digest"]), "left_anti")
-    same = Window.partitionBy("doc_id", "_digest").orderBy("doc_id")
-    first = F.col("doc_id").isNull() | F.col("_digest").isNull() | (F.row_number().over(same) == 1)
-    return left.withColumn("_first", first).where("_first").select(*docs.columns)
+    mine = docs.select(packed(docs), F.col("doc_id").alias("_mine"), text_digest(F.col("text")).alias("_digest"))
+    left = mine.join(dropped, (F.col("_mine") == F.col("_id")) & (F.col("_digest") == F.col("digest")), "left_anti")
+    same = Window.partitionBy("_mine", "_digest").orderBy("_mine")
+    first = F.col("_mine").isNull() | F.col("_digest").isNull() | (F.row_number().over(same) == 1)
+    return left.withColumn("_first", first).where("_first").select("row.*")

@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm.common import packed
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host and path prefix) of the registered query.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
@@ -141,7 +143,8 @@ def train(labelled: DataFrame, url: str = "url", label: str = "block", sample_ro
 
 
 def judge(pages: DataFrame, rules=RULES, model: Trees | None = None, url: str = "url", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """pages with host, path, rule, verdict and block_score (the trees' log-odds of block).
+    """pages with host, path, rule, verdict and block_score (the trees' log-odds of block), which replace columns so named; all
+    other columns are handed on, whatever their names.
 
     Without a model, the trees are trained from the URLs that the rules label.
     """
@@ -149,14 +152,16 @@ def judge(pages: DataFrame, rules=RULES, model: Trees | None = None, url: str =
     if model is None:
         ruled = pages.select(F.col(url).alias("url"), rule_of(host, path, rules)["verdict"].alias("v")).where("v is not null")
         model = train(ruled.select("url", (F.col("v") == "block").cast("int").alias("block")), sample_rows=sample_rows)
-    values = features(F.col(url), F.col("host"), F.col("path"))
+    values = features(F.col("_url"), F.col("host"), F.col("path"))
     suffix = F.regexp_extract("host", r"([^.]*)$", 1)
     odds = F.lit(0.0)
     if model.suffixes:
         odds = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in model.suffixes.items() for x in kv]), suffix), F.lit(0.0))
     values["suffix_odds"] = odds
-    with_host = pages.withColumns({"host": host, "path": path})
+    made = ("host", "path", "rule", "verdict", "block_score")
+    kept = [c for c in pages.columns if c.lower() not in made]
+    with_host = pages.select(packed(pages), F.col(url).alias("_url"), host.alias("host"), path.alias("path"))
     ruled = with_host.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules)).withColumns({f"_f_{k}": v for k, v in values.items()})
     scored = ruled.withColumn("block_score", model.column({k: F.col(f"_f_{k}") for k in values}))
     verdict = F.coalesce(F.col("_rule")["verdict"], F.when(F.col("block_score") > 0, "block").otherwise("allow"))
-    return scored.withColumns({"rule": F.col("_rule")["rule"], "verdict": verdict}).drop("_rule", *[f"_f_{k}" for k in values])
+    return scored.select(*[F.col("row")[c].alias(c) for c in kept], "host", "path", "block_score", F.col("_rule")["rule"].alias("rule"), verdict.alias("verdict"))

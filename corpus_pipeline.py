@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import language, mixing, neardup, packing, substrings
-from corpusflow.llm.common import collected, drop_saved, save, table
+from corpusflow.llm.common import collected, drop_saved, packed, save, table
 
 ORACLE_SQL = None
 #: The helper tables of the stage that ran last, with its place in the pipeline.
@@ -37,11 +37,11 @@ def _stage(function):
 
 @_stage
 def language_id(docs: DataFrame) -> DataFrame:
-    """Predict each text's language; texts that are in none (`und`) go: null, empty and letterless ones. Repeated rows
+    """Predict each text's language; all columns are handed on, whatever their names; texts that are in none (`und`) go: null, empty and letterless ones. Repeated rows
     are judged alike and all kept or gone; null langs are not learned from; very long texts are scored whole."""
     model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
-    marked = language.predict(docs, model)
-    return marked.where("lang_pred != 'und'").select(*docs.columns)
+    marked = language.predict(docs.select("text", packed(docs)), model)
+    return marked.where("lang_pred != 'und'").select("row.*")
 
 
 @_stage
@@ -55,8 +55,9 @@ def minhash_near_dedup(docs: DataFrame) -> DataFrame:
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """Cut passages that start earlier in the corpus (ties of doc_id: by place); documents that lose all their words go,
     as do null and empty ones. Texts that lose nothing keep their white space."""
-    cut = substrings.remove_repeats(docs, as_is=True).where("n_words > n_removed")
-    return cut.withColumns({"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}).select(*docs.columns)
+    others = packed(docs, without=("doc_id", "text"))
+    cut = substrings.remove_repeats(docs.select("doc_id", "text", others), as_is=True).where("n_words > n_removed")
+    return cut.select("doc_id", "text", "row.*").withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 @_stage

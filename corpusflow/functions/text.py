@@ -72,7 +72,7 @@ def theory_title_key(text: Column) -> Column:
 def keyword_surface(text: Column) -> Column:
     """A keyword heading without markup, or null when there is more than one line."""
     lines = logical_lines(text)
-    x = nfkd(F.element_at(lines, 1))
+    x = nfkd(F.get(lines, F.lit(0)))
     x = F.regexp_replace(x, r"^\s*#+\s*", "")
     x = F.translate(F.regexp_replace(x, "`|\\*\\*(?=\\S)", ""), DASHES, "-" * len(DASHES))
     x = F.regexp_replace(x, r"\\(?:ast|star)\b\s*|\$\s*\*\s*\$", "*")

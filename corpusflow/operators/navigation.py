@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,13 +145,13 @@ def opening_titles(specs: DataFrame, pages: DataFrame, partition: list[str]) ->
 
 
 def locate_starts(specs: DataFrame, pages: DataFrame, partition: list[str]) -> DataFrame:
-    """specs (ord, name, manual_page) with start_page and code: a fold over the contents with a cursor that never falls.
+    """specs (ord, name, manual_page) with start_page and code: the contents in order, with a cursor that never falls.
 
     Candidates are the pages whose footer bears the entry's printed page. The first at or after the cursor with a
     strong title is taken, else with a weak one; without a titled candidate, the first page from there on that is no
     contents page and has a strong title, else a weak one (ANCHOR_CONFLICT if there was a candidate); else the first
     candidate (TOC_PAGE_TITLE_NOT_FOUND), else none (TOC_ENTRY_UNRESOLVED). pages: pdf_page, manual_page, is_toc, lines.
-    Titles and printed pages are met by equal keys; the lists a fold needs are those of one document. Entries of another kind than
+    Titles and printed pages are met by equal keys; a document's candidates are gone through in one task, in sorted lists. Entries of another kind than
     keyword, where specs have a kind, are titled as opening_titles says.
     """
     named = specs.select(*partition, "ord", X.title_key(F.col("name")).alias("_key"), "manual_page")
@@ -161,35 +163,42 @@ def locate_starts(specs: DataFrame, pages: DataFrame, partition: list[str]) -> D
     titled = titles.select("*", F.lit(True).alias("weak"), F.lit(False).alias("here"))
     printed = named.join(pages.where(~F.col("is_toc")).select(*partition, "pdf_page", "manual_page"), [*partition, "manual_page"]).select(*partition, "ord", "pdf_page", F.lit(False), F.lit(False), F.lit(True))
     met = titled.union(printed).groupBy(*partition, "ord", "pdf_page").agg(F.max("strong").alias("strong"), F.max("weak").alias("weak"), F.max("here").alias("here"))
-    lists = met.groupBy(*partition, "ord").agg(F.sort_array(F.collect_list(F.struct("pdf_page", "strong", "weak", "here"))).alias("c"))
-    bare = F.array().cast("array<struct<pdf_page:int,strong:boolean,weak:boolean,here:boolean>>")
-    per = specs.select(*partition, "ord").join(lists, [*partition, "ord"], "left").groupBy(*partition).agg(F.sort_array(F.collect_list(F.struct("ord", F.coalesce("c", bare).alias("c")))).alias("specs"))
-    picked = F.aggregate(
-        "specs",
-        F.struct(F.lit(1).alias("cursor"), F.array().cast("array<struct<ord:int,start_page:int,code:string>>").alias("starts")),
-        lambda a, s: _pick(a, s),
-        lambda a: a["starts"],
-    )
-    starts = per.select(*partition, F.explode(picked).alias("s")).select(*partition, "s.ord", "s.start_page", "s.code")
+    all_of = specs.select(*partition, "ord").join(met, [*partition, "ord"], "left")
+    kinds = ", ".join(f"{c} {specs.schema[c].dataType.simpleString()}" for c in [*partition, "ord"])
+    starts = all_of.groupBy(*partition).applyInArrow(_locate, f"{kinds}, start_page int, code string")
     return specs.join(starts, [*partition, "ord"], "left")
 
 
-def _pick(a: Column, s: Column) -> Column:
-    def first(good, start):
-        return F.get(F.filter(s["c"], lambda c: (c["pdf_page"] >= start) & good(c)), F.lit(0))["pdf_page"]
-
-    candidate = first(lambda c: c["here"], a["cursor"])
-    confirmed = F.coalesce(first(lambda c: c["here"] & c["strong"], a["cursor"]), first(lambda c: c["here"] & c["weak"], a["cursor"]))
-    onward = F.coalesce(candidate, a["cursor"])
-    searched = F.coalesce(first(lambda c: c["strong"], onward), first(lambda c: c["weak"], onward))
-    page = F.coalesce(confirmed, searched, candidate)
-    code = (
-        F.when(page.isNull(), "TOC_ENTRY_UNRESOLVED")
-        .when(candidate.isNotNull() & confirmed.isNull() & searched.isNotNull(), "ANCHOR_CONFLICT")
-        .when(candidate.isNotNull() & confirmed.isNull(), "TOC_PAGE_TITLE_NOT_FOUND")
-    )
-    entry = F.array(F.struct(s["ord"].cast("int").alias("ord"), page.cast("int").alias("start_page"), code.alias("code")))
-    return F.struct(F.greatest(a["cursor"], page).cast("int").alias("cursor"), F.concat(a["starts"], entry).alias("starts"))
+def _from(pages: list[int], least: int) -> int | None:
+    """The first of sorted pages (which count from 1) that is not before `least`."""
+    k = bisect_left(pages, least)
+    return pages[k] if k < len(pages) else None
+
+
+def _locate(key: tuple[pa.Scalar, ...], met: pa.Table) -> pa.Table:
+    """A document's entries in order, each against its sorted candidates: the cursor is found in them by halving."""
+    met = met.sort_by([("ord", "ascending"), ("pdf_page", "ascending")])
+    flags = [met[c].to_pylist() for c in ("ord", "pdf_page", "strong", "weak", "here")]
+    lists: dict[int, tuple[list[int], ...]] = {}
+    for at, page, strong, weak, here in zip(*flags):
+        held = lists.setdefault(at, ([], [], [], [], []))
+        if page is not None:
+            for wanted, pages in zip((here, here and strong, here and weak, strong, weak), held):
+                if wanted:
+                    pages.append(page)
+    cursor, out = 1, []
+    for at, held in lists.items():
+        candidate, confirmed = _from(held[0], cursor), _from(held[1], cursor) or _from(held[2], cursor)
+        onward = candidate or cursor
+        searched = _from(held[3], onward) or _from(held[4], onward)
+        page = confirmed or searched or candidate
+        code = "TOC_ENTRY_UNRESOLVED" if page is None else None if confirmed or not candidate else "ANCHOR_CONFLICT" if searched else "TOC_PAGE_TITLE_NOT_FOUND"
+        out.append((at, page, code))
+        cursor = max(cursor, page or cursor)
+    ords, pages, codes = zip(*out)
+    names = [c for c in met.column_names if c not in ("ord", "pdf_page", "strong", "weak", "here")]
+    of_key = {c: pa.array([k.as_py()] * len(out), k.type) for c, k in zip(names, key)}
+    return pa.table({**of_key, "ord": pa.array(ords, met.schema.field("ord").type), "start_page": pa.array(pages, pa.int32()), "code": pa.array(codes, pa.string())})
 
 
 def interpolate(pages: DataFrame, partition: list[str], order: str = "pdf_page", known: str = "known", chapter: str | None = None, evidence: str | None = None) -> DataFrame:

@@ -1,230 +1,220 @@
-"""What each block of a section is, read in order: a fold over the blocks of one section.
+"""What each block of a section is, read in order: windows over the blocks of a section.
 
-The rules are tried in a fixed order and the first that fits decides; most open a region, in which later blocks
-lie until another opens. A fold runs over one section's blocks, in Arrow batches by section.
+Blocks are first told by themselves: labels, headings, titles, card tables, and the variables that texts and rows name, found
+by the catalogue's index. Some open a region whatever came before (`hard`); between two of these, the first text that names a
+variable, in a region of cards, or the first table of descriptions opens the variables. What is held from block to block (the
+region, the card that waits for its table, the variable described) is the last one over a window, so a section streams
+through sorted windows and is never gathered.
+
+Descriptions are read row by row: a row or text that names variables opens a range, one that names an unknown one closes it, and
+rows in between go with it, also over tables and pages; a range that a table begins without a title is linked to the last one of
+its variable.
 """
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass, field
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-from corpusflow.operators.semantics import expand_family
+from corpusflow.functions import text as X
+from corpusflow.operators import cards, catalog
+from corpusflow.sources.writers import settled
 
 #: Headings that open a region, in the order in which they are tried: pattern, region, bucket (fixed values of the notation).
 HEADINGS = (
-    (r"purpose\b.*", "purpose", "purpose"),
-    (r"(?:for\s+\S+\s+)?(?:the\s+)?available\s+options?\s+(?:are|is|include|includes)\s*:?\s*", "options", "option_intro"),
-    (r"card\s+summary\s*:?\s*", "cards", "card_intro"),
-    (r"data\s+card\s+definitions\s*:?\s*", "cards", "card_intro"),
+    (r"(?is)^purpose\b.*$", "purpose", "purpose"),
+    (r"(?i)^(?:for\s+\S+\s+)?(?:the\s+)?available\s+options?\s+(?:are|is|include|includes)\s*:?\s*$", "options", "option_intro"),
+    (r"(?i)^card\s+summary\s*:?\s*$", "cards", "card_intro"),
+    (r"(?i)^data\s+card\s+definitions\s*:?\s*$", "cards", "card_intro"),
 )
-LAST = {"references": re.compile(r"references\s*:?", re.I), "remarks": re.compile(r"remarks\s*:?", re.I)}
-CARD = re.compile(r"card\s+(\d+[a-z]?(?:\.\d+[a-z]?)*)\b", re.I)
-CARD_ROW = re.compile(r"cards?(?:\s+(\d+[a-z]?(?:\.\d+[a-z]?)*))?\s*:?", re.I)
-NAMED_CARD = re.compile(r".+\s+card\.\s+.*", re.I | re.S)
-OPTION = re.compile(r"[A-Z][A-Z0-9_]{1,63}")
-WORD = re.compile(r"[A-Za-z][A-Za-z0-9_]{1,31}")
-DEFINITION_LABELS = {"variable", "variable type", "variable type default", "type", "default"}
+LAST = (("references", r"(?i)^references\s*:?$"), ("remarks", r"(?i)^remarks\s*:?$"))
+CARD = r"(?i)^card\s+(\d+[a-z]?(?:\.\d+[a-z]?)*)\b"
+NAMED_CARD = r"(?is)^.+\s+card\.\s+.*$"
+#: A text of this form that names no variable is reported.
+TITLE_TEXT = r"^[A-Za-z][A-Za-z0-9_]{1,31}$"
 #: Buckets by the part of an entry that shows them (fixed values).
 PARTS = {
     "purpose": "purpose", "option_intro": "options", "option": "options", "card_intro": "cards", "card_condition": "cards", "card_definition": "cards", "card_summary": "cards",
     "variable_intro": "variables", "variable": "variables", "variable_table": "variables", "remarks": "remarks", "references": "references", "description": "general", "unclassified": "general",
 }
+IN_CARDS = ("cards", "card", "defined")
+TARGETS = "array<string>"
+
+
+def card_fields(rows: DataFrame, table: list[str], row: str = "row", structural: Column | bool = True) -> DataFrame:
+    """(table, label, row_start, row_end, fields, codes) of each card that a table defines; rows: table, row, cells."""
+    regions = cards.card_regions(rows, table, row, structural=structural)
+    inside = rows.select(*table, row, "cells").join(regions, table).where((F.col(row) >= F.col("row_start")) & (F.col(row) < F.col("row_end")))
+    held = inside.groupBy(*table, "label", "row_start", "row_end").agg(F.transform(F.sort_array(F.collect_list(F.struct(row, "cells"))), lambda x: x["cells"]).alias("rows"))
+    return cards.definition_fields(held).drop("rows")
+
+
+def _strong_title(text: Column, name: Column) -> Column:
+    return F.regexp_replace(text, r"^[#` ]+", "").startswith("*") & (X.keyword_key(X.keyword_surface(text)) == X.keyword_key(name))
+
+
+def _named(rows: DataFrame, index: DataFrame, section: list[str], ids: list[str], forms: Column, label: str, groups: bool) -> DataFrame:
+    """(ids, _label, _targets, _how) of texts or row labels that name variables: a group, else a name, else a family.
+
+    An alias stands for the field that it is from; a group and a family go under their own spelling."""
+    text = rows.where(F.col(label) != "")
+    one = catalog.resolve(text, index, section, ids, forms)
+    found = one.select(*ids, F.lit(2).alias("_rank"), F.col("matched").alias("_label"), F.array("target").alias("_targets"), F.col("how").alias("_how"))
+    if groups:
+        many = catalog.leading_groups(text, index, section, ids, label)
+        found = found.union(many.select(*ids, F.lit(1), "label", "targets", F.lit("group")))
+    kinds = text.select(*ids, F.col(label).alias("_text"))
+    kin = catalog.families(kinds, index, section, "_text")
+    family = kinds.join(kin, [*section, "_text"]).select(*ids, F.lit(3), X.strip("_text"), "members", F.lit("family"))
+    return found.union(family).groupBy(*ids).agg(F.min_by(F.struct("_label", "_targets", "_how"), "_rank").alias("_n")).select(*ids, "_n.*")
+
+
+def read(blocks: DataFrame, section: list[str], order: list[str], name: str = "name") -> dict[str, DataFrame]:
+    """All that is read in sections. blocks: section, order, name, type, text, grid (array<array<string>>), ambiguous.
+
+    Gives `blocks` (section, order, bucket, detail, part, issue), `ranges` (section, variable, targets, order, row_start, row_end,
+    continues: whether it goes on with the range before), `fields` (section, order, label, row_start, row_end, fields, codes),
+    `issues` (section, order, code). Headers and footers are ignored."""
+    ids = [*section, *order]
+    text = X.strip(F.coalesce("text", F.lit("")))
+    base = blocks.select(*ids, F.col(name).alias("_name"), "type", F.when(F.col("type") == "math", "").otherwise(text).alias("text"), text.alias("_math"), "grid", F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"))
+    base = settled(base)
+    tables = base.where("type = 'table' and size(grid) > 0")
+    rows = tables.select(*ids, "ambiguous", F.posexplode("grid").alias("row", "cells"))
+    fields = settled(card_fields(rows, ids, structural=~F.col("ambiguous")))
+    defined = fields.groupBy(*ids).agg(F.transform(F.sort_array(F.collect_list(F.struct("row_start", "label"))), lambda x: x["label"]).alias("_cards"))
+
+    # the catalogue: fields of cards, and the rows of variables of tables that only go on with a card
+    of_card = fields.select(*ids, "row_start", F.explode("fields").alias("f")).where("f.variable is not null")
+    of_card = of_card.select(*ids, (F.col("row_start") + F.col("f.row")).alias("row"), F.col("f.column").alias("column"), F.col("f.variable").alias("variable"))
+    more = tables.where(X.is_definition_continuation(F.col("grid"))).join(defined.select(*ids), ids, "left_anti").select(*ids, F.posexplode("grid").alias("row", "cells"))
+    more = more.where(X.row_label(F.get("cells", F.lit(0))).isin(*cards.VARIABLE_ROWS)).select(*ids, "row", F.posexplode("cells").alias("column", "variable")).where("column > 0")
+    named = of_card.unionByName(more.where(X.strip("variable") != "")).join(base.select(*ids, "ambiguous"), ids)
+    index = settled(catalog.build_index(named.withColumn("_origin_key", F.struct(*order, "row", "column")), section, [*order, "row", "column"], origin="_origin_key", ambiguous="ambiguous"))
+
+    # what texts and the labels of rows name
+    texts = base.where("type not in ('header', 'footer', 'table')").withColumn("_said", F.when(F.col("type") == "math", F.concat(F.lit("$"), F.regexp_replace("_math", r"^\$+|\$+$", ""), F.lit("$"))).otherwise(F.col("text")))
+    said = settled(_named(texts, index, section, ids, F.concat(catalog.heading_forms(F.col("_said")), catalog.leading_forms(F.col("_said"))), "_said", True))
+    labels = rows.withColumn("_cell", X.strip(F.coalesce(F.get("cells", F.lit(0)), F.lit("")))).select(*ids, "row", "_cell")
+    titled = settled(_named(labels, index, section, [*ids, "row"], catalog.heading_forms(F.col("_cell")), "_cell", False))
+
+    # each block by itself
+    line = base.join(defined, ids, "left").join(said, ids, "left")
+    t, is_table = F.col("text"), F.col("type") == "table"
+    last = F.coalesce(*[F.when(t.rlike(p), F.lit(r)) for r, p in LAST])
+    up = Window.partitionBy(*section).orderBy(*order)
+    so_far = up.rowsBetween(Window.unboundedPreceding, 0)
+    line = line.where("type not in ('header', 'footer')").withColumn("_last", F.last(last, True).over(so_far))
+    opening = F.coalesce(*[F.when(t.rlike(p), F.struct(F.lit(r).alias("kind"), F.lit(b).alias("bucket"), F.lit(None).cast("string").alias("card"))) for p, r, b in HEADINGS])
+    struct = lambda kind, bucket, card: F.struct(F.lit(kind).alias("kind"), F.lit(bucket).alias("bucket"), card.cast("string").alias("card"))
+    hard = F.coalesce(
+        opening, F.when(t.rlike(CARD), struct("card", "card_condition", F.concat(F.lit("Card "), F.regexp_extract(t, CARD, 1)))), F.when(t.rlike(NAMED_CARD), struct("cards", "card_intro", F.lit(None))),
+        F.when(F.col("_cards").isNotNull(), struct("defined", "card_definition", F.element_at("_cards", -1))),
+        F.when(~is_table & F.regexp_replace(X.row_label(t), r"[: ]+$", "").isin("variable", "description"), struct("label", "variable_intro", F.lit(None))),
+    )
+    live = line.where("_last is null")
+    hit = F.coalesce((F.col("type") == "text") & _strong_title(t, F.col("_name")), F.lit(False))
+    live = live.withColumn("_title", hit & (F.sum(hit.cast("int")).over(so_far) == 1))
+    live = live.withColumn("_hard", F.when(~F.col("_title"), hard))
+    live = live.withColumns({"_seg": F.sum(F.col("_hard").isNotNull().cast("int")).over(so_far), "_at": F.row_number().over(up), "_titled": F.max("_title").over(so_far)})
+    seg = Window.partitionBy(*section, "_seg")
+    kind = F.first(F.when(F.col("_hard").isNotNull(), F.col("_hard")), True).over(seg)
+    live = live.withColumns({"_kind": F.coalesce(kind["kind"], F.lit("general")), "_card": kind["card"]})
+    loose, in_cards = F.col("_hard").isNull() & ~F.col("_title"), F.col("_kind").isin(*IN_CARDS)
+    names_one = loose & in_cards & ~is_table & (t != "") & F.col("_label").isNotNull() & (F.col("_how") != "family")
+    live = live.withColumns({"_match": F.min(F.when(names_one, F.col("_at"))).over(seg), "_table": F.min(F.when(loose & is_table, F.col("_at"))).over(seg)})
+    waits = F.col("_kind") == "card"
+    live = live.withColumn("_summary", F.when(waits & (F.col("_table") < F.coalesce("_match", F.lit(1 << 30))), F.col("_table")))
+    head = F.coalesce(X.is_variable_head(F.get("grid", F.lit(0))), F.lit(False))
+    open_table = F.min(F.when(loose & is_table & head & ~F.coalesce(F.col("_at") == F.col("_summary"), F.lit(False)), F.col("_at"))).over(seg)
+    live = live.withColumn("_open", F.least("_match", open_table))
+    inside = (F.col("_kind") == "label") | F.coalesce(F.col("_at") >= F.col("_open"), F.lit(False))
+    live = live.withColumn("_inside", inside)
+    waiting = waits & (F.col("_at") < F.least(F.coalesce("_table", F.lit(1 << 30)), F.coalesce("_open", F.lit(1 << 30))))
+    repeat = (t != "") & (X.title_key(t) == X.title_key(F.regexp_replace(F.split_part("_name", F.lit("_"), F.lit(1)), r"^\*", "")))
+    bucket = (
+        F.when(F.col("_title"), "title").when(F.col("_hard").isNotNull(), F.col("_hard.bucket")).when(F.col("_at") == F.col("_summary"), "card_summary")
+        .when(F.col("_inside") & is_table, "variable_table").when(F.col("_inside") & repeat, "variable_intro").when(F.col("_inside"), "variable")
+        .when((F.col("_kind") == "defined") & is_table & X.is_definition_continuation(F.col("grid")), "card_definition")
+        .when(F.col("_kind") == "purpose", "purpose").when((F.col("_kind") == "options") & ~is_table & X.option_token(t).isNotNull(), "option").when(F.col("_kind") == "options", "option_intro")
+        .when(waiting, "card_condition").when(in_cards, "card_intro").when(F.col("_titled"), "description").otherwise("unclassified")
+    )
+    live = live.withColumn("bucket", bucket)
+
+    # descriptions: steps are texts (row -1) and rows of tables; marks set or clear the variable that later steps go with
+    mark = lambda label, targets: F.struct(label.cast("string").alias("label"), targets.cast(TARGETS).alias("targets"))
+    clear = mark(F.lit(None), F.lit(None))
+    before = F.lag("_inside", 1, False).over(up)
+    clears = F.col("_hard").isNotNull() & ((F.col("_kind") != "label") | ~before)
+    live = settled(live.withColumn("_mark", F.when(clears, clear).when((F.col("bucket") == "variable") & F.col("_label").isNotNull(), mark(F.col("_label"), F.col("_targets")))))
+    has_names = index.select(*section).distinct().withColumn("_known", F.lit(True))
+    in_table = live.where("bucket = 'variable_table'").select(*ids, "grid", head.alias("_head"), (~head & X.is_description_head(F.get("grid", F.lit(0)))).alias("_described"))
+    cell = X.strip(F.coalesce(F.get("cells", F.lit(0)), F.lit("")))
+    steps = in_table.select(*ids, "_head", "_described", F.posexplode("grid").alias("row", "cells")).withColumn("_cell", cell).join(titled, [*ids, "row"], "left").join(has_names, section, "left")
+    whole = F.max(F.col("_described") & (F.col("row") == 0) & F.col("_label").isNotNull()).over(Window.partitionBy(*ids))
+    steps = steps.withColumn("_whole", whole).where("row > 0 or not _head")
+    names, title = F.col("_label").isNotNull(), X.is_variable_title(F.col("_cell"))
+    guessed = ~names & F.col("_head") & F.col("_known").isNull() & title
+    carries = X.is_continuation_label(F.col("_cell"))
+    row_mark = F.when(F.col("_whole") & (F.col("row") > 0), F.lit(None)).when(names, mark(F.col("_label"), F.col("_targets"))).when(guessed, mark(F.col("_cell"), F.array("_cell"))).when(~carries & title, clear)
+    steps = steps.withColumns({"_mark": row_mark, "_guessed": guessed & ~F.coalesce(F.col("_whole"), F.lit(False)), "_carries": carries, "_odd": ~names & ~guessed & ~carries & ~F.col("_whole")})
+    steps = settled(steps)
+    first_row = F.min("row").over(Window.partitionBy(*ids)) == F.col("row")
+    # a table that begins with rows of an untitled variable, where none is held: the variable named last, else the only one its first row speaks of
+    words = steps.where("_carries").select(*ids, "row", F.explode(F.regexp_extract_all(F.array_join(F.slice("cells", 2, 1 << 30), " "), F.lit("[A-Za-z][A-Za-z0-9_]*"), 0)).alias("_word")).withColumn("key", X.variable_key(F.col("_word")))
+    spoken = words.join(catalog.lookup(words, index, section).where("how != 'confusable'"), [*section, "key"]).groupBy(*ids, "row").agg(F.collect_set(F.struct("matched", "target")).alias("_m")).where("size(_m) = 1")
+    spoken = spoken.select(*ids, "row", F.get("_m", F.lit(0)).alias("_spoken"))
+    flow = live.where("_mark is not null or bucket in ('variable', 'variable_intro')").select(*ids, F.lit(-1).alias("row"), "_mark", F.lit(False).alias("_first"), F.lit(False).alias("_carries"))
+    flow = flow.union(steps.select(*ids, "row", "_mark", first_row.alias("_first"), "_carries")).join(spoken, [*ids, "row"], "left")
+    walk = Window.partitionBy(*section).orderBy(*order, "row")
+    past, now = walk.rowsBetween(Window.unboundedPreceding, -1), walk.rowsBetween(Window.unboundedPreceding, 0)
+    flow = flow.withColumns({"_held": F.last("_mark", True).over(past), "_named": F.last(F.when(F.col("_mark.label").isNotNull(), F.col("_mark")), True).over(past)})
+    implied = F.when(F.col("_first") & F.col("_carries") & F.col("_mark").isNull() & F.col("_held.label").isNull(), F.coalesce(F.col("_named"), F.when(F.col("_spoken").isNotNull(), mark(F.col("_spoken.matched"), F.array(F.col("_spoken.target"))))))
+    flow = flow.withColumn("_implied", implied).withColumn("_set", F.coalesce("_mark", "_implied"))
+    flow = flow.withColumns({"_active": F.last("_set", True).over(now), "_run": F.sum(F.col("_mark").isNotNull().cast("int")).over(now)})
+    flow = settled(flow.select(*ids, "row", "_mark", "_active", "_run", "_held"))
+
+    in_rows = flow.where("row >= 0 and _active.label is not null")
+    ranges = in_rows.groupBy(*ids, "_run").agg(F.min("row").alias("row_start"), (F.max("row") + 1).alias("row_end"), F.max(F.col("_mark").isNotNull()).alias("_titled"), F.first("_active").alias("_a"))
+    same = Window.partitionBy(*section, F.lower("_a.label")).orderBy(*order, "row_start")
+    ranges = ranges.withColumn("continues", ~F.col("_titled") & (F.row_number().over(same) > 1))
+    ranges = ranges.select(*section, F.col("_a.label").alias("variable"), F.col("_a.targets").alias("targets"), *order, "row_start", "row_end", "continues")
+
+    # issues of descriptions
+    judged = steps.join(flow.select(*ids, "row", "_active", "_held"), [*ids, "row"])
+    lost = F.col("_active.label").isNull()
+    codes = F.array(
+        F.when(F.col("_odd") & (title | lost), "VARIABLE_DESCRIPTION_UNMATCHED_TITLE"), F.when(F.col("_guessed"), "VARIABLE_DESCRIPTION_CATALOG_UNAVAILABLE"),
+        F.when(F.col("_carries") & ~names & lost, "VARIABLE_DESCRIPTION_CONTINUATION_ORPHAN"), F.when(F.col("_how") == "confusable", "VARIABLE_IDENTIFIER_CONFUSABLE_MATCH"),
+    )
+    in_rows = judged.select(*ids, F.explode(F.filter(codes, lambda c: c.isNotNull())).alias("code"), "row")
+    once = in_rows.where("code != 'VARIABLE_DESCRIPTION_UNMATCHED_TITLE'").select(*ids, "code").distinct().union(in_rows.where("code = 'VARIABLE_DESCRIPTION_UNMATCHED_TITLE'").select(*ids, "code"))
+    at_text = flow.where("row = -1").select(*ids, F.col("_active.label").alias("_variable"))
+    per_table = flow.where("row >= 0").groupBy(*ids).agg(F.min_by("_held.label", "row").alias("_held_label"), F.min_by("_active.label", F.when(F.col("_active.label").isNotNull(), F.col("row"))).alias("_first_label"))
+    live = live.join(at_text, ids, "left").join(per_table, ids, "left")
+    none_held = (F.col("bucket") == "variable") & F.col("_variable").isNull()
+    live = live.withColumn("_lost", none_held).withColumn("bucket", F.when(F.col("_lost"), "variable_intro").otherwise(F.col("bucket")))
+    said_codes = F.array(F.when(F.col("_lost") & t.rlike(TITLE_TEXT), "VARIABLE_DESCRIPTION_UNMATCHED_TITLE"), F.when((F.col("bucket") == "variable") & F.col("_mark").isNotNull() & (F.col("_how") == "confusable"), "VARIABLE_IDENTIFIER_CONFUSABLE_MATCH"))
+    field_codes = fields.join(live.where("bucket = 'card_definition'").select(*ids), ids, "left_semi").select(*ids, F.explode("codes").alias("code"))
+    issues = once.union(live.select(*ids, F.explode(F.filter(said_codes, lambda c: c.isNotNull())).alias("code"))).union(field_codes)
+    detail = (
+        F.when(F.col("_cards").isNotNull() & (F.col("bucket") == "card_definition"), F.array_join("_cards", ",")).when(F.col("bucket").isin("card_definition", "card_condition", "card_summary"), F.col("_card"))
+        .when(F.col("bucket") == "option", X.option_token(t)).when(F.col("bucket") == "variable", F.col("_variable")).when(F.col("bucket") == "variable_table", F.coalesce("_held_label", "_first_label"))
+    )
+    first_issue = issues.where("code != 'VARIABLE_IDENTIFIER_CONFUSABLE_MATCH'").groupBy(*ids).agg(F.max("code").alias("issue"))
+    out = live.select(*ids, "bucket", detail.alias("detail")).union(line.where("_last is not null").select(*ids, "_last", F.lit(None)))
+    out = out.union(base.where("type in ('header', 'footer')").select(*ids, F.lit("ignored"), F.lit(None))).join(first_issue, ids, "left")
+    part = F.coalesce(*[F.when(F.col("bucket") == b, F.lit(p)) for b, p in PARTS.items()])
+    return {"blocks": out.withColumn("part", part), "ranges": ranges, "fields": fields, "issues": issues}
 
 
-def label_of(text: str | None) -> str:
-    return " ".join((text or "").split()).casefold()
-
-
-def title_key(text: str) -> str:
-    return re.sub(r"[\s_\-]+", "_", re.sub(r"[*`#\\${}]", "", text).strip()).upper()
-
-
-def variable_key(text: str) -> str:
-    x = re.sub(r"`|\$|[{}]|\^?\\(?:ast|star)\b|\\(?=_)", "", text)
-    return re.sub(r"(?<=[A-Za-z])-(?=[A-Za-z])|_(?=\d)|\s+", "", x).upper()
-
-
-def card_rows(grid: list[list[str]], structural: bool) -> list[tuple[int, str]]:
-    """(row, card label) of the rows that open a card; see cards.card_regions, which this agrees with."""
-    if not grid or [label_of(c) for c in grid[0][:2]] == ["card", "description"]:
-        return []
-    opens: list[tuple[int, str, bool]] = []
-    for r, row in enumerate(grid):
-        head = row[0].strip() if row else ""
-        if m := CARD_ROW.fullmatch(head):
-            opens.append((r, f"Card {m[1]}" if m[1] else "Card", True))
-        elif structural and head:
-            slots = [c.strip() for c in row[1:]]
-            while slots and not slots[-1]:
-                slots.pop()
-            if slots and slots == [str(k + 1) for k in range(len(slots))]:
-                opens.append((r, head, False))
-    out = []
-    for k, (r, name, named) in enumerate(opens):
-        end = opens[k + 1][0] if k + 1 < len(opens) else len(grid)
-        if named or sum(label_of(row[0] if row else "") in ("variable", "variable type", "variable type default") for row in grid[r + 1 : end]) == 1:
-            out.append((r, name))
-    return out
-
-
-def is_variable_head(row: list[str]) -> bool:
-    labels = [label_of(c) for c in row if c.strip()]
-    return len(labels) == 2 and labels[0] in ("variable", "ariable") and labels[1] == "description"
-
-
-def card_variables(grid: list[list[str]]) -> list[str]:
-    """The names in a table's rows of variables, in order."""
-    out = []
-    for row in grid:
-        if label_of(row[0] if row else "") in ("variable", "variable type", "variable type default"):
-            out += [c.split()[0] for c in row[1:] if c.split()]
-    return out
-
-
-@dataclass
-class Reading:
-    """The state of a fold: the region, the card that waits for its table, the card defined last, and the variable described."""
-
-    name: str
-    catalog: dict[str, str] = field(default_factory=dict)  # canonical name -> name
-    region: str = "general"
-    waiting: str | None = None
-    defined: str | None = None
-    variable: str | None = None
-    titled: bool = False
-
-    def open(self, region: str, **state) -> None:
-        self.region, self.waiting, self.defined, self.variable = region, None, None, None
-        for k, v in state.items():
-            setattr(self, k, v)
-
-    def match(self, text: str) -> str | None:
-        """The variable (or family label) that a text names or begins with."""
-        words = text.split()
-        for head in (text, words[0].rstrip(":,") if words else ""):
-            key = variable_key(head)
-            if key in self.catalog:
-                return self.catalog[key]
-            near = [v for k, v in self.catalog.items() if len(k) == len(key) and sum(a != b for a, b in zip(k, key)) == 1 and k.replace("O", "0") == key.replace("O", "0")]
-            if len(near) == 1:
-                return near[0]
-        return text.strip() if expand_family(text, list(self.catalog.values())) else None
-
-    def read(self, kind: str, text: str, grid: list[list[str]] | None, ambiguous: bool) -> tuple[str, str | None, str | None]:
-        """(bucket, detail, issue) of the next block; detail: its card, option or variable."""
-        text = (text or "").strip()
-        for region, label in LAST.items():
-            if text and label.fullmatch(text):
-                self.open(region)
-        if self.region in LAST:
-            return self.region, None, None
-        if kind == "text" and not self.titled and text.lstrip("#` ").startswith("*") and title_key(text) == title_key(self.name):
-            self.titled = True
-            return "title", None, None
-        for pattern, region, bucket in HEADINGS:
-            if text and re.fullmatch(pattern, text, re.I | (re.S if region == "purpose" else 0)):
-                self.open(region)
-                return bucket, None, None
-        if m := CARD.match(text):
-            self.open("cards", waiting=f"Card {m[1]}")
-            return "card_condition", self.waiting, None
-        if text and NAMED_CARD.fullmatch(text):
-            self.open("cards")
-            return "card_intro", None, None
-        if kind == "table":
-            found = self.read_table(grid or [], ambiguous)
-            if found:
-                return found
-        return self.read_text(kind, text, grid)
-
-    def read_table(self, grid: list[list[str]], ambiguous: bool) -> tuple[str, str | None, str | None] | None:
-        if regions := card_rows(grid, not ambiguous):
-            self.open("cards", defined=regions[-1][1])
-            return "card_definition", ",".join(name for _, name in regions), None
-        if self.waiting:
-            card, self.waiting = self.waiting, None
-            return "card_summary", card, None
-        if grid and is_variable_head(grid[0]):
-            self.region, self.defined = "variables", None
-            return self.describe(grid[1:])
-        labels = {label_of(r[0]) for r in grid if r and r[0].strip()}
-        if self.region == "cards" and self.defined and labels and labels <= DEFINITION_LABELS:
-            return "card_definition", self.defined, None
-        return None
-
-    def describe(self, rows: list[list[str]]) -> tuple[str, str | None, str | None]:
-        """A table of descriptions: the variable of its last labelled row goes on after it."""
-        first, issue = self.variable, None
-        for row in rows:
-            label = row[0].strip() if row else ""
-            if found := self.match(label) if label else None:
-                self.variable = found
-                first = first or found
-            elif WORD.fullmatch(label) and label_of(label) not in ("description", "default", "type", "attribute", "operation", "variable", "variables", "attributes"):
-                self.variable, issue = None, "VARIABLE_DESCRIPTION_UNMATCHED_TITLE"
-        return "variable_table", first, issue
-
-    def read_text(self, kind: str, text: str, grid) -> tuple[str, str | None, str | None]:
-        if self.region == "cards" and text and (found := self.match(text)):
-            self.open("variables", variable=found)
-            return "variable", found, None
-        if text and label_of(text).rstrip(": ") in ("variable", "description"):
-            if self.region != "variables":
-                self.open("variables")
-            return "variable_intro", None, None
-        if self.region == "purpose":
-            return "purpose", None, None
-        if self.region == "options":
-            option = text if OPTION.fullmatch(text) and text not in ("BLANK", "NONE") else None
-            return ("option", option, None) if option else ("option_intro", None, None)
-        if self.region == "variables":
-            if kind == "table":
-                return self.describe(grid or [])
-            if found := self.match(text) if text else None:
-                self.variable = found
-            if self.variable:
-                return "variable", self.variable, None
-            return "variable_intro", None, "VARIABLE_DESCRIPTION_UNMATCHED_TITLE" if WORD.fullmatch(text) else None
-        if self.region == "cards":
-            return ("card_condition", self.waiting, None) if self.waiting else ("card_intro", None, None)
-        return ("description" if self.titled else "unclassified"), None, None
-
-
-def read_section(name: str, blocks: list[tuple[str, str, list[list[str]] | None, bool]]) -> list[tuple[str, str | None, str | None]]:
-    """(bucket, detail, issue) of each block (kind, text, grid, whether its page's boundary is ambiguous).
-
-    The catalog of variables is gathered from all card tables first, as descriptions may come before them."""
-    reading = Reading(name)
-    for kind, _, grid, ambiguous in blocks:
-        if kind == "table" and grid and (card_rows(grid, not ambiguous) or {label_of(r[0]) for r in grid if r and r[0].strip()} <= DEFINITION_LABELS):
-            for v in card_variables(grid):
-                reading.catalog.setdefault(variable_key(v), v)
-    return [reading.read(*b) for b in blocks]
+def read_sections(blocks: DataFrame, section: list[str], order: list[str], name: str = "name") -> DataFrame:
+    """blocks (section, order, name, type, text, grid: array<array<string>>, ambiguous) with bucket, detail, part and issue."""
+    found = read(blocks, section, order, name)["blocks"]
+    return blocks.drop("bucket", "detail", "issue", "part").join(found, [*section, *order])
 
 
-def read_sections(blocks: DataFrame, section: list[str], order: list[str], name: str = "name") -> DataFrame:
-    """blocks (section, order, name, type, text, grid: array<array<string>>, ambiguous) with bucket, detail, part and issue.
-
-    Headers and footers are ignored; a section's blocks are read in one task, as the state goes from each to the next.
-    """
-    kinds = ", ".join(f"{c} {blocks.schema[c].dataType.simpleString()}" for c in [*section, *order])
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, kind="stable")
-        seen = ~frame["type"].isin(["header", "footer"]).to_numpy()
-        some = frame[seen]
-        grids = [None if g is None else [list(r) for r in g] for g in some["grid"]]
-        found = iter(read_section(frame[name].iloc[0] or "", list(zip(some["type"], some["text"].fillna(""), grids, some["ambiguous"]))))
-        rows = [next(found) if s else ("ignored", None, None) for s in seen]
-        out = frame[[*section, *order]].copy()
-        out["bucket"], out["detail"], out["issue"] = zip(*rows)
-        out["part"] = [PARTS.get(r[0]) for r in rows]
-        return out
-
-    few = blocks.select(*section, *order, name, "type", "text", "grid", "ambiguous")
-    read = few.groupBy(*section).applyInPandas(run, f"{kinds}, bucket string, detail string, issue string, part string")
-    return blocks.drop("bucket", "detail", "issue", "part").join(read, [*section, *order])
+def description_chains(ranges: DataFrame, section: list[str], order: list[str]) -> DataFrame:
+    """ranges with chain: the parts of one variable's description, each after the first marked as continuing, have one number."""
+    w = Window.partitionBy(*section, F.lower("variable")).orderBy(*order, "row_start")
+    return ranges.withColumn("chain", F.sum((~F.col("continues")).cast("int")).over(w))

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
-from corpusflow.operators import adapting, assembly, navigation, planning, quality, rendering
+from corpusflow.operators import adapting, assembly, navigation, planning, quality
+from corpusflow.operators import entries as rendering_of
 from corpusflow.operators import sections as reading
 from corpusflow.schemas import BLOCK
-from corpusflow.sources.writers import as_is
+from corpusflow.sources.writers import as_is, settled
 
 #: Writes a named table and gives it back as read, or leaves it as it is (sources.writers.stored, as_is).
 Store = Callable[[str, DataFrame], DataFrame]
@@ -82,14 +83,14 @@ def plan(sections: DataFrame, most: int = 1) -> DataFrame:
 
 
 #: Issues that are for information only.
-INFO_CODES = ("KEYWORD_BOUNDARY_RESOLVED", "THEORY_HIERARCHICAL_PAGE_OVERLAP", "SOURCE_BLANK_PAGE")
+INFO_CODES = ("KEYWORD_BOUNDARY_RESOLVED", "THEORY_HIERARCHICAL_PAGE_OVERLAP", "SOURCE_BLANK_PAGE", "VARIABLE_IDENTIFIER_CONFUSABLE_MATCH")
 PAGE_BLOCKS = f"array<{BLOCK}>"
 
 
 def title_ranks(blocks: DataFrame) -> DataFrame:
     """blocks with rank: how well a text or header block's only line is the section's name, null where it is not."""
-    short = F.when((F.col("type") != "table") & (F.length("text") <= 200), F.col("text"))
-    return blocks.withColumn("rank", X.title_rank(X.keyword_key(X.keyword_surface(short)), X.keyword_key(F.col("name"))))
+    text = F.when(F.col("type") != "table", F.col("text"))
+    return blocks.withColumn("rank", X.title_rank(X.keyword_key(X.keyword_surface(text)), X.keyword_key(F.col("name"))))
 
 
 def own_blocks(blocks: DataFrame, claims: DataFrame, store: Store = as_is) -> tuple[DataFrame, DataFrame]:
@@ -112,24 +113,38 @@ def own_blocks(blocks: DataFrame, claims: DataFrame, store: Store = as_is) -> tu
 def reconstruct(sections: DataFrame, page_ir: DataFrame, store: Store = as_is) -> dict[str, DataFrame]:
     """Entries from sections (document_id, section_id, name, start_page, end_page) and page tables.
 
-    Gives blocks (every block of a section with its bucket and what it belongs to), entries (markdown and status) and issues.
+    Gives blocks (every block of a section with its bucket and what it belongs to), ranges (rows of description tables by variable),
+    fields (of cards), variables (descriptions), entries (markdown and status) and issues.
     """
-    keys = ["document_id", "section_id"]
-    order = F.col("ord") if "ord" in sections.columns else F.lit(0)
-    numbered = sections.withColumn("ord", order)
+    keys, order = ["document_id", "section_id"], ["pdf_page", "block_index"]
+    at = F.col("ord") if "ord" in sections.columns else F.lit(0)
+    numbered = sections.withColumn("ord", at)
     claims = numbered.withColumn("pdf_page", F.explode(F.sequence("start_page", "end_page")))
     assembled = assembly.assemble(claims, page_ir)
     blocks = assembled.where("blocks is not null").select(*keys, "name", "ord", "start_page", "end_page", "pdf_page", F.posexplode("blocks").alias("block_index", "block"))
     blocks = blocks.withColumns({"type": F.col("block.type"), "text": F.coalesce("block.text", F.lit(""))})
     owned, cuts = own_blocks(blocks, claims, store)
-    ready = owned.withColumn("grid", F.when(F.col("type") == "table", adapting.grid(F.col("block.rows"))))
-    marked = store("blocks", reading.read_sections(ready, keys, ["pdf_page", "block_index"]))
-    parts = marked.withColumn("md", rendering.render_block(F.col("block"), F.col("pdf_page"))).where("md is not null and part is not null")
-    body = rendering.render_body(parts.select(*keys, "pdf_page", "block_index", F.col("part").alias("bucket"), "md"), keys, ["pdf_page", "block_index"])
-    issues = assembled.where("issue is not null").select(*keys, "pdf_page", "issue").union(cuts).union(marked.where("issue is not null").select(*keys, "pdf_page", "issue"))
+    ready = settled(owned.withColumn("grid", F.when(F.col("type") == "table", adapting.grid(F.col("block.rows")))))
+    found = reading.read(ready, keys, order)
+    marked = store("blocks", ready.join(found["blocks"], [*keys, *order]))
+    ranges, fields = store("ranges", found["ranges"]), store("fields", found["fields"])
+    pieces = rendering_of.parts(marked, ranges, fields, keys, order)
+    body = rendering_of.render(pieces, keys)
+    on_page = lambda df: df.select(*keys, "pdf_page", F.col("code").alias("issue"))
+    accounts = on_page(section_issues(marked, fields, keys))
+    issues = store("issues", assembled.where("issue is not null").select(*keys, "pdf_page", "issue").union(cuts).union(on_page(found["issues"])).union(accounts))
     counted = issues.where(~F.col("issue").isin(*INFO_CODES)).groupBy(*keys).agg(F.count("*").alias("n_issues"))
     entries = sections.join(body, keys, "left").join(counted, keys, "left").withColumn("status", quality.entry_status(F.col("markdown").isNotNull(), F.coalesce("n_issues", F.lit(0)) > 0))
-    return {"blocks": marked, "entries": entries.drop("n_issues"), "issues": issues}
+    return {"blocks": marked, "ranges": ranges, "fields": fields, "entries": entries.drop("n_issues"), "issues": issues}
+
+
+def section_issues(marked: DataFrame, fields: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, pdf_page, code) of what a section should have but lacks: each of its blocks in exactly one bucket, and fields in its cards."""
+    per = marked.groupBy(*keys, "pdf_page", "block_index").agg(F.count("*").alias("n"), F.max("part").alias("part"), F.max("bucket").alias("bucket"))
+    twice = per.where("n > 1").select(*keys, "pdf_page", F.lit("BLOCK_ACCOUNTED_TWICE").alias("code"))
+    lost = per.where("n = 1 and part is null and bucket not in ('ignored', 'title')").select(*keys, "pdf_page", F.lit("BLOCK_NOT_ACCOUNTED").alias("code"))
+    bare = fields.where("size(fields) = 0 and size(codes) = 0").select(*keys, "pdf_page", F.lit("CARD_WITHOUT_FIELDS").alias("code"))
+    return twice.union(lost).union(bare)
 
 
 def build_status(entries: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 from collections.abc import Callable
 from pathlib import PurePosixPath
@@ -34,6 +35,18 @@ def as_is(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df, made once and kept in the folder of spark.checkpoint.dir, for results that are read many times over.
+
+    Where that is unset, a session in one process (master local) gets a folder of its own; on any other master that is an error."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="corpusflow-"))
+    return df.checkpoint()
+
+
 def append_state(rows: DataFrame, path: str) -> None:
     """One append for a stage; readers take the latest row of each key."""
     rows.withColumn("updated_at", F.current_timestamp()).write.mode("append").parquet(path)

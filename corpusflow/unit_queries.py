@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
-from corpusflow.operators import adapting, assembly, cards, navigation, ordered, planning, quality, rendering, sampling, sections, semantics
+from corpusflow.operators import adapting, assembly, cards, catalog, intervals, navigation, ordered, planning, quality, rendering, sampling, sections, semantics
 from corpusflow.plans import build
 from corpusflow.queries import MANUAL, big, manual_pages, query
 from corpusflow.schemas import BLOCK
@@ -698,3 +698,72 @@ def q113_theory_issues(t):
     k = F.col("o_orderkey") % 3
     owned = t("orders").select(s("o_orderkey").alias("document_id"), L("S").alias("section_id"), F.explode(F.array(k > 0, k == 1)).alias("anchored"))
     return build.theory_issues(owned)
+
+
+#: Names of variables by brand: numbers, a word that a digit may hide in, pairs of aliases, and the first again in small letters.
+VARIABLES = """f AS (SELECT p_brand AS b, p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN 'X' || p_size WHEN 1 THEN 'NO' || p_size WHEN 2 THEN 'A' || p_partkey || '/B' || p_size ELSE 'x' || p_size END AS v FROM part),
+n AS (SELECT b, upper(v) AS key, arg_min(v, k) AS v FROM f GROUP BY b, upper(v))"""
+
+
+def variables(t) -> DataFrame:
+    v = pick(key(), F.concat(L("X"), s("p_size")), F.concat(L("NO"), s("p_size")), F.concat(L("A"), s("p_partkey"), L("/B"), s("p_size")), F.concat(L("x"), s("p_size")))
+    return catalog.build_index(t("part").select("p_brand", "p_partkey", v.alias("variable")), ["p_brand"], ["p_partkey"])
+
+
+@query(f"""WITH {VARIABLES}, parts AS (SELECT b, v, unnest(string_split(v, '/')) AS alias FROM f WHERE contains(v, '/')),
+al AS (SELECT b, upper(alias) AS key, any_value(alias) AS v, any_value(v) AS target FROM parts GROUP BY b, upper(alias) HAVING count(*) = 1),
+i AS (SELECT b, key, v, v AS target, 'exact' AS how FROM n UNION ALL SELECT b, key, v, target, 'alias' FROM al ANTI JOIN n USING (b, key)),
+t AS (SELECT p_partkey, p_brand AS b, CASE p_partkey % 5 WHEN 0 THEN 'X' || p_size WHEN 1 THEN 'N0' || p_size WHEN 2 THEN 'A' || p_partkey WHEN 3 THEN 'B' || p_size ELSE 'Q' || p_size END AS key FROM part),
+near AS (SELECT t.p_partkey, any_value(n.v) AS v FROM t JOIN n ON n.b = t.b AND replace(n.key, 'O', '0') = replace(t.key, 'O', '0') AND n.key <> t.key AND hamming(n.key, t.key) = 1 GROUP BY t.p_partkey HAVING count(*) = 1)
+SELECT t.p_partkey, coalesce(i.v, near.v) AS matched, coalesce(i.target, near.v) AS target, coalesce(i.how, 'confusable') AS how FROM t LEFT JOIN i ON i.b = t.b AND i.key = t.key LEFT JOIN near ON near.p_partkey = t.p_partkey WHERE i.v IS NOT NULL OR near.v IS NOT NULL""")
+def q114_variable_lookup(t):
+    said = pick(key(), F.concat(L("X"), s("p_size")), F.concat(L("N0"), s("p_size")), F.concat(L("A_"), s("p_partkey")), F.concat(L("b "), s("p_size")), F.concat(L("Q"), s("p_size")))
+    rows = t("part").select("p_brand", "p_partkey", said.alias("said"))
+    return catalog.resolve(rows, variables(t), ["p_brand"], ["p_brand", "p_partkey"], catalog.heading_forms(F.col("said"))).select("p_partkey", "matched", "target", "how")
+
+
+@query(f"""WITH {VARIABLES}, p AS (SELECT p_partkey, p_brand AS b, p_size AS z FROM part),
+m AS (SELECT p.*, x.v AS x, y.v AS y, o.v AS o FROM p LEFT JOIN n x ON x.b = p.b AND x.key = 'X' || z LEFT JOIN n y ON y.b = p.b AND y.key = 'X' || (z + 1) LEFT JOIN n o ON o.b = p.b AND o.key = 'NO' || z)
+SELECT p_partkey, concat_ws(', ', CASE WHEN x IS NOT NULL THEN 'X' || z END, CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 'x' || (z + 1) END, CASE WHEN o IS NOT NULL THEN 'NO' || z END) AS label,
+concat_ws('|', x, CASE WHEN x IS NOT NULL THEN y END, o) AS targets FROM m WHERE (x IS NOT NULL AND (y IS NOT NULL OR o IS NOT NULL))""")
+def q115_leading_groups(t):
+    text = F.concat(L("X"), s("p_size"), L(", x"), s(F.col("p_size") + 1), L(" / and more of it\n/ NO"), s("p_size"), L(" EQ.1: on\nEQ.2: off\nX"), s("p_size"), L(" is said again"))
+    rows = t("part").select("p_brand", "p_partkey", text.alias("text"))
+    return catalog.leading_groups(rows, variables(t), ["p_brand"], ["p_brand", "p_partkey"]).select("p_partkey", "label", F.array_join("targets", "|").alias("targets"))
+
+
+@query("""WITH n AS (SELECT p_brand AS b, CASE p_partkey % 3 WHEN 0 THEN 'P' || p_size || 'S' WHEN 1 THEN 'Q' || p_size ELSE 'R' || ['X', 'Y', 'Z'][CAST(p_size % 3 AS INT) + 1] END AS v, min(p_partkey) AS k FROM part GROUP BY ALL),
+b AS (SELECT DISTINCT p_brand AS b FROM part), all_of AS (SELECT b, v[1] AS head, string_agg(v, ',' ORDER BY k) AS members, count(*) AS c, string_agg(v, ',' ORDER BY v) FILTER (v IN ('RX', 'RY')) AS axes, count(*) FILTER (v IN ('RX', 'RY')) AS two FROM n GROUP BY ALL)
+SELECT b AS p_brand, 'P[N]S' AS label, CAST(1 AS INT) AS rule, members FROM all_of WHERE head = 'P' UNION ALL SELECT b, 'R[X, Y]', 2, axes FROM all_of WHERE head = 'R' AND two = 2
+UNION ALL SELECT b, 'Q90, Q91, ...', 5, members FROM all_of WHERE head = 'Q' UNION ALL SELECT b, '$Q_I$ of all', 6, members FROM all_of WHERE head = 'Q' UNION ALL SELECT b, 'the i-th, QIJ', 6, members FROM all_of WHERE head = 'Q'""")
+def q116_variable_families(t):
+    v = pick(key(), F.concat(L("P"), s("p_size"), L("S")), F.concat(L("Q"), s("p_size")), F.concat(L("R"), pick(F.col("p_size"), "X", "Y", "Z")))
+    names = t("part").select("p_brand", "p_partkey", v.alias("variable"))
+    labels = names.select("p_brand").distinct().withColumn("label", F.explode(F.array(*map(L, ("P[N]S", "R[X, Y]", "Q90, Q91, ...", "$Q_I$ of all", "the i-th, QIJ", "none, at all", "Z[N]")))))
+    found = catalog.families(labels, catalog.build_index(names, ["p_brand"], ["p_partkey"]), ["p_brand"])
+    return found.select("p_brand", "label", "rule", F.array_join("members", ",").alias("members"))
+
+
+@query("""WITH r AS (SELECT l_orderkey AS o, l_linenumber * 2 - 2 AS a, l_linenumber * 2 - 2 + CAST(l_quantity AS INT) % 5 AS b FROM lineitem), x AS (SELECT o, unnest(range(1, 12)) AS row FROM (SELECT DISTINCT o FROM r)),
+g AS (SELECT o, row FROM x WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.o = x.o AND row >= a AND row < b)), i AS (SELECT *, row - row_number() OVER (PARTITION BY o ORDER BY row) AS k FROM g)
+SELECT o AS l_orderkey, CAST(min(row) AS INT) AS row_start, CAST(max(row) + 1 AS INT) AS row_end FROM i GROUP BY o, k""")
+def q117_uncovered_rows(t):
+    """Rows that no range covers, of ranges that overlap, touch, repeat, are empty or reach beyond the table."""
+    start = (F.col("l_linenumber") * 2 - 2).cast("int")
+    ranges = t("lineitem").select("l_orderkey", start.alias("row_start"), (start + F.col("l_quantity").cast("int") % 5).alias("row_end"))
+    wholes = t("lineitem").select("l_orderkey").distinct().select("l_orderkey", L(1).alias("first"), L(12).alias("last"))
+    return intervals.uncovered(wholes, ranges, ["l_orderkey"])
+
+
+@query(f"""WITH {TURNS}, b AS (SELECT conv_id, block_index, CASE n % 3 WHEN 0 THEN 'V' || n % 4 WHEN 1 THEN '' ELSE 'ODD' END AS label FROM c),
+h AS (SELECT *, last_value(CASE WHEN label LIKE 'V%' THEN label END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY block_index) AS v FROM b), r AS (SELECT *, sum(CASE WHEN label = '' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id, v ORDER BY block_index) AS chain FROM h WHERE label <> 'ODD' AND v IS NOT NULL)
+SELECT conv_id, CAST(block_index AS INT) AS block_index, v AS variable, label = '' AS continues, CAST(chain AS BIGINT) AS chain FROM r""")
+def q118_description_chains(t):
+    """Description tables whose first row has a title, goes on with the variable before, or names an unknown one."""
+    n = F.col("n")
+    row = F.array(pick(n, F.concat(L("V"), s(n % 4)), L(""), L("ODD")), L("x"))
+    of = turns(t).select("conv_id", "block_index", L("table").alias("type"), F.array(F.array(L("VARIABLE"), L("DESCRIPTION")), row, F.array(L(""), L("y"))).alias("grid"))
+    card = of.select("conv_id").distinct().select("conv_id", L(0).cast(of.schema["block_index"].dataType).alias("block_index"), L("table").alias("type"), F.array(F.array(*map(L, ("Card 1", "1", "2", "3", "4"))), F.array(*map(L, ("Variable", "V0", "V1", "V2", "V3")))).alias("grid"))
+    blocks = of.union(card).select("*", L("*NAME").alias("name"), L("").alias("text"), L(False).alias("ambiguous"))
+    ranges = sections.read(blocks, ["conv_id"], ["block_index"])["ranges"]
+    return sections.description_chains(ranges, ["conv_id"], ["block_index"]).select("conv_id", "block_index", "variable", "continues", big("chain").alias("chain"))

@@ -297,6 +297,18 @@ def inspection_stats(pagemap: DataFrame, partition: list[str], profile: str = "k
     return per.withColumns({"coverage": coverage, "passes": coverage >= LEAST_COVERAGE[profile]})
 
 
+def page_map(scanned: DataFrame, starts: DataFrame, part: list[str]) -> DataFrame:
+    """(part, pdf_page, manual_page, evidence) of each page: its footer's number, an entry's that starts there, or one counted between."""
+    anchors = starts.where("start_page is not null").groupBy(*part, F.col("start_page").alias("pdf_page")).agg(F.min("manual_page").alias("anchor"))
+    labelled = scanned.join(anchors, [*part, "pdf_page"], "left")
+    c1, p1 = X.chapter_and_page(F.col("anchor"))
+    known = labelled.withColumns({"known": F.coalesce("page", p1), "chapter": F.coalesce("chapter", c1), "given": F.when(F.col("page").isNotNull(), "footer").otherwise("anchor")})
+    filled = interpolate(known.drop("evidence"), part, chapter="chapter", evidence="given")
+    up = Window.partitionBy(*part).orderBy("pdf_page").rowsBetween(Window.unboundedPreceding, 0)
+    chapter = F.coalesce("chapter", F.last("chapter", True).over(up))
+    return filled.select(*part, "pdf_page", F.when(F.col("filled").isNotNull(), F.concat_ws("-", chapter.cast("string"), F.col("filled").cast("string"))).alias("manual_page"), "evidence")
+
+
 def inspect_pages(page_text: DataFrame, partition: list[str] | None = None, store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
     """The whole inspection of page texts (document_id, pdf_page, text): footers, contents, specs, sections, page map.
 
@@ -308,12 +320,5 @@ def inspect_pages(page_text: DataFrame, partition: list[str] | None = None, stor
     specs = store("specs", select_specs(toc, part))
     starts = store("starts", locate_starts(specs, scanned, part))
     sections = section_ranges(starts.where("start_page is not null").join(content_end(scanned, part), part), part, ["start_page", "ord"], "start_page", "content_end")
-    anchors = starts.where("start_page is not null").groupBy(*part, F.col("start_page").alias("pdf_page")).agg(F.min("manual_page").alias("anchor"))
-    labelled = scanned.join(anchors, [*part, "pdf_page"], "left")
-    c1, p1 = X.chapter_and_page(F.col("anchor"))
-    known = labelled.withColumns({"known": F.coalesce("page", p1), "chapter": F.coalesce("chapter", c1), "given": F.when(F.col("page").isNotNull(), "footer").otherwise("anchor")})
-    filled = interpolate(known.drop("evidence"), part, chapter="chapter", evidence="given")
-    up = Window.partitionBy(*part).orderBy("pdf_page").rowsBetween(Window.unboundedPreceding, 0)
-    chapter = F.coalesce("chapter", F.last("chapter", True).over(up))
-    pagemap = filled.select(*part, "pdf_page", F.when(F.col("filled").isNotNull(), F.concat_ws("-", chapter.cast("string"), F.col("filled").cast("string"))).alias("manual_page"), "evidence")
+    pagemap = page_map(scanned, starts, part)
     return {"toc": toc, "specs": specs, "starts": starts, "sections": store("sections", sections), "pagemap": store("pagemap", pagemap)}

@@ -75,11 +75,6 @@ def stratified_sample(rows: DataFrame, strata: list[str], key: Column, target: C
     return out.withColumn("pick", F.row_number().over(w)).where(F.col("pick") <= target).drop("_order")
 
 
-def first_per_class(rows: DataFrame, partition: list[str], classes: str, order: list[str], k: int) -> DataFrame:
-    w = Window.partitionBy(*partition, classes).orderBy(*order)
-    return rows.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= k).drop("_nth")
-
-
 def review_places(rows: DataFrame, partition: list[str], order: str, classes: str, most: int = 24, start: Column | None = None, issue: Column | None = None) -> DataFrame:
     """Places to review: the first three, the last, the first two of each class, those with an issue, and quartiles, `most` at most.
 

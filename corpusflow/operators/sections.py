@@ -53,16 +53,15 @@ def _strong_title(text: Column, name: Column) -> Column:
     return F.regexp_replace(text, r"^[#` ]+", "").startswith("*") & (X.keyword_key(X.keyword_surface(text)) == X.keyword_key(name))
 
 
-def _named(rows: DataFrame, index: DataFrame, section: list[str], ids: list[str], forms: Column, label: str, groups: bool) -> DataFrame:
-    """(ids, _label, _targets, _how) of texts or row labels that name variables: a group, else a name, else a family.
+def _named(rows: DataFrame, index: DataFrame, section: list[str], ids: list[str], forms: Column, label: str, grouped: Column) -> DataFrame:
+    """(ids, _label, _targets, _how) of texts and row labels that name variables: a group (where `grouped`), else a name, else a family.
 
     An alias stands for the field that it is from; a group and a family go under their own spelling."""
     text = rows.where(F.col(label) != "")
     one = catalog.resolve(text, index, section, ids, forms)
     found = one.select(*ids, F.lit(2).alias("_rank"), F.col("matched").alias("_label"), F.array("target").alias("_targets"), F.col("how").alias("_how"))
-    if groups:
-        many = catalog.leading_groups(text, index, section, ids, label)
-        found = found.union(many.select(*ids, F.lit(1), "label", "targets", F.lit("group")))
+    many = catalog.leading_groups(text.where(grouped), index, section, ids, label)
+    found = found.union(many.select(*ids, F.lit(1), "label", "targets", F.lit("group")))
     kinds = text.select(*ids, F.col(label).alias("_text"))
     kin = catalog.families(kinds, index, section, "_text")
     family = kinds.join(kin, [*section, "_text"]).select(*ids, F.lit(3), X.strip("_text"), "members", F.lit("family"))
@@ -78,7 +77,6 @@ def read(blocks: DataFrame, section: list[str], order: list[str], name: str = "n
     ids = [*section, *order]
     text = X.strip(F.coalesce("text", F.lit("")))
     base = blocks.select(*ids, F.col(name).alias("_name"), "type", F.when(F.col("type") == "math", "").otherwise(text).alias("text"), text.alias("_math"), "grid", F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"))
-    base = settled(base)
     tables = base.where("type = 'table' and size(grid) > 0")
     rows = tables.select(*ids, "ambiguous", F.posexplode("grid").alias("row", "cells"))
     fields = settled(card_fields(rows, ids, structural=~F.col("ambiguous")))
@@ -92,11 +90,13 @@ def read(blocks: DataFrame, section: list[str], order: list[str], name: str = "n
     named = of_card.unionByName(more.where(X.strip("variable") != "")).join(base.select(*ids, "ambiguous"), ids)
     index = settled(catalog.build_index(named.withColumn("_origin_key", F.struct(*order, "row", "column")), section, [*order, "row", "column"], origin="_origin_key", ambiguous="ambiguous"))
 
-    # what texts and the labels of rows name
-    texts = base.where("type not in ('header', 'footer', 'table')").withColumn("_said", F.when(F.col("type") == "math", F.concat(F.lit("$"), F.regexp_replace("_math", r"^\$+|\$+$", ""), F.lit("$"))).otherwise(F.col("text")))
-    said = settled(_named(texts, index, section, ids, F.concat(catalog.heading_forms(F.col("_said")), catalog.leading_forms(F.col("_said"))), "_said", True))
-    labels = rows.withColumn("_cell", X.strip(F.coalesce(F.get("cells", F.lit(0)), F.lit("")))).select(*ids, "row", "_cell")
-    titled = settled(_named(labels, index, section, [*ids, "row"], catalog.heading_forms(F.col("_cell")), "_cell", False))
+    # what texts (row -1) and the labels of rows name
+    texts = base.where("type not in ('header', 'footer', 'table')").select(*ids, F.lit(-1).alias("row"), F.when(F.col("type") == "math", F.concat(F.lit("$"), F.regexp_replace("_math", r"^\$+|\$+$", ""), F.lit("$"))).otherwise(F.col("text")).alias("_said"))
+    labels = rows.select(*ids, "row", X.strip(F.coalesce(F.get("cells", F.lit(0)), F.lit(""))).alias("_said"))
+    is_text = F.col("row") < 0
+    forms = F.concat(catalog.heading_forms(F.col("_said")), F.when(is_text, catalog.leading_forms(F.col("_said"))).otherwise(F.array().cast("array<string>")))
+    known = settled(_named(texts.union(labels), index, section, [*ids, "row"], forms, "_said", is_text))
+    said, titled = known.where("row < 0").drop("row"), known.where("row >= 0")
 
     # each block by itself
     line = base.join(defined, ids, "left").join(said, ids, "left")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
-from corpusflow.operators import adapting, assembly, navigation, planning, quality
+from corpusflow.operators import adapting, assembly, navigation, planning, quality, rendering
 from corpusflow.operators import entries as rendering_of
 from corpusflow.operators import sections as reading
 from corpusflow.schemas import BLOCK
@@ -132,7 +132,7 @@ def reconstruct(sections: DataFrame, page_ir: DataFrame, store: Store = as_is) -
     body = rendering_of.render(pieces, keys)
     on_page = lambda df: df.select(*keys, "pdf_page", F.col("code").alias("issue"))
     accounts = on_page(section_issues(marked, fields, keys))
-    issues = store("issues", assembled.where("issue is not null").select(*keys, "pdf_page", "issue").union(cuts).union(on_page(found["issues"])).union(accounts))
+    issues = store("section_issues", assembled.where("issue is not null").select(*keys, "pdf_page", "issue").union(cuts).union(on_page(found["issues"])).union(accounts))
     counted = issues.where(~F.col("issue").isin(*INFO_CODES)).groupBy(*keys).agg(F.count("*").alias("n_issues"))
     entries = sections.join(body, keys, "left").join(counted, keys, "left").withColumn("status", quality.entry_status(F.col("markdown").isNotNull(), F.coalesce("n_issues", F.lit(0)) > 0))
     return {"blocks": marked, "ranges": ranges, "fields": fields, "entries": entries.drop("n_issues"), "issues": issues}
@@ -147,6 +147,37 @@ def section_issues(marked: DataFrame, fields: DataFrame, keys: list[str]) -> Dat
     return twice.union(lost).union(bare)
 
 
+def documents(entries: DataFrame, pagemap: DataFrame, release: str | None, options: DataFrame | None = None, aliases: DataFrame | None = None) -> DataFrame:
+    """entries with markdown_path and with markdown as it is written: a YAML header, the title and the body; null stays null.
+
+    options: document_id, section_id and options; aliases: keyword_id and aliases, both where they are known. Keywords lie in the folder of
+    their volume (or document, where it has no volume) and family, numbered sections in theory."""
+    keys = ["document_id", "section_id"]
+    theory = F.startswith("document_id", F.lit("theory"))
+    e = entries.withColumns({c: F.lit(None).cast("string") for c in ("section_number", "title", "parent_section_id") if c not in entries.columns})
+    pages = e.select(*keys, F.explode(F.sequence("start_page", "end_page")).alias("pdf_page")).join(pagemap.select("document_id", "pdf_page", "manual_page"), ["document_id", "pdf_page"], "left")
+    e = e.join(pages.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pdf_page", "manual_page"))).alias("source_pages")), keys, "left")
+    e = e.join(options, keys, "left") if options is not None else e.withColumn("options", F.lit(None).cast("array<string>"))
+    named = aliases.select(F.col("keyword_id").alias("section_id"), F.col("aliases").alias("legacy_ids")) if aliases is not None else None
+    e = e.join(named, "section_id", "left") if named is not None else e.withColumn("legacy_ids", F.lit(None).cast("array<string>"))
+    none = F.array().cast("array<string>")
+    volume = F.regexp_extract("document_id", r"volume-(\d+)", 1).try_cast("int")
+    shown = F.regexp_replace("name", r"^\*", "")
+    of_keyword = F.struct(
+        "document_id", F.lit("keyword").alias("manual_type"), F.col("section_id").alias("keyword_id"), F.col("name"), X.family(shown).alias("family"), F.coalesce("legacy_ids", none).alias("legacy_ids"),
+        F.coalesce("options", none).alias("options"), F.lit(release).cast("string").alias("manual_release"), volume.alias("volume"), "source_pages",
+    )
+    of_theory = F.struct("document_id", F.lit("theory").alias("manual_type"), "section_id", "section_number", "title", "parent_section_id", F.lit(release).cast("string").alias("manual_release"), "source_pages")
+    as_json = lambda x: F.to_json(x, {"ignoreNullFields": "false"})
+    e = e.withColumn("_head", F.when(theory, as_json(of_theory)).otherwise(as_json(of_keyword)))
+    title = F.when(theory, F.concat_ws(" ", "section_number", "title")).otherwise(F.col("name"))
+    text = F.concat(rendering.front_matter(F.col("_head")), F.lit("\n# "), title, F.lit("\n"), F.when(F.col("markdown") != "", F.concat(F.lit("\n"), F.col("markdown"), F.lit("\n"))).otherwise(""))
+    kind = F.when(theory, "theory").otherwise("keyword")
+    path = rendering.markdown_path(kind, volume, F.when(theory, F.col("section_id")).otherwise(shown))
+    path = F.when(theory | volume.isNotNull(), path).otherwise(F.concat_ws("/", X.safe_component(F.col("document_id")), path))
+    return e.withColumns({"markdown_path": path, "volume": volume, "markdown": F.when(F.col("markdown").isNotNull(), text)}).drop("_head")
+
+
 def build_status(entries: DataFrame) -> DataFrame:
     """Statuses by document and in total (null), the worst first: failed, warning, success."""
     rank = F.when(F.col("status") == "failed", 3).when(F.col("status") == "warning", 2).otherwise(1)
@@ -157,14 +188,19 @@ def build_status(entries: DataFrame) -> DataFrame:
 def theory_entries(sections: DataFrame, blocks: DataFrame) -> DataFrame:
     """Blocks by the numbered sections that own them, with anchored.
 
-    A section whose title stands on one of its pages owns the blocks from there to the next title of any section, up to its
-    last page; one whose title does not keeps all blocks of its pages, and its rows are not anchored."""
+    A section whose title stands on one of its pages, its number before it in the block or in one of its own, owns the blocks from there to
+    the next title of any section, up to its last page; one whose title does not keeps all blocks of its pages, and its rows are not anchored."""
     keys, order = ["document_id", "section_id"], ["pdf_page", "block_index"]
     pages = sections.select(*keys, "section_number", "title", F.explode(F.sequence("start_page", "end_page")).alias("pdf_page"))
-    match = blocks.join(pages, ["document_id", "pdf_page"])
-    text, number, title = X.theory_title_key(F.col("text")), X.theory_title_key(F.col("section_number")), X.theory_title_key(F.col("title"))
-    rank = F.when(text == F.concat_ws(" ", number, title), 2).when(text == title, 1)
-    anchors = assembly.title_anchors(match.withColumn("rank", rank), keys, order)
+    on_page = Window.partitionBy("document_id", "pdf_page").orderBy("block_index")
+    keyed = blocks.select("document_id", *order, "type", "text", X.theory_title_key(F.col("text")).alias("_key"))
+    keyed = keyed.withColumns({"_next": F.lead("_key").over(on_page), "_before": F.lag("_key").over(on_page)})
+    names = pages.withColumns({"_number": X.theory_title_key(F.col("section_number")), "_title": X.theory_title_key(F.col("title"))})
+    match = keyed.join(names, ["document_id", "pdf_page"])
+    whole = F.col("_key") == F.concat_ws(" ", "_number", "_title")
+    parted = (F.col("_key") == F.col("_number")) & F.coalesce(F.col("_next") == F.col("_title"), F.lit(False))
+    alone = (F.col("_key") == F.col("_title")) & ~F.coalesce(F.col("_before") == F.col("_number"), F.lit(False))
+    anchors = assembly.title_anchors(match.withColumn("rank", F.when(whole, 2).when(parted | alone, 1)), keys, order)
     marks = anchors.select(*keys, "anchor.*")
     owned = assembly.theory_ownership(blocks, marks, "document_id", order)
     ends = sections.select(*keys, "end_page")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
 from corpusflow.operators import navigation, planning, quality
-from corpusflow.plans import build
+from corpusflow.plans import build, checks, theory
 from corpusflow.sources import readers, writers
 
 STATE = "document_id string, pdf_page int, status string, provider string, model string, source_sha256 string, semantic_config_hash string, error string, empty_parse_attempts int, stage int, updated_at timestamp"
@@ -125,22 +125,47 @@ def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataF
     """
     progress = progress or Progress(lambda line: None)
     progress("inspect")
-    found = navigation.inspect_pages(page_text, store=writers.stored(spark, f"{out}/navigation"))
-    aliases = navigation.alias_map(page_text.select(F.explode(X.logical_lines(F.col("text"))).alias("line")))
-    writers.write_table(navigation.invert_aliases(aliases.groupBy("alias").agg(F.collect_set("keyword_id").alias("ids"))), f"{out}/navigation/aliases", None)
-    sections, starts, pagemap = (found[name] for name in ("sections", "starts", "pagemap"))
-    plan = build.plan(sections, config.max_batch_pages).join(sources, "document_id")
+    store, theory_text = writers.stored(spark, f"{out}/navigation"), page_text.where(theory.is_theory(F.col("document_id")))
+    found = navigation.inspect_pages(page_text.where(~theory.is_theory(F.col("document_id"))), store=store)
+    numbered = theory.inspect(theory_text, store) if not theory_text.isEmpty() else None
+    both = lambda name, *columns: found[name].select(*columns) if numbered is None else found[name].select(*columns).union(numbered[name].select(*columns))
+    lines = page_text.select(F.explode(X.logical_lines(F.col("text"))).alias("line"))
+    writers.write_table(navigation.invert_aliases(navigation.alias_map(lines).groupBy("alias").agg(F.collect_set("keyword_id").alias("ids"))), f"{out}/navigation/aliases", None)
+    sections = found["sections"]
+    ranges = both("sections", "document_id", "section_id", "kind", "parent_section_id", "start_page", "end_page")
+    starts = both("starts", "document_id", "section_id", "start_page", "name", "manual_page", "code")
+    pagemap = store("all_pages", both("pagemap", "document_id", "pdf_page", "manual_page", "evidence"))
+    claims = ranges.select("document_id", "section_id", F.explode(F.sequence("start_page", "end_page")).alias("pdf_page"))
+    contract = store("contract", checks.contract_issues(ranges, pagemap, claims))
+    gates = store("gates", checks.inspection_gates(pagemap, starts, inspection_issues(starts)))
+    plan = build.plan(ranges, config.max_batch_pages).join(sources, "document_id")
     state = run_parsing(spark, plan, page_text, provider, out, progress)
     progress("reconstruct")
     page_ir = planning.latest_state(spark.read.parquet(f"{out}/page_ir").where("status = 'done'"), KEYS, ["stage"], ["blocks", "issues"]) if writers.exists(spark, f"{out}/page_ir") else None
     if page_ir is None:
-        page_ir = spark.createDataFrame([], "document_id string, pdf_page int, blocks array<string>, issues array<string>").select(*KEYS, F.col("blocks").cast(build.PAGE_BLOCKS).alias("blocks"))
-    made = build.reconstruct(sections, page_ir, writers.stored(spark, out))
-    writers.write_table(made["entries"], f"{out}/entries", None)
+        page_ir = spark.createDataFrame([], f"document_id string, pdf_page int, blocks {build.PAGE_BLOCKS}, issues array<struct<severity:string,code:string>>")
+    table = writers.stored(spark, out)
+    layers = table("text_layers", checks.text_layers(page_text, page_ir, config.text_layer_min_tokens, config.text_layer_min_recall)) if config.text_layer_enabled else None
+    made = build.reconstruct(sections, page_ir, table)
+    chosen = made["blocks"].where("bucket = 'option'").groupBy("document_id", "section_id", F.col("detail").alias("_o")).agg(F.min(F.struct("pdf_page", "block_index")).alias("_at"))
+    chosen = chosen.groupBy("document_id", "section_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("_at", "_o"))), lambda x: x["_o"]).alias("options"))
+    columns = ["document_id", "section_id", "name", "kind", "parent_section_id", "start_page", "end_page", "markdown", "status"]
+    whole = build.documents(made["entries"].select(*columns), pagemap, config.release, chosen, spark.read.parquet(f"{out}/navigation/aliases"))
+    later = made["issues"]
+    if numbered is not None:
+        theirs = theory.reconstruct(numbered["sections"], page_ir, table)
+        whole = whole.unionByName(build.documents(theirs["entries"].select(*columns, "section_number", "title"), pagemap, config.release))
+        later = later.select("document_id", "section_id", "pdf_page", "issue").union(theirs["issues"].select("document_id", "section_id", "pdf_page", "issue"))
+    writers.write_table(whole, f"{out}/entries", None)
     entries = spark.read.parquet(f"{out}/entries")
     failures = state.where("status in ('failed', 'paused_quota', 'parse_empty')").select(*KEYS, F.lit("error").alias("severity"), F.lit("PAGE_PARSE_FAILED").alias("code"), F.coalesce("error", "status").alias("message"))
-    later = made["issues"].select(*KEYS, "section_id", F.col("issue").alias("code"), F.when(F.col("issue").isin(*build.INFO_CODES), "info").otherwise("warning").alias("severity"))
-    writers.write_table(quality.issue_inventory(inspection_issues(starts), failures, later), f"{out}/issues", None)
+    level = F.when(F.col("code").isin(*build.INFO_CODES), "info").otherwise("warning").alias("severity")
+    in_sections = later.select(*KEYS, "section_id", F.col("issue").alias("code")).select("*", level)
+    pages = quality.page_ir_issues(page_ir).select(*KEYS, F.lit("error").alias("severity"), "code")
+    gate_failed = gates.where("not passes").select("document_id", F.lit(None).cast("int").alias("pdf_page"), F.lit("warning").alias("severity"), F.lit("INSPECTION_GATE_FAILED").alias("code"), F.concat_ws(" ", F.lit("coverage"), F.round("coverage", 3).cast("string"), F.lit("of"), F.col("least").cast("string")).alias("message"))
+    broken = contract.select("document_id", "section_id", F.lit(None).cast("int").alias("pdf_page"), F.lit("warning").alias("severity"), "code")
+    diverging = [layers.where("code is not null and code != 'TEXT_LAYER_COMPARISON_SKIPPED'").select(*KEYS, F.lit("warning").alias("severity"), "code", F.concat_ws(" ", F.lit("recall"), F.round("recall", 3).cast("string")).alias("message"))] if layers is not None else []
+    writers.write_table(quality.issue_inventory(inspection_issues(starts), failures, in_sections, pages, gate_failed, broken, *diverging), f"{out}/issues", None)
     issues = spark.read.parquet(f"{out}/issues")
     writers.write_corpus(spark, entries, issues, pagemap, config, provider, f"{out}/corpus")
     counts = entries.agg(F.count("*").alias("n"), F.count(F.when(F.col("status") == "failed", 1)).alias("failed"), F.count(F.when(F.col("status") != "success", 1)).alias("marked")).first()

@@ -358,26 +358,27 @@ def q31_region_state(t):
     return ordered.absorbing_state(t("conversations"), ["conv_id"], ["turn", "role", "text"], label, semantics.ABSORBING).select("conv_id", "turn", "role", "state")
 
 
-FIRST_LINES = """f AS (SELECT l_orderkey, l_linenumber, l_returnflag, CAST(l_quantity AS INT) AS q, l_linestatus, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS k FROM lineitem)"""
+NUMBERED_LINES = """f AS (SELECT l_orderkey, l_returnflag, CAST(l_quantity AS INT) AS q, l_linestatus, 1 AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS l_linenumber FROM lineitem)"""
 
 
-def first_lines(t) -> DataFrame:
-    order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-    return ordered.first_per_class(t("lineitem"), ["l_orderkey"], "l_linenumber", order, 1)
+def numbered_lines(t) -> DataFrame:
+    """All lines, numbered anew in each order, as numbers repeat there."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    return t("lineitem").withColumn("l_linenumber", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)))
 
 
-@query(f"WITH {FIRST_LINES} SELECT l_orderkey, l_linenumber AS slot, l_returnflag AS variable, l_linestatus AS field_type, CAST(q AS VARCHAR) AS default_value FROM f WHERE k = 1")
+@query(f"WITH {NUMBERED_LINES} SELECT l_orderkey, l_linenumber AS slot, l_returnflag AS variable, l_linestatus AS field_type, CAST(q AS VARCHAR) AS default_value FROM f WHERE k = 1")
 def q32_unpivot_slots(t):
-    f = first_lines(t).select("l_orderkey", F.col("l_linenumber").alias("slot"), F.col("l_returnflag").alias("variable"), F.col("l_linestatus").alias("type"), F.col("l_quantity").cast("int").cast("string").alias("default"))
+    f = numbered_lines(t).select("l_orderkey", F.col("l_linenumber").alias("slot"), F.col("l_returnflag").alias("variable"), F.col("l_linestatus").alias("type"), F.col("l_quantity").cast("int").cast("string").alias("default"))
     cells = f.unpivot(["l_orderkey", "slot"], ["variable", "type", "default"], "label", "value")
     return semantics.slot_fields(cells, ["l_orderkey"]).select("l_orderkey", "slot", "variable", "field_type", F.col("default").alias("default_value"))
 
 
-@query(f"""WITH {FIRST_LINES}, a AS (SELECT l_orderkey, l_linenumber, CASE WHEN q % 3 > 0 THEN l_returnflag END AS variable, CASE WHEN q % 2 = 0 THEN q END AS size FROM f WHERE k = 1 AND l_linenumber % 3 <> 0),
+@query(f"""WITH {NUMBERED_LINES}, a AS (SELECT l_orderkey, l_linenumber, CASE WHEN q % 3 > 0 THEN l_returnflag END AS variable, CASE WHEN q % 2 = 0 THEN q END AS size FROM f WHERE k = 1 AND l_linenumber % 3 <> 0),
 b AS (SELECT l_orderkey, l_linenumber, l_linestatus AS variable, q + 1000 AS size FROM f WHERE k = 1 AND l_linenumber % 2 = 1)
 SELECT l_orderkey, l_linenumber, coalesce(a.variable, b.variable) AS variable, CAST(coalesce(a.size, b.size) AS INT) AS size, a.variable IS NULL AND b.variable IS NOT NULL AS variable_added FROM a FULL JOIN b USING (l_orderkey, l_linenumber)""")
 def q33_coalesce_merge(t):
-    f = first_lines(t).withColumn("q", F.col("l_quantity").cast("int"))
+    f = numbered_lines(t).withColumn("q", F.col("l_quantity").cast("int"))
     a = f.where("l_linenumber % 3 != 0").select("l_orderkey", "l_linenumber", F.when(F.col("q") % 3 > 0, F.col("l_returnflag")).alias("variable"), F.when(F.col("q") % 2 == 0, F.col("q")).alias("size"))
     b = f.where("l_linenumber % 2 = 1").select("l_orderkey", "l_linenumber", F.col("l_linestatus").alias("variable"), (F.col("q") + 1000).alias("size"))
     return semantics.merge_fields(a, b, ["l_orderkey", "l_linenumber"], ["variable", "size"]).drop("size_added")
@@ -404,7 +405,7 @@ def q35_html_blocks(t):
 def q36_table_span_grid(t):
     """HTML tables made of order lines, with spans: their cells, widths and grids; SQL cannot lay out spans."""
     cell = F.concat(F.lit("<td rowspan='"), (F.col("l_linenumber") % 2 + 1).cast("string"), F.lit("' colspan="), (F.col("l_quantity").cast("int") % 3 + 1).cast("string"), F.lit(">"), "l_returnflag", F.lit("<br>"), F.col("l_linenumber").cast("string"), F.lit("</td>"))
-    rows = first_lines(t).groupBy("l_orderkey", (F.col("l_linenumber") % 3).alias("r")).agg(F.concat(F.lit("<tr>"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", cell.alias("c")))), lambda x: x["c"]), ""), F.lit("</tr>")).alias("tr"))
+    rows = numbered_lines(t).groupBy("l_orderkey", (F.col("l_linenumber") % 3).alias("r")).agg(F.concat(F.lit("<tr>"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", cell.alias("c")))), lambda x: x["c"]), ""), F.lit("</tr>")).alias("tr"))
     html = rows.groupBy("l_orderkey").agg(F.concat(F.lit("<table>"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r", "tr"))), lambda x: x["tr"]), ""), F.lit("</table>")).alias("html"))
     parsed = html.select("l_orderkey", adapting.html_table("html").alias("t"))
     grid = adapting.grid(F.col("t.rows"))

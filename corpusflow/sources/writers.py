@@ -131,11 +131,9 @@ def write_markdown(entries: DataFrame, path: str) -> int:
 
 def write_corpus(spark: SparkSession, entries: DataFrame, issues: DataFrame, pagemap: DataFrame, config, provider, folder: str) -> None:
     """Markdown files, manifest and issue lines in order, a summary and a header; all rows are written by the executors."""
-    from corpusflow.functions import text as X
-
-    named = entries.withColumn("markdown_path", F.concat_ws("/", "document_id", F.concat(X.safe_component(F.col("section_id")), F.lit(".md"))))
-    write_markdown(named, folder)
-    write_json(named.withColumn("markdown_path", F.when(F.col("markdown").isNotNull(), F.col("markdown_path"))).drop("markdown"), f"{folder}/manifest", ["document_id", "start_page", "section_id"], True)
+    write_markdown(entries, folder)
+    listed = entries.withColumn("markdown_path", F.when(F.col("markdown").isNotNull(), F.col("markdown_path")))
+    write_json(listed.drop("markdown"), f"{folder}/manifest", ["document_id", "start_page", "section_id"], True)
     write_json(issues, f"{folder}/issues", ["document_id", "pdf_page", "code"])
     counts = entries.groupBy("status").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("status", "n")))).alias("entries"))
     codes = issues.groupBy("code").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("code", "n")))).alias("issues"))

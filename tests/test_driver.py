@@ -19,6 +19,31 @@ PAGES = {
 }
 
 
+BETA = """---
+document_id: "d"
+manual_type: "keyword"
+keyword_id: "BETA"
+name: "*BETA"
+family: "BETA"
+legacy_ids: []
+options: []
+manual_release: "R9"
+volume: null
+source_pages: 
+  - pdf_page: 3
+    manual_page: "1-2"
+  - pdf_page: 4
+    manual_page: "1-3"
+---
+
+# *BETA
+
+## Purpose
+
+Purpose: to go on
+"""
+
+
 def shown(page: int) -> str:
     return "\n".join(PAGES[page].split("\n")[1:-1])
 
@@ -39,9 +64,9 @@ def test_a_build_ends_well_and_gates_what_it_made(spark, build, tmp_path):
     said = []
     result = build(Lines(text()), progress=driver.Progress(said.append))
     assert (result.status, result.exit_code, result.entries, result.failed) == ("success", 0, 3, 0), result
-    assert (tmp_path / "corpus/d/BETA.md").read_text().startswith("## Purpose\n\nPurpose: to go on")
+    assert (tmp_path / "corpus/d/BETA/BETA.md").read_text() == BETA
     lines = [json.loads(x) for f in sorted(Path(tmp_path / "corpus/manifest").glob("part-*")) for x in f.read_text().splitlines()]
-    assert [(x["section_id"], x["markdown_path"], x["status"]) for x in lines] == [(k, f"d/{k}.md", "success") for k in ("ALPHA", "BETA", "GAMMA")]
+    assert [(x["section_id"], x["markdown_path"], x["status"]) for x in lines] == [(k, f"d/{k}/{k}.md", "success") for k in ("ALPHA", "BETA", "GAMMA")]
     summary = json.loads((tmp_path / "corpus/summary.json").read_text())
     assert summary["entries"] == {"success": 3} and summary["pages"] == 4 and 'release: "R9"' in (tmp_path / "corpus/corpus.yaml").read_text()
     assert said[0] == "inspect" and any(x.startswith("pages: 3 of 3") for x in said) and said[-1] == "success"
@@ -83,7 +108,7 @@ def test_command_line_builds(spark, tmp_path):
     spark.createDataFrame([("d", p, t) for p, t in PAGES.items()], "document_id string, pdf_page int, text string").write.parquet(f"{tmp_path}/pages")
     spark.createDataFrame([("d", "sha")], "document_id string, source_sha256 string").write.parquet(f"{tmp_path}/sources")
     args = ["build", "--config", f"{tmp_path}/config.json", "--pages", f"{tmp_path}/pages", "--sources", f"{tmp_path}/sources", "--provider", "echo_provider:Lines", "--out", f"{tmp_path}/out"]
-    assert cli.main(args, spark) == 0 and (tmp_path / "out/corpus/d/ALPHA.md").exists()
+    assert cli.main(args, spark) == 0 and (tmp_path / "out/corpus/d/ALPHA/ALPHA.md").exists()
 
 
 def test_files_stay_in_their_folder(spark, tmp_path):
@@ -106,3 +131,78 @@ def test_a_refusal_aborts_and_what_was_recognised_is_taken_up(spark, build, tmp_
     assert build(Lines(text([4]))).exit_code == 0  # pages 2 and 3 are in the raw table, and not asked for again
     assert {(r["pdf_page"], r["stage"]) for r in spark.read.parquet(f"{tmp_path}/raw").collect()} == {(2, 1), (3, 1), (4, 2)}
     assert {r["status"] for r in driver.state_of(spark, f"{tmp_path}/state").collect()} == {"done"}
+
+
+TWO = {
+    "keyword-volume-1": {
+        1: "Contents\n*PART_A ........ 1-1\n*PART_B ........ 1-3\n0-1 (Table of Contents)",
+        2: "*PART\n*PART_A\nPurpose: to set it\n1-1 (PART)",
+        3: "*PART\nmore of it\n1-2 (PART)",
+        4: "*PART\n*PART_B\nPurpose: another\n1-3 (PART)",
+    },
+    "theory": {
+        1: "Contents\n1 Basics of it ........ 1-1\n1.1 Bodies in rest ........ 1-1\n2 Bodies in motion ........ 2-1\n0-1 (Table of Contents)",
+        2: "Theory\n1 Basics of it\nwhat it is about\n1.1\nBodies in rest\nthey stay\n1-1 (Basics)",
+        3: "Theory\n2 Bodies in motion\nthey go on\n2-1 (Motion)",
+    },
+}
+
+
+class Tables(Lines):
+    """Gives page 3 of the keywords two tables, and the lines of all other pages."""
+
+    def recognise(self, frames):
+        html = ["<table><tr><td>Card 1</td><td>1</td><td>2</td></tr><tr><td>Variable</td><td>PID</td><td>SID</td></tr></table>", "<table><tr><td>VARIABLE</td><td>DESCRIPTION</td></tr><tr><td>PID</td><td>the id</td></tr><tr><td></td><td>of the part</td></tr><tr><td>ODD</td><td>?</td></tr></table>"]
+        for f in super().recognise(frames):
+            for i in f.index[(f["document_id"] == "keyword-volume-1") & (f["pdf_page"] == 3)]:
+                blocks = [{"block_label": "table", "block_content": x} for x in html]
+                f.at[i, "layout_result"] = json.dumps({"prunedResult": {"parsing_res_list": blocks}})
+            yield f
+
+
+def test_keywords_and_numbered_sections_become_one_corpus(spark, tmp_path):
+    pages = spark.createDataFrame([(d, p, t) for d, of in TWO.items() for p, t in of.items()], "document_id string, pdf_page int, text string")
+    sources = spark.createDataFrame([(d, "sha") for d in TWO], "document_id string, source_sha256 string")
+    texts = {(d, p): "\n".join(t.split("\n")[1:-1]) for d, of in TWO.items() for p, t in of.items()}
+    result = driver.run_build(spark, readers.BuildConfig(release="R9"), pages, sources, Tables(texts), str(tmp_path))
+    assert (result.status, result.entries, result.failed) == ("warning", 5, 0)
+    files = {str(f.relative_to(tmp_path / "corpus")): f.read_text() for f in (tmp_path / "corpus").rglob("*.md")}
+    assert sorted(files) == ["theory/1.1.md", "theory/1.md", "theory/2.md", "volume_1/PART/PART_A.md", "volume_1/PART/PART_B.md"]
+    body = {k: v.split("---\n", 2)[2] for k, v in files.items()}
+    assert body["volume_1/PART/PART_A.md"] == """
+# *PART_A
+
+## Purpose
+
+Purpose: to set it
+
+## Card Definitions
+
+### Card 1
+
+| Card 1 | 1 | 2 |
+| --- | --- | --- |
+| Variable | PID | SID |
+
+## Variable Descriptions
+
+### PID
+
+| Variable | Description |
+| --- | --- |
+| PID | the id |
+|  | of the part |
+
+| Variable | Description |
+| --- | --- |
+| ODD | ? |
+"""
+    assert body["volume_1/PART/PART_B.md"] == "\n# *PART_B\n\n## Purpose\n\nPurpose: another\n"
+    assert body["theory/1.md"] == "\n# 1 Basics of it\n\nwhat it is about\n" and body["theory/1.1.md"] == "\n# 1.1 Bodies in rest\n\nthey stay\n" and body["theory/2.md"] == "\n# 2 Bodies in motion\n\nthey go on\n"
+    assert 'parent_section_id: "1"' in files["theory/1.1.md"] and "volume: 1" in files["volume_1/PART/PART_A.md"]
+    issues = {(r["document_id"], r["section_id"], r["code"]) for r in spark.read.parquet(f"{tmp_path}/issues").collect()}
+    assert ("keyword-volume-1", "PART_A", "VARIABLE_DESCRIPTION_UNMATCHED_TITLE") in issues and ("keyword-volume-1", None, "TEXT_LAYER_DIVERGENCE") in issues and ("theory", "1", "THEORY_BOUNDARY_RESOLVED") in issues
+    gates = {r["document_id"]: r["passes"] for r in spark.read.parquet(f"{tmp_path}/navigation/gates").collect()}
+    assert gates == {"keyword-volume-1": True, "theory": True} and spark.read.parquet(f"{tmp_path}/navigation/contract").count() == 0
+    layers = {(r["document_id"], r["pdf_page"]): r["code"] for r in spark.read.parquet(f"{tmp_path}/text_layers").collect()}
+    assert layers["keyword-volume-1", 3] == "TEXT_LAYER_DIVERGENCE" and layers["theory", 2] is None

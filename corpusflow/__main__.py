@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--max-batch-pages", type=int, default=1)
         if name == "build":
             s.add_argument("--baseline")
+            s.add_argument("--pdf", help="folder of the documents' PDF files, which tell blank pages")
         if name == "sample":
             s.add_argument("--seed", type=int, default=sampling.SEED)
     return p
@@ -55,7 +56,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return build.EXIT_CODES["failed" if any(c[1] == "failed" for c in checks) else "warning" if any(c[1] == "warning" for c in checks) else "success"]
     if a.stage == "build":
         baseline = read(a.baseline) if a.baseline else None
-        return driver.run_build(spark, readers.BuildConfig.load(a.config), read(a.pages), read(a.sources), plug_in(a.provider), a.out, baseline, driver.Progress()).exit_code
+        config = readers.BuildConfig.load(a.config)
+        blanks = readers.document_pages(spark, a.pdf, config.file_prefix) if a.pdf else None
+        return driver.run_build(spark, config, read(a.pages), read(a.sources), plug_in(a.provider), a.out, baseline, driver.Progress(), blanks).exit_code
     if a.stage == "inspect":
         build.inspect(read(a.pages), writers.stored(spark, a.out, "document_id"))
     elif a.stage == "plan":
@@ -69,7 +72,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for name in ("entries", "issues"):
             writers.write_table(out[name], f"{a.out}/{name}")
         entries = read(f"{a.out}/entries")
-        path = X.safe_component(F.col("section_id"))
+        path = X.safe_component(F.col("section_id"))  # bodies alone, as no page map is at hand
         writers.write_markdown(entries.withColumn("markdown_path", F.concat_ws("/", "document_id", F.concat(path, F.lit(".md")))), f"{a.out}/markdown")
         total = build.build_status(entries).where("document_id is null").first()
         return build.EXIT_CODES[total["status"] if total else "failed"]

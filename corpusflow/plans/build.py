@@ -58,10 +58,15 @@ def raw_stage(plan: DataFrame, state: DataFrame, provider: Provider, source: str
     return raw.where("error is null").drop("error"), rows.select("document_id", "pdf_page", "status", *identity, "error")
 
 
-def page_stage(raw: DataFrame, page_text: DataFrame, attempts: DataFrame, store: Store = as_is) -> tuple[DataFrame, DataFrame]:
-    """(page tables, state rows): an empty page whose source is not blank is tried again once, then fails."""
+def page_stage(raw: DataFrame, page_text: DataFrame, attempts: DataFrame, store: Store = as_is, blanks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(page tables, state rows): an empty page whose source is not blank is tried again once, then fails.
+
+    blanks: document_id, pdf_page and blank of the pages whose files were looked at; of others blank is what has no text."""
     pages = adapting.page_blocks(raw)
     blank = page_text.select("document_id", "pdf_page", (X.strip(F.coalesce("text", F.lit(""))) == "").alias("_blank"))
+    if blanks is not None:
+        known = blanks.select("document_id", "pdf_page", F.col("blank").alias("_shown"))
+        blank = blank.join(known, ["document_id", "pdf_page"], "left").select("document_id", "pdf_page", F.coalesce("_shown", "_blank").alias("_blank"))
     known = pages.join(blank, ["document_id", "pdf_page"], "left").join(attempts.select("document_id", "pdf_page", "empty_parse_attempts"), ["document_id", "pdf_page"], "left")
     empty = F.size("blocks") == 0
     tries = F.coalesce("empty_parse_attempts", F.lit(0)) + (empty & ~F.coalesce("_blank", F.lit(False))).cast("int")
@@ -110,7 +115,12 @@ def own_blocks(blocks: DataFrame, claims: DataFrame, store: Store = as_is) -> tu
     return kept, slices.select(*keys, "pdf_page", F.col("code").alias("issue"))
 
 
-def reconstruct(sections: DataFrame, page_ir: DataFrame, store: Store = as_is) -> dict[str, DataFrame]:
+def kept(name: str, df: DataFrame) -> DataFrame:
+    """In the place of stored, where a table is read many times over: makes it once, in the folder of spark.checkpoint.dir."""
+    return settled(df)
+
+
+def reconstruct(sections: DataFrame, page_ir: DataFrame, store: Store = kept) -> dict[str, DataFrame]:
     """Entries from sections (document_id, section_id, name, start_page, end_page) and page tables.
 
     Gives blocks (every block of a section with its bucket and what it belongs to), ranges (rows of description tables by variable),

@@ -71,7 +71,7 @@ def next_stage(spark: SparkSession, path: str) -> int:
     return 1 + (spark.read.schema(STATE).parquet(path).agg(F.max("stage")).first()[0] or 0) if writers.exists(spark, path) else 1
 
 
-def recognise(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress) -> None:
+def recognise(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress, blanks: DataFrame | None = None) -> None:
     """One pass of recognition over what the state leaves to do, then of adapting over the planned pages that are recognised and not
     adapted, be it by this pass or by one that broke off. Each result is written once and read again for the states that it gives."""
     log = f"{out}/state"
@@ -95,20 +95,20 @@ def recognise(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provid
 
     raws = spark.read.schema("document_id string, pdf_page int, layout_result string, stage int").parquet(f"{out}/raw")
     now = planning.latest_state(raws.join(known.select(*KEYS, "stage"), [*KEYS, "stage"], "left_semi"), KEYS, ["stage"], ["layout_result"]).drop("stage")
-    _, parsed = build.page_stage(now, page_text, known, store)
+    _, parsed = build.page_stage(now, page_text, known, store, blanks)
     identity = known.drop("status", "empty_parse_attempts", "error", "stage", "updated_at")
     log_state(parsed.withColumnRenamed("code", "error").join(identity, KEYS), log, stage)
     progress("pages", parsed.where("status = 'done'").count(), plan.count())
 
 
-def run_parsing(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress) -> DataFrame:
+def run_parsing(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress, blanks: DataFrame | None = None) -> DataFrame:
     """Recognise what is planned, and once more the pages that came out empty though their source is not; the pages' states."""
-    recognise(spark, plan, page_text, provider, out, progress)
+    recognise(spark, plan, page_text, provider, out, progress, blanks)
     empty = state_of(spark, f"{out}/state").where("status = 'parse_empty'").select(*KEYS)
     # written out: Spark takes two reads of a growing log for one where a plan holds both, as recognise's would
     again = plan.join(empty, KEYS, "left_semi").checkpoint()
     if not again.isEmpty():
-        recognise(spark, again, page_text, provider, out, progress)
+        recognise(spark, again, page_text, provider, out, progress, blanks)
     return state_of(spark, f"{out}/state")
 
 
@@ -117,10 +117,11 @@ def inspection_issues(starts: DataFrame) -> DataFrame:
     return found.select("document_id", "section_id", F.col("start_page").alias("pdf_page"), F.lit("warning").alias("severity"), "code", F.concat_ws(" ", F.lit("contents entry"), "name", F.lit("at"), "manual_page").alias("message"))
 
 
-def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataFrame, sources: DataFrame, provider: build.Provider, out: str, baseline: DataFrame | None = None, progress: Progress | None = None) -> Result:
+def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataFrame, sources: DataFrame, provider: build.Provider, out: str, baseline: DataFrame | None = None, progress: Progress | None = None, blanks: DataFrame | None = None) -> Result:
     """From page texts (document_id, pdf_page, text) and sources (document_id, source_sha256) to out/corpus.
 
-    paused if the recogniser's quota ended (a later run goes on), failed if an entry has no content or the gate is not passed, warning if
+    blanks: document_id, pdf_page and blank of pages whose PDF was looked at (readers.document_pages), so that an empty page that shows
+    nothing is no failure. paused if the recogniser's quota ended (a later run goes on), failed if an entry has no content or the gate is not passed, warning if
     entries have issues or pages are not recognised, else success. The gate's report is written whatever it says.
     """
     progress = progress or Progress(lambda line: None)
@@ -139,7 +140,7 @@ def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataF
     contract = store("contract", checks.contract_issues(ranges, pagemap, claims))
     gates = store("gates", checks.inspection_gates(pagemap, starts, inspection_issues(starts)))
     plan = build.plan(ranges, config.max_batch_pages).join(sources, "document_id")
-    state = run_parsing(spark, plan, page_text, provider, out, progress)
+    state = run_parsing(spark, plan, page_text, provider, out, progress, blanks)
     progress("reconstruct")
     page_ir = planning.latest_state(spark.read.parquet(f"{out}/page_ir").where("status = 'done'"), KEYS, ["stage"], ["blocks", "issues"]) if writers.exists(spark, f"{out}/page_ir") else None
     if page_ir is None:

@@ -6,7 +6,6 @@ Versions and identities are checked inside the plan: a row of an unknown version
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field, fields
 from typing import Protocol
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow import schemas as S
+from corpusflow.sources import pdf
 
 #: Volumes by roman numeral, and the order of documents in outputs (fixed values).
 VOLUMES = {"i": 1, "ii": 2, "iii": 3}
@@ -199,24 +199,53 @@ def source_files(spark: SparkSession, folder: str) -> DataFrame:
 
 #: Operators of a page's content that show something (fixed values of the format).
 VISIBLE = frozenset((b"Tj", b"TJ", b"'", b'"', b"Do", b"S", b"s", b"f", b"F", b"f*", b"B", b"B*", b"b", b"b*", b"sh"))
-PDF_OBJECT = re.compile(rb"\bobj\b(.*?)\bendobj\b", re.S)
-PDF_STREAM = re.compile(rb"stream\r?\n(.*?)\r?\n?endstream", re.S)
+def pdf_summary(content: bytes) -> tuple[int, bool]:
+    """(pages, encrypted) of a PDF's bytes: the pages of its page tree, as last written, and whether it has an Encrypt entry."""
+    file = pdf.Pdf(content)
+    return len(file.pages()), file.encrypted
 
 
-def pdf_summary(content: bytes) -> tuple[int, bool]:
-    """(pages, encrypted) of a PDF's bytes: page objects, also those in compressed object streams, and an Encrypt entry."""
-    parts = []
-    for m in PDF_OBJECT.finditer(content):
-        body = m[1]
-        parts.append(PDF_STREAM.sub(b"", body))
-        if b"/ObjStm" in body and (s := PDF_STREAM.search(body)):
-            try:
-                parts.append(zlib.decompressobj().decompress(s[1]))
-            except zlib.error:
-                pass  # an encrypted or damaged stream shows no objects
-    text = b"\n".join(parts)
-    encrypted = re.search(rb"/Encrypt\b", PDF_STREAM.sub(b"", content)) is not None
-    return len(re.findall(rb"/Type\s*/Page(?![A-Za-z])", text)), encrypted
+def pdf_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per page of the folder's PDF files (see pdf.PdfPages), with blank: nothing shown and no annotation."""
+    spark.dataSource.register(pdf.PdfPages)
+    pages = spark.read.format("pdf_pages").load(folder)
+    # a content that can't be read is not known to be blank
+    return blank_pages(pages).withColumn("blank", F.col("blank") & F.col("content").isNotNull())
+
+
+def document_pages(spark: SparkSession, folder: str, prefix: str = "manual") -> DataFrame:
+    """pdf_pages of the folder's documents, by the identity that their names give."""
+    pages = pdf_pages(spark, folder).withColumn("_id", file_identity(F.element_at(F.split("path", "/"), -1), prefix))
+    return pages.where("_id is not null").select(F.col("_id.document_id").alias("document_id"), "pdf_page", "page_count", "rotate", "annotations", "blank")
+
+
+def pages_of(files: DataFrame, keys: list[str], content: str = "content") -> DataFrame:
+    """(keys, pdf_page, page_count, rotate, content, annotations) of the pages of PDF files that stand in a column as bytes."""
+    kinds = ", ".join(f"{k} {files.schema[k].dataType.simpleString()}" for k in keys)
+    names = [*keys, "pdf_page", "page_count", "rotate", "content", "annotations"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for row in frame.itertuples(index=False):
+                file = pdf.Pdf(bytes(row[-1] or b""))
+                pages = file.pages()
+                for n, (_, page) in enumerate(pages, 1):
+                    turn = file.get(page.get("Rotate"))
+                    rows.append((*row[:-1], n, len(pages), turn if isinstance(turn, int) else 0, file.content(page), len(file.annotations(page))))
+            yield pd.DataFrame(rows, columns=names)
+
+    return files.select(*keys, content).mapInPandas(run, f"{kinds}, pdf_page int, page_count int, rotate int, content binary, annotations int")
+
+
+def sliced(files: DataFrame, numbers: str = "pages", content: str = "content") -> DataFrame:
+    """files with slice: a PDF of the pages whose numbers (array<int>, from 1) stand in a row, for a recogniser that takes files."""
+
+    @F.pandas_udf("binary")
+    def cut(c: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or k is None else pdf.slice_pages(bytes(x), [int(i) for i in k]) for x, k in zip(c, n)])
+
+    return files.withColumn("slice", cut(content, numbers))
 
 
 def pdf_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -767,3 +767,24 @@ def q118_description_chains(t):
     blocks = of.union(card).select("*", L("*NAME").alias("name"), L("").alias("text"), L(False).alias("ambiguous"))
     ranges = sections.read(blocks, ["conv_id"], ["block_index"])["ranges"]
     return sections.description_chains(ranges, ["conv_id"], ["block_index"]).select("conv_id", "block_index", "variable", "continues", big("chain").alias("chain"))
+
+
+@query("""SELECT p_partkey, CAST(k AS INT) AS pdf_page, CAST(n2 AS INT) AS page_count, CASE WHEN k = 1 THEN CAST(90 AS INT) ELSE CAST(0 AS INT) END AS rotate, 'BT (page ' || CASE WHEN k = 1 THEN n ELSE 1 END || ' of ' || p_name || ') Tj ET' AS content
+FROM (SELECT p_partkey, p_name, CASE WHEN p_size % 4 = 0 THEN 1 ELSE 2 END AS n2, p_size % 4 + 1 AS n FROM part) JOIN (SELECT unnest([1, 2]) AS k) ON k <= n2""")
+def q119_pdf_slices(t):
+    """PDF files of one to four pages, written from the table: slices of the last and the first page, read page by page."""
+    n = F.col("p_size") % 4 + 1
+    numbers = F.sequence(L(1), n)
+    kids = F.array_join(F.transform(numbers, lambda k: F.concat(s(k * 2 + 1), L(" 0 R"))), " ")
+
+    def page(k: Column) -> Column:
+        content = F.concat(L("BT (page "), s(k), L(" of "), "p_name", L(") Tj ET"))
+        turned = F.when(k == n, " /Rotate 90").otherwise("")
+        return F.concat(s(k * 2 + 1), L(" 0 obj << /Type /Page /Parent 2 0 R /Contents "), s(k * 2 + 2), L(" 0 R"), turned, L(" >> endobj "), s(k * 2 + 2), L(" 0 obj << /Length "), s(F.length(content)), L(" >> stream\n"), content, L("\nendstream endobj "))
+
+    tree = F.concat(L("%PDF-1.7 1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj 2 0 obj << /Type /Pages /Kids ["), kids, L("] >> endobj "))
+    file = F.concat(tree, F.array_join(F.transform(numbers, page), ""), L("trailer << /Root 1 0 R >>"))
+    wanted = F.array_distinct(F.array(n.cast("int"), L(1)))
+    cut = readers.sliced(t("part").select("p_partkey", file.cast("binary").alias("content"), wanted.alias("pages")))
+    out = readers.pages_of(cut.select("p_partkey", "slice"), ["p_partkey"], "slice")
+    return out.select("p_partkey", "pdf_page", "page_count", "rotate", F.col("content").cast("string").alias("content"))

@@ -14,6 +14,7 @@ from corpusflow.plans import build
 from corpusflow.queries import MANUAL, big, manual_pages, query
 from corpusflow.schemas import BLOCK
 from corpusflow.sources import readers, writers
+from corpusflow.streaming import completions
 
 L = F.lit
 
@@ -788,3 +789,23 @@ def q119_pdf_slices(t):
     cut = readers.sliced(t("part").select("p_partkey", file.cast("binary").alias("content"), wanted.alias("pages")))
     out = readers.pages_of(cut.select("p_partkey", "slice"), ["p_partkey"], "slice")
     return out.select("p_partkey", "pdf_page", "page_count", "rotate", F.col("content").cast("string").alias("content"))
+
+
+@query("""WITH e AS (SELECT conv_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations), c AS (SELECT conv_id, string_agg(text, '' ORDER BY k) AS content, count(*) AS n FROM e GROUP BY conv_id)
+SELECT CAST(conv_id AS VARCHAR) AS completion_id, CASE WHEN conv_id % 4 = 0 OR (conv_id % 4 = 2 AND n = 1) THEN content END AS content, CAST(CASE conv_id % 4 WHEN 2 THEN 1 WHEN 3 THEN 0 ELSE n END AS INT) AS tokens,
+CASE WHEN conv_id % 4 = 1 THEN 'STREAM_UNFINISHED' WHEN conv_id % 4 = 2 AND n > 1 THEN 'SLOT_CHANGED' WHEN conv_id % 4 = 3 THEN 'TOKEN_COUNT' END AS code FROM c""")
+def q120_token_streams(t):
+    """Conversations as streams of token events, a turn a token: whole ones, ones without an end, with another prompt, or counted from 2."""
+    k = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    e = t("conversations").select("conv_id", F.coalesce("text", L("")).alias("text"), k.alias("k"))
+    byte = lambda i: F.conv(F.substring(F.hex(F.encode("text", "UTF-8")), i * 2 - 1, L(2)), 16, 10).cast("int")
+    held = [L(7).alias("id"), F.col("text").alias("token"), F.when(F.octet_length("text") > 0, F.transform(F.sequence(L(1), F.octet_length("text")), byte)).otherwise(F.array().cast("array<int>")).alias("bytes"), L(-0.5).alias("logprob")]
+    kind = F.col("conv_id") % 4
+    event = F.struct(
+        L(0).alias("index"), F.col("text").alias("content"), F.array(L(7)).alias("tokens"), L(False).alias("stop"), (F.col("k") + (kind == 3).cast("int")).alias("tokens_predicted"),
+        F.when((kind == 2) & (F.col("k") > 1), 12).otherwise(11).alias("tokens_evaluated"), F.array(F.struct(*held, F.array(F.struct(*held)).alias("top_logprobs"))).alias("completion_probabilities"),
+    )
+    said = e.select(s("conv_id").alias("completion_id"), (F.col("k") - 1).alias("seq"), F.to_json(event).alias("event"))
+    end = F.to_json(F.struct(F.struct(*[L(v).alias(k) for k, v in completions.TERMINAL.items()]).alias("error")))
+    ends = e.where("conv_id % 4 != 1").groupBy("conv_id").agg(F.count("*").cast("int").alias("seq")).select(s("conv_id"), "seq", end)
+    return completions.completions(said.union(ends))

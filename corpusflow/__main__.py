@@ -1,4 +1,4 @@
-"""python -m corpusflow doctor | inspect | plan | adapt | reconstruct | sample | build: stages over Parquet tables, or all of them."""
+"""python -m corpusflow doctor | inspect | plan | adapt | reconstruct | sample | build | detect | regression: stages over Parquet tables, or all of them."""
 
 from __future__ import annotations
 
@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
 from corpusflow.operators import adapting, sampling
-from corpusflow.plans import build, driver
+from corpusflow.plans import build, driver, review
 from corpusflow.sources import readers, writers
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="corpusflow", description=__doc__)
     stages = p.add_subparsers(dest="stage", required=True)
-    for name, inputs in (("doctor", ("config",)), ("inspect", ("pages", "out")), ("plan", ("sections", "out")), ("adapt", ("raw", "out")), ("reconstruct", ("sections", "page-ir", "out")), ("sample", ("sections", "out")), ("build", ("config", "pages", "sources", "provider", "out"))):
+    for name, inputs in (("doctor", ("config",)), ("inspect", ("pages", "out")), ("plan", ("sections", "out")), ("adapt", ("raw", "out")), ("reconstruct", ("sections", "page-ir", "out")), ("sample", ("sections", "out")), ("build", ("config", "pages", "sources", "provider", "out")), ("detect", ("build", "out")), ("regression", ("out",))):
         s = stages.add_parser(name)
         for i in inputs:
             s.add_argument(f"--{i}", required=True)
@@ -27,6 +27,9 @@ def parser() -> argparse.ArgumentParser:
         if name == "build":
             s.add_argument("--baseline")
             s.add_argument("--pdf", help="folder of the documents' PDF files, which tell blank pages")
+        if name == "regression":
+            s.add_argument("--build", action="append", required=True, help="release=folder of a finished build; several")
+            s.add_argument("--baseline", help="an earlier matrix, whose reviews are taken over")
         if name == "sample":
             s.add_argument("--seed", type=int, default=sampling.SEED)
     return p
@@ -59,6 +62,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         config = readers.BuildConfig.load(a.config)
         blanks = readers.document_pages(spark, a.pdf, config.file_prefix) if a.pdf else None
         return driver.run_build(spark, config, read(a.pages), read(a.sources), plug_in(a.provider), a.out, baseline, driver.Progress(), blanks).exit_code
+    if a.stage == "detect":
+        review.detect(spark, a.build, a.out)
+        return build.EXIT_CODES["success"]
+    if a.stage == "regression":
+        failed, pending = review.regression(spark, dict(b.split("=", 1) for b in a.build), a.out, read(a.baseline) if a.baseline else None)
+        return build.EXIT_CODES["failed" if failed else "warning" if pending else "success"]
     if a.stage == "inspect":
         build.inspect(read(a.pages), writers.stored(spark, a.out, "document_id"))
     elif a.stage == "plan":

@@ -196,7 +196,8 @@ def corpus_measures(entries: DataFrame, issues: DataFrame) -> DataFrame:
     counts = entries.agg(F.count("*").alias("entries"), *[by("status", v) for v in ("success", "warning", "failed")])
     found = issues.agg(F.count("*").alias("issues"), *[by("severity", v) for v in SEVERITIES])
     digest = ordered_digest(entries.select(F.lit(1).alias("_all"), F.concat_ws("/", "document_id", "section_id").alias("path"), F.coalesce("markdown", F.lit("")).alias("markdown")), ["_all"], "path", "markdown").select("digest")
-    return counts.join(found, F.lit(True)).join(digest, F.lit(True), "left")  # one row each
+    all_of = counts.unionByName(found, allowMissingColumns=True).unionByName(digest, allowMissingColumns=True)  # one row each
+    return all_of.agg(*[F.first(c, True).alias(c) for c in all_of.columns])
 
 
 def page_ir_issues(pages: DataFrame) -> DataFrame:

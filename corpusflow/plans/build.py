@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
@@ -39,6 +41,50 @@ class Provider(Protocol):
     def recognise(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]: ...
 
 
+class Adapter(Protocol):
+    """Makes page tables of a recogniser's raw pages: document_id, pdf_page, layout_result to document_id, pdf_page, blocks, issues.
+
+    identity() names all that its output depends on: pages that another identity has adapted are adapted again, not recognised again."""
+
+    def identity(self) -> str: ...
+
+    def adapt(self, raw: DataFrame) -> DataFrame: ...
+
+
+class Layouts:
+    """The adapter of layout results (operators.adapting.page_blocks)."""
+
+    def identity(self) -> str:
+        return "layouts/1"
+
+    def adapt(self, raw: DataFrame) -> DataFrame:
+        return adapting.page_blocks(raw)
+
+
+@dataclass(frozen=True)
+class ByDocument:
+    """Adapters by the beginning of a document's name, the first that fits; all others' pages go to `rest`."""
+
+    adapters: tuple[tuple[str, Adapter], ...] = ()
+    rest: Adapter = field(default_factory=Layouts)
+
+    def dealt(self) -> list[tuple[Column, Adapter]]:
+        """Conditions on document_id of which one holds, and their adapters."""
+        before, out = F.lit(False), []
+        for prefix, adapter in self.adapters:
+            fits = F.startswith("document_id", F.lit(prefix))
+            out.append((fits & ~before, adapter))
+            before = before | fits
+        return [*out, (~before, self.rest)]
+
+    def adapt(self, raw: DataFrame) -> DataFrame:
+        return reduce(DataFrame.unionByName, [a.adapt(raw.where(c)) for c, a in self.dealt()])
+
+    def identity_of(self) -> Column:
+        """The identity of the adapter that a row's document_id goes to."""
+        return F.coalesce(*[F.when(c, F.lit(a.identity())) for c, a in self.dealt()])
+
+
 RAW = "document_id string, pdf_page int, layout_result string, error string"
 
 
@@ -58,11 +104,11 @@ def raw_stage(plan: DataFrame, state: DataFrame, provider: Provider, source: str
     return raw.where("error is null").drop("error"), rows.select("document_id", "pdf_page", "status", *identity, "error")
 
 
-def page_stage(raw: DataFrame, page_text: DataFrame, attempts: DataFrame, store: Store = as_is, blanks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def page_stage(raw: DataFrame, page_text: DataFrame, attempts: DataFrame, store: Store = as_is, blanks: DataFrame | None = None, adapter: Adapter | ByDocument | None = None) -> tuple[DataFrame, DataFrame]:
     """(page tables, state rows): an empty page whose source is not blank is tried again once, then fails.
 
     blanks: document_id, pdf_page and blank of the pages whose files were looked at; of others blank is what has no text."""
-    pages = adapting.page_blocks(raw)
+    pages = (adapter or Layouts()).adapt(raw)
     blank = page_text.select("document_id", "pdf_page", (X.strip(F.coalesce("text", F.lit(""))) == "").alias("_blank"))
     if blanks is not None:
         known = blanks.select("document_id", "pdf_page", F.col("blank").alias("_shown"))
@@ -227,11 +273,28 @@ def theory_issues(owned: DataFrame) -> DataFrame:
 
 
 def preflight(spark, config) -> list[tuple[str, str, str]]:
-    """(check, ok | warning | failed, detail), run on the driver before a build."""
-    out = [("release", "ok", config.release)]
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(config.input_dir)
-    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    """(check, ok | warning | failed, detail), run on the driver before a build: settings, documents, folders, provider, baseline."""
+    from corpusflow.sources import readers
+    from corpusflow.sources.writers import exists
+
+    out = [("release", "ok", config.release) if config.release else ("release", "warning", "no release is set")]
+    last = config.end_page
+    out.append(("pages", "ok" if config.start_page >= 1 and (last is None or last >= config.start_page) else "failed", f"{config.start_page} to {last or 'the end'}"))
+    there = exists(spark, config.input_dir)
     out.append(("input", "ok" if there else "failed", config.input_dir))
+    try:
+        found = readers.explicit_documents(spark, config) if config.documents else readers.discover(readers.source_files(spark, config.input_dir), config.release, config.file_prefix) if there else None
+        n = found.count() if found is not None else 0
+        out.append(("documents", "ok" if n else "failed", f"{n} documents"))
+    except Exception as error:  # noqa: BLE001  (whatever is wrong with them is what the check is for)
+        out.append(("documents", "failed", str(error).split("\n")[0][:200]))
+    parent = config.output_dir.rstrip("/").rsplit("/", 1)[0] if "/" in config.output_dir.rstrip("/") else "."
+    out.append(("output", "ok" if exists(spark, config.output_dir) or exists(spark, parent or "/") else "failed", config.output_dir))
+    if config.provider == "remote":
+        out.append(("credentials", "ok" if (config.api_key or "").strip() else "warning", "an API key is set" if (config.api_key or "").strip() else "no API key is set"))
+        out.append(("jobs", "ok" if config.job_url else "warning", config.job_url or "no address for jobs is set"))
+    if config.baseline:
+        out.append(("baseline", "ok" if exists(spark, config.baseline) else "failed", config.baseline))
     shared = spark.conf.get("spark.checkpoint.dir", None)
     out.append(("checkpoint", "ok" if shared else "warning", shared or "spark.checkpoint.dir is not set"))
     return out

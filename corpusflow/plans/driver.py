@@ -14,7 +14,7 @@ from corpusflow.operators import navigation, planning, quality
 from corpusflow.plans import build, checks, theory
 from corpusflow.sources import readers, writers
 
-STATE = "document_id string, pdf_page int, status string, provider string, model string, source_sha256 string, semantic_config_hash string, error string, empty_parse_attempts int, stage int, updated_at timestamp"
+STATE = "document_id string, pdf_page int, status string, provider string, model string, source_sha256 string, semantic_config_hash string, error string, empty_parse_attempts int, adapter string, raw_stage int, stage int, updated_at timestamp"
 KEYS = ["document_id", "pdf_page"]
 
 
@@ -67,23 +67,46 @@ def log_state(rows: DataFrame, path: str, stage: int) -> None:
     full.select(names).write.mode("append").parquet(path)
 
 
+def fold_state(spark: SparkSession, path: str, most_files: int = 64) -> bool:
+    """Fold a log of more than most_files files to the latest row of each page; whether it was.
+
+    The folded rows are added first, as a stage of their own, and the files before them go then: a run that breaks off in between
+    leaves rows that say the same twice."""
+    if not writers.exists(spark, path):
+        return False
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    if len(before) <= most_files:
+        return False
+    kept = state_of(spark, path).checkpoint()
+    log_state(kept.drop("stage", "updated_at").coalesce(1 + len(before) // 1024), path, next_stage(spark, path))
+    for f in before:
+        fs.delete(f, False)
+    spark.catalog.refreshByPath(path)
+    return True
+
+
 def next_stage(spark: SparkSession, path: str) -> int:
     return 1 + (spark.read.schema(STATE).parquet(path).agg(F.max("stage")).first()[0] or 0) if writers.exists(spark, path) else 1
 
 
-def recognise(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress, blanks: DataFrame | None = None) -> None:
+def recognise(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress, blanks: DataFrame | None = None, adapter: build.ByDocument | None = None) -> None:
     """One pass of recognition over what the state leaves to do, then of adapting over the planned pages that are recognised and not
-    adapted, be it by this pass or by one that broke off. Each result is written once and read again for the states that it gives."""
+    adapted, or adapted by another adapter, be it by this pass or by one that broke off. Each result is written once and read again for the states that it gives."""
     log = f"{out}/state"
     stage, before = next_stage(spark, log), state_of(spark, log)
     raw, rows = build.raw_stage(plan, before, provider)
     if not rows.isEmpty():
         raw.withColumn("stage", F.lit(stage)).write.mode("append").partitionBy("stage").parquet(f"{out}/raw")
-        log_state(rows.join(before.select(*KEYS, "empty_parse_attempts"), KEYS, "left"), log, stage)
+        log_state(rows.withColumn("raw_stage", F.lit(stage)).join(before.select(*KEYS, "empty_parse_attempts"), KEYS, "left"), log, stage)
         refused = rows.where(F.startswith("error", F.lit("auth"))).select("error").first()
         if refused:
             raise Aborted(refused["error"])
-    known = state_of(spark, log).where("status = 'raw_done'").join(plan.select(*KEYS), KEYS, "left_semi")
+    adapter = adapter or build.ByDocument()
+    held = state_of(spark, log).withColumns({"raw_stage": F.coalesce("raw_stage", "stage"), "_adapter": adapter.identity_of()})
+    known = held.where("status = 'raw_done' or status = 'done' and not adapter <=> _adapter").join(plan.select(*KEYS), KEYS, "left_semi")
     if known.isEmpty():
         return
     stage = next_stage(spark, log)
@@ -94,21 +117,21 @@ def recognise(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provid
         return spark.read.schema(kept.schema).parquet(f"{out}/{name}").where(F.col("stage") == stage).drop("stage")
 
     raws = spark.read.schema("document_id string, pdf_page int, layout_result string, stage int").parquet(f"{out}/raw")
-    now = planning.latest_state(raws.join(known.select(*KEYS, "stage"), [*KEYS, "stage"], "left_semi"), KEYS, ["stage"], ["layout_result"]).drop("stage")
-    _, parsed = build.page_stage(now, page_text, known, store, blanks)
-    identity = known.drop("status", "empty_parse_attempts", "error", "stage", "updated_at")
+    now = planning.latest_state(raws.join(known.select(*KEYS, F.col("raw_stage").alias("stage")), [*KEYS, "stage"], "left_semi"), KEYS, ["stage"], ["layout_result"]).drop("stage")
+    _, parsed = build.page_stage(now, page_text, known, store, blanks, adapter)
+    identity = known.drop("status", "empty_parse_attempts", "error", "stage", "updated_at", "adapter").withColumnRenamed("_adapter", "adapter")
     log_state(parsed.withColumnRenamed("code", "error").join(identity, KEYS), log, stage)
     progress("pages", parsed.where("status = 'done'").count(), plan.count())
 
 
-def run_parsing(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress, blanks: DataFrame | None = None) -> DataFrame:
+def run_parsing(spark: SparkSession, plan: DataFrame, page_text: DataFrame, provider: build.Provider, out: str, progress: Progress, blanks: DataFrame | None = None, adapter: build.ByDocument | None = None) -> DataFrame:
     """Recognise what is planned, and once more the pages that came out empty though their source is not; the pages' states."""
-    recognise(spark, plan, page_text, provider, out, progress, blanks)
+    recognise(spark, plan, page_text, provider, out, progress, blanks, adapter)
     empty = state_of(spark, f"{out}/state").where("status = 'parse_empty'").select(*KEYS)
     # written out: Spark takes two reads of a growing log for one where a plan holds both, as recognise's would
     again = plan.join(empty, KEYS, "left_semi").checkpoint()
     if not again.isEmpty():
-        recognise(spark, again, page_text, provider, out, progress, blanks)
+        recognise(spark, again, page_text, provider, out, progress, blanks, adapter)
     return state_of(spark, f"{out}/state")
 
 
@@ -117,7 +140,7 @@ def inspection_issues(starts: DataFrame) -> DataFrame:
     return found.select("document_id", "section_id", F.col("start_page").alias("pdf_page"), F.lit("warning").alias("severity"), "code", F.concat_ws(" ", F.lit("contents entry"), "name", F.lit("at"), "manual_page").alias("message"))
 
 
-def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataFrame, sources: DataFrame, provider: build.Provider, out: str, baseline: DataFrame | None = None, progress: Progress | None = None, blanks: DataFrame | None = None) -> Result:
+def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataFrame, sources: DataFrame, provider: build.Provider, out: str, baseline: DataFrame | None = None, progress: Progress | None = None, blanks: DataFrame | None = None, adapter: build.ByDocument | None = None) -> Result:
     """From page texts (document_id, pdf_page, text) and sources (document_id, source_sha256) to out/corpus.
 
     blanks: document_id, pdf_page and blank of pages whose PDF was looked at (readers.document_pages), so that an empty page that shows
@@ -140,7 +163,7 @@ def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataF
     contract = store("contract", checks.contract_issues(ranges, pagemap, claims))
     gates = store("gates", checks.inspection_gates(pagemap, starts, inspection_issues(starts)))
     plan = build.plan(ranges, config.max_batch_pages).join(sources, "document_id")
-    state = run_parsing(spark, plan, page_text, provider, out, progress, blanks)
+    state = run_parsing(spark, plan, page_text, provider, out, progress, blanks, adapter)
     progress("reconstruct")
     page_ir = planning.latest_state(spark.read.parquet(f"{out}/page_ir").where("status = 'done'"), KEYS, ["stage"], ["blocks", "issues"]) if writers.exists(spark, f"{out}/page_ir") else None
     if page_ir is None:
@@ -175,5 +198,6 @@ def run_build(spark: SparkSession, config: readers.BuildConfig, page_text: DataF
     if baseline is not None:
         gate = writers.write_acceptance(quality.acceptance(quality.corpus_measures(entries, issues), baseline, [c for c in baseline.columns if c != "schema_version"]), f"{out}/corpus")
     status = "paused" if held["paused"] else "failed" if counts["failed"] or not counts["n"] or gate is False else "warning" if counts["marked"] or held["undone"] else "success"
+    fold_state(spark, f"{out}/state")
     progress(status)
     return Result(status, counts["n"], counts["failed"], held["paused"], gate)

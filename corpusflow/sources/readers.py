@@ -375,6 +375,16 @@ def sample_pages(samples: DataFrame) -> DataFrame:
     return samples.select("document_id", F.explode("pdf_pages").alias("pdf_page")).distinct()
 
 
+def frozen_pages(samples: DataFrame, sources: DataFrame, release: str, kind: str) -> DataFrame:
+    """sample_pages of a frozen sample (document_id, kind, release, source_sha256, pdf_pages) of this kind, release and these sources.
+
+    A row of another kind or release, or of a source that is not there any more or has changed, raises when it is read."""
+    now = sources.select("document_id", F.col("source_sha256").alias("_now"))
+    held = checked(samples.join(now, "document_id", "left"), F.col("kind").eqNullSafe(F.lit(kind)), "a sample of another kind")
+    held = checked(held, F.upper("release").eqNullSafe(F.lit(release.upper())), "a sample of another release")
+    return sample_pages(checked(held, F.col("source_sha256").eqNullSafe(F.col("_now")) & F.col("_now").isNotNull(), "a sample of another source"))
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The append-only checkpoint log."""
     return spark.read.schema(S.PAGE_STATE).parquet(path)

@@ -138,7 +138,8 @@ def write_corpus(spark: SparkSession, entries: DataFrame, issues: DataFrame, pag
     counts = entries.groupBy("status").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("status", "n")))).alias("entries"))
     codes = issues.groupBy("code").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("code", "n")))).alias("issues"))
     pages = pagemap.agg(F.count("*").alias("pages"), F.count_distinct("document_id").alias("documents"))
-    one = counts.join(codes, F.lit(True)).join(pages, F.lit(True))  # one row each
+    all_of = counts.unionByName(codes, allowMissingColumns=True).unionByName(pages, allowMissingColumns=True)  # one row each
+    one = all_of.agg(*[F.first(c, True).alias(c) for c in ("entries", "issues", "pages", "documents")])
     header = F.lit(f'schema_version: "{S.CORPUS_VERSION}"\nrelease: "{config.release}"\nparser:\n  provider: "{provider.name}"\n  model: "{provider.model}"\n')
     summary = one.select(F.explode(F.array(F.struct(F.lit("summary.json").alias("path"), F.to_json(F.struct("documents", "pages", "entries", "issues")).alias("value")), F.struct(F.lit("corpus.yaml").alias("path"), header.alias("value")))).alias("f"))
     write_files(summary.select("f.*"), folder)

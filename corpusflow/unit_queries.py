@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
 from corpusflow.operators import adapting, assembly, cards, catalog, intervals, navigation, ordered, planning, quality, rendering, sampling, sections, semantics
-from corpusflow.plans import build
+from corpusflow.plans import build, ledger
 from corpusflow.queries import MANUAL, big, manual_pages, query
 from corpusflow.schemas import BLOCK
 from corpusflow.sources import readers, writers
@@ -809,3 +809,20 @@ def q120_token_streams(t):
     end = F.to_json(F.struct(F.struct(*[L(v).alias(k) for k, v in completions.TERMINAL.items()]).alias("error")))
     ends = e.where("conv_id % 4 != 1").groupBy("conv_id").agg(F.count("*").cast("int").alias("seq")).select(s("conv_id"), "seq", end)
     return completions.completions(said.union(ends))
+
+
+@query("""WITH b AS (SELECT o_orderkey, o_orderkey % 7 AS k, o_custkey % 2 AS e, o_orderkey % 3 AS tries FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS document_id, CASE k WHEN 0 THEN 'submit' WHEN 1 THEN 'ask' WHEN 2 THEN 'wait' WHEN 3 THEN CASE WHEN e = 0 THEN 'submit' ELSE 'done' END
+WHEN 4 THEN CASE WHEN tries < 2 THEN 'submit' ELSE 'failed' END WHEN 5 THEN CASE WHEN tries < 2 THEN 'wait' ELSE 'failed' END ELSE 'submit' END AS action FROM b""")
+def q121_job_actions(t):
+    """Batches without a job, with one that is due or not, done (also with an empty page), failed, or of other settings."""
+    o = t("orders").select(s("o_orderkey").alias("document_id"), (F.col("o_orderkey") % 7).cast("int").alias("k"), (F.col("o_custkey") % 2).alias("e"), (F.col("o_orderkey") % 3).cast("int").alias("tries"))
+    batches = o.select("document_id", L(1).alias("batch_id"), L("now").alias("identity"), F.array(L(1), L(2)).alias("pdf_pages"))
+    status = pick(F.col("k"), "none", "submitted", "running", "done", "failed", "failed", "done")
+    due = F.when(F.col("k").isin(2, 5), 101.0).otherwise(99.0)
+    attempts = F.when(F.col("k").isin(4, 5), F.col("tries") + 1).otherwise(1)
+    none = L(None).cast("string")
+    of = lambda version, st, d: o.where("k > 0").select("document_id", L(1).alias("batch_id"), F.when(F.col("k") == 6, "before").otherwise("now").alias("identity"), L(version).alias("version"), st.alias("status"), L("j").alias("job_id"), attempts.cast("int").alias("attempts"), L(0).alias("asked"), d.alias("due"), none.alias("error"), none.alias("result"), L("w").alias("writer"))
+    held = of(1, L("submitted"), L(0.0)).union(of(2, status, due))
+    empty = o.where("e = 0").select("document_id", L(2).alias("pdf_page"))
+    return ledger.actions(batches, held, L(100.0), empty).select("document_id", "action")

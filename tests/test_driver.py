@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 from echo_provider import Lines
+from pyspark.sql import functions as F
 
 from corpusflow import __main__ as cli
 from corpusflow.operators import quality
@@ -206,3 +207,87 @@ Purpose: to set it
     assert gates == {"keyword-volume-1": True, "theory": True} and spark.read.parquet(f"{tmp_path}/navigation/contract").count() == 0
     layers = {(r["document_id"], r["pdf_page"]): r["code"] for r in spark.read.parquet(f"{tmp_path}/text_layers").collect()}
     assert layers["keyword-volume-1", 3] == "TEXT_LAYER_DIVERGENCE" and layers["theory", 2] is None
+    # what a person should look at, and a matrix whose reviews a later one takes over
+    out = str(tmp_path)
+    assert cli.main(["detect", "--build", out, "--out", f"{out}/found"], spark) == 0
+    summary = {(r["kind"], r["name"]): r["n"] for r in spark.read.parquet(f"{out}/found/summary").collect()}
+    assert summary["status", "success"] + summary["status", "warning"] == 5 and summary["issue", "TEXT_LAYER_DIVERGENCE"] == 1
+    assert cli.main(["regression", "--build", f"R9={out}", "--out", f"{out}/m1"], spark) == 1
+    matrix = spark.read.parquet(f"{out}/m1/matrix")
+    rows = {r["document_id"]: r for r in matrix.collect()}
+    assert set(rows) == set(TWO) and rows["keyword-volume-1"]["review_pages"] == [1, 2, 3, 4] and "TEXT_LAYER_DIVERGENCE" in rows["keyword-volume-1"]["issue_codes"]
+    reviewed = matrix.drop("review").withColumn("review", F.lit("reviewed"))
+    reviewed.write.parquet(f"{out}/base")
+    assert cli.main(["regression", "--build", f"R9={out}", "--out", f"{out}/m2", "--baseline", f"{out}/base"], spark) == 0
+    changed = reviewed.withColumn("source_sha256", F.when(F.col("document_id") == "theory", "other").otherwise(F.col("source_sha256")))
+    changed.write.parquet(f"{out}/changed")
+    assert cli.main(["regression", "--build", f"R9={out}", "--out", f"{out}/m3", "--baseline", f"{out}/changed"], spark) == 1
+
+
+def test_a_log_folds_to_the_latest_rows(spark, tmp_path):
+    path = f"{tmp_path}/state"
+    assert driver.fold_state(spark, path) is False
+    for stage in range(1, 6):
+        rows = spark.createDataFrame([("d", p, f"s{stage}", stage) for p in range(1, 9) if p % stage == 0], "document_id string, pdf_page int, status string, empty_parse_attempts int")
+        driver.log_state(rows.repartition(4), path, stage)
+    show = lambda: sorted((r["pdf_page"], r["status"], r["empty_parse_attempts"]) for r in driver.state_of(spark, path).collect())
+    before, files = show(), len(list(Path(path).glob("part-*")))
+    assert driver.fold_state(spark, path, most_files=files) is False
+    assert driver.fold_state(spark, path, most_files=3) is True and show() == before == [(p, f"s{max(k for k in range(1, 6) if p % k == 0)}", max(k for k in range(1, 6) if p % k == 0)) for p in range(1, 9)]
+    assert len(list(Path(path).glob("part-*"))) < files and driver.next_stage(spark, path) == 7
+
+
+def test_preflight_tells_what_is_missing(spark, tmp_path):
+    from corpusflow.plans import build as stages
+
+    config = lambda **k: readers.BuildConfig(release="R9", input_dir=str(tmp_path / "in"), output_dir=str(tmp_path / "out"), **k)
+    told = lambda c: {name: status for name, status, _ in stages.preflight(spark, c)}
+    assert told(config())["input"] == told(config())["documents"] == "failed"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/manual_vol_i_R9.pdf").write_bytes(b"%PDF")
+    good = told(config(api_key="k", job_url="https://x"))
+    assert {k: v for k, v in good.items() if k != "checkpoint"} == dict.fromkeys(("release", "pages", "input", "documents", "output", "credentials", "jobs"), "ok")
+    bad = told(config(baseline=str(tmp_path / "none")))
+    assert (bad["baseline"], bad["credentials"], bad["jobs"]) == ("failed", "warning", "warning")
+
+
+class Shouting:
+    """Another adapter: the layouts' texts in capitals."""
+
+    def __init__(self, version):
+        self.version = version
+
+    def identity(self):
+        return f"shouting/{self.version}"
+
+    def adapt(self, raw):
+        from corpusflow.operators import adapting
+
+        return adapting.page_blocks(raw).withColumn("blocks", F.transform("blocks", lambda b: b.withField("text", F.upper(b["text"]))))
+
+
+def test_a_new_adapter_has_its_pages_adapted_again_and_no_others(spark, tmp_path):
+    from corpusflow.plans import build as stages
+
+    out, quiet = str(tmp_path), driver.Progress(lambda line: None)
+    rows = [(d, p, "sha") for d in ("a1", "b1") for p in (1, 2)]
+    plan = spark.createDataFrame(rows, "document_id string, pdf_page int, source_sha256 string")
+    page_text = plan.select("document_id", "pdf_page", F.lit("some text").alias("text"))
+    texts = {(d, p): f"{d} page {p}" for d, p, _ in rows}
+
+    def run(provider, *adapters):
+        driver.run_parsing(spark, plan, page_text, provider, out, quiet, adapter=stages.ByDocument(adapters))
+        spark.catalog.clearCache()
+        pages = spark.read.parquet(f"{out}/page_ir")
+        last = {(r["document_id"], r["pdf_page"]): (r["stage"], r["blocks"][0]["text"]) for r in pages.orderBy("stage").collect()}
+        assert {r["status"] for r in driver.state_of(spark, f"{out}/state").collect()} == {"done"}
+        return pages.count(), last
+
+    n, first = run(Lines(texts))
+    assert n == 4 and first["a1", 1][1] == "a1 page 1"
+    assert run(Lines({})) == (n, first)
+    n, second = run(Lines({}), ("b", Shouting(1)))  # nothing is recognised again
+    assert n == 6 and {k: v for k, v in second.items() if k[0] == "a1"} == {k: v for k, v in first.items() if k[0] == "a1"} and second["b1", 2][1] == "B1 PAGE 2"
+    assert run(Lines({}), ("b", Shouting(1))) == (n, second)
+    n, third = run(Lines({}), ("b", Shouting(2)))
+    assert n == 8 and third["b1", 1][0] > second["b1", 1][0] and third["a1", 1] == first["a1", 1]

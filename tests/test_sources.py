@@ -89,3 +89,13 @@ def test_skipped_issue_lines_are_counted(spark, tmp_path):
     (tmp_path / "b.jsonl").write_text('{"severity":"info","code":"Z"}\n')
     got = {r["file"][-7:]: r["skipped"] for r in readers.skipped_issues(spark, str(tmp_path)).collect()}
     assert got == {"a.jsonl": 3} and readers.read_issues(spark, str(tmp_path)).count() == 2
+
+
+def test_frozen_samples_are_of_this_kind_release_and_source(spark):
+    schema = "document_id string, kind string, release string, source_sha256 string, pdf_pages array<int>"
+    good = spark.createDataFrame([("a", "keyword", "r9", "x", [1, 2]), ("a", "keyword", "R9", "x", [2, 3])], schema)
+    sources = spark.createDataFrame([("a", "x"), ("b", "y")], "document_id string, source_sha256 string")
+    assert sorted(tuple(r) for r in readers.frozen_pages(good, sources, "R9", "keyword").collect()) == [("a", 1), ("a", 2), ("a", 3)]
+    for row, message in ((("a", "theory", "R9", "x", [1]), "another kind"), (("a", "keyword", "R8", "x", [1]), "another release"), (("a", "keyword", "R9", "y", [1]), "another source"), (("c", "keyword", "R9", None, [1]), "another source")):
+        with pytest.raises(Exception, match=message):
+            readers.frozen_pages(good.union(spark.createDataFrame([row], schema)), sources, "R9", "keyword").collect()

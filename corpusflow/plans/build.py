@@ -282,12 +282,13 @@ def preflight(spark, config) -> list[tuple[str, str, str]]:
     out.append(("pages", "ok" if config.start_page >= 1 and (last is None or last >= config.start_page) else "failed", f"{config.start_page} to {last or 'the end'}"))
     there = exists(spark, config.input_dir)
     out.append(("input", "ok" if there else "failed", config.input_dir))
+    lacking = "failed" if config.documents else "warning"  # a folder may be filled later, a list of documents may not
     try:
         found = readers.explicit_documents(spark, config) if config.documents else readers.discover(readers.source_files(spark, config.input_dir), config.release, config.file_prefix) if there else None
         n = found.count() if found is not None else 0
-        out.append(("documents", "ok" if n else "failed", f"{n} documents"))
+        out.append(("documents", "ok" if n else lacking, f"{n} documents"))
     except Exception as error:  # noqa: BLE001  (whatever is wrong with them is what the check is for)
-        out.append(("documents", "failed", str(error).split("\n")[0][:200]))
+        out.append(("documents", lacking, str(error).split("\n")[0][:200]))
     parent = config.output_dir.rstrip("/").rsplit("/", 1)[0] if "/" in config.output_dir.rstrip("/") else "."
     out.append(("output", "ok" if exists(spark, config.output_dir) or exists(spark, parent or "/") else "failed", config.output_dir))
     if config.provider == "remote":

@@ -1,10 +1,7 @@
-"""Meaning of a section's blocks: buckets, cards and their fields, variables and their families."""
+"""Meaning of a section's blocks: buckets, cards and their fields, variables; their families are in catalog."""
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,54 +92,6 @@ def numbered_family(labels: DataFrame, catalog: DataFrame, prefix: str, name: st
     return met.groupBy(prefix).agg(F.transform(F.sort_array(F.collect_set(F.struct("_no", "member"))), lambda x: x["member"]).alias("members"))
 
 
-def expand_family(label: str, catalog: list[str]) -> list[str]:
-    """The variables that one description label stands for: the first rule that yields any wins.
-
-    `P[N]S` any number, `P[X,Y]` these endings, `P1, P2, ...` a list run on, `PI`/`PN`/`PIJ` an index at the end.
-    """
-    key = re.sub(r"\s+", "", label).upper()
-    known = {c.upper(): c for c in catalog}
-
-    def numbered(head: str, tail: str = "", digits: str = r"\d+") -> list[str]:
-        found = [(tuple(map(int, re.findall(r"\d+", k[len(head) :]))), v) for k, v in known.items() if re.fullmatch(re.escape(head) + digits + re.escape(tail), k)]
-        return [v for _, v in sorted(found)]
-
-    m = re.fullmatch(r"(\w*)\[([^\]]+)\](\w*)", key)
-    if m:
-        if "," in m[2]:
-            found = [known[m[1] + x + m[3]] for x in m[2].split(",") if m[1] + x + m[3] in known]
-        else:
-            found = numbered(m[1], m[3]) if len(m[2]) == 1 else []
-        if found:
-            return found
-    parts = [p for p in key.split(",") if p]
-    if len(parts) > 1:
-        dotted = any(set(p) <= {".", "…"} for p in parts)
-        named = [p for p in parts if not set(p) <= {".", "…"}]
-        heads = {re.sub(r"\d+$", "", p) for p in named}
-        if dotted and len(heads) == 1 and (found := numbered(heads.pop())):
-            first = int(re.search(r"\d+$", named[0])[0]) if re.search(r"\d+$", named[0]) else 0
-            return [f for f in found if int(re.search(r"\d+$", f)[0]) >= first]
-        if found := [known[p] for p in named if p in known]:
-            return found
-    for tail, digits in (("IJ", r"\d\d"), ("I", r"\d+"), ("N", r"\d+")):
-        if key.endswith(tail) and len(key) > len(tail) and (found := numbered(key[: -len(tail)], digits=digits)):
-            return found
-    return []
-
-
-def expand_families(labels: DataFrame, catalog: DataFrame, section: list[str], label: str = "label", name: str = "variable") -> DataFrame:
-    """(section, label, members) by the whole cascade, section by section."""
-    kinds = ", ".join(f"{c} {labels.schema[c].dataType.simpleString()}" for c in section)
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = list(dict.fromkeys(right[name].dropna())) if len(right) else []
-        out = left.drop_duplicates([*section, label])
-        return out[[*section, label]].assign(members=[expand_family(x, names) for x in out[label]])
-
-    return labels.groupBy(*section).cogroup(catalog.groupBy(*section)).applyInPandas(run, f"{kinds}, {label} string, members array<string>")
-
-
 def variable_ranges(rows: DataFrame, table: list[str], order: list[str], variable: str = "variable", label: str = "label") -> DataFrame:
     """Rows of description tables by the variable they describe: (table, variable, row_start, row_end) of each run.
 

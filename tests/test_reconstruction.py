@@ -7,7 +7,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corpusflow.operators import adapting, assembly, ordered, quality, rendering, sampling, semantics
+from corpusflow.operators import adapting, assembly, catalog, ordered, quality, rendering, sampling, semantics
 from corpusflow.plans import build
 from corpusflow.sources import readers, writers
 from corpusflow.streaming import state
@@ -83,17 +83,13 @@ def test_every_block_has_one_bucket(spark):
     assert [r["bucket"] for r in out] == ["ignored", "title", "general", "purpose", "purpose", "remarks_label", "remarks", "remarks", "references_label", "references"]
 
 
-def test_families():
+def test_families(spark):
     names = ["P1", "P2", "P10", "AX", "AY", "AZ", "K11", "K12", "Q"]
-    assert semantics.expand_family("P[N]", names) == ["P1", "P2", "P10"] and semantics.expand_family("A[X, Y]", names) == ["AX", "AY"]
-    assert semantics.expand_family("P2, ...", names) == ["P2", "P10"] and semantics.expand_family("AX, Q", names) == ["AX", "Q"]
-    assert semantics.expand_family("Kij", names) == ["K11", "K12"] and semantics.expand_family("Pi", names) == ["P1", "P2", "P10"] and semantics.expand_family("ZZ", names) == []
-
-
-def test_families_by_section(spark):
-    labels = spark.createDataFrame([("a", "P[N]"), ("b", "P[N]")], "s string, label string")
-    catalog = spark.createDataFrame([("a", "P1"), ("a", "P2"), ("b", "Q")], "s string, variable string")
-    assert {r["s"]: r["members"] for r in semantics.expand_families(labels, catalog, ["s"]).collect()} == {"a": ["P1", "P2"], "b": []}
+    want = {"P[N]": ["P1", "P2", "P10"], "A[X, Y]": ["AX", "AY"], "P2, P10, ...": ["P1", "P2", "P10"], "AX, Q": ["AX", "Q"], "Kij": ["K11", "K12"], "Pi": ["P1", "P2", "P10"]}
+    of = lambda held: spark.createDataFrame([(s, i, v) for s, vs in held.items() for i, v in enumerate(vs)], "s string, i int, variable string")
+    labels = spark.createDataFrame([("a", x) for x in [*want, "ZZ"]] + [("b", "P[N]")], "s string, label string")
+    index = catalog.build_index(of({"a": names, "b": ["Q"]}), ["s"], ["i"])
+    assert {(r["s"], r["label"]): r["members"] for r in catalog.families(labels, index, ["s"]).collect()} == {("a", k): v for k, v in want.items()}
 
 
 def test_variable_tables(spark):

@@ -14,9 +14,15 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
 
+#: Forms of the notation (fixed values): names, operators that end the names at a line's start, labels of families with any number, with
+#: axes and with an index in words, and the words for values behind a heading.
 NAME = r"[A-Za-z][A-Za-z0-9_-]*"
-#: Operators that end the names at a line's start (fixed values of the notation).
 OPERATOR = r"(?i)\b(?:EQ|NE|GE|GT|LE|LT)\."
+BRACKET = r"(?i)^([A-Za-z_]+)\[N\]([A-Za-z_]*)$"
+AXES = r"(?i)^([A-Za-z][A-Za-z_-]*?)(?:\[)?([XYZ](?:\s*,\s*[XYZ])+)\]$"
+INDEXED = r"(?is)\bi\s*(?:\^\s*\{?\s*th\s*\}?|th)[^\n]*\bparameters?\b"
+VALUE_WORDS = r"(?i)\s+(?:values?|attributes?)\s*$"
+#: A key with a number in it: what stands before, the number, what stands behind.
 NUMBERED = r"^([^0-9]+)([0-9]+)([^0-9]*)$"
 
 
@@ -66,7 +72,7 @@ def heading_forms(text: Column) -> Column:
     formula = bare.rlike(r"(?s)^\$.*\$$") & ~bare.rlike(r"=|\+|/|\\(?:times|frac|left|right)\b")
     inner = F.regexp_replace(X.strip(F.regexp_replace(bare, r"^\$+|\$+$", "")), r"[,;:]+$", "")
     inner = F.regexp_replace(F.regexp_replace(inner, r"\\(?:mathrm|rm)\b", ""), r"[{}_^\s]", "")
-    short = F.regexp_replace(F.regexp_replace(text, r"\s*\([^)]*\)\s*$", ""), r"(?i)\s+(?:values?|attributes?)\s*$", "")
+    short = F.regexp_replace(F.regexp_replace(text, r"\s*\([^)]*\)\s*$", ""), VALUE_WORDS, "")
     return F.filter(F.array(text, F.when(formula & inner.rlike(r"^[A-Za-z][A-Za-z0-9]*$"), inner), short), lambda x: x.isNotNull())
 
 
@@ -125,7 +131,6 @@ def families(labels: DataFrame, index: DataFrame, scope: list[str], label: str =
     text = X.strip(label)
     wanted = labels.where(F.col(label).isNotNull()).select(*scope, F.col(label)).distinct()
     head = lambda p, k: X.variable_key(F.regexp_extract(text, p, k))
-    bracket, axes = r"(?i)^([A-Za-z_]+)\[N\]([A-Za-z_]*)$", r"(?i)^([A-Za-z][A-Za-z_-]*?)(?:\[)?([XYZ](?:\s*,\s*[XYZ])+)\]$"
     dots = F.contains(F.col(label), F.lit("..."))
     listed = _tokens_of(F.col(label))
     keys = F.transform(listed, X.variable_key)
@@ -136,7 +141,7 @@ def families(labels: DataFrame, index: DataFrame, scope: list[str], label: str =
     family = lambda rule, h, t: F.struct(F.lit(rule).alias("rule"), h.alias("head"), t.alias("tail"))
     none = F.array().cast("array<struct<rule:int,head:string,tail:string>>")
     of_head = F.concat(
-        F.when(text.rlike(bracket), F.array(family(1, head(bracket, 1), head(bracket, 2)))).otherwise(none),
+        F.when(text.rlike(BRACKET), F.array(family(1, head(BRACKET, 1), head(BRACKET, 2)))).otherwise(none),
         F.when(dots & (F.size(listed) >= 2) & (F.size(heads) == 1) & (F.get(heads, F.lit(0)) != ""), F.array(family(5, F.get(heads, F.lit(0)), F.lit("")))).otherwise(none),
         F.transform(ends, lambda h: family(6, h, F.lit(""))),
     )
@@ -146,12 +151,12 @@ def families(labels: DataFrame, index: DataFrame, scope: list[str], label: str =
     # rule 3: the only family of two or more
     several = members.where("tail = ''").where(F.col("head").rlike("^[A-Z_]+$")).groupBy(*scope, "head", "tail").agg(F.count("*").alias("_n")).where("_n > 1")
     only = several.groupBy(*scope).agg(F.count("*").alias("_k"), F.first("head").alias("head")).where("_k = 1").select(*scope, "head", F.lit("").alias("tail"))
-    indexed = wanted.where(F.col(label).rlike(r"(?is)\bi\s*(?:\^\s*\{?\s*th\s*\}?|th)[^\n]*\bparameters?\b"))
+    indexed = wanted.where(F.col(label).rlike(INDEXED))
     third = indexed.join(only, scope).join(members, [*scope, "head", "tail"]).select(*scope, label, F.lit(3).alias("rule"), "member")
     # rules 2 and 4: names that are all looked up
-    ax = F.regexp_extract_all(F.regexp_extract(text, axes, 2), F.lit("(?i)[XYZ]"), 0)
+    ax = F.regexp_extract_all(F.regexp_extract(text, AXES, 2), F.lit("(?i)[XYZ]"), 0)
     named = lambda rule, tokens: F.struct(F.lit(rule).alias("rule"), tokens.alias("tokens"))
-    lists = F.filter(F.array(F.when(text.rlike(axes), named(2, F.transform(ax, lambda a: F.concat(F.regexp_extract(text, axes, 1), a)))), F.when(F.size(listed) >= 2, named(4, listed))), lambda x: x.isNotNull())
+    lists = F.filter(F.array(F.when(text.rlike(AXES), named(2, F.transform(ax, lambda a: F.concat(F.regexp_extract(text, AXES, 1), a)))), F.when(F.size(listed) >= 2, named(4, listed))), lambda x: x.isNotNull())
     tokens = wanted.select(*scope, label, dots.alias("_dots"), F.explode(lists).alias("_l")).select(*scope, label, "_dots", "_l.rule", F.posexplode("_l.tokens").alias("_at", "_token"))
     tokens = tokens.withColumn("key", X.variable_key(F.col("_token")))
     met = tokens.join(lookup(tokens, index, scope), [*scope, "key"], "left")

@@ -27,10 +27,11 @@ HEADINGS = (
     (r"(?i)^card\s+summary\s*:?\s*$", "cards", "card_intro"),
     (r"(?i)^data\s+card\s+definitions\s*:?\s*$", "cards", "card_intro"),
 )
+#: Labels of the last regions, and of cards (fixed values of the notation).
 LAST = (("references", r"(?i)^references\s*:?$"), ("remarks", r"(?i)^remarks\s*:?$"))
 CARD = r"(?i)^card\s+(\d+[a-z]?(?:\.\d+[a-z]?)*)\b"
 NAMED_CARD = r"(?is)^.+\s+card\.\s+.*$"
-#: A text of this form that names no variable is reported.
+#: A text of this form that names no variable is reported (fixed value).
 TITLE_TEXT = r"^[A-Za-z][A-Za-z0-9_]{1,31}$"
 #: Buckets by the part of an entry that shows them (fixed values).
 PARTS = {

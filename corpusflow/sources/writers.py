@@ -39,7 +39,9 @@ def settled(df: DataFrame) -> DataFrame:
     """df, made once and kept in the folder of spark.checkpoint.dir, for results that are read many times over.
 
     Where that is unset, a session in one process (master local) gets a folder of its own; on any other master that is an error."""
-    context = df.sparkSession.sparkContext
+    context, named = df.sparkSession.sparkContext, df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None and named:
+        context.setCheckpointDir(named)
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")

@@ -124,7 +124,8 @@ def opening_titles(specs: DataFrame, pages: DataFrame, partition: list[str]) ->
 
     A document's entry is met by a line that begins with its name up to a colon, whatever the case, at the end of a word. A numbered entry
     (section_number) is met where its number opens a line and number and title begin the next lines, up to four, a hyphen at a
-    line's end closing up. Lines and entries meet by their first word, so that no page is held against all entries."""
+    line's end closing up. Lines and entries meet by their first word, so that no page is held against all entries. Both sides grow with the
+    documents, and many entries can come of small files: the joins are hinted, so that no side is sent to all tasks."""
     numbered = F.col("section_number").isNotNull()
     short = lambda c: F.regexp_replace(c, r"-\s+", "-")
     name = X.title_key(F.col("name"))
@@ -136,9 +137,9 @@ def opening_titles(specs: DataFrame, pages: DataFrame, partition: list[str]) ->
     seen = own.withColumns({"_line": line, "_word": F.split_part(line, F.lit(" "), F.lit(1))})
     run = lambda last: short(F.array_join(F.transform(F.slice("lines", F.col("_at") + 1, F.greatest(last, F.lit(1))), X.collapse), " "))
     opens = lambda text: (text == F.col("_title")) | F.startswith(text, F.concat("_title", F.lit(" ")))
-    by_number = seen.select(*partition, "pdf_page", "_at", "_word", run(F.lit(4)).alias("_run"), run(F.least(F.lit(4), F.lit(5) - F.col("_at"))).alias("_top")).join(wanted.where("_numbered"), [*partition, "_word"])
+    by_number = seen.select(*partition, "pdf_page", "_at", "_word", run(F.lit(4)).alias("_run"), run(F.least(F.lit(4), F.lit(5) - F.col("_at"))).alias("_top")).join(wanted.where("_numbered").hint("merge"), [*partition, "_word"])
     found = by_number.where(opens(F.col("_run"))).select(*partition, "ord", "pdf_page", (opens(F.col("_top")) & (F.col("_at") <= 4)).alias("strong"))
-    low = seen.select(*partition, "pdf_page", "_at", F.lower("_line").alias("_line")).withColumn("_word", _first_word(F.col("_line"))).join(wanted.where("not _numbered"), [*partition, "_word"])
+    low = seen.select(*partition, "pdf_page", "_at", F.lower("_line").alias("_line")).withColumn("_word", _first_word(F.col("_line"))).join(wanted.where("not _numbered").hint("merge"), [*partition, "_word"])
     after = F.substring(F.col("_line"), F.length("_title") + 1, F.lit(1))
     fits = F.startswith("_line", F.col("_title")) & ((after == "") | after.rlike(r"[\s.:]"))
     return found.union(low.where(fits).select(*partition, "ord", "pdf_page", F.col("_at") <= 4))

@@ -11,3 +11,12 @@ def plan(df) -> str:
 
 def test_opening_titles_send_no_entries_to_all_tasks(spark):
     assert "Broadcast" not in plan(queries.QUERIES["q111_opening_titles"](spark, SF))
+
+
+def test_customers_without_orders_have_no_worst_severity(spark):
+    tables = {
+        "customer": spark.createDataFrame([(1,), (2,), (3,), (4,)], "c_custkey long"),
+        "orders": spark.createDataFrame([(1, "O"), (1, "P"), (2, "F"), (3, "O")], "o_custkey long, o_orderstatus string"),
+    }
+    got = queries.q12_status_rollup(tables.__getitem__).collect()
+    assert sorted(map(tuple, got)) == [(1, "warning", "warning"), (2, "error", "warning"), (3, "info", "success"), (4, None, "failed")]

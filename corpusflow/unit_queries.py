@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions import text as X
 from corpusflow.operators import adapting, assembly, cards, catalog, intervals, navigation, ordered, planning, quality, rendering, sampling, sections, semantics
 from corpusflow.plans import build, ledger
-from corpusflow.queries import MANUAL, big, manual_pages, query
+from corpusflow.queries import MANUAL, big, manual_pages, query, spread
 from corpusflow.schemas import BLOCK
 from corpusflow.sources import readers, writers
 from corpusflow.streaming import completions
@@ -786,7 +786,8 @@ def q119_pdf_slices(t):
     tree = F.concat(L("%PDF-1.7 1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj 2 0 obj << /Type /Pages /Kids ["), kids, L("] >> endobj "))
     file = F.concat(tree, F.array_join(F.transform(numbers, page), ""), L("trailer << /Root 1 0 R >>"))
     wanted = F.array_distinct(F.array(n.cast("int"), L(1)))
-    cut = readers.sliced(t("part").select("p_partkey", file.cast("binary").alias("content"), wanted.alias("pages")))
+    parts = spread(t("part").select("p_partkey", "p_name", "p_size"), "p_partkey")
+    cut = readers.sliced(parts.select("p_partkey", file.cast("binary").alias("content"), wanted.alias("pages")))
     out = readers.pages_of(cut.select("p_partkey", "slice"), ["p_partkey"], "slice")
     return out.select("p_partkey", "pdf_page", "page_count", "rotate", F.col("content").cast("string").alias("content"))
 

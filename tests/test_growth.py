@@ -1,5 +1,7 @@
 """What only shows on larger tables: joins whose sides grow, keys without a partner, work a row."""
 
+import pytest
+
 from corpusflow import queries, unit_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -20,3 +22,8 @@ def test_customers_without_orders_have_no_worst_severity(spark):
     }
     got = queries.q12_status_rollup(tables.__getitem__).collect()
     assert sorted(map(tuple, got)) == [(1, "warning", "warning"), (2, "error", "warning"), (3, "info", "success"), (4, None, "failed")]
+
+
+@pytest.mark.parametrize("name", ["q119_pdf_slices"])
+def test_long_work_on_a_small_file_is_dealt_to_tasks(spark, name):
+    assert queries.QUERIES[name](spark, SF).rdd.getNumPartitions() == 4

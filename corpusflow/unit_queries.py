@@ -608,7 +608,7 @@ def q105_feature_flags(t):
         many(3, lambda i: L("variable and description")), many(7, lambda i: L("\\frac")), many(6, lambda i: F.concat(L("Fig. "), s(i))),
     )
     flags, counts = sampling.feature_flags(pages, key() % 3 != 1, key() % 3 == 2, n % 2 == 0)
-    return t("part").select("p_partkey", F.array_join(flags, ",").alias("flags"), *[counts[c].cast("int").alias(c) for c in ("cards", "conditions", "figures", "formulas")])
+    return spread(t("part").select("p_partkey", "p_size"), "p_partkey").select("p_partkey", F.array_join(flags, ",").alias("flags"), *[counts[c].cast("int").alias(c) for c in ("cards", "conditions", "figures", "formulas")])
 
 
 @query("""SELECT doc_id, doc_id % 13 = 0 AS anchor FROM documents WHERE doc_id % 10 = 0 OR doc_id % 13 = 0 UNION ALL SELECT -item_id - 1, NULL FROM benchmark""")

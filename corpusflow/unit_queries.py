@@ -534,7 +534,7 @@ def q99_definition_fields(t):
         F.array(head, F.array(L("Variable Type Default"), v, L("W")), F.array(L("I"), L("F")), F.array(L("7"), L(" ")), F.array(L("Variable"), L("a"), L("b"))),
         F.array(head, types),
     )
-    out = cards.definition_fields(t("part").select("p_partkey", rows.alias("rows")))
+    out = cards.definition_fields(spread(t("part").select("p_partkey", "p_size"), "p_partkey").select("p_partkey", rows.alias("rows")))
     shown = F.transform("fields", lambda f: F.concat_ws("/", *[F.coalesce(f[c], L("-")) for c in ("variable", "field_type", "default")]))
     return out.select("p_partkey", F.array_join(shown, ",").alias("fields"), F.array_join("codes", ",").alias("codes"))
 

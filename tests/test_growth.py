@@ -24,6 +24,6 @@ def test_customers_without_orders_have_no_worst_severity(spark):
     assert sorted(map(tuple, got)) == [(1, "warning", "warning"), (2, "error", "warning"), (3, "info", "success"), (4, None, "failed")]
 
 
-@pytest.mark.parametrize("name", ["q119_pdf_slices", "q105_feature_flags"])
+@pytest.mark.parametrize("name", ["q119_pdf_slices", "q105_feature_flags", "q99_definition_fields"])
 def test_long_work_on_a_small_file_is_dealt_to_tasks(spark, name):
     assert queries.QUERIES[name](spark, SF).rdd.getNumPartitions() == 4

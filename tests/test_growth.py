@@ -3,6 +3,7 @@
 import pytest
 
 from corpusflow import queries, unit_queries  # noqa: F401
+from corpusflow.operators import quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,3 +28,10 @@ def test_customers_without_orders_have_no_worst_severity(spark):
 @pytest.mark.parametrize("name", ["q119_pdf_slices", "q105_feature_flags", "q99_definition_fields"])
 def test_long_work_on_a_small_file_is_dealt_to_tasks(spark, name):
     assert queries.QUERIES[name](spark, SF).rdd.getNumPartitions() == 4
+
+
+def test_runs_of_tokens_are_made_once_a_text(spark):
+    texts = spark.createDataFrame([(1, "a b c d"), (2, "a b"), (3, None), (4, "x a b c")], "k long, text string")
+    runs = quality.token_runs(texts, "k", "text", 3)
+    assert runs._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert sorted(map(tuple, runs.collect())) == [(1, "a b c"), (1, "b c d"), (4, "a b c"), (4, "x a b")]

@@ -35,3 +35,10 @@ def test_runs_of_tokens_are_made_once_a_text(spark):
     runs = quality.token_runs(texts, "k", "text", 3)
     assert runs._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
     assert sorted(map(tuple, runs.collect())) == [(1, "a b c"), (1, "b c d"), (4, "a b c"), (4, "x a b")]
+
+
+def test_tokens_are_listed_once_a_text(spark):
+    texts = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None)], "k long, text string")
+    table = quality.token_table(texts, ["k"], "text")
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert sorted(map(tuple, table.collect())) == [(1, "a", 2, 0), (1, "b", 1, 1)]

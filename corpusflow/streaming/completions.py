@@ -128,11 +128,20 @@ def sampled(event: dict) -> bytes:
         score = held["logprob"]
         need(type(score) in (int, float) and math.isfinite(score), "SCORE_INVALID")
         need(isinstance(held["token"], str), "PROBABILITY_FIELDS")
-        need(isinstance(held["bytes"], list) and all(whole(b) and b < 256 for b in held["bytes"]), "BYTES_INVALID")
+        octets(held["bytes"])
     need(all(found[0][k] == top[0][k] for k in ("token", "logprob", "bytes")), "TOP_TOKEN_DIFFERS")
     return bytes(found[0]["bytes"])
 
 
+def octets(value) -> bytes:
+    """A list of whole numbers below 256 as bytes."""
+    need(isinstance(value, list) and set(map(type, value)) <= {int}, "BYTES_INVALID")
+    try:
+        return bytes(value)
+    except (OverflowError, ValueError) as error:
+        raise Refused("BYTES_INVALID") from error
+
+
 def completions(events: DataFrame, terminal: dict | None = None, most_tokens: int = 1 << 20) -> DataFrame:
     """(completion_id, content, tokens, code) of the completions of a table of events."""
     end = terminal or TERMINAL

@@ -799,8 +799,8 @@ def q120_token_streams(t):
     """Conversations as streams of token events, a turn a token: whole ones, ones without an end, with another prompt, or counted from 2."""
     k = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     e = t("conversations").select("conv_id", F.coalesce("text", L("")).alias("text"), k.alias("k"))
-    byte = lambda i: F.conv(F.substring(F.hex(F.encode("text", "UTF-8")), i * 2 - 1, L(2)), 16, 10).cast("int")
-    held = [L(7).alias("id"), F.col("text").alias("token"), F.when(F.octet_length("text") > 0, F.transform(F.sequence(L(1), F.octet_length("text")), byte)).otherwise(F.array().cast("array<int>")).alias("bytes"), L(-0.5).alias("logprob")]
+    e = e.withColumn("bytes", F.transform(F.regexp_extract_all(F.hex(F.encode("text", "UTF-8")), L(".."), 0), lambda x: F.conv(x, 16, 10).cast("int")))
+    held = [L(7).alias("id"), F.col("text").alias("token"), F.col("bytes"), L(-0.5).alias("logprob")]
     kind = F.col("conv_id") % 4
     event = F.struct(
         L(0).alias("index"), F.col("text").alias("content"), F.array(L(7)).alias("tokens"), L(False).alias("stop"), (F.col("k") + (kind == 3).cast("int")).alias("tokens_predicted"),

@@ -4,6 +4,7 @@ import pytest
 
 from corpusflow import queries, unit_queries  # noqa: F401
 from corpusflow.operators import quality
+from corpusflow.streaming import completions
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +43,14 @@ def test_tokens_are_listed_once_a_text(spark):
     table = quality.token_table(texts, ["k"], "text")
     assert table._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
     assert sorted(map(tuple, table.collect())) == [(1, "a", 2, 0), (1, "b", 1, 1)]
+
+
+def test_bytes_of_a_turn_are_listed_without_its_text_a_byte(spark):
+    assert "substring(hex(" not in plan(queries.QUERIES["q120_token_streams"](spark, SF)).lower()
+
+
+@pytest.mark.parametrize("value", [[256], [-1], [True], [1.0], ["1"], [None], 10 * [1 << 70], "ab", None])
+def test_bytes_of_a_token_are_whole_numbers_below_256(value):
+    with pytest.raises(completions.Refused, match="BYTES_INVALID"):
+        completions.octets(value)
+    assert completions.octets([0, 255]) == b"\x00\xff" and completions.octets([]) == b""

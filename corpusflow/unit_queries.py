@@ -507,7 +507,8 @@ r AS (SELECT d, n, f, row_number() OVER (PARTITION BY d ORDER BY n) - 1 AS row,
 
 def card_tables(t) -> DataFrame:
     """An order's lines as rows of a table: cards, rows that number slots (for even keys), rows of variables and others."""
-    one = t("lineitem").groupBy(F.col("l_orderkey").alias("d"), F.col("l_linenumber").alias("n")).agg(F.min("l_returnflag").alias("f"))
+    lines = spread(t("lineitem").select(F.col("l_orderkey").alias("d"), F.col("l_linenumber").alias("n"), "l_returnflag"), "d")
+    one = lines.groupBy("d", "n").agg(F.min("l_returnflag").alias("f"))
     w = Window.partitionBy("d").orderBy("n")
     n = F.col("n")
     cells = F.when(n % 4 == 1, F.array(F.concat(L("Card "), s(n), L(":")), L("1"), L("2"))).when((n % 4 == 3) & (F.col("d") % 2 == 0), F.array(F.concat(L("Slots "), s(n)), L("1"), L(" 2 "), L(" "))).when(n % 4 == 2, F.array(L("Variable"), F.concat(L("V"), s(n)), F.col("f"))).otherwise(F.array(L("Type"), L("I"), L("F")))

@@ -54,3 +54,8 @@ def test_bytes_of_a_token_are_whole_numbers_below_256(value):
     with pytest.raises(completions.Refused, match="BYTES_INVALID"):
         completions.octets(value)
     assert completions.octets([0, 255]) == b"\x00\xff" and completions.octets([]) == b""
+
+
+def test_card_tables_are_grouped_where_their_lines_lie(spark):
+    shown = plan(queries.QUERIES["q98_card_regions"](spark, SF))
+    assert shown.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in shown

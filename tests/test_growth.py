@@ -1,5 +1,6 @@
 """What only shows on larger tables: joins whose sides grow, keys without a partner, work a row."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +40,31 @@ def test_runs_of_tokens_are_made_once_a_text(spark):
     assert sorted(map(tuple, runs.collect())) == [(1, "a b c"), (1, "b c d"), (4, "a b c"), (4, "x a b")]
 
 
+def test_only_the_smaller_tables_runs_are_all_made_rows(spark):
+    a = spark.createDataFrame([(1, "a b c d"), (2, "x.y Z-1 a b c"), (3, None)], "k long, text string")
+    b = spark.createDataFrame([(7, "A B\\nc"), (8, "a b"), (9, None), (10, "stra\u00dfe x.y z-1 a"), (11, "a b. c d"), (12, "a"), (13, "b c d b c d e"), (14, "")], "d long, text string")
+    pairs = quality.shared_runs(a, b, "k", "d", "text", 3)
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert sorted(map(tuple, pairs.collect())) == [(1, 7), (1, 11), (1, 13), (2, 7), (2, 10), (2, 11)]
+
+
+def test_runs_in_batches_are_the_runs_of_tokens(spark):
+    rows = spark.range(0x110000).where("id not between 55296 and 57343").select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    texts = rows.select("id", F.concat(F.lit("Q"), "c", F.lit("w "), "c", F.lit(" ._-"), "c", F.lit("-9")).alias("text"))
+    texts = texts.union(spark.createDataFrame([(-1, "a.b..c-_d_e"), (-2, "._-a\\n\\Nb-"), (-3, None), (-4, "Da.\nwa 1-2.3_4 " * 200_000)], texts.schema))
+    everything = np.full(quality.RUN_BITS // 8 + 4096, 255, dtype=np.uint8)
+    got, want = quality.mapped_runs(texts, "id", "text", 2, everything), quality.token_runs(texts, "id", "text", 2)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.where("id = -4").count() == 3
+
+
+def test_the_map_of_runs_lets_few_others_pass(spark):
+    texts = spark.createDataFrame([(i, f"a b {i}") for i in range(5000)], "id long, text string").repartition(4)
+    bits = quality.run_map(texts.where("id < 50"), "text", 3)
+    assert 45 < np.unpackbits(bits).sum() <= 50
+    kept = {r["id"] for r in quality.mapped_runs(texts, "id", "text", 3, bits).collect()}
+    assert set(range(50)) <= kept and len(kept) < 60
+
+
 def test_tokens_are_listed_once_a_text(spark):
     texts = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None)], "k long, text string")
     table = quality.token_table(texts, ["k"], "text")

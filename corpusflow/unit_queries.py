@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions import text as X
 from corpusflow.operators import adapting, assembly, cards, catalog, intervals, navigation, ordered, planning, quality, rendering, sampling, sections, semantics
 from corpusflow.plans import build, ledger
-from corpusflow.queries import MANUAL, big, manual_pages, query, spread
+from corpusflow.queries import MANUAL, big, manual_pages, query, spread, tasks_for
 from corpusflow.schemas import BLOCK
 from corpusflow.sources import readers, writers
 from corpusflow.streaming import completions
@@ -624,7 +624,8 @@ def q106_sample_anchors(t):
 SELECT d AS document_id, s AS section_id, CASE k WHEN 0 THEN 'SECTION_VOLUME_MISMATCH' WHEN 1 THEN 'SECTION_PAGE_RANGE_INVALID' WHEN 2 THEN 'SECTION_PAGE_LABEL_COUNT_MISMATCH' WHEN 3 THEN 'SECTION_KEYWORD_ID_INVALID' WHEN 4 THEN 'SECTION_PARENT_MISSING' WHEN 5 THEN 'SECTION_PAGE_RANGE_INVALID' WHEN 6 THEN 'SECTION_KEYWORD_ID_INVALID' END AS code FROM k WHERE k < 7""")
 def q107_navigation_contract(t):
     k = F.col("o_orderkey") % 8
-    o = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    tasks = tasks_for(t("orders"))
+    o = quality.dealt(t("orders"), tasks, "o_custkey").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
     ident = F.col("o_orderkey")
     sections_ = o.select(
         F.col("o_custkey").alias("document_id"), ident.alias("section_id"), F.when(k == 0, F.col("c_nationkey") + 1).otherwise(F.col("c_nationkey")).alias("volume"), F.when(k == 6, "document").otherwise("keyword").alias("kind"),
@@ -632,7 +633,7 @@ def q107_navigation_contract(t):
         F.when(k == 1, F.array(L(1), L(11))).when(k == 5, F.array(L(2), L(1))).otherwise(F.array(L(1), L(2))).alias("pdf_pages"), F.when(k == 2, F.array(L("1-1"))).otherwise(F.array(L("1-1"), L(None).cast("string"))).alias("manual_pages"),
     )
     documents = t("customer").select(F.col("c_custkey").alias("document_id"), F.col("c_nationkey").alias("volume"), L(10).alias("pages"))
-    return quality.navigation_issues(sections_, documents)
+    return quality.navigation_issues(sections_, documents, tasks=tasks)
 
 
 @query("SELECT p_partkey, CAST(p_partkey % 4 IN (0, 2) AS BOOLEAN) AS related FROM part")

@@ -1,5 +1,7 @@
 """What only shows on larger tables: joins whose sides grow, keys without a partner, work a row."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -93,3 +95,28 @@ def test_a_grid_is_measured_once(spark):
     made = rows.select(adapting.grid(F.col("rows")).alias("g"))
     assert made._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
     assert made.first()["g"] == [["a", "b"], ["", "c"]]
+
+
+@pytest.mark.parametrize("name", ["q37_nav_contract", "q107_navigation_contract"])
+def test_checks_of_sections_are_dealt_by_their_rows(spark, monkeypatch, name):
+    monkeypatch.setattr(queries, "TASK_ROWS", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = re.findall(r"hashpartitioning\(.*, (\d+)\)", plan(queries.QUERIES[name](spark, SF)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tables = {str(max(4, -(-spark.read.parquet(f"{SF}/{t}.parquet").count() // 100))) for t in ("orders", "lineitem")}
+    assert counts and set(counts) <= tables
+
+
+def test_issues_of_sections_are_the_same_however_dealt(spark):
+    rows = [(1, 10, None, [1, 2]), (1, 11, 10, [2, 1]), (1, 11, 10, [3]), (1, 12, 99, [1]), (2, 10, 11, [1]), (2, 13, 10, []), (None, 5, 6, [1]), (None, 6, None, [1]), (2, 14, 10, None)]
+    sections = spark.createDataFrame(rows, "document long, section_id long, parent_section_id long, pages array<long>")
+    for tasks in (None, 3):
+        got = quality.section_issues(sections, ["document"], tasks=tasks).collect()
+        assert sorted((tuple(r) for r in got), key=str) == sorted(
+            [
+                (1, 11, "SECTION_ID_DUPLICATE"), (1, 11, "SECTION_PAGE_RANGE_INVALID"), (1, 12, "SECTION_PARENT_MISSING"),
+                (2, 10, "SECTION_PARENT_MISSING"), (2, 13, "SECTION_PAGE_RANGE_INVALID"), (None, 5, "SECTION_PARENT_MISSING"),
+            ], key=str,
+        )
